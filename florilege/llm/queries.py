@@ -21,8 +21,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts,)}
+    return {f.__name__: f for f in (op2_token_counts, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

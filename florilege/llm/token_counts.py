@@ -8,6 +8,7 @@ library has it by default.
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from florilege.llm.bpe import encoder
@@ -24,7 +25,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "
     def count(part: pa.RecordBatch) -> pa.RecordBatch:
         texts = part.column(1)
         n = encoder(vocabulary, pattern).count(texts.to_pylist())
-        size = pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64())
+        size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
         return pa.RecordBatch.from_arrays(
             [part.column(0), size, pa.array(n), pa.array(n > limit)], names=[id_col, "n_bytes", "n_tokens", "over_limit"]
         )

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def slices(batch: pa.RecordBatch, text_at: int, limit: int = SLICE_BYTES) -> Ite
     n = batch.num_rows
     if not n:
         return
-    ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False))
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < n:
         base = ends[at - 1] if at else 0
