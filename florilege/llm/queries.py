@@ -21,6 +21,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.quality import apply_rules
+
+    return apply_rules(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from florilege.llm.packing import pack
 
@@ -28,7 +34,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op8_packing)}
+    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
