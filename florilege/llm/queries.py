@@ -27,6 +27,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.near import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from florilege.llm.packing import pack
 
@@ -34,7 +40,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op8_packing)}
+    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op6_jaccard_join, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
