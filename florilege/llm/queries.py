@@ -39,9 +39,35 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.decontaminate import decontaminate
+
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_PLAIN = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP10_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_PLAIN} AS w FROM documents),
+i AS (SELECT item_id, {_PLAIN} AS w FROM benchmark),
+wi AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(list_slice(w, s, s + least(10, len(w)) - 1), ' ') AS g
+  FROM i, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(s) WHERE len(w) > 0),
+wd AS (
+  SELECT r, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS g
+  FROM d, (SELECT DISTINCT n FROM wi) AS k, unnest(range(1, len(w) - n + 2)) AS t(s)),
+h AS (SELECT r, wd.n, s, item_id FROM wd JOIN wi ON wd.g = wi.g AND wd.n = wi.n),
+p AS (SELECT r, count(DISTINCT s + k) AS n_hit FROM h, unnest(range(0, n)) AS t(k) GROUP BY r),
+q AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM h) AS x GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (r) LEFT JOIN q USING (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op6_jaccard_join, op8_packing)}
+    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op6_jaccard_join, op8_packing, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_decontamination": OP10_SQL}
