@@ -27,6 +27,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op4_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.lm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from florilege.llm.near import near_duplicates
 
@@ -66,7 +72,7 @@ FROM d LEFT JOIN p USING (r) LEFT JOIN q USING (r)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op6_jaccard_join, op8_packing, op10_decontamination)}
+    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_ppm_scores, op6_jaccard_join, op8_packing, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
