@@ -39,6 +39,21 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.sharding import assign_shards
+
+    return assign_shards(table(spark, sf_dir, "documents"))
+
+
+def op9_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.chat import digests
+
+    own = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], own.schema)
+    return digests(own.union(more), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from florilege.llm.packing import pack
 
@@ -72,7 +87,7 @@ FROM d LEFT JOIN p USING (r) LEFT JOIN q USING (r)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_ppm_scores, op6_jaccard_join, op8_packing, op10_decontamination)}
+    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_ppm_scores, op6_jaccard_join, op7_sharding, op8_packing, op9_chat_trees, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
