@@ -33,6 +33,12 @@ def op4_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from florilege.llm.near import near_duplicates
 
@@ -87,7 +93,7 @@ FROM d LEFT JOIN p USING (r) LEFT JOIN q USING (r)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_ppm_scores, op6_jaccard_join, op7_sharding, op8_packing, op9_chat_trees, op10_decontamination)}
+    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_ppm_scores, op5_license_scan, op6_jaccard_join, op7_sharding, op8_packing, op9_chat_trees, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:

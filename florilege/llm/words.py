@@ -23,6 +23,8 @@ PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PLAIN_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: The same on texts of both cases.
+RAW_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Bytes that separate plain words become a space, A-Z become a-z; a table for bytes.translate.
 PLAIN_TABLE = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -36,11 +38,34 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def fold(word: Column) -> Column:
+    """``lower_ascii`` of a word, by the faster way for words that are all ASCII."""
+    return F.when(F.octet_length(word) == F.length(word), F.lower(word)).otherwise(lower_ascii(word))
+
+
+def raw_words(text: Column) -> Column:
+    """Plain words of a text in their own case, JVM-side, by one pass of one pattern.
+
+    The first and the last are empty where the text begins or ends with a gap
+    (see ``lead`` and ``n_words``); a null text is an empty one.
+    """
+    return F.split(F.coalesce(text, F.lit("")), RAW_GAP, -1)
+
+
+def lead(words: Column) -> Column:
+    """1 where the first of ``raw_words`` is empty, else 0."""
+    return (F.get(words, F.lit(0)) == "").cast("int")
+
+
+def n_words(words: Column) -> Column:
+    """How many of ``raw_words`` are words."""
+    n = F.size(words)
+    return n - lead(words) - ((n > 1) & (F.get(words, n - 1) == "")).cast("int")
+
+
 def plain_words(text: Column) -> Column:
-    """Array of plain words of a text, JVM-side; null and texts without words give an empty array."""
-    gaps = F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), PLAIN_GAP, " ")
-    words = F.trim(gaps)
-    return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " ", -1))
+    """Array of plain words of a short text; null and texts without words give an empty array."""
+    return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), PLAIN_GAP, -1), lambda w: w != "")
 
 
 def slices(batch: pa.RecordBatch, text_at: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
