@@ -26,9 +26,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from florilege.llm.words import plain_words
+from florilege.llm.shared import materialize
+from florilege.llm.words import fold, lead, n_words, plain_words, raw_words
 
 WINDOW = 10
+#: Words of a text that are looked at together.
+SEGMENT = 128
 #: Anchors are broadcast only if their words hold at most this many bytes; beyond, the join shuffles by word.
 BROADCAST_BYTES = 32 << 20
 
@@ -49,8 +52,8 @@ def anchors(items: DataFrame, docs: DataFrame, window: int = WINDOW, item_col: s
     own = own.dropDuplicates()
     vocabulary = own.select(F.explode("w").alias("word")).distinct()
     hint = _bounded(vocabulary, F.octet_length("word"))
-    counts = docs.select(F.explode(plain_words(F.col(text_col))).alias("word")).join(hint, "word").groupBy("word").count()
-    order = vocabulary.join(counts, "word", "left").select("word", F.coalesce("count", F.lit(0)).alias("n"))
+    counts = docs.select(F.explode(raw_words(F.col(text_col))).alias("word")).select(fold(F.col("word")).alias("word")).join(hint, "word").groupBy("word").count()
+    order = materialize(vocabulary.join(counts, "word", "left").select("word", F.coalesce("count", F.lit(0)).alias("n")))
     placed = own.select("item", "w", F.posexplode("w").alias("at", "word")).join(order, "word")
     size = F.size("w")
     last = F.greatest(F.lit(0), size - window)
@@ -70,31 +73,48 @@ def _bounded(df: DataFrame, size: Column) -> DataFrame:
 
 def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """key, first, last (word places), item of each run of item words in a text."""
-    marks = anchors(items, docs, window, item_col, text_col)
+    marks = materialize(anchors(items, docs, window, item_col, text_col))
     size = F.octet_length("word") + F.size("left") * 16 + F.size("right") * 16 + F.octet_length(F.concat_ws("", "left", "right"))
     marks = _bounded(marks, size)
-    texts = docs.select(_text_key(F.col(text_col)).alias("key"), plain_words(F.col(text_col)).alias("words"))
-    found = texts.select("key", "words", F.posexplode("words").alias("at", "word")).join(marks, "word").filter(F.size("words") >= F.col("need"))
-    at = F.col("at")
-    n_left, n_right = F.least(at, F.size("left")), F.least(F.size("words") - at - 1, F.size("right"))
+    texts = docs.select(_text_key(F.col(text_col)).alias("key"), raw_words(F.col(text_col)).alias("words"))
+    parts = texts.select("key", n_words(F.col("words")).alias("n"), lead(F.col("words")).alias("lead"), F.explode(_segments("words", window)).alias("s"))
+    found = parts.select("key", "n", "lead", "s.*", F.posexplode("s.words").alias("p", "raw")).withColumn("word", fold(F.col("raw"))).join(marks, "word")
+    p, words = F.col("p"), F.col("words")
+    place = F.col("start") + p
+    found = found.filter((F.col("n") >= F.col("need")) & (place >= F.col("core")) & (place < F.col("core") + SEGMENT))
+    beside = (fold(F.get(words, p + 1)) == F.get("right", F.lit(0))) | (fold(F.get(words, p - 1)) == F.get("left", F.lit(0)))
+    found = found.filter((F.col("need") == 1) | beside)
+    n_left, n_right = F.least(p, F.size("left")), F.least(F.size(words) - p - 1, F.size("right"))
     found = found.filter(n_left + n_right + 1 >= F.col("need"))
-    same = lambda a, b: F.coalesce(a == b, F.lit(False))
-    before = F.reverse(F.slice("words", at - n_left + 1, n_left))
+    same = lambda a, b: F.coalesce(a == fold(b), F.lit(False))
+    before = F.reverse(F.slice(words, p - n_left + 1, n_left))
     run_left = _run(F.zip_with(F.slice("left", F.lit(1), n_left), before, same), n_left)
-    run_right = _run(F.zip_with(F.slice("right", F.lit(1), n_right), F.slice("words", at + 2, n_right), same), n_right)
-    found = found.select("key", "at", "item", "need", run_left.alias("l"), run_right.alias("r")).filter("l + r + 1 >= need")
+    run_right = _run(F.zip_with(F.slice("right", F.lit(1), n_right), F.slice(words, p + 2, n_right), same), n_right)
+    found = found.select("key", (place - F.col("lead")).alias("at"), "item", "need", run_left.alias("l"), run_right.alias("r")).filter("l + r + 1 >= need")
     return found.select("key", (F.col("at") - F.col("l")).alias("first"), (F.col("at") + F.col("r")).alias("last"), "item")
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """id, n_words, n_hit, n_items, items_sha256, contaminated of each row of ``docs``."""
+def _segments(words: str, window: int) -> Column:
+    """The words in runs of SEGMENT, each with ``window - 1`` more on both sides: a matched row carries this, not the text."""
+    n, edge = F.size(words), window - 1
+
+    def cut(core: Column) -> Column:
+        start = F.greatest(F.lit(0), core - edge)
+        return F.struct(core.alias("core"), start.alias("start"), F.slice(words, start + 1, F.least(n, core + SEGMENT + edge) - start).alias("words"))
+
+    return F.transform(F.sequence(F.lit(0), n - 1, F.lit(SEGMENT)), cut)
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """id, n_words, n_hit, n_items, items_sha256, contaminated of each row of ``docs``, and the columns to ``carry``."""
     spans = hits(docs, items, window, text_col, item_col)
     spans = spans.groupBy("key", "first", "last", "item").agg(F.count("*").alias("n"))
     before = Window.partitionBy("key").orderBy("first", "last", "item").rowsBetween(Window.unboundedPreceding, -1)
     reach = F.coalesce(F.max("last").over(before), F.lit(-1))
     fresh = F.greatest(F.lit(0), F.col("last") - F.greatest(F.col("first") - 1, reach))
     per_text = spans.select("key", "item", fresh.alias("fresh")).groupBy("key").agg(F.sum("fresh").alias("n_hit"), F.array_sort(F.collect_set("item")).alias("items"))
-    rows = docs.select(F.col(id_col), F.size(plain_words(F.col(text_col))).cast("bigint").alias("n_words"), _text_key(F.col(text_col)).alias("key"))
+    carried = F.struct(*carry) if carry else F.struct(F.lit(0))
+    rows = docs.select(F.col(id_col), carried.alias("carried"), n_words(raw_words(F.col(text_col))).cast("bigint").alias("n_words"), _text_key(F.col(text_col)).alias("key"))
     none = F.sha2(F.lit("").cast("binary"), 256)
     return rows.join(per_text, "key", "left").select(
         id_col,
@@ -103,4 +123,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
         F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
         F.coalesce(F.sha2(F.array_join("items", ",").cast("binary"), 256), none).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"),
+        *(F.col(f"carried.{c}").alias(c) for c in carry),
     )
