@@ -157,8 +157,8 @@ def token_entropy(ids: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     return np.maximum(np.log2(n) - mass / n, 0.0)
 
 
-def apply_rules(docs: DataFrame, pieces: str, byte_vocabulary: str, pattern: str, bands: dict[str, Band] | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
-    """One row per row of ``docs``: its counts, measures, ``base_failed`` and ``kept``."""
+def apply_rules(docs: DataFrame, pieces: str, byte_vocabulary: str, pattern: str, bands: dict[str, Band] | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: its counts, measures, ``base_failed`` and ``kept``, and the columns to ``carry`` as they are."""
     bands = bands or BANDS
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -195,10 +195,11 @@ def apply_rules(docs: DataFrame, pieces: str, byte_vocabulary: str, pattern: str
                 and fallback[i] <= b.fallback_most
                 and (share[i] >= b.entropy_least or n_tokens[i] < b.least_tokens)
             )
-        columns = [part.column(0), n_words, *facts, repeats, failed, kept, piece_chars, byte_chars, fallback, share]
+        columns = [part.column(0), n_words, *facts, repeats, failed, kept, piece_chars, byte_chars, fallback, share, *(part.column(c) for c in carry)]
         return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names=names)
 
-    names = [id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "chars_per_piece", "chars_per_byte_token", "fallback_share", "entropy_share"]
-    kinds = [kind, *["bigint"] * 5, "boolean", "boolean", *["double"] * 4]
+    names = [id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "chars_per_piece", "chars_per_byte_token", "fallback_share", "entropy_share", *carry]
+    kinds = [kind, *["bigint"] * 5, "boolean", "boolean", *["double"] * 4, *(docs.schema[c].dataType.simpleString() for c in carry)]
     columns = [id_col, text_col] + ([lang_col] if lang_col else [])
+    columns += [c for c in carry if c not in columns]
     return map_slices(docs, columns, text_col, judge, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))

@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.html_blocks import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from florilege.llm.token_counts import count_tokens
 
@@ -92,8 +98,14 @@ FROM d LEFT JOIN p USING (r) LEFT JOIN q USING (r)
 """
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_quality_rules, op4_ppm_scores, op5_license_scan, op6_jaccard_join, op7_sharding, op8_packing, op9_chat_trees, op10_decontamination)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op3_quality_rules, op4_ppm_scores, op5_license_scan, op6_jaccard_join, op7_sharding, op8_packing, op9_chat_trees, op10_decontamination, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
