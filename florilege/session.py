@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def session(name: str = "florilege", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """UTC, adaptive execution with skew-join splitting, Arrow transfer; cluster settings stay as they are given."""
+def session(name: str = "florilege", master: str | None = None, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
+    """UTC, adaptive execution with skew-join splitting, Arrow transfer; cluster settings stay as they are given.
+
+    ``settings`` are more of Spark's, with ``__`` for a dot.
+    """
     builder = SparkSession.builder.appName(name)
     builder = builder.master(master) if master else builder
     for key, value in {
@@ -14,6 +17,7 @@ def session(name: str = "florilege", master: str | None = None, shuffle_partitio
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        **{k.replace("__", "."): v for k, v in settings.items()},
     }.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
