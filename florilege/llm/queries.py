@@ -97,6 +97,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN p USING (r) LEFT JOIN q USING (r)
 """
 
+OP6_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, text, {_PLAIN} AS w FROM documents),
+k AS (SELECT doc_id, w, CASE WHEN len(w) > 0 THEN 'w ' || array_to_string(w, ' ') ELSE coalesce('t ' || text, 'n') END AS k FROM d),
+c AS (SELECT k, min(doc_id) AS least, count(*) AS n_copies, any_value(w) AS w FROM k GROUP BY k),
+s AS (SELECT DISTINCT least AS c, array_to_string(list_slice(w, i, i + 4), ' ') AS g FROM c, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i) WHERE len(w) > 0),
+n AS (SELECT c, count(*) AS n FROM s GROUP BY c),
+p AS (SELECT a.c AS a, b.c AS b, count(*) AS m FROM s AS a JOIN s AS b ON a.g = b.g AND a.c <> b.c GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n AS x ON x.c = a JOIN n AS y ON y.c = b WHERE m >= 0.8 * (x.n + y.n - m) - 1e-9),
+r(c, o) AS (SELECT least, least FROM c UNION SELECT r.c, l.b FROM r JOIN l ON l.a = r.o),
+m AS (SELECT c, min(o) AS class_id FROM r GROUP BY c),
+z AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT doc_id, class_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, n_copies
+FROM k JOIN c USING (k) JOIN m ON m.c = least LEFT JOIN z ON z.a = least
+"""
+
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
@@ -109,4 +124,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontamination": OP10_SQL}
+    return {"op6_jaccard_join": OP6_SQL, "op10_decontamination": OP10_SQL}
