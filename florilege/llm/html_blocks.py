@@ -37,7 +37,9 @@ from florilege.llm.words import map_slices
 PATH_SLOTS, WORD_SLOTS, SHAPES = 96, 48, 14
 FEATURES = PATH_SLOTS + WORD_SLOTS + SHAPES
 HIDDEN = 24
-TRAINING_PAGES, EPOCHS, SEED = 1400, 4, 7
+TRAINING_PAGES, EPOCHS, SEED = 2000, 4, 7
+#: Log odds from which a block is article: where precision and recall on held-out pages meet.
+THRESHOLD = -0.5
 #: Pages of more blocks are read in runs that overlap by half, so that memory is bounded.
 RUN = 2048
 
@@ -281,7 +283,7 @@ class Labeller:
             x, lengths = pad([pages[r[0]][r[1] : r[2]] for r in part])
             z = self.logits(x, lengths)
             for k, (at, lo_run, _, lo, hi) in enumerate(part):
-                out[at][lo:hi] = z[lo - lo_run : hi - lo_run, k] > 0
+                out[at][lo:hi] = z[lo - lo_run : hi - lo_run, k] > THRESHOLD
         return out
 
 
@@ -377,7 +379,9 @@ class _Writer:
         tag = r.choice(tags.split())
         out = [f"<{tag}{self.attrs(words, 0.9 if tag == 'div' else 0.4)}>"]
         if r.random() < 0.85:
-            out.append(f"<{r.choice(('h1', 'h1', 'h2'))}>{self.words(r.randrange(2, 14))}</h1>")
+            level = r.choice(("h1", "h1", "h2"))
+            title = f"<{level}>{self.words(r.randrange(2, 14))}</{level}>"
+            out.append(f"<header>{title}</header>" if r.random() < 0.1 else title)
         for _ in range(r.choice((1, 1, 2, 3, 4, 6, 9, 15))):
             kind = r.random()
             text = self.words(r.choice((1, 3, 8, 20, 40, 80, 160)))
@@ -392,7 +396,19 @@ class _Writer:
             elif kind < 0.92:
                 out.append(f"<blockquote>{text}</blockquote>")
             elif kind < 0.95:
-                out.append(f"<table><tr><td>{self.words(2)}</td><td>{self.words(3)}</td></tr></table>")
+                out.append(
+                    r.choice(
+                        (
+                            f"<table><tr><td>{self.words(2)}</td><td>{self.words(3)}</td></tr></table>",
+                            f"<pre>{text}</pre>",
+                            f"<h3>{self.words(r.randrange(1, 6))}</h3>",
+                            f"<ol><li>{self.words(3)}</li><li>{self.words(9)}</li></ol>",
+                            f"<figure><img src='x'><figcaption>{self.words(r.randrange(2, 12))}</figcaption></figure>",
+                            f"<dl><dt>{self.word()}</dt><dd>{self.words(6)}</dd></dl>",
+                            f"<section><h2>{self.words(3)}</h2><p>{text}</p></section>",
+                        )
+                    )
+                )
             elif kind < 0.98:
                 out.append(f"<p><b>{text}<br><p>{self.words(30)}</p>")
             else:

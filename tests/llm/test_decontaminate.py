@@ -67,3 +67,9 @@ def test_empty_tables(spark):
     assert decontaminate(no_docs, spark.createDataFrame(items, "item_id long, text string")).collect() == []
     got = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), no_items).collect()
     assert sorted([tuple(r) for r in got], key=str) == brute(docs, [])
+
+
+def test_plan_is_native(spark):
+    docs, items = case()
+    df = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert not re.search("Python|Pandas|MapInArrow|ArrowEval|Cartesian|NestedLoop", df._jdf.queryExecution().toString())

@@ -71,3 +71,8 @@ def test_keywords_and_gates_hold():
 
 def test_empty_table(spark):
     assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_plan_is_native(spark):
+    plan = scan_licenses(spark.createDataFrame(case(), "doc_id long, text string"))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|MapInArrow|ArrowEval|Cartesian|NestedLoop", plan)
