@@ -36,11 +36,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from florilege.llm.shared import materialize
+from florilege.llm.shared import materialize, materialize_table
 from florilege.llm.words import Numbering, slices
 
 ORDER = 4
-CHUNK = 24 << 20
+CHUNK = 10 << 20
+SLICE = 2 << 20
 WORD, GRAM = 0, 1
 
 
@@ -77,7 +78,7 @@ def _features(t: pa.Table) -> pa.Table:
     index, counts = Numbering(), np.zeros(0, np.int64)
     grams: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in t.to_batches():
-        for part in slices(batch, batch.schema.get_field_index("text")):
+        for part in slices(batch, batch.schema.get_field_index("text"), SLICE):
             texts = _lowered(part.column("text").to_pylist())
             train = np.array([not x for x in part.column("held").to_pylist()])
             flat: list[bytes] = []
@@ -118,7 +119,7 @@ def _score(docs: pa.Table, model: pa.Table) -> pa.Table:
     index, known = Numbering(), np.zeros(0)
     out: list[list] = []
     for batch in docs.to_batches():
-        for part in slices(batch, batch.schema.get_field_index("text")):
+        for part in slices(batch, batch.schema.get_field_index("text"), SLICE):
             texts = _lowered(part.column("text").to_pylist())
             flat: list[bytes] = []
             per_text = []
@@ -220,7 +221,7 @@ def score_documents(docs: DataFrame, held: Column | None = None, id_col: str = "
     held = held_out(F.col(id_col)) if held is None else held
     chunk = F.pmod(F.xxhash64(id_col, text_col), F.lit(chunks)).cast("int")
     dealt = docs.select(chunk.alias("chunk"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), held.alias("held"))
-    features = materialize(dealt.select("chunk", "text", "held").groupBy("chunk").applyInArrow(_features, "chunk int, kind tinyint, key bigint, n bigint"))
+    features = materialize_table(dealt.select("chunk", "text", "held").groupBy("chunk").applyInArrow(_features, "chunk int, kind tinyint, key bigint, n bigint"))
     words, grams = features.filter(F.col("kind") == WORD), features.filter(F.col("kind") == GRAM)
     train, distinct = words.filter("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct("key")).first()
     model = materialize(gram_table(materialize(grams.groupBy("key").agg(F.sum("n").alias("n")))))

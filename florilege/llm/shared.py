@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,3 +19,15 @@ def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder; later reads survive lost executors."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def materialize_table(df: DataFrame) -> DataFrame:
+    """The same as a Parquet table in that folder: for many rows, of which few columns are read at a time.
+
+    The folder's owner clears it, as with checkpoints of jobs that ended.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
