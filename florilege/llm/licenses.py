@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from florilege.llm.license_rules import GATE_WORDS, GATES, build
+from florilege.llm.shared import materialize
 from florilege.llm.words import PLAIN_GAP, lead, lower_ascii, n_words, raw_words
 
 SEGMENT, EDGE = 1024, 64
@@ -95,7 +96,7 @@ def resolve(found: DataFrame) -> DataFrame:
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_words, n_base, first_word, last_word, base_labels, labels, score of each row of ``docs``."""
-    found = matches(docs, text_col).repartition("key")
+    found = materialize(matches(docs, text_col)).repartition("key")  # read twice
     marked = resolve(found).select("key", "first", "label", "weight", F.lit(False).alias("base"))
     marked = marked.union(found.filter("rule < 0").select("key", "first", "label", "weight", F.lit(True).alias("base")))
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
