@@ -36,12 +36,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from florilege.llm.shared import materialize, materialize_table
+from florilege.llm.shared import give_back, materialize, materialize_table
 from florilege.llm.words import Numbering, slices
 
 ORDER = 4
 CHUNK = 10 << 20
-SLICE = 2 << 20
+SLICE = 1 << 20
 WORD, GRAM = 0, 1
 
 
@@ -100,6 +100,8 @@ def _features(t: pa.Table) -> pa.Table:
     keys, inverse = np.unique(np.concatenate([k for k, _ in grams]), return_inverse=True)
     n = np.bincount(inverse, weights=np.concatenate([c for _, c in grams]), minlength=len(keys)).astype(np.int64)
     words = _hash(list(index))
+    del grams, index
+    give_back()
     kinds = np.concatenate([np.full(len(words), WORD, np.int8), np.full(len(keys), GRAM, np.int8)])
     chunk = pa.array(np.full(len(kinds), t.column("chunk")[0].as_py(), np.int32))
     return pa.table([chunk, pa.array(kinds), pa.array(np.concatenate([words, keys.view(np.int64)])), pa.array(np.concatenate([counts, n]))], names=["chunk", "kind", "key", "n"])
@@ -149,6 +151,8 @@ def _score(docs: pa.Table, model: pa.Table) -> pa.Table:
                     logp[(packed & np.uint64((1 << 24) - 1)).astype(np.int64)] = np.repeat(found, np.diff(np.concatenate([first, [len(own)]])))
                 scores[at:to] = np.add.reduceat(logp, np.cumsum(n) - n)
             out.append([part.column("id"), part.column("held"), pa.array(np.array(per_text, np.int64)), pa.array(n_known), pa.array(logs), pa.array(scores)])
+    del index, known, word_keys, gram_keys
+    give_back()
     return pa.Table.from_batches([pa.RecordBatch.from_arrays(x, names=["id", "held", "n_tokens", "n_known", "logs", "score"]) for x in out])
 
 

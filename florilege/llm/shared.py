@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,3 +34,26 @@ def materialize_table(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def give_back() -> None:
+    """Return freed memory of a Python worker to the system: workers live on, and what they hold counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+_held: list[Callable[[], None]] = []
+
+
+def held(forget: Callable[[], None]) -> None:
+    """Register how a cache of this worker process is emptied."""
+    _held.append(forget)
+
+
+def release() -> None:
+    """At a task's end: empty all caches, so that a worker that goes on to another operator doesn't hold those of the last."""
+    for forget in _held:
+        forget()
+    give_back()
