@@ -16,6 +16,7 @@ import numpy as np
 import re
 import regex
 
+from florilege.llm.shared import held
 from florilege.llm.words import Grower, Numbering, ragged_take, sums
 
 NONE = np.int32(2**31 - 1)
@@ -241,5 +242,7 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> Encoder:
-    """One per worker process and vocabulary."""
-    return Encoder(path, pattern)
+    """One per worker process and vocabulary; its cache lasts for a task."""
+    own = Encoder(path, pattern)
+    held(own.restart)
+    return own

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florilege.llm.bpe import encoder
-from florilege.llm.shared import materialize
+from florilege.llm.shared import materialize, release
 
 LIMIT = 128
 IN_TEXT, IN_ROLE = re.compile(r"\\|<(?=/?turn)"), re.compile(r"[\\<>]")
@@ -168,6 +168,7 @@ def prefix_trees(convs: DataFrame, vocabulary: str, pattern: str, limit: int = L
                 held.append((path, roles, texts))
         if held:
             yield out()
+        release()
 
     return rows.mapInArrow(build, TREE)
 

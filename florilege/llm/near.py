@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florilege.llm.components import components
-from florilege.llm.shared import materialize
+from florilege.llm.shared import held, materialize
 from florilege.llm.words import PLAIN_TABLE, Numbering, map_slices
 
 WORDS, THRESHOLD = 5, 0.8
@@ -71,7 +71,9 @@ class _Hashes:
 
 @lru_cache(maxsize=1)
 def _hashes() -> _Hashes:
-    return _Hashes()
+    own = _Hashes()
+    held(own.known.clear)
+    return own
 
 
 def shingle_rows(per_text: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:

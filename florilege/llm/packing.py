@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from florilege.llm.bpe import encoder
-from florilege.llm.shared import materialize
+from florilege.llm.shared import materialize, release
 from florilege.llm.words import slices
 
 #: Documents are cut until the rest is of this class at least.
@@ -160,6 +160,7 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, end_id: int = 0, capaci
                 yield from _emit(bins.made, schema)
                 bins.made = []
         yield from _emit([(*row, None, None) for held in bins.open.values() for _, row in held], schema)
+        release()
 
     length_at = 2
     filled = materialize(docs.select(id_col, text_col).mapInArrow(first, spark_schema))

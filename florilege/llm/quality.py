@@ -24,10 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 
 from florilege.llm.bpe import Encoder
+from florilege.llm.shared import held
 from florilege.llm.words import Grower, Numbering, map_slices, ragged_take, sums
 
 SYMBOLS = "#*$%&|<>"
-CACHE_WORDS, CACHE_CHARS = 250_000, 6_000_000
+CACHE_WORDS, CACHE_CHARS = 200_000, 6_000_000
 
 
 @dataclass(frozen=True)
@@ -97,6 +98,7 @@ class Words:
         self.restart()
 
     def restart(self) -> None:
+        self.bytes.restart()
         self.index, self.chars = Numbering(), 0
         self.ids, self.starts, self.n_ids = Grower(np.int32), Grower(np.int64), Grower(np.int64)
         self.n_fallback, self.n_bytes = Grower(np.int64), Grower(np.int64)
@@ -121,7 +123,9 @@ class Words:
 
 @lru_cache(maxsize=1)
 def _words(pieces: str, bytes_: str, pattern: str) -> Words:
-    return Words(pieces, bytes_, pattern)
+    own = Words(pieces, bytes_, pattern)
+    held(own.restart)
+    return own
 
 
 def repeated_words(numbers: np.ndarray, per_text: np.ndarray) -> np.ndarray:

@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from florilege.llm.shared import release
+
 #: Words of the quality and language-model operators: runs of anything but ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 #: Words of the matching operators: ASCII letters and digits (lower case) and everything beyond ASCII.
@@ -90,6 +92,7 @@ def map_slices(df: DataFrame, columns: list[str], text: str, fn: Callable[[pa.Re
         for batch in batches:
             for part in slices(batch, at):
                 yield fn(part)
+        release()
 
     return df.select(*columns).mapInArrow(run, schema)
 
