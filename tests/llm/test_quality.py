@@ -2,12 +2,14 @@ import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 import sentencepiece
 
-from florilege.llm.quality import apply_rules, repeated_words, script_of, token_entropy
+from florilege.llm.quality import BANDS, apply_rules, fitted_least, repeated_words, script_of, token_entropy
 
 PATHS = P.path("piece_bpe_32k.model"), P.path("byte_bpe_50k.json"), P.PATTERN
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -69,3 +71,18 @@ def test_helpers():
 
 def test_empty_table(spark):
     assert apply_rules(spark.createDataFrame([], "doc_id long, text string, lang string"), *PATHS).collect() == []
+
+
+LABELLED = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not Path(LABELLED).exists(), reason="test tables are not here")
+def test_bands_are_fitted(spark):
+    docs = spark.read.parquet(f"{LABELLED}/documents.parquet").join(spark.read.parquet(f"{LABELLED}/labels.parquet"), "doc_id")
+    judged = apply_rules(docs, *PATHS, carry=("lang", "quality")).cache()
+    found = fitted_least(judged)
+    assert {k: x[:2] for k, x in found.items()} == {k: (BANDS[k].piece_chars[0], BANDS[k].byte_chars[0]) for k in ("de", "en", "es", "fr")}
+    assert all(found[k][2] == BANDS[k].entropy_least for k in ("de", "es", "fr")) and BANDS["en"].entropy_least <= found["en"][2]
+    n = Counter((r.lang, r.quality, r.kept) for r in judged.collect() if not r.base_failed)
+    assert 4 * n["en", 0, True] < n["en", 0, False]
+    assert all(n[k, 1, False] <= 0.01 * n[k, 1, True] for k in found)
