@@ -90,9 +90,9 @@ def _resolved(s, d):
 
 
 def _votes(s, d):
-    sense = view(s, d, "sense").filter("sense_id < 100")
-    candidates = view(s, d, "segment").filter("segment_id < 300").select("segment_id", (1 + F.col("segment_id") % 25).cast("int").alias("term_id"))
-    signals = view(s, d, "usage").filter("sense_id < 100 and segment_id < 300").select("segment_id", "sense_id", F.when(F.col("used") < 4, 20).otherwise(30).alias("rank"))
+    sense = view(s, d, "sense")
+    candidates = view(s, d, "segment").select("segment_id", (1 + F.col("segment_id") % 25).cast("int").alias("term_id"))
+    signals = view(s, d, "usage").select("segment_id", "sense_id", F.when(F.col("used") < 4, 20).otherwise(30).alias("rank"))
     return match.vote(candidates, sense, signals)
 
 
@@ -198,7 +198,7 @@ QUERIES = {
     "T05_leftmost_longest": (_chosen, None),
     "T06_masked": (_masked, None),
     "J16_first_candidate": (_resolved, _T + " SELECT doc_id AS segment_id, token, lemma FROM tokens JOIN hit USING (token)"),
-    "T08_votes": (_votes, model_sql("sense", "usage", "segment") + ", se AS (SELECT * FROM sense WHERE sense_id < 100), c AS (SELECT segment_id, CAST(1 + segment_id % 25 AS INT) AS term_id FROM segment WHERE segment_id < 300), o AS (SELECT term_id, count(*) AS n, arg_min(sense_id, (label IS NOT NULL, sense_id)) AS main FROM se GROUP BY 1), h AS (SELECT u.segment_id, term_id, count(DISTINCT u.sense_id) AS heard, min(CASE WHEN used < 4 THEN 20 ELSE 30 END) AS rank, min(u.sense_id) AS only_one FROM usage u JOIN se ON se.sense_id = u.sense_id WHERE u.segment_id < 300 GROUP BY 1, 2) SELECT c.segment_id, c.term_id, CASE WHEN n > 1 AND coalesce(heard = 1 AND rank <= 20, FALSE) THEN only_one ELSE main END AS sense_id, CASE WHEN n = 1 OR coalesce(heard = 1 AND rank <= 20, FALSE) THEN 'auto' ELSE 'needs_review' END AS confidence FROM c JOIN o USING (term_id) LEFT JOIN h ON h.segment_id = c.segment_id AND h.term_id = c.term_id"),
+    "T08_votes": (_votes, model_sql("sense", "usage", "segment") + ", se AS (SELECT * FROM sense), c AS (SELECT segment_id, CAST(1 + segment_id % 25 AS INT) AS term_id FROM segment), o AS (SELECT term_id, count(*) AS n, arg_min(sense_id, (label IS NOT NULL, sense_id)) AS main FROM se GROUP BY 1), h AS (SELECT u.segment_id, term_id, count(DISTINCT u.sense_id) AS heard, min(CASE WHEN used < 4 THEN 20 ELSE 30 END) AS rank, min(u.sense_id) AS only_one FROM usage u JOIN se ON se.sense_id = u.sense_id GROUP BY 1, 2) SELECT c.segment_id, c.term_id, CASE WHEN n > 1 AND coalesce(heard = 1 AND rank <= 20, FALSE) THEN only_one ELSE main END AS sense_id, CASE WHEN n = 1 OR coalesce(heard = 1 AND rank <= 20, FALSE) THEN 'auto' ELSE 'needs_review' END AS confidence FROM c JOIN o USING (term_id) LEFT JOIN h ON h.segment_id = c.segment_id AND h.term_id = c.term_id"),
     "A19_document_frequency": (lambda s, d: mining.document_frequency(mining.lemma_sets(_texts(s, d), "segment_id", "content", 1)), _SETS.replace("{n}", "1") + " SELECT lemma, count(*) AS df FROM sets GROUP BY 1"),
     "A20_gap_lemmas": (_gaps, _SETS.replace("{n}", "3") + ", known AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS lemma FROM benchmark), n AS (SELECT count(*) AS n_all FROM documents) SELECT lemma, count(*) AS df, md5(arg_min(left(text, 300), doc_id)) AS context FROM sets JOIN documents ON doc_id = segment_id, n WHERE lemma NOT IN (SELECT lemma FROM known) GROUP BY lemma, n_all HAVING count(*) >= 3 AND count(*) <= floor(n_all * 0.4)"),
     "A21_top_cues": (lambda s, d: mining.top_cues(_texts(s, d), ["the", "and", "der"], 25), _SETS.replace("{n}", "3") + " SELECT lemma, count(*) AS df FROM sets WHERE lemma NOT IN ('the', 'and', 'der') GROUP BY 1 ORDER BY df DESC, lemma LIMIT 25"),

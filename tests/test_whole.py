@@ -54,3 +54,19 @@ def test_carry_forward_of_all_documents(spark, tmp_path):
                 runs[tag].append(line.strip())
         want |= {(doc, k): len(" ".join(x)) for k, x in runs.items() if x}
     assert rows(run(spark, str(tmp_path), "S04_carry_forward")) == sorted(((*k, n) for k, n in want.items()), key=str)
+
+
+def test_votes_of_all_segments(spark, folder):
+    senses, usage = (view(spark, folder, n).collect() for n in ("sense", "usage"))
+    want = []
+    for (segment,) in view(spark, folder, "segment").select("segment_id").collect():
+        term = 1 + segment % 25
+        own = [x for x in senses if x.term_id == term]
+        if not own:
+            continue
+        main = min(own, key=lambda x: (x.label is not None, x.sense_id)).sense_id
+        heard = [(u.sense_id, 20 if u.used < 4 else 30) for u in usage if u.segment_id == segment and u.sense_id in {x.sense_id for x in own}]
+        sure = len({k for k, _ in heard}) == 1 and min(r for _, r in heard) <= 20
+        want.append((segment, term, heard[0][0] if sure and len(own) > 1 else main, "auto" if sure or len(own) == 1 else "needs_review"))
+    assert max(want)[0] > 300
+    assert rows(run(spark, folder, "T08_votes"), "segment_id", "term_id", "sense_id", "confidence") == sorted(want, key=str)
