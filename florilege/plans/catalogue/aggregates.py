@@ -69,7 +69,7 @@ def _guarded(s, d):
 
 def _optimistic(s, d):
     state = view(s, d, "review").select("segment_id", F.col("human_version").alias("version"))
-    commands = _seg(s, d).filter("segment_id < 400").select("segment_id", (F.col("segment_id") % 3).cast("int").alias("expected"), F.when(F.col("segment_id") % 5 == 0, "reset").otherwise("edit").alias("action"))
+    commands = _seg(s, d).select("segment_id", (F.col("segment_id") % 3).cast("int").alias("expected"), F.when(F.col("segment_id") % 5 == 0, "reset").otherwise("edit").alias("action"))
     return mutate.optimistic(state, commands, "segment_id").select("segment_id", "outcome", F.col("next_version").cast("bigint").alias("next_version"))
 
 
@@ -90,7 +90,7 @@ def _preview(s, d):
 
 
 def _transition(s, d):
-    commands = _seg(s, d).filter("segment_id < 20000").select((F.col("segment_id") * 2).alias("segment_id"), F.lit("translated").alias("to"))
+    commands = _seg(s, d).select((F.col("segment_id") * 2).alias("segment_id"), F.lit("translated").alias("to"))
     return mutate.transition(_seg(s, d), commands, "segment_id", {"translated": ["pending", "needs_human"]}).groupBy("reason").agg(F.count("*").alias("n"))
 
 
@@ -136,7 +136,7 @@ def _orphans(s, d):
 
 def _sheet(s, d):
     old = view(s, d, "review").select("segment_id", F.col("reviewer").alias("note"))
-    new = _seg(s, d).filter("segment_id < 500").select("segment_id", "status", F.lit(None).cast("string").alias("note"))
+    new = _seg(s, d).select("segment_id", "status", F.lit(None).cast("string").alias("note"))
     return mutate.merge_sheet(old, new, "segment_id", ["note"])
 
 
@@ -216,17 +216,17 @@ QUERIES = {
     "U01_upsert": (_upsert, model_sql("review", "comment") + ", n AS (SELECT segment_id, max(author) AS reviewer, CAST(9 AS BIGINT) AS version FROM comment GROUP BY 1) SELECT segment_id, reviewer, CAST(human_version AS BIGINT) AS version FROM review WHERE segment_id NOT IN (SELECT segment_id FROM n) UNION ALL SELECT * FROM n"),
     "U02_insert_missing": (_insert_missing, model_sql("review", "comment") + " SELECT segment_id, reviewer FROM review UNION ALL SELECT segment_id, max(author) FROM comment WHERE segment_id NOT IN (SELECT segment_id FROM review) GROUP BY 1"),
     "U03_guarded_upsert": (_guarded, _N + " SELECT sense_id, CASE WHEN sense_id % 3 = 0 AND status <> 'approved' THEN 'flagged' ELSE status END AS status FROM sense"),
-    "U04_optimistic_lock": (_optimistic, model_sql("segment", "review") + ", c AS (SELECT segment_id, segment_id % 3 AS expected, segment_id % 5 = 0 AS reset FROM segment WHERE segment_id < 400), o AS (SELECT c.segment_id, expected, reset, human_version AS v, CASE WHEN human_version IS NULL AND expected > 0 THEN 'notfound' WHEN coalesce(human_version, 0) <> expected THEN 'conflict' ELSE 'ok' END AS outcome FROM c LEFT JOIN review r ON r.segment_id = c.segment_id) SELECT segment_id, outcome, CAST(CASE WHEN outcome <> 'ok' THEN v WHEN reset THEN 0 ELSE expected + 1 END AS BIGINT) AS next_version FROM o"),
-    "U05_transitions": (_transition, _S + ", c AS (SELECT segment_id * 2 AS id FROM segment WHERE segment_id < 20000) SELECT CASE WHEN status IS NULL THEN 'notfound' WHEN status IN ('pending', 'needs_human') THEN 'ok' ELSE 'wrong_status' END AS reason, count(*) AS n FROM c LEFT JOIN segment ON segment_id = id GROUP BY 1"),
+    "U04_optimistic_lock": (_optimistic, model_sql("segment", "review") + ", c AS (SELECT segment_id, segment_id % 3 AS expected, segment_id % 5 = 0 AS reset FROM segment), o AS (SELECT c.segment_id, expected, reset, human_version AS v, CASE WHEN human_version IS NULL AND expected > 0 THEN 'notfound' WHEN coalesce(human_version, 0) <> expected THEN 'conflict' ELSE 'ok' END AS outcome FROM c LEFT JOIN review r ON r.segment_id = c.segment_id) SELECT segment_id, outcome, CAST(CASE WHEN outcome <> 'ok' THEN v WHEN reset THEN 0 ELSE expected + 1 END AS BIGINT) AS next_version FROM o"),
+    "U05_transitions": (_transition, _S + ", c AS (SELECT segment_id * 2 AS id FROM segment) SELECT CASE WHEN status IS NULL THEN 'notfound' WHEN status IN ('pending', 'needs_human') THEN 'ok' ELSE 'wrong_status' END AS reason, count(*) AS n FROM c LEFT JOIN segment ON segment_id = id GROUP BY 1"),
     "U06_replace_guesses": (_guesses, model_sql("usage", "segment") + ", o AS (SELECT DISTINCT segment_id, sense_id, status FROM usage WHERE status <> 'model_proposed'), f AS (SELECT segment_id, segment_id % 2000 AS sense_id, 'model_proposed' AS status FROM segment s WHERE status = 'pending' AND NOT EXISTS (SELECT 1 FROM o WHERE o.segment_id = s.segment_id AND o.sense_id = s.segment_id % 2000)) SELECT status, count(*) AS n, CAST(sum(segment_id) AS BIGINT) AS \"check\" FROM (SELECT * FROM o UNION ALL SELECT * FROM f) AS x GROUP BY 1"),
     "U07_version_bump": (_bump, _N + ", c AS (SELECT sense_id, version, content, sense_id % 4 = 0 AS hit, CASE WHEN sense_id % 8 = 0 THEN content WHEN sense_id % 12 <> 0 THEN 'new words' END AS new FROM sense) SELECT sense_id, CAST(CASE WHEN hit AND content IS DISTINCT FROM new THEN version + 1 ELSE version END AS BIGINT) AS version, CASE WHEN hit THEN new ELSE content END AS content FROM c"),
-    "U10_retire": (lambda s, d: mutate.retire(view(s, d, "sense"), [4, 8, 15]).filter("sense_id < 20").select("sense_id", "status", F.col("version").cast("bigint").alias("version")), _N + " SELECT sense_id, CASE WHEN sense_id IN (4, 8, 15) THEN 'retired' ELSE status END AS status, CAST(version + CASE WHEN sense_id IN (4, 8, 15) THEN 1 ELSE 0 END AS BIGINT) AS version FROM sense WHERE sense_id < 20"),
+    "U10_retire": (lambda s, d: mutate.retire(view(s, d, "sense"), [4, 8, 15]).select("sense_id", "status", F.col("version").cast("bigint").alias("version")), _N + " SELECT sense_id, CASE WHEN sense_id IN (4, 8, 15) THEN 'retired' ELSE status END AS status, CAST(version + CASE WHEN sense_id IN (4, 8, 15) THEN 1 ELSE 0 END AS BIGINT) AS version FROM sense"),
     "U12_guard_and_reset": (_reset, model_sql("usage", "sense", "segment", "review") + _STALE + " SELECT s.segment_id, CASE WHEN st.segment_id IS NULL THEN status WHEN r.segment_id IS NOT NULL THEN 'needs_human' ELSE 'pending' END AS status, CASE WHEN st.segment_id IS NOT NULL AND r.segment_id IS NOT NULL THEN 'edited by a person' END AS note FROM segment s LEFT JOIN stale st ON st.segment_id = s.segment_id LEFT JOIN review r ON r.segment_id = s.segment_id"),
     "U13_delete_subtree": (_subtree, model_sql("usage", "segment") + ", g AS (SELECT segment_id FROM segment WHERE path LIKE 'r1.%') SELECT 'usage' AS name, count(*) AS n FROM usage WHERE segment_id NOT IN (SELECT segment_id FROM g) UNION ALL SELECT 'segment', count(*) FROM segment WHERE segment_id NOT IN (SELECT segment_id FROM g)"),
     "U19_import_outcomes": (_import, _N + ", i AS (SELECT sense_id * 2 AS id, CASE WHEN sense_id % 5 > 0 THEN 3 END AS v FROM sense WHERE sense_id % 5 < 3) SELECT CASE WHEN version IS NULL THEN 'not_found' WHEN status = 'approved' THEN 'already_confirmed' WHEN v <> version THEN 'conflict' ELSE 'ok' END AS outcome, count(*) AS n FROM i LEFT JOIN sense ON sense_id = id GROUP BY 1"),
     "U21_update_from": (_update_from, _N + ", f AS (SELECT term_id, label FROM (SELECT term_id, label, row_number() OVER (PARTITION BY term_id ORDER BY version, sense_id) AS n FROM sense WHERE label IS NOT NULL) AS x WHERE n = 1) SELECT sense_id, term_id, coalesce(f.label, sense.label) AS label FROM sense LEFT JOIN f USING (term_id)"),
     "M02_assigned_keys": (_keys, _N + " SELECT CAST((SELECT max(sense_id) FROM sense) + row_number() OVER (ORDER BY term) AS BIGINT) AS sense_id, term FROM (SELECT DISTINCT term FROM sense) AS x"),
-    "K03_sheet_merge": (_sheet, model_sql("segment", "review") + " SELECT segment_id, status, reviewer AS note FROM segment LEFT JOIN review USING (segment_id) WHERE segment_id < 500"),
+    "K03_sheet_merge": (_sheet, model_sql("segment", "review") + " SELECT segment_id, status, reviewer AS note FROM segment LEFT JOIN review USING (segment_id)"),
     "X01_duplicates": (_duplicates, _N + " SELECT term_id, label, count(*) AS n FROM sense WHERE label IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1"),
     "X02_violations": (_checks, _U + " SELECT status, count(*) AS n FROM usage WHERE NOT (used < 7 OR status = 'confirmed') GROUP BY 1"),
     "X03_orphans": (_orphans, model_sql("comment", "review") + " SELECT comment_id, segment_id FROM comment WHERE segment_id NOT IN (SELECT segment_id FROM review)"),

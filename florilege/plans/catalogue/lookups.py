@@ -15,7 +15,7 @@ def _seg(s, d):
 
 
 def _validate(s, d):
-    p = view(s, d, "sense").filter("sense_id < 1500").select(
+    p = view(s, d, "sense").select(
         F.col("sense_id").alias("proposal_id"), F.when(F.col("sense_id") % 3 == 0, "change").when(F.col("sense_id") % 3 == 1, "repoint").otherwise("retire").alias("kind"),
         (F.col("sense_id") * 2).alias("sense_id"), F.when(F.col("sense_id") % 7 != 0, F.col("sense_id") * 3).alias("target_id"),
         F.when(F.col("sense_id") % 2 == 0, "red widget").when(F.col("sense_id") % 5 == 0, " ").otherwise("new").alias("content"), F.when(F.col("sense_id") % 4 == 0, F.col("sense_id")).alias("segment_id"))
@@ -23,7 +23,7 @@ def _validate(s, d):
 
 
 _VALIDATE = model_sql("sense", "usage") + """, p AS (SELECT sense_id AS proposal_id, CASE sense_id % 3 WHEN 0 THEN 'change' WHEN 1 THEN 'repoint' ELSE 'retire' END AS kind, sense_id * 2 AS sense_id,
-CASE WHEN sense_id % 7 <> 0 THEN sense_id * 3 END AS target_id, CASE WHEN sense_id % 2 = 0 THEN 'red widget' WHEN sense_id % 5 = 0 THEN ' ' ELSE 'new' END AS content, CASE WHEN sense_id % 4 = 0 THEN sense_id END AS segment_id FROM sense WHERE sense_id < 1500)
+CASE WHEN sense_id % 7 <> 0 THEN sense_id * 3 END AS target_id, CASE WHEN sense_id % 2 = 0 THEN 'red widget' WHEN sense_id % 5 = 0 THEN ' ' ELSE 'new' END AS content, CASE WHEN sense_id % 4 = 0 THEN sense_id END AS segment_id FROM sense)
 SELECT proposal_id, CASE WHEN s.sense_id IS NULL THEN 'not_found' WHEN kind = 'change' AND trim(p.content) = '' THEN 'content_required' WHEN kind = 'change' AND p.content = s.content THEN 'no_change'
 WHEN kind = 'repoint' AND target_id IS NULL THEN 'missing_target' WHEN kind = 'repoint' AND t.sense_id IS NULL THEN 'not_found' WHEN kind = 'repoint' AND t.term_id <> s.term_id THEN 'wrong_term' WHEN kind = 'repoint' AND t.status = 'retired' THEN 'retired'
 WHEN p.segment_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM usage u WHERE u.segment_id = p.segment_id AND u.sense_id = p.sense_id) THEN 'not_locked_here' ELSE 'ok' END AS reason

@@ -156,11 +156,11 @@ def _glossary(s, d):
 
 
 def _xliff(s, d):
-    t = view(s, d, "segment").filter("segment_id < 2000").select("pars", "path", F.col("element_type").alias("source"), F.col("status").alias("target"), F.when(F.col("segment_id") % 2 == 0, "a < b & \"c\"").alias("note"))
+    t = view(s, d, "segment").select("pars", "path", F.col("element_type").alias("source"), F.col("status").alias("target"), F.when(F.col("segment_id") % 2 == 0, "a < b & \"c\"").alias("note"))
     return writers.xliff(t, "la", "sk").select("pars", "units", F.md5(F.col("document").cast("binary")).alias("document"))
 
 
-_XLIFF = """ , u AS (SELECT pars, path, '<unit id="' || replace(path, '.', '_') || '">' || CASE WHEN segment_id % 2 = 0 THEN '<notes><note>a &lt; b &amp; &quot;c&quot;</note></notes>' ELSE '' END || '<segment><source>' || element_type || '</source><target>' || status || '</target></segment></unit>' AS u FROM segment WHERE segment_id < 2000)
+_XLIFF = """ , u AS (SELECT pars, path, '<unit id="' || replace(path, '.', '_') || '">' || CASE WHEN segment_id % 2 = 0 THEN '<notes><note>a &lt; b &amp; &quot;c&quot;</note></notes>' ELSE '' END || '<segment><source>' || element_type || '</source><target>' || status || '</target></segment></unit>' AS u FROM segment)
 SELECT pars, count(*) AS units, md5('<xliff xmlns="urn:oasis:names:tc:xliff:document:2.0" version="2.0" srcLang="la" trgLang="sk"><file id="' || pars || '">' || string_agg(u, '' ORDER BY path) || '</file></xliff>') AS document FROM u GROUP BY pars"""
 
 

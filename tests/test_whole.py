@@ -70,3 +70,51 @@ def test_votes_of_all_segments(spark, folder):
         want.append((segment, term, heard[0][0] if sure and len(own) > 1 else main, "auto" if sure or len(own) == 1 else "needs_review"))
     assert max(want)[0] > 300
     assert rows(run(spark, folder, "T08_votes"), "segment_id", "term_id", "sense_id", "confidence") == sorted(want, key=str)
+
+
+def test_commands_of_all_segments(spark, folder):
+    segments, review = view(spark, folder, "segment").collect(), {r.segment_id: r for r in view(spark, folder, "review").collect()}
+    want = []
+    for s in segments:
+        v, expected = review[s.segment_id].human_version if s.segment_id in review else None, s.segment_id % 3
+        outcome = "notfound" if v is None and expected > 0 else "conflict" if (v or 0) != expected else "ok"
+        want.append((s.segment_id, outcome, v if outcome != "ok" else 0 if s.segment_id % 5 == 0 else expected + 1))
+    assert rows(run(spark, folder, "U04_optimistic_lock"), "segment_id", "outcome", "next_version") == sorted(want, key=str)
+    assert rows(run(spark, folder, "K03_sheet_merge"), "segment_id", "status", "note") == sorted(((s.segment_id, s.status, review[s.segment_id].reviewer if s.segment_id in review else None) for s in segments), key=str)
+    state, reasons = {s.segment_id: s.status for s in segments}, {}
+    for s in segments:
+        now = state.get(s.segment_id * 2)
+        reason = "notfound" if now is None else "ok" if now in ("pending", "needs_human") else "wrong_status"
+        reasons[reason] = reasons.get(reason, 0) + 1
+    assert rows(run(spark, folder, "U05_transitions"), "reason", "n") == sorted(reasons.items(), key=str)
+    got = run(spark, folder, "K02_exchange_file").collect()
+    parts = {}
+    for s in segments:
+        parts[s.pars] = parts.get(s.pars, 0) + 1
+    assert {r.pars: r.units for r in got} == parts
+
+
+def test_all_senses_retired_and_proposed(spark, folder):
+    senses = {r.sense_id: r for r in view(spark, folder, "sense").collect()}
+    gone = (4, 8, 15)
+    assert rows(run(spark, folder, "U10_retire"), "sense_id", "status", "version") == sorted(((k, "retired" if k in gone else r.status, r.version + (k in gone)) for k, r in senses.items()), key=str)
+    used = {(u.segment_id, u.sense_id) for u in view(spark, folder, "usage").collect()}
+    want = []
+    for k in senses:
+        kind = ("change", "repoint", "retire")[k % 3]
+        now, to, text, place = senses.get(k * 2), k * 3 if k % 7 else None, "red widget" if k % 2 == 0 else " " if k % 5 == 0 else "new", k if k % 4 == 0 else None
+        goal = senses.get(to)
+        if now is None:
+            reason = "not_found"
+        elif kind == "change" and not text.strip():
+            reason = "content_required"
+        elif kind == "change" and text == now.content:
+            reason = "no_change"
+        elif kind == "repoint" and (to is None or goal is None):
+            reason = "missing_target" if to is None else "not_found"
+        elif kind == "repoint" and (goal.term_id != now.term_id or goal.status == "retired"):
+            reason = "wrong_term" if goal.term_id != now.term_id else "retired"
+        else:
+            reason = "not_locked_here" if place is not None and (place, k * 2) not in used else "ok"
+        want.append((k, reason))
+    assert rows(run(spark, folder, "G10_proposal_reasons"), "proposal_id", "reason") == sorted(want, key=str)
