@@ -189,7 +189,7 @@ QUERIES = {
     "A07_distinct_count": (lambda s, d: view(s, d, "usage").agg(F.count_distinct("segment_id").alias("segments"), F.count_distinct("sense_id").alias("senses")), _U + " SELECT count(DISTINCT segment_id) AS segments, count(DISTINCT sense_id) AS senses FROM usage"),
     "A08_distinct_per_group": (lambda s, d: view(s, d, "usage").join(view(s, d, "sense").select("sense_id", "category"), "sense_id").groupBy("category").agg(F.count_distinct("segment_id").alias("n")), model_sql("usage", "sense") + " SELECT category, count(DISTINCT segment_id) AS n FROM usage JOIN sense USING (sense_id) GROUP BY 1"),
     "A09_having_distinct": (_having, model_sql("usage", "sense") + " SELECT term_id, count(DISTINCT segment_id) AS n FROM usage JOIN sense USING (sense_id) WHERE usage.status = 'confirmed' GROUP BY 1 HAVING count(DISTINCT segment_id) >= 300"),
-    "A10_dedup_rollup": (lambda s, d: rollup.dedup_rollup(view(s, d, "usage").filter("used = 3"), view(s, d, "sense"), _seg(s, d)), model_sql("usage", "sense", "segment") + " SELECT term, label, content, count(*) AS frequency, max(confidence) AS confidence, string_agg(DISTINCT method, '|' ORDER BY method) AS methods, string_agg(DISTINCT path, '|' ORDER BY path) AS locators FROM usage JOIN sense USING (sense_id) JOIN segment USING (segment_id) WHERE usage.status <> 'rejected' AND used = 3 GROUP BY 1, 2, 3"),
+    "A10_dedup_rollup": (lambda s, d: rollup.dedup_rollup(view(s, d, "usage"), view(s, d, "sense"), _seg(s, d)), model_sql("usage", "sense", "segment") + " SELECT term, label, content, count(*) AS frequency, max(confidence) AS confidence, string_agg(DISTINCT method, '|' ORDER BY method) AS methods, string_agg(DISTINCT path, '|' ORDER BY path) AS locators FROM usage JOIN sense USING (sense_id) JOIN segment USING (segment_id) WHERE usage.status <> 'rejected' GROUP BY 1, 2, 3"),
     "A11_mode_and_first": (_example, model_sql("usage", "segment") + ", u AS (SELECT sense_id, method, used, segment_id, path FROM usage JOIN segment USING (segment_id) WHERE usage.status <> 'rejected'), m AS (SELECT sense_id, method, row_number() OVER (PARTITION BY sense_id ORDER BY count(*) DESC, method) AS k FROM u GROUP BY 1, 2) SELECT u.sense_id, count(*) AS n, CAST(min(used) AS BIGINT) AS least, arg_min(segment_id, path) AS first, max(m.method) AS mode FROM u JOIN m ON m.sense_id = u.sense_id AND k = 1 GROUP BY 1"),
     "A12_run_summary": (lambda s, d: rollup.run_summary(s.range(3).withColumnRenamed("id", "run_id"), view(s, d, "run_segment")), model_sql("run_segment") + " SELECT r AS run_id, count(segment_id) AS segments, round(avg(iterations), 6) AS avg_iterations, count(*) FILTER (WHERE status = 'needs_human') AS needs_human FROM range(3) AS t(r) LEFT JOIN run_segment ON run_id = r GROUP BY 1"),
     "A13_failure_classes": (_failures, _FAILURES + " SELECT * FROM n"),

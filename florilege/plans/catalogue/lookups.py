@@ -97,7 +97,7 @@ def _lookup(s, d):
 
 
 def _usage_lists(s, d):
-    t = view(s, d, "usage").filter("status <> 'rejected' and used = 1").select("sense_id", "segment_id").distinct()
+    t = view(s, d, "usage").filter("status <> 'rejected'").select("sense_id", "segment_id").distinct()
     return t.groupBy("sense_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("segment_id")), lambda x: x.cast("string")), ",").alias("segments"))
 
 
@@ -128,7 +128,7 @@ QUERIES = {
     "U18_threads": (_threads, _C + " SELECT comment_id, resolved OR segment_id = 7 AS resolved FROM comment WHERE NOT (author = 'u1' AND segment_id = 9)"),
     "U20_runs": (_open_runs, model_sql("run_segment") + ", r AS (SELECT n AS run_id, CASE WHEN n < 2 THEN 'done' WHEN n = 2 THEN 'late' END AS finished FROM range(4) AS t(n)) SELECT r.run_id, finished, count(segment_id) AS segments, finished IS NULL AS crashed FROM r LEFT JOIN run_segment g ON g.run_id = r.run_id GROUP BY 1, 2"),
     "Q08_winning_sense": (_lookup, _N + ", w AS (SELECT term_id, sense_id, content, row_number() OVER (PARTITION BY term_id ORDER BY version, sense_id) AS n FROM sense WHERE status = 'approved') SELECT w.term_id, sense_id, content, (SELECT count(*) FROM sense s WHERE s.term_id = w.term_id AND label IS NULL) AS \"primary\" FROM w WHERE n = 1"),
-    "Q16_usage_lists": (_usage_lists, _U + " SELECT sense_id, string_agg(DISTINCT CAST(segment_id AS VARCHAR), ',' ORDER BY segment_id) AS segments FROM (SELECT DISTINCT sense_id, segment_id FROM usage WHERE status <> 'rejected' AND used = 1) AS x GROUP BY 1".replace("DISTINCT CAST(segment_id", "CAST(segment_id")),
+    "Q16_usage_lists": (_usage_lists, _U + " SELECT sense_id, string_agg(DISTINCT CAST(segment_id AS VARCHAR), ',' ORDER BY segment_id) AS segments FROM (SELECT DISTINCT sense_id, segment_id FROM usage WHERE status <> 'rejected') AS x GROUP BY 1".replace("DISTINCT CAST(segment_id", "CAST(segment_id")),
     "Q19_editors": (_editors, model_sql("review") + " SELECT DISTINCT reviewer, reviewer = 'u1' AS admin FROM review"),
     "Q14_edited": (lambda s, d: stale.stale_segments(view(s, d, "usage"), view(s, d, "sense")).join(view(s, d, "review"), "segment_id", "left_semi"), model_sql("usage", "sense", "review") + " SELECT DISTINCT segment_id FROM usage JOIN sense USING (sense_id) WHERE usage.status <> 'rejected' AND used < version AND segment_id IN (SELECT segment_id FROM review)"),
 }

@@ -67,7 +67,7 @@ def _running(s, d):
 
 def _feed(s, d):
     c = view(s, d, "comment").select(F.lit("comment").alias("kind"), "segment_id", F.col("author").alias("who"), F.col("created_at").alias("at"))
-    u = view(s, d, "usage").filter("used = 7").select(F.lit("usage").alias("kind"), "segment_id", "sense_id", F.col("made_at").alias("at"))
+    u = view(s, d, "usage").select(F.lit("usage").alias("kind"), "segment_id", "sense_id", F.col("made_at").alias("at"))
     g = view(s, d, "segment").filter("status = 'pending'").select(F.lit("change").alias("kind"), "segment_id", F.col("changed_at").alias("at"), "price")
     rows = activity.feed(c, u, g)
     return rows.groupBy("kind").agg(F.count("*").alias("n"), F.count("who").alias("who"), F.count("sense_id").alias("senses"), F.max("at").cast("string").alias("latest"))
@@ -149,7 +149,7 @@ def _union_distinct(s, d):
 
 
 def _absent(s, d):
-    return navigation.absent((1, 400), view(s, d, "usage").filter("used = 1").withColumn("sense_id", F.col("sense_id").cast("bigint")), "sense_id")
+    return navigation.absent((1, 400), view(s, d, "usage").withColumn("sense_id", F.col("sense_id").cast("bigint")), "sense_id")
 
 
 def _batches(s, d):
@@ -203,10 +203,10 @@ QUERIES = {
     "O03_latest": (_last_run, _SEG + " SELECT segment_id FROM segment ORDER BY changed_at DESC, segment_id DESC LIMIT 1"),
     "O04_installment": (_installment, model_sql("segment", "review") + " SELECT segment_id FROM (SELECT segment_id FROM segment ORDER BY segment_id LIMIT 200) AS x WHERE segment_id NOT IN (SELECT segment_id FROM review)"),
     "O05_keyset_page": (_keyset, model_sql("comment") + " SELECT comment_id, segment_id, author FROM comment WHERE created_at < TIMESTAMP '2024-01-10' ORDER BY created_at DESC, comment_id DESC LIMIT 50"),
-    "O06_feed": (_feed, model_sql("comment", "usage", "segment") + ", f AS (SELECT 'comment' AS kind, author AS who, NULL AS sense_id, created_at AS made FROM comment UNION ALL SELECT 'usage', NULL, sense_id, made_at FROM usage WHERE used = 7 UNION ALL SELECT 'change', NULL, NULL, changed_at FROM segment WHERE status = 'pending') SELECT kind, count(*) AS n, count(who) AS who, count(sense_id) AS senses, CAST(max(made) AS VARCHAR) AS latest FROM f GROUP BY kind"),
+    "O06_feed": (_feed, model_sql("comment", "usage", "segment") + ", f AS (SELECT 'comment' AS kind, author AS who, NULL AS sense_id, created_at AS made FROM comment UNION ALL SELECT 'usage', NULL, sense_id, made_at FROM usage UNION ALL SELECT 'change', NULL, NULL, changed_at FROM segment WHERE status = 'pending') SELECT kind, count(*) AS n, count(who) AS who, count(sense_id) AS senses, CAST(max(made) AS VARCHAR) AS latest FROM f GROUP BY kind"),
     "O07_participants": (_union_distinct, model_sql("comment", "review") + " SELECT segment_id, author AS \"user\" FROM comment UNION SELECT segment_id, reviewer FROM review"),
     "O08_distinct_questions": (lambda s, d: view(s, d, "segment").select("pars", "question_path").distinct(), _SEG + " SELECT DISTINCT pars, question_path FROM segment"),
-    "O09_absent_numbers": (_absent, model_sql("usage") + " SELECT CAST(n AS BIGINT) AS sense_id FROM range(1, 401) AS t(n) WHERE n NOT IN (SELECT sense_id FROM usage WHERE used = 1)"),
+    "O09_absent_numbers": (_absent, model_sql("usage") + " SELECT CAST(n AS BIGINT) AS sense_id FROM range(1, 401) AS t(n) WHERE n NOT IN (SELECT sense_id FROM usage)"),
     "O11_batches": (_batches, _SEG + " SELECT CAST(floor((n - 1) / 50) AS BIGINT) AS batch, count(*) AS n, min(segment_id) AS first FROM (SELECT segment_id, row_number() OVER (ORDER BY segment_id) AS n FROM segment WHERE status = 'pending') AS x GROUP BY 1"),
     "P01_membership": (lambda s, d: view(s, d, "segment").filter(F.col("segment_id").isin(3, 5, 8, 13, 99999999)).select("segment_id", "path"), _SEG + " SELECT segment_id, path FROM segment WHERE segment_id IN (3, 5, 8, 13, 99999999)"),
     "P02_subtree": (_article_filter, _SEG + " SELECT segment_id, path FROM segment WHERE path = 'r1.q1.a1' OR path LIKE 'r1.q1.a1.%' OR path = 'r2' OR path LIKE 'r2.%'"),

@@ -118,3 +118,28 @@ def test_all_senses_retired_and_proposed(spark, folder):
             reason = "not_locked_here" if place is not None and (place, k * 2) not in used else "ok"
         want.append((k, reason))
     assert rows(run(spark, folder, "G10_proposal_reasons"), "proposal_id", "reason") == sorted(want, key=str)
+
+
+def test_roll_ups_of_all_usages(spark, folder):
+    senses, path = ({r[k]: r for r in view(spark, folder, n).collect()} for n, k in (("sense", "sense_id"), ("segment", "segment_id")))
+    usage = [u for u in view(spark, folder, "usage").collect() if u.status != "rejected"]
+    groups, lists = {}, {}
+    for u in usage:
+        x = senses[u.sense_id]
+        groups.setdefault((x.term, x.label, x.content), []).append(u)
+        lists.setdefault(u.sense_id, set()).add(u.segment_id)
+    want = [(*k, len(g), max(u.confidence for u in g), "|".join(sorted({u.method for u in g})), "|".join(sorted({path[u.segment_id].path for u in g}))) for k, g in groups.items()]
+    assert rows(run(spark, folder, "A10_dedup_rollup"), "term", "label", "content", "frequency", "confidence", "methods", "locators") == sorted(want, key=str)
+    assert rows(run(spark, folder, "Q16_usage_lists"), "sense_id", "segments") == sorted(((k, ",".join(map(str, sorted(x)))) for k, x in lists.items()), key=str)
+
+
+def test_absent_numbers_of_all_usages(spark, folder):
+    held = {u.sense_id for u in view(spark, folder, "usage").collect()}
+    assert rows(run(spark, folder, "O09_absent_numbers"), "sense_id") == sorted(((k,) for k in range(1, 401) if k not in held), key=str)
+
+
+def test_feed_of_all_usages(spark, folder):
+    spark.sql("SELECT 1L AS event_id, 2L AS user_id, 'click' AS event_type, timestamp '2024-01-02 00:00:00' AS ts").write.mode("overwrite").parquet(f"{folder}/events.parquet")
+    n = {r.kind: (r.n, r.senses) for r in run(spark, folder, "O06_feed").collect()}
+    all_usages = view(spark, folder, "usage").count()
+    assert n["usage"] == (all_usages, all_usages) and n["comment"] == (1, 0)
