@@ -47,6 +47,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no text.
 RAW = frozenset("script style noscript template textarea title svg math iframe object select option xmp".split())
+#: Without an end tag they end where an element around them does; the others of RAW go to the end of the page.
+ENCLOSED = frozenset("noscript template svg math object select option".split())
 #: An open one is closed by a new one of these.
 CLOSES = {"p": frozenset("p div ul ol dl table section article aside header footer nav form h1 h2 h3 h4 h5 h6 blockquote pre figure main address fieldset hr li".split()), "li": frozenset(["li"]), "td": frozenset("td th tr".split()), "th": frozenset("td th tr".split()), "tr": frozenset(["tr"]), "dt": frozenset("dt dd".split()), "dd": frozenset("dt dd".split())}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.DOTALL)
@@ -62,6 +64,28 @@ class Block:
         self.path, self.text, self.linked, self.bold, self.depth = path, text, linked, bold, len(path)
 
 
+def _enclosed_end(page: str, at: int, tag: str, around: set[str], endless: set) -> int:
+    """Where the content of a RAW element ends: behind its end tag, before that of an element ``around`` it, or at once if there is neither."""
+    if (tag, frozenset(around)) in endless:
+        return at
+    inner: dict[str, int] = {}
+    for m in TOKEN.finditer(page, at):
+        if m[2] is None:
+            continue
+        name = m[2].lower()
+        if not m[1]:
+            if name in around and not m[3].endswith("/") and name not in VOID:
+                inner[name] = inner.get(name, 0) + 1
+        elif name == tag:
+            return m.end()
+        elif name in around:
+            if not inner.get(name):
+                return m.start()
+            inner[name] -= 1
+    endless.add((tag, frozenset(around)))
+    return at
+
+
 def scan(page: str | None) -> list[Block]:
     """Blocks of a page in order."""
     out: list[Block] = []
@@ -69,6 +93,7 @@ def scan(page: str | None) -> list[Block]:
     parts: list[str] = []
     state = {"linked": 0, "bold": 0}
     anchors = bolds = 0
+    endless: set = set()
     page = page or ""
 
     def say(text: str) -> None:
@@ -102,8 +127,11 @@ def scan(page: str | None) -> list[Block]:
             if tag not in INLINE:
                 close()
             if not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-                at = end.end() if end else n
+                if tag in ENCLOSED:
+                    at = _enclosed_end(page, at, tag, {t for t, _ in stack}, endless)
+                else:
+                    end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
+                    at = end.end() if end else n
             continue
         if tag in INLINE:
             if tag == "br":

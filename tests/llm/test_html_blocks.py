@@ -77,3 +77,15 @@ def test_rows(spark, model):
     said = "Some words of a story that is told here."
     assert sorted(map(tuple, got), key=str) == sorted([(1, "u", said, len(said))] * 2 + [(None, None, "", 0), (3, "v", "", 0)], key=str)
     assert extract(spark.createDataFrame([], "page_id long, url string, html string"), model=model).collect() == []
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<body><datalist><option value=a>x<option value=b>y</datalist><p>article</p></body>", ["article"]),
+    ("<div><datalist><option>x</datalist></div><p>article</p><select><option>z</option></select>", ["article"]),
+    ("<div><object data=f><div>no</div>old</div><p>article</p>", ["article"]),
+    ("<div><object><div>no</div></object>yes</div><p>article</p>", ["yes", "article"]),
+    ("<object>said<p>article</p>", ["said", "article"]),
+    ("<p>one</p><script>two<p>three</p>", ["one"]),
+])
+def test_raw_elements_without_end_tag(page, want):
+    assert [b.text for b in scan(page)] == want
