@@ -87,11 +87,10 @@ def resolve(found: DataFrame) -> DataFrame:
     order = Window.partitionBy("key").orderBy("first", F.col("last").desc(), "rule")
     outer = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     kept = found.filter("rule >= 0").withColumn("outer", outer).filter("outer is null or outer < last")
-    order = Window.partitionBy("key").orderBy("first")
-    before, after = F.lag(F.struct("rule", "last")).over(order), F.lead(F.struct("rule", "first")).over(order)
-    kept = kept.withColumn("before", before).withColumn("after", after)
-    lost = ((F.col("before.last") >= F.col("first")) & (F.col("before.rule") < F.col("rule"))) | ((F.col("after.first") <= F.col("last")) & (F.col("after.rule") < F.col("rule")))
-    return kept.filter(~F.coalesce(lost, F.lit(False))).drop("outer", "before", "after")
+    near = Window.partitionBy("key").orderBy("first").rangeBetween(-EDGE, EDGE)  # no match is longer
+    kept = kept.withColumn("near", F.collect_list(F.struct("first", "last", "rule")).over(near))
+    lost = F.exists("near", lambda x: (x["first"] <= F.col("last")) & (x["last"] >= F.col("first")) & (x["rule"] < F.col("rule")))
+    return kept.filter(~lost).drop("outer", "near")
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -76,3 +76,9 @@ def test_empty_table(spark):
 def test_plan_is_native(spark):
     plan = scan_licenses(spark.createDataFrame(case(), "doc_id long, text string"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow|ArrowEval|Cartesian|NestedLoop", plan)
+
+
+def test_overlap_beyond_the_neighbour(spark):
+    rows = [("k", 0, 9, 1, "a", 1.0), ("k", 2, 11, 3, "b", 1.0), ("k", 4, 13, 2, "c", 1.0), ("k", 12, 15, 4, "d", 1.0), ("k", 40, 41, 9, "e", 1.0), ("j", 2, 11, 3, "b", 1.0)]
+    found = spark.createDataFrame(rows, "key string, first int, last int, rule int, label string, weight double")
+    assert sorted((r.key, r.label) for r in module.resolve(found).collect()) == [("j", "b"), ("k", "a"), ("k", "e")]
