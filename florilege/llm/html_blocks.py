@@ -5,7 +5,10 @@ scripts and styles left out.  Each block is a vector of its tag path (tags and
 the words of class, id and role, hashed), of its own words (hashed) and of a
 few shapes (length, links, signs, place).  A bidirectional LSTM in numpy reads
 the page's blocks in order, so that a block is judged with all others in view,
-and the blocks labelled as article make the text.
+and the blocks labelled as article make the text.  A page of more than ``RUN``
+blocks goes through the same network in slices of time that hand on their
+states, in both directions: its blocks, too, are judged with all others in
+view, and memory is bounded by the slice.
 
 The labeller is trained when it is first used in a process, in some seconds,
 on ``TRAINING_PAGES`` generated pages whose labels are known: templates with
@@ -15,8 +18,9 @@ the same.  Weights have a fixed size (under 1 MB), whatever the input.
 
 A null or empty page, or one without article, has an empty text; white space
 within a block becomes one space, blocks are joined by one space; character
-references are decoded; markup that is never closed, or closed twice, is read
-as far as it goes; repeated rows repeat.
+references are decoded; tags are told by the HTML rules (stray and unquoted
+quotes, a slash that closes nothing); markup that is never closed, or closed
+twice, is read as far as it goes; repeated rows repeat.
 """
 
 from __future__ import annotations
@@ -34,34 +38,41 @@ from pyspark.sql import DataFrame
 
 from florilege.llm.words import map_slices
 
-PATH_SLOTS, WORD_SLOTS, SHAPES = 96, 48, 14
+PATH_SLOTS, WORD_SLOTS, SHAPES = 384, 96, 16
 FEATURES = PATH_SLOTS + WORD_SLOTS + SHAPES
 HIDDEN = 24
-TRAINING_PAGES, EPOCHS, SEED = 2000, 4, 7
+TRAINING_PAGES, EPOCHS, SEED = 7000, 3, 7
 #: Log odds from which a block is article: where precision and recall on held-out pages meet.
 THRESHOLD = -0.5
-#: Pages of more blocks are read in runs that overlap by half, so that memory is bounded.
+#: Pages of more blocks are read alone, in slices of so many.
 RUN = 2048
+#: Blocks, with padding, of pages that are read side by side.
+BATCH = 1 << 15
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img svg path".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no text.
 RAW = frozenset("script style noscript template textarea title svg math iframe object select option xmp".split())
+FIELDS = frozenset("input textarea select".split())
 #: Without an end tag they end where an element around them does; the others of RAW go to the end of the page.
 ENCLOSED = frozenset("noscript template svg math object select option".split())
 #: An open one is closed by a new one of these.
 CLOSES = {"p": frozenset("p div ul ol dl table section article aside header footer nav form h1 h2 h3 h4 h5 h6 blockquote pre figure main address fieldset hr li".split()), "li": frozenset(["li"]), "td": frozenset("td th tr".split()), "th": frozenset("td th tr".split()), "tr": frozenset(["tr"]), "dt": frozenset("dt dd".split()), "dd": frozenset("dt dd".split())}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.DOTALL)
+#: Attributes by the HTML rules; a quote that the page never closes is an ordinary sign.
+_ATTRIBUTES = r"(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++)?+)?+)*+"
+TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 PART = re.compile(r"[a-z]+")
 SPACE = re.compile(r"[\s ]+")
 
 
 class Block:
-    __slots__ = ("path", "text", "linked", "bold", "depth")
+    """``before`` and ``behind``: whether fields of a form stand between this block and the next one."""
 
-    def __init__(self, path: list[tuple[str, tuple[str, ...]]], text: str, linked: int, bold: int) -> None:
-        self.path, self.text, self.linked, self.bold, self.depth = path, text, linked, bold, len(path)
+    __slots__ = ("path", "text", "linked", "bold", "depth", "before", "behind")
+
+    def __init__(self, path: list[tuple[str, tuple[str, ...]]], text: str, linked: int, bold: int, before: bool) -> None:
+        self.path, self.text, self.linked, self.bold, self.depth, self.before, self.behind = path, text, linked, bold, len(path), before, False
 
 
 def _enclosed_end(page: str, at: int, tag: str, around: set[str], endless: set) -> int:
@@ -74,7 +85,7 @@ def _enclosed_end(page: str, at: int, tag: str, around: set[str], endless: set)
             continue
         name = m[2].lower()
         if not m[1]:
-            if name in around and not m[3].endswith("/") and name not in VOID:
+            if name in around and name not in VOID:
                 inner[name] = inner.get(name, 0) + 1
         elif name == tag:
             return m.end()
@@ -91,7 +102,7 @@ def scan(page: str | None) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
-    state = {"linked": 0, "bold": 0}
+    state = {"linked": 0, "bold": 0, "fields": False}
     anchors = bolds = 0
     endless: set = set()
     page = page or ""
@@ -107,7 +118,8 @@ def scan(page: str | None) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(list(stack), text, state["linked"], state["bold"]))
+                out.append(Block(list(stack), text, state["linked"], state["bold"], state["fields"]))
+                state["fields"] = False
             parts.clear()
         state["linked"] = state["bold"] = 0
 
@@ -123,14 +135,19 @@ def scan(page: str | None) -> list[Block]:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        if tag in FIELDS and not m[1]:
+            close()
+            state["fields"] = True
+            if out:
+                out[-1].behind = True
         if tag in RAW and not m[1]:
             if tag not in INLINE:
                 close()
-            if not m[3].endswith("/"):
+            if not (tag in ("svg", "math") and m[3].endswith("/")):  # a slash closes nothing else
                 if tag in ENCLOSED:
                     at = _enclosed_end(page, at, tag, {t for t, _ in stack}, endless)
                 else:
-                    end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
+                    end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
                     at = end.end() if end else n
             continue
         if tag in INLINE:
@@ -151,9 +168,9 @@ def scan(page: str | None) -> list[Block]:
         else:
             while stack and tag in CLOSES.get(stack[-1][0], ()):
                 stack.pop()
-            if tag not in VOID and not m[3].endswith("/"):
+            if tag not in VOID:
                 words = tuple(w for a in ATTRIBUTE.finditer(m[3]) for w in PART.findall((a[2] or a[3] or a[4] or "").lower()))
-                stack.append((tag, words[:12]))
+                stack.append((tag, words))
     close()
     return out
 
@@ -175,15 +192,16 @@ class _Slots(dict):
 _of_path, _of_word = _Slots(PATH_SLOTS), _Slots(WORD_SLOTS)
 
 
-def vectors(blocks: list[Block]) -> np.ndarray:
-    """blocks x FEATURES."""
+def vectors(blocks: list[Block], at_first: int = 0, of_page: int | None = None) -> np.ndarray:
+    """blocks x FEATURES of a page, or of its blocks from ``at_first`` on if it has ``of_page``."""
+    of_page = len(blocks) if of_page is None else of_page
     out = np.zeros((len(blocks), FEATURES), np.float32)
     flat: list[int] = []
     counts, shapes, paths = [], [], []
     last_path, last_slots = None, []
     for at, b in enumerate(blocks):
         if b.path != last_path:
-            last_path, last_slots = b.path, [_of_path["<" + tag] for tag, _ in b.path] + [_of_path[w] for _, words in b.path for w in words]
+            last_path, last_slots = b.path, [_of_path["<" + tag] for tag, _ in b.path] + [_of_path[mark + w] for _, words in b.path for w in words if len(w) > 1 for mark in ("", "~")]
             last_slots += [_of_path[">" + b.path[-1][0]]] if b.path else []
         paths += [at * FEATURES + k for k in last_slots]
         text = b.text
@@ -193,7 +211,7 @@ def vectors(blocks: list[Block]) -> np.ndarray:
         counts.append(n)
         shapes.append(
             (min(size, 2000) / 500, math.log1p(size) / 5, min(n, 400) / 100, b.linked / size, b.bold / size, text.count(",") / n, text.count(".") / n,
-             sum(map(text.count, "0123456789")) / size, text[-1] in ".!?", "©" in text, at / len(blocks), 1 - at / len(blocks), b.depth / 10, n <= 3)
+             sum(map(text.count, "0123456789")) / size, text[-1] in ".!?", "©" in text, b.before, b.behind, 1 / (1 + at_first + at), 1 / (of_page - at_first - at), min(b.depth, 30) / 10, n <= 3)
         )
     if blocks:
         out.reshape(-1)[paths] = 1.0
@@ -204,6 +222,19 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     return out
 
 
+class Page:
+    """The vectors of a page's blocks, made slice by slice."""
+
+    def __init__(self, blocks: list[Block]) -> None:
+        self.blocks = blocks
+
+    def __len__(self) -> int:
+        return len(self.blocks)
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        return vectors(self.blocks[part], part.indices(len(self))[0], len(self))
+
+
 class Labeller:
     """Bidirectional LSTM with one logistic output per block."""
 
@@ -219,11 +250,10 @@ class Labeller:
         self.w["o"] = rng.normal(0, 0.2, 2 * HIDDEN).astype(np.float32)
         self.w["p"] = np.zeros(1, np.float32)
 
-    def _run(self, x: np.ndarray, d: str, keep: bool):
-        """x: time x batch x FEATURES, already reversed for the backward direction."""
+    def _run(self, x: np.ndarray, d: str, keep: bool, state: tuple[np.ndarray, np.ndarray] | None = None):
+        """x: time x batch x FEATURES, already reversed for the backward direction.  ``state`` is (h, c) of the time before."""
         pre = x @ self.w["x" + d] + self.w["c" + d]
-        h = np.zeros((x.shape[1], HIDDEN), np.float32)
-        c = np.zeros_like(h)
+        h, c = state or (np.zeros((x.shape[1], HIDDEN), np.float32), np.zeros((x.shape[1], HIDDEN), np.float32))
         out = np.zeros((x.shape[0], x.shape[1], HIDDEN), np.float32)
         saved = []
         for t in range(x.shape[0]):
@@ -238,7 +268,7 @@ class Labeller:
             out[t] = h
             if keep:
                 saved.append((before, i, f, o, g, th))
-        return out, saved
+        return out, saved if keep else (h, c)
 
     @staticmethod
     def _flip(x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -281,7 +311,7 @@ class Labeller:
         rng = np.random.default_rng(SEED)
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         v = {k: np.zeros_like(x) for k, x in self.w.items()}
-        step = 0
+        step, mean = 0, {k: x.copy() for k, x in self.w.items()}
         for epoch in range(epochs):
             order = sorted(rng.permutation(len(pages)), key=lambda i: len(pages[i][1]) // 8)
             cuts = [order[a : a + batch] for a in range(0, len(order), batch)]
@@ -294,24 +324,43 @@ class Labeller:
                     m[k] = 0.9 * m[k] + 0.1 * g
                     v[k] = 0.999 * v[k] + 0.001 * g * g
                     self.w[k] = (self.w[k] - rate * 0.7**epoch * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+                    mean[k] += 0.02 * (self.w[k] - mean[k])
+        self.w = mean
 
-    def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
+    def long_logits(self, page: Page | np.ndarray, run: int = RUN) -> np.ndarray:
+        """One page in slices of ``run`` blocks, whose states go from slice to slice."""
+        states = {}
+        for d in "fb":
+            out, state = np.zeros((len(page), HIDDEN), np.float32), None
+            cuts = range(0, len(page), run)
+            for a in cuts if d == "f" else reversed(cuts):
+                step = 1 if d == "f" else -1
+                h, state = self._run(page[a : a + run][::step, None, :], d, False, state)
+                out[a : a + run] = h[::step, 0]
+            states[d] = out
+        return np.concatenate([states["f"], states["b"]], axis=1) @ self.w["o"] + self.w["p"]
+
+    def label(self, pages: list[Page | np.ndarray]) -> list[np.ndarray]:
         """For each page's blocks: whether they are article."""
         out: list[np.ndarray] = [np.zeros(len(p), bool) for p in pages]
-        runs = []
-        for at, p in enumerate(pages):
-            starts = [0] if len(p) <= RUN else range(0, len(p) - RUN // 2, RUN // 2)
-            for a in starts:
-                lo = a if a == 0 else a + RUN // 4
-                hi = len(p) if a + RUN >= len(p) else a + RUN * 3 // 4
-                runs.append((at, a, min(len(p), a + RUN), lo, hi))
-        runs.sort(key=lambda r: r[2] - r[1])
-        for a in range(0, len(runs), 128):
-            part = runs[a : a + 128]
-            x, lengths = pad([pages[r[0]][r[1] : r[2]] for r in part])
-            z = self.logits(x, lengths)
-            for k, (at, lo_run, _, lo, hi) in enumerate(part):
-                out[at][lo:hi] = z[lo - lo_run : hi - lo_run, k] > THRESHOLD
+        batch: list[int] = []
+
+        def flush() -> None:
+            if batch:
+                x, lengths = pad([pages[k][:] for k in batch])
+                z = self.logits(x, lengths)
+                for col, k in enumerate(batch):
+                    out[k] = z[: lengths[col], col] > THRESHOLD
+                batch.clear()
+
+        for k in sorted((k for k, p in enumerate(pages) if len(p)), key=lambda k: len(pages[k])):
+            if len(pages[k]) > RUN:
+                out[k] = self.long_logits(pages[k]) > THRESHOLD
+                continue
+            if len(pages[k]) * (len(batch) + 1) > BATCH or len(batch) == 128:
+                flush()
+            batch.append(k)
+        flush()
         return out
 
 
@@ -325,24 +374,25 @@ def pad(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 # Training pages: what a template calls its parts.  Class words are drawn from these lists or are noise.
 KINDS: dict[str, tuple[str, tuple[str, ...]]] = {
-    "nav": ("nav div ul", ("nav", "menu", "navbar", "navigation", "topnav", "breadcrumb", "breadcrumbs", "skip", "pagination", "pager", "toc", "tabs")),
+    "nav": ("nav div ul", ("nav", "menu", "navbar", "navigation", "topnav", "breadcrumb", "breadcrumbs", "skip", "pagination", "pager", "toc", "tabs", "barre", "leiste", "indice")),
     "header": ("header div", ("header", "masthead", "topbar", "site", "brand", "logo", "banner", "tagline")),
-    "footer": ("footer div", ("footer", "copyright", "legal", "bottom", "imprint", "colophon")),
+    "footer": ("footer div", ("footer", "copyright", "legal", "bottom", "imprint", "colophon", "fuss", "impressum", "pied", "pie")),
     "aside": ("aside div section", ("sidebar", "aside", "widget", "related", "recommended", "popular", "trending", "archive", "tags", "also", "promo", "author", "bio", "social", "share")),
-    "ad": ("div aside section ins p", ("ad", "ads", "advert", "advertisement", "sponsored", "sponsor", "adsense", "promo", "banner", "outbrain", "taboola")),
+    "ad": ("div aside section ins p", ("ad", "ads", "advert", "advertisement", "sponsored", "sponsor", "adsense", "promo", "banner", "outbrain", "taboola", "werbung", "anzeige", "publicite", "publicidad")),
     "notice": ("div section aside p", ("cookie", "notice", "consent", "gdpr", "alert", "popup", "modal", "privacy", "banner", "disclaimer", "warning", "message")),
     "form": ("form div", ("form", "newsletter", "subscribe", "signup", "login", "search", "contact")),
-    "comments": ("section div ol ul", ("comments", "comment", "replies", "discussion", "responses", "disqus", "thread", "reader", "feedback")),
+    "comments": ("section div ol ul", ("comments", "comment", "replies", "discussion", "responses", "disqus", "thread", "reader", "feedback", "kommentare", "commentaires", "comentarios")),
 }
-ARTICLE = ("article main div section", ("article", "post", "content", "entry", "story", "body", "main", "text", "news", "page", "blog", "single", "hentry"))
+LAYOUT = ("row", "col", "container", "wrapper", "wrap", "inner", "outer", "grid", "layout", "page", "site", "box", "clearfix", "module", "block")
+ARTICLE = ("article main div section", ("article", "post", "content", "entry", "story", "body", "main", "text", "news", "page", "blog", "single", "hentry", "inhalt", "artikel", "beitrag", "haupt", "contenu", "texte", "principal", "contenido", "articulo", "texto"))
 SAID = {
     "nav": "Home About Contact News Sports Login Sitemap Products Services Blog Help".split(),
     "footer": ["All rights reserved", "Privacy policy", "Terms of use", "© 2024", "©"],
-    "notice": ["We use cookies to improve your experience.", "Accept all", "This site uses cookies.", "Notice:", "Please read our privacy policy."],
-    "form": ["Subscribe", "Your email", "Search", "Sign up for our newsletter", "Name", "Submit"],
-    "ad": ["Advertisement", "Sponsored", "Buy now", "Special offer"],
-    "comments": ["Reply", "Great post!", "Comments", "says:", "2 days ago", "Like"],
-    "aside": ["Related articles", "Most read", "Tags", "Follow us", "Share", "About the author"],
+    "notice": ["We use cookies to improve your experience.", "Accept all", "This site uses cookies.", "Notice:", "Please read our privacy policy.", "By using this site you accept cookies."],
+    "form": ["Subscribe", "Your email", "Search", "Sign up for our newsletter", "Get our newsletter by email", "Join our newsletter", "Name", "Submit", "Leave a reply"],
+    "ad": ["Advertisement", "Sponsored", "Buy now", "Special offer", "Sponsored content"],
+    "comments": ["Reply", "Great post!", "Comments", "says:", "2 days ago", "Like", "Nice one", "Thanks for sharing"],
+    "aside": ["Related articles", "Most read", "Tags", "Follow us", "Share", "About the author", "Read more", "Share this story"],
     "header": ["Menu", "Daily News", "Search"],
 }
 
@@ -380,17 +430,37 @@ class _Writer:
         tags, words = KINDS[kind]
         tag = r.choice(tags.split()) if r.random() < 0.55 else tags.split()[0]
         plain = tag in ("div", "ul", "section", "p", "ins", "ol")
-        out = [(f"<{tag}{self.attrs(words, 0.97 if plain else 0.5)}>", "")]
+        out = [(f"<{tag}{self.attrs(words, 0.99 if plain else 0.5)}>", "")]
         if kind == "nav" or (kind in ("aside", "footer", "header") and r.random() < 0.5):
             items = [f"<li><a href=\"/{k}\">{self.word() if r.random() < 0.7 else r.choice(SAID[kind])}</a></li>" for k in range(r.randrange(1, 9))]
-            out.append((("<ul>" if tag != "ul" else "") + "".join(items) + ("</ul>" if tag != "ul" else ""), "x"))
+            joined = "".join(items)
+            if tag != "ul" and r.random() < 0.3:
+                joined = joined.replace("<li>", "").replace("</li>", r.choice((" ", " | ", "<br>")))
+            elif tag != "ul":
+                joined = f"<ul>{joined}</ul>"
+            out.append((joined, "x"))
         elif kind == "comments":
+            if r.random() < 0.5:
+                level = r.choice(("h2", "h3", "h4"))
+                out.append((f"<{level}>{r.choice(('Comments', '3 Comments', 'Discussion', 'Responses', self.word()))}</{level}>", "x"))
             for _ in range(r.randrange(1, 6)):
-                out.append((f"<{r.choice(('div', 'li', 'article', 'p'))}{self.attrs(('comment', 'reply', 'user'), 0.5)}><p>{self.words(r.randrange(2, 60))}</p>", "x"))
-                if r.random() < 0.5:
-                    out.append((f"<span>{r.choice(SAID[kind])}</span>", "x"))
+                said = self.words(r.randrange(2, 60)) if r.random() < 0.8 else r.choice(SAID[kind]) + " " + self.words(r.randrange(1, 9))
+                inner = r.choice(("div", "li", "article", "", ""))
+                if inner:
+                    out.append((f"<{inner}{self.attrs(('comment', 'reply', 'user'), 0.5)}><p>{said}</p>", "x"))
+                    if r.random() < 0.5:
+                        out.append((f"<span>{r.choice(SAID[kind])}</span>", "x"))
+                    out.append((f"</{inner}>", ""))
+                else:
+                    out.append((f"<p>{said}</p>", "x"))
         elif kind == "form":
-            out.append((f"<label>{r.choice(SAID[kind])}</label><input type=\"text\"><button>{r.choice(SAID[kind])}</button>", "x"))
+            if r.random() < 0.75:
+                inner = r.choice(("p", "p", "h3", "div"))
+                out.append((f"<{inner}>{r.choice(SAID[kind])}</{inner}>", "x"))
+            fields = f"<label>{r.choice(SAID[kind])}</label><input type=\"text\"><button>{r.choice(SAID[kind])}</button>"
+            if tag != "form" and r.random() < 0.5:
+                fields = f"<form><input><button>{r.choice((self.word(), 'Go', 'OK', 'Submit'))}</button></form>"
+            out.append((fields, "x"))
             if r.random() < 0.5:
                 out.append((f"<p>{self.words(r.randrange(3, 25))}</p>", "x"))
         else:
@@ -401,18 +471,33 @@ class _Writer:
         out.append((f"</{tag}>", ""))
         return out
 
-    def article(self) -> str:
+    def inline(self, text: str) -> str:
+        """Some words of an article's text as links or marked."""
+        r = self.rng
+        words = text.split(" ")
+        for _ in range(r.choice((0, 0, 0, 1, 1, 3))):
+            at = r.randrange(len(words))
+            tag = r.choice(("a", "a", "em", "strong", "code", "i", "span"))
+            words[at] = f"<{tag}{' href=/x' if tag == 'a' else ''}>{words[at]}</{tag}>"
+        return " ".join(words)
+
+    def article(self, bare: bool, long: bool) -> tuple[str, str]:
+        """The article up to its end, and the end tag.  ``bare``: with no class words, maybe with nothing around it."""
         r = self.rng
         tags, words = ARTICLE
-        tag = r.choice(tags.split())
-        out = [f"<{tag}{self.attrs(words, 0.9 if tag == 'div' else 0.4)}>"]
+        tag = r.choice(tags.split() + ["div", "", "", ""] if bare else tags.split())
+        if r.random() < 0.25:  # in a language or a habit of its own
+            words = (self.word(), self.word())
+        out = [f"<{tag}{'' if bare else self.attrs(words, 0.9 if tag == 'div' else 0.4)}>"] if tag else []
+        if bare and tag and r.random() < 0.3:
+            out = [f"<{tag} id={self.word()}>"]
         if r.random() < 0.85:
             level = r.choice(("h1", "h1", "h2"))
             title = f"<{level}>{self.words(r.randrange(2, 14))}</{level}>"
             out.append(f"<header>{title}</header>" if r.random() < 0.1 else title)
-        for _ in range(r.choice((1, 1, 2, 3, 4, 6, 9, 15))):
+        for _ in range(r.randrange(40, 160) if long else r.choice((1, 1, 2, 3, 4, 6, 9, 15))):
             kind = r.random()
-            text = self.words(r.choice((1, 3, 8, 20, 40, 80, 160)))
+            text = self.inline(self.words(r.choice((3, 8, 12) if long else (1, 3, 8, 20, 40, 80, 160))))
             if r.random() < 0.15:
                 text = re.sub(r" ", lambda m: r.choice((" ", " ", "### ", "*** ", "&amp; ")), text)
             if kind < 0.72:
@@ -421,13 +506,13 @@ class _Writer:
                 out.append(f"<h2>{self.words(r.randrange(1, 7))}</h2>")
             elif kind < 0.87:
                 out.append("<ul>" + "".join(f"<li>{self.words(r.randrange(1, 15))}</li>" for _ in range(r.randrange(1, 6))) + "</ul>")
-            elif kind < 0.92:
+            elif kind < 0.91:
                 out.append(f"<blockquote>{text}</blockquote>")
             elif kind < 0.95:
                 out.append(
                     r.choice(
                         (
-                            f"<table><tr><td>{self.words(2)}</td><td>{self.words(3)}</td></tr></table>",
+                            "<table>" + "".join(f"<tr><{c}>{self.words(r.randrange(1, 4))}</{c}><{c}>{self.words(r.randrange(1, 9))}</{c}></tr>" for c in r.choice((("td",), ("th", "td"), ("th", "td", "td", "td")))) + "</table>",
                             f"<pre>{text}</pre>",
                             f"<h3>{self.words(r.randrange(1, 6))}</h3>",
                             f"<ol><li>{self.words(3)}</li><li>{self.words(9)}</li></ol>",
@@ -441,7 +526,7 @@ class _Writer:
                 out.append(f"<p><b>{text}<br><p>{self.words(30)}</p>")
             else:
                 out.append(f"<div>{text}</div>")
-        return "".join(out) + f"</{tag}>"
+        return "".join(out), f"</{tag}>" if tag else ""
 
 
 MARK = "␂"
@@ -450,28 +535,39 @@ MARK = "␂"
 def training_page(rng: random.Random) -> tuple[str, list[bool]]:
     """A page and, for each of its blocks, whether it is article."""
     w = _Writer(rng)
-    main = w.article()
+    layout = rng.random()
+    bare, lonely = layout < 0.25, layout < 0.12
+    main, end = w.article(bare, rng.random() < 0.04)
     inner = [k for k in ("ad", "aside", "notice", "form") if rng.random() < 0.12]
+    behind = [k for k in ("comments", "form", "aside") if rng.random() < 0.2] if end else []
     before = [k for k in ("notice", "header", "nav", "ad", "form", "aside") if rng.random() < 0.45]
     after = [k for k in ("comments", "aside", "ad", "form", "nav", "notice") if rng.random() < 0.3] + (["footer"] if rng.random() < 0.85 else [])
+    if lonely:
+        inner, behind, before, after = [], [], [], []
     if rng.random() < 0.4:
         rng.shuffle(before)
     pieces = [("<!DOCTYPE html><html><head><title>" + w.words(4) + "</title></head><body>", None)]
-    if rng.random() < 0.3:
-        pieces.append((f"<div{w.attrs(('page', 'wrapper', 'container', 'site', 'layout'), 0.8)}>", None))
-    for k in before:
-        pieces += [(h, False) for h, _ in w.boiler(k)]
-    if inner:
-        cut = main.rfind("<p>")
-        cut = cut if cut > 0 else len(main)
-        pieces.append((main[:cut], True))
-        for k in inner:
-            pieces += [(h, False) for h, _ in w.boiler(k)]
-        pieces.append((main[cut:], True))
-    else:
-        pieces.append((main, True))
-    for k in after:
-        pieces += [(h, False) for h, _ in w.boiler(k)]
+
+    def put(kinds: list[str]) -> None:
+        for k in kinds:
+            around = rng.random() < 0.15
+            pieces.append((f"<div{w.attrs(LAYOUT, 0.8)}>" if around else "", None))
+            pieces.extend((h, False) for h, _ in w.boiler(k))
+            pieces.append(("</div>" if around else "", None))
+
+    if rng.random() < 0.3 and not lonely:
+        pieces.append((f"<div{w.attrs(LAYOUT, 0.8)}>", None))
+    put(before)
+    around = 0 if lonely else rng.choice((0, 0, 0, 1, 2))
+    pieces += [(f"<div{w.attrs(LAYOUT, 0.8)}>", None)] * around
+    cut = main.rfind("<p>") if inner else -1
+    cut = cut if cut > 0 else len(main)
+    pieces.append((main[:cut], True))
+    put(inner)
+    pieces.append((main[cut:], True))
+    put(behind)
+    pieces += [(end, None), ("</div>" * around, None)]
+    put(after)
     page = "".join(re.sub(r">([^<])", lambda m: ">" + (MARK if keep else "") + m[1], h) if keep is not None else h for h, keep in pieces)
     return page, [MARK in b.text for b in scan(page)]
 
@@ -499,7 +595,7 @@ def trained(pages: int = TRAINING_PAGES, seed: int = SEED) -> Labeller:
 def main_texts(pages: list[str | None], model: Labeller) -> list[str]:
     scanned = [scan(p) for p in pages]
     filled = [b for b in scanned if b]
-    labels = iter(model.label([vectors(b) for b in filled])) if filled else iter(())
+    labels = iter(model.label([Page(b) for b in filled]))
     return [" ".join(b.text for b, keep in zip(blocks, next(labels)) if keep) if blocks else "" for blocks in scanned]
 
 

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from florilege.llm.html_blocks import FEATURES, HIDDEN, Labeller, extract, main_texts, pad, scan, trained, training_set
+from florilege.llm.html_blocks import FEATURES, HIDDEN, Labeller, Page, extract, main_texts, pad, scan, trained, training_set
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +89,66 @@ def test_rows(spark, model):
 ])
 def test_raw_elements_without_end_tag(page, want):
     assert [b.text for b in scan(page)] == want
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p>a</p><a href=\"x\"\">link words</a><p>next one</p><p class=\"q\">zz</p>", ["a", "link words", "next one", "zz"]),
+    ("<p title=it's>hello world</p><p>second</p><p>don't</p>", ["hello world", "second", "don't"]),
+    ("<p title=\"never closed>hello</p><p>second</p>", ["hello", "second"]),
+    ("<a href=a'b title='x>y'>one</a><p a=b/c/>two</p>", ["one", "two"]),
+    ("<script src=\"a.js\"/>var x=1;</script><p>text</p>", ["text"]),
+    ("<script>a</scripty>b</script ><p>text</p>", ["text"]),
+    ("<div/>in<p>text</p><svg/><p>more</p>", ["in", "text", "more"]),
+    ("<!--><p>one</p><!-- x --!><p>two</p></ bogus><p>three</p>", ["one", "two", "three"]),
+    ("<p>1 < 2 and a<b</p>", ["1 < 2 and a"]),
+])
+def test_tags_by_the_html_rules(page, want):
+    assert [b.text for b in scan(page)] == want
+
+
+def test_every_class_word_counts():
+    words = " ".join(f"w{chr(97 + i)}" for i in range(20))
+    assert len(scan(f"<div class='{words}'>x</div>")[0].path[0][1]) == 20
+
+
+def test_slices_equal_the_whole_page(model):
+    page = max((x for x, _ in training_set(100, 99)), key=len)
+    x, lengths = pad([page])
+    assert np.abs(model.logits(x, lengths)[:, 0] - model.long_logits(page, 7)).max() < 1e-4
+
+
+#: Pages by hand, none from the generator; what is article stands between « and ».
+LAYOUTS = {
+    "paper": "<body class=home><div id=wrapper><div id=\"masthead\"><a href=/><b>The Local Paper</b></a></div><ul class=main-menu><li><a href=/a>World</a><li><a href=/b>Money</a></ul><div class=\"hentry post-12\"><h1 class=entry-title>«Council votes for new bridge»</h1><div class=\"entry-content\"><p>«The council voted on Tuesday to build a <a href=/t>new bridge</a> across the river, after years of talk.»</p><blockquote>«We have waited long enough.»</blockquote><h2>«What comes next»</h2><ul><li>«Plans by spring»</li><li>«Work from autumn»</li></ul><p>«Costs are put at 3.5 million.»</p></div></div><div id=sidebar><h3>Popular</h3><ul><li><a href=/1>Ten tips</a></ul></div><div id=comments><h3>2 Comments</h3><ol><li><p>Finally!</p><li><p>Too expensive if you ask me.</p></ol></div><div id=footer>Copyright 2023 The Local Paper</div></div>",
+    "plain": "<h1>«Notes on bread»</h1><p>«Bread needs flour, water and time.»</p><p>«Knead it for ten minutes, then wait.»<p>«Bake it hot.»",
+    "essay": "<body><header><a href=/>Site</a><nav><a href=/x>X</a> <a href=/y>Y</a></nav></header><main><h1>«On walking»</h1><p>«Walking is slow. That is what is good about it.»</p><figure><img src=a><figcaption>«A path by the sea»</figcaption></figure><p>«One sees what one passes.»</p></main><aside><p>More essays</p></aside><footer><p>Imprint</p></footer>",
+    "table": "<table><tr><td class=nav><a href=/>Home</a><br><a href=/l>Links</a></td><td class=content><h1>«My trip»</h1><p>«We left early in the morning and drove along the coast until noon.»</p><p>«It rained all day, and we did not mind.»</p></td></tr></table>",
+    "manual": "<div class=navbar><a href=/>Docs</a></div><div class=toc><ul><li><a href=#i>Install</a><li><a href=#u>Use</a></ul></div><div class=page-body><h1>«Install»</h1><p>«Run the following command.»</p><pre>«make install»</pre><p>«Then restart the service.»</p><table><tr><th>«Option»</th><th>«Meaning»</th></tr><tr><td>«quiet»</td><td>«no output at all»</td></tr></table></div><div class=pager><a href=/n>Next</a></div>",
+    "news": "<div class='cookie-banner'><p>We use cookies to improve your experience.</p><button>Accept all</button></div><article><h1>«Storm passes»</h1><p>«The storm passed over the island in the night.»</p><div class=ad>Advertisement Buy now cheap boots</div><p>«No one was hurt, the harbour master said.»</p><aside class=related><h3>Related articles</h3><ul><li><a href=/1>Storm nears</a></ul></aside></article><footer>All rights reserved</footer>",
+    "comments": "<nav><a href=/>Home</a></nav><article><h1>«Title of it»</h1><p>«One para story told in full here.»</p><section class='comments'><h3>Comments</h3><p>nice one</p><p>I agree with this.</p></section></article><footer>x</footer>",
+    "newsletter": "<main><h1>«Title of it»</h1><p>«One para story told in full here.»</p><p>«Second para of the same story.»</p><div class=newsletter><p>Sign up for our newsletter</p><form><input><button>Go</button></form></div></main><footer>© x</footer>",
+    "bare": "<body><p>«One para story told in full here.»</p><p>«Second para of the same story.»</p>",
+    "one div": "<div id=a><p>«One para story told in full here.»</p><p>«Second para of the same story.»</p></div>",
+    "divs": "<div><div><h2>«Title»</h2><p>«Some text, which goes on for a while and then ends.»</p><p>«More of it.»</p></div></div>",
+    "german": "<nav><a href=/>Start</a></nav><div id=inhalt><h1>«Der Fluss»</h1><p>«Der Fluss stieg in der Nacht um einen Meter, sagte die Feuerwehr.»</p><p>«Am Morgen sank er wieder.»</p></div><div class=footer>Impressum</div>",
+}
+
+
+def test_pages_by_hand(model):
+    right = kept = wanted = 0
+    for name, page in LAYOUTS.items():
+        want = [b.text.startswith("«") for b in scan(page)]
+        blocks = scan(page.replace("«", "").replace("»", ""))
+        assert len(blocks) == len(want)
+        text = main_texts([page.replace("«", "").replace("»", "")], model)[0]
+        found = model.label([Page(blocks)])[0]
+        assert text == " ".join(b.text for b, keep in zip(blocks, found) if keep) and text, name
+        right, kept, wanted = right + sum(f and w for f, w in zip(found, want)), kept + sum(found), wanted + sum(want)
+    assert right >= 0.95 * kept and right >= 0.9 * wanted, (right, kept, wanted)
+
+
+@pytest.mark.parametrize("name", ["paper", "plain", "essay", "news", "comments", "newsletter", "bare", "one div"])
+def test_whole_texts_of_pages_by_hand(model, name):
+    page = LAYOUTS[name]
+    want = " ".join(b.text[1:-1] for b in scan(page) if b.text.startswith("«"))
+    assert main_texts([page.replace("«", "").replace("»", "")], model) == [want]
