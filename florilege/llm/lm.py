@@ -13,12 +13,16 @@ on the longer context alone, and the log probability of a symbol is a function
 of the last ``ORDER + 1`` bytes: one row of a table for each such gram that the
 corpus holds.
 
-Texts are dealt by a hash into chunks of about ``CHUNK`` bytes.  A chunk gives
-its distinct grams and words with their training counts; these are summed over
-the corpus, the gram table is computed by joins that follow the trie from the
-longest contexts to the shortest, and each chunk gets back the rows it asked
-for.  Nothing is broadcast but the two shortest levels (256 and 65,536 contexts
-at most), and a task holds one chunk.
+Texts are dealt by a hash of id and text into chunks of about ``CHUNK`` bytes.
+Rows that repeat, id and all, would meet in one chunk: where they hold more
+than a quarter of a chunk, one row stands for up to ``COPIES`` of them, with
+their number as its weight.  A chunk gives its distinct grams and words with
+their training counts; these are summed over the corpus, the gram table is
+computed by joins that follow the trie from the longest contexts to the
+shortest, and each chunk gets back the rows it asked for by one join, which
+adaptive execution may split where a word or gram is in very many chunks.
+Nothing is broadcast but the two shortest levels (256 and 65,536 contexts at
+most) and a list of repeated rows of checked size, and a task holds one chunk.
 
 Words are told apart by 64-bit hashes; the end of a text is a word of its own.
 A null text is empty: one end token.  Rows with a null id are training rows.
@@ -33,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florilege.llm.shared import give_back, materialize, materialize_table
@@ -42,6 +46,7 @@ from florilege.llm.words import Numbering, slices
 ORDER = 4
 CHUNK = 10 << 20
 SLICE = 1 << 20
+COPIES, LISTED = 100_000, 100_000
 WORD, GRAM = 0, 1
 
 
@@ -80,7 +85,7 @@ def _features(t: pa.Table) -> pa.Table:
     for batch in t.to_batches():
         for part in slices(batch, batch.schema.get_field_index("text"), SLICE):
             texts = _lowered(part.column("text").to_pylist())
-            train = np.array([not x for x in part.column("held").to_pylist()])
+            weights = np.array([0 if x else m for x, m in zip(part.column("held").to_pylist(), part.column("m").to_pylist())])
             flat: list[bytes] = []
             per_text = []
             for x in texts:
@@ -89,14 +94,13 @@ def _features(t: pa.Table) -> pa.Table:
                 flat.append(b"")
                 per_text.append(len(ws) + 1)
             numbers = index.numbers(flat)
-            used = np.repeat(train, per_text)
             counts = np.concatenate([counts, np.zeros(len(index) - len(counts), np.int64)])
-            counts += np.bincount(numbers[used], minlength=len(index))
-            for own, weight in ((train, 1), (~train, 0)):
-                if some := [x for x, keep in zip(texts, own) if keep]:
-                    keys = np.sort(_grams(some)[0])
-                    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-                    grams.append((keys[at], weight * np.diff(np.concatenate([at, [len(keys)]]))))
+            for weight in np.unique(weights).tolist():
+                own = weights == weight
+                counts += weight * np.bincount(numbers[np.repeat(own, per_text)], minlength=len(index))
+                keys = np.sort(_grams([x for x, keep in zip(texts, own) if keep])[0])
+                at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+                grams.append((keys[at], weight * np.diff(np.concatenate([at, [len(keys)]]))))
     keys, inverse = np.unique(np.concatenate([k for k, _ in grams]), return_inverse=True)
     n = np.bincount(inverse, weights=np.concatenate([c for _, c in grams]), minlength=len(keys)).astype(np.int64)
     words = _hash(list(index))
@@ -108,7 +112,7 @@ def _features(t: pa.Table) -> pa.Table:
 
 
 def _score(docs: pa.Table, model: pa.Table) -> pa.Table:
-    """id, held, n_tokens, n_known, logs (sum of log10(count + 1)), score of the texts of one chunk."""
+    """id, held, m, n_tokens, n_known, logs (sum of log10(count + 1)), score of the texts of one chunk."""
     kind, key, value = (model.column(c).to_numpy() for c in ("kind", "key", "value"))
 
     def lookup(which: int, dtype) -> tuple[np.ndarray, np.ndarray]:
@@ -150,10 +154,10 @@ def _score(docs: pa.Table, model: pa.Table) -> pa.Table:
                     logp = np.empty(len(grams))
                     logp[(packed & np.uint64((1 << 24) - 1)).astype(np.int64)] = np.repeat(found, np.diff(np.concatenate([first, [len(own)]])))
                 scores[at:to] = np.add.reduceat(logp, np.cumsum(n) - n)
-            out.append([part.column("id"), part.column("held"), pa.array(np.array(per_text, np.int64)), pa.array(n_known), pa.array(logs), pa.array(scores)])
+            out.append([part.column("id"), part.column("held"), part.column("m"), pa.array(np.array(per_text, np.int64)), pa.array(n_known), pa.array(logs), pa.array(scores)])
     del index, known, word_keys, gram_keys
     give_back()
-    return pa.Table.from_batches([pa.RecordBatch.from_arrays(x, names=["id", "held", "n_tokens", "n_known", "logs", "score"]) for x in out])
+    return pa.Table.from_batches([pa.RecordBatch.from_arrays(x, names=["id", "held", "m", "n_tokens", "n_known", "logs", "score"]) for x in out])
 
 
 def _runs(texts: list[bytes]) -> list[tuple[int, int]]:
@@ -218,23 +222,45 @@ def gram_table(grams: DataFrame) -> DataFrame:
     return out
 
 
+def _dealt(docs: DataFrame, held: Column, id_col: str, text_col: str, chunk_bytes: int) -> DataFrame:
+    """chunk, id, text, held, m: one row for each of ``docs``, or for ``m`` equal ones."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held.alias("held"), F.xxhash64(id_col, text_col).alias("h"))
+    size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + F.count("*")
+    per_row = rows.groupBy("h").agg(size.alias("b"), F.count("*").alias("n"))
+    found = per_row.agg(F.sum("b"), F.sum((_many(chunk_bytes)).cast("bigint"))).first()
+    chunks = max(1, math.ceil((found[0] or 0) / chunk_bytes))
+    deal = lambda *key: F.pmod(F.xxhash64(*key), F.lit(chunks)).cast("int").alias("chunk")
+    if not found[1]:
+        return rows.select(deal("h"), "id", "text", "held", F.lit(1).alias("m"))
+    many = materialize(per_row.filter(_many(chunk_bytes)).select("h", "n"))
+    many = F.broadcast(many) if found[1] <= LISTED else many
+    single = rows.join(many, "h", "left_anti").select(deal("h"), "id", "text", "held", F.lit(1).alias("m"))
+    one = rows.join(many.select("h"), "h", "left_semi").groupBy("h").agg(*(F.first(c).alias(c) for c in ("id", "text", "held")))
+    part = F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / COPIES) - 1)).alias("part")
+    one = one.join(many, "h").select("*", part)
+    return single.union(one.select(deal("h", "part"), "id", "text", "held", F.least(F.lit(COPIES), F.col("n") - F.col("part") * COPIES).cast("int").alias("m")))
+
+
+def _many(chunk_bytes: int) -> Column:
+    return (F.col("b") > chunk_bytes // 4) & (F.col("n") > 1)
+
+
 def score_documents(docs: DataFrame, held: Column | None = None, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row of ``docs``."""
-    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    chunks = max(1, math.ceil(size / chunk_bytes))
-    held = held_out(F.col(id_col)) if held is None else held
-    chunk = F.pmod(F.xxhash64(id_col, text_col), F.lit(chunks)).cast("int")
-    dealt = docs.select(chunk.alias("chunk"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), held.alias("held"))
-    features = materialize_table(dealt.select("chunk", "text", "held").groupBy("chunk").applyInArrow(_features, "chunk int, kind tinyint, key bigint, n bigint"))
+    dealt = _dealt(docs, held_out(F.col(id_col)) if held is None else held, id_col, text_col, chunk_bytes)
+    features = materialize_table(dealt.select("chunk", "text", "held", "m").groupBy("chunk").applyInArrow(_features, "chunk int, kind tinyint, key bigint, n bigint"))
     words, grams = features.filter(F.col("kind") == WORD), features.filter(F.col("kind") == GRAM)
-    train, distinct = words.filter("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct("key")).first()
-    model = materialize(gram_table(materialize(grams.groupBy("key").agg(F.sum("n").alias("n")))))
-    counted = words.select("chunk", "kind", "key", F.sum("n").over(Window.partitionBy("key")).cast("double").alias("value"))
-    asked = counted.union(grams.select("chunk", "kind", "key").join(model, "key").select("chunk", "kind", "key", "value"))
+    counts = materialize(words.groupBy("key").agg(F.sum("n").alias("n")))
+    train, distinct = counts.filter("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    logs = gram_table(materialize(grams.groupBy("key").agg(F.sum("n").alias("n"))))
+    model = counts.select(F.lit(WORD).cast("tinyint").alias("kind"), "key", F.col("n").cast("double").alias("value"))
+    model = materialize(model.union(logs.select(F.lit(GRAM).cast("tinyint"), "key", "value")))
+    asked = features.select("chunk", "kind", "key").join(model, ["kind", "key"]).select("chunk", "kind", "key", "value")
     kind = docs.schema[id_col].dataType.simpleString()
     scored = dealt.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(
-        _score, f"id {kind}, held boolean, n_tokens bigint, n_known bigint, logs double, score double"
+        _score, f"id {kind}, held boolean, m int, n_tokens bigint, n_known bigint, logs double, score double"
     )
+    scored = scored.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("m"))))
     return scored.select(
         F.col("id").alias(id_col),
         F.col("held").alias("held_out"),

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from florilege.llm import lm
 from florilege.llm.lm import ORDER, score_documents
 
 
@@ -90,3 +91,15 @@ def test_only_held_out_and_empty(spark):
     got = score_documents(spark.createDataFrame([(held, "ab")], "doc_id long, text string")).collect()[0]
     assert got.train_tokens == 0 and got.score == pytest.approx(-3 * math.log10(256)) and got.base_score == 0.0
     assert score_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_repeated_rows_stand_for_one_another(spark, monkeypatch):
+    """Rows that repeat, id and all, count as often as they are there, and come out as often."""
+    monkeypatch.setattr(lm, "COPIES", 7)
+    rows = [(None, "the same text once more"), (3, "another one that repeats")] * 40 + [(i, f"text number {i} of its own") for i in range(100, 130)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(map(tuple, score_documents(df).collect()), key=str)
+    split = sorted(map(tuple, score_documents(df, chunk_bytes=500).collect()), key=str)
+    assert len(whole) == len(split) == len(rows)
+    for a, b in zip(whole, split):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=1e-9)
