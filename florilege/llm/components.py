@@ -2,8 +2,9 @@
 
 Only labels move: each round joins nothing, it groups edges by a node and
 points neighbours to the smallest one seen, so rounds are few and no component
-is ever gathered in one place.  A node's group is its neighbours: large stars
-are salted by taking minima before any list is made.
+is ever gathered in one place.  A node's group is its neighbours: minima are
+taken on both sides of the shuffle, and come back by a join of two plain
+shuffles, which adaptive execution splits where a star is large.
 """
 
 from __future__ import annotations
@@ -11,27 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florilege.llm.shared import materialize
+from florilege.llm.shared import materialize, redealt
 
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _least(pairs: DataFrame) -> DataFrame:
-    """Smallest of u and its neighbours, for each u."""
-    return pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-
-
 def components(edges: DataFrame, u: str, v: str) -> DataFrame:
     """node, component (its smallest node) of each node that has an edge.  Nulls and loops are left out."""
     edges = materialize(edges.select(F.col(u).alias("u"), F.col(v).alias("v")).filter("u <> v").distinct())
     while True:
         both = _both(edges)
-        large = both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(redealt(least), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        small = down.join(redealt(least), "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         after = materialize(small)
         stars = after.select("v").distinct().join(after.select(F.col("u").alias("v")).distinct(), "v", "left_semi").isEmpty()
         single = after.groupBy("u").count().filter("count > 1").isEmpty()

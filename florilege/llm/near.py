@@ -9,8 +9,12 @@ form a class, by a 128-bit hash of the words, and only one of them is compared.
    shares none of the 48 bands with a chance of 5e-7.
 2. Candidates that hang together, by stars to the smallest class of a bucket,
    form candidate groups.  A group of up to ``BLOCK`` classes goes to one task
-   with others of its kind; a larger one is cut into blocks, and each pair of
-   blocks is a task's unit, so that no task holds more than two blocks.
+   with others of its kind.  A larger one is compared bucket by bucket, each
+   pair in the first band it shares, if the buckets' squares are less than the
+   group's own (classes that hang together by chains), and else as a whole (so
+   near that most pairs share a band).  What is over ``BLOCK`` classes is cut
+   into blocks, and each pair of blocks is a task's unit, so that no task holds
+   more than two blocks.
 3. In a unit, pairs are compared ``STEP`` values at a time.  With m of n values
    equal and a uniform prior, the posterior probability of reaching the
    threshold is that of Bin(n + 1, threshold) <= m; pairs below ``TOLERANCE``
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florilege.llm.components import components
-from florilege.llm.shared import held, materialize
+from florilege.llm.shared import held, materialize, redealt
 from florilege.llm.words import PLAIN_TABLE, Numbering, map_slices
 
 WORDS, THRESHOLD = 5, 0.8
@@ -185,9 +189,13 @@ def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray
     return out
 
 
-def linked_pairs(values: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, same: bool, threshold: float) -> Iterator[tuple[int, int, float]]:
-    """Pairs (positions in ``sets``) of left x right whose Jaccard similarity reaches the threshold."""
+def linked_pairs(values: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, same: bool, threshold: float, band: int = 0) -> Iterator[tuple[int, int, float]]:
+    """Pairs (positions in ``sets``) of left x right whose Jaccard similarity reaches the threshold and that share no band before ``band``."""
     i, j = surviving_pairs(values[left], values[right], same, threshold)
+    if band and len(i):
+        equal = values[left[i], : band * ROWS] == values[right[j], : band * ROWS]
+        fresh = ~equal.reshape(len(i), band, ROWS).all(axis=2).any(axis=1)
+        i, j = i[fresh], j[fresh]
     for a, b in zip(left[i].tolist(), right[j].tolist()):
         x, y = sets[a], sets[b]
         if not len(x) or not len(y) or min(len(x), len(y)) < threshold * max(len(x), len(y)) - 1e-9:
@@ -202,15 +210,15 @@ def _unit(threshold: float, pairs: bool):
     """One unit: groups, or two blocks of one group.  Gives links and, per class, their number and a root."""
 
     def run(t: pa.Table) -> pa.Table:
-        keys, groups, sides, crosses = (t.column(c).to_pylist() for c in ("key", "comp", "side", "cross"))
+        keys, groups, bands, sides, crosses = (t.column(c).to_pylist() for c in ("key", "grp", "band", "side", "cross"))
         values = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(len(keys), HASHES)
         sets = shingle_sets(t.column("text").to_pylist())
         members: dict[bytes, list[int]] = {}
-        seen: set[bytes] = set()
+        seen: set[tuple[bytes, bytes]] = set()
         for at, g in enumerate(groups):
-            if keys[at] not in seen:  # a row that repeats may have brought its text twice
+            if (g, keys[at]) not in seen:  # a row that repeats may have brought its text twice
                 members.setdefault(g, []).append(at)
-                seen.add(keys[at])
+                seen.add((g, keys[at]))
         links, root = np.zeros(len(keys), np.int64), list(range(len(keys)))
 
         def top(x: int) -> int:
@@ -220,8 +228,8 @@ def _unit(threshold: float, pairs: bool):
 
         out: list[tuple[bytes, bytes, float]] = []
         for at in members.values():
-            two, side, at = crosses[at[0]], np.array([sides[x] for x in at]), np.array(at)
-            for a, b, similarity in linked_pairs(values, sets, at[side == 0], at[side == 1] if two else at, not two, threshold):
+            two, band, side, at = crosses[at[0]], bands[at[0]], np.array([sides[x] for x in at]), np.array(at)
+            for a, b, similarity in linked_pairs(values, sets, at[side == 0], at[side == 1] if two else at, not two, threshold, band):
                 if pairs:
                     out.append((*sorted((keys[a], keys[b])), similarity))
                 links[a] += 1
@@ -258,34 +266,56 @@ class Join:
         """key, sig, rep (an id), n_copies of each class with words."""
         return self.classes.filter("n > 0").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("n_copies"), F.first("sig").alias("sig"))
 
+    @staticmethod
+    def buckets(distinct: DataFrame, *more: str) -> DataFrame:
+        """key, band, bucket of each class, and ``more`` columns."""
+        bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))))
+        return distinct.select("key", *more, F.posexplode(bands).alias("band", "bucket"))
+
     def groups(self, distinct: DataFrame) -> DataFrame:
         """key, comp of classes that share a band with another."""
-        bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))))
-        exploded = distinct.select("key", F.explode(bands).alias("bucket"))
+        exploded = self.buckets(distinct).select("key", "bucket")
         heads = exploded.groupBy("bucket").agg(F.min("key").alias("head"), F.max("key").alias("tail")).filter("head <> tail").select("bucket", "head")
         edges = exploded.join(heads, "bucket").filter("key <> head").select("key", "head").distinct()
         return components(edges, "key", "head").select(F.col("node").alias("key"), F.col("component").alias("comp"))
 
-    def _in_units(self, pairs: bool) -> DataFrame:
-        distinct = materialize(self.distinct())
-        groups = materialize(self.groups(distinct))
-        n = groups.count()
-        sizes = groups.groupBy("comp").agg(F.count("*").alias("size"))
-        parts = max(1, math.ceil(n / 1500))
+    @staticmethod
+    def _placed(members: DataFrame, rows: int, kind: str) -> DataFrame:
+        """unit, grp, key, band, side, cross of ``members`` (grp, key, band, size of grp): ``rows`` of them."""
+        parts = max(1, math.ceil(rows / 1500))
         small = F.col("size") <= BLOCK
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
         own = F.when(small, 0).otherwise(F.pmod(F.xxhash64("key"), blocks).cast("int"))
         other = F.explode(F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), blocks - 1)))
         low, high = F.least("own", "other"), F.greatest("own", "other")
-        unit = F.when(small, F.struct(F.lit(None).cast("binary").alias("g"), F.pmod(F.xxhash64("comp"), F.lit(parts)).cast("int").alias("i"), F.lit(-1).alias("j")))
-        unit = unit.otherwise(F.struct(F.col("comp").alias("g"), low.alias("i"), high.alias("j")))
-        placed = groups.join(sizes, "comp").withColumn("own", own).withColumn("other", other).select(
-            "key", "comp", unit.alias("unit"), F.when(small, 0).otherwise((F.col("own") > low).cast("int")).alias("side"), (~small & (low < high)).alias("cross")
+        unit = lambda g, i, j: F.struct(F.lit(kind).alias("kind"), g.alias("g"), i.alias("i"), j.alias("j"))
+        unit = F.when(small, unit(F.lit(None).cast("binary"), F.pmod(F.xxhash64("grp"), F.lit(parts)).cast("int"), F.lit(-1))).otherwise(unit(F.col("grp"), low, high))
+        return members.withColumn("own", own).withColumn("other", other).select(
+            unit.alias("unit"), "grp", "key", "band", F.when(small, 0).otherwise((F.col("own") > low).cast("int")).alias("side"), (~small & (low < high)).alias("cross")
         )
+
+    def _in_units(self, pairs: bool) -> DataFrame:
+        distinct = materialize(self.distinct())
+        groups = materialize(self.groups(distinct))
+        sizes = groups.groupBy("comp").agg(F.count("*").alias("size"))
+        members = materialize(groups.join(redealt(sizes), "comp"))
+        n = members.count()
+        # of large groups: the work bucket by bucket
+        large = members.filter(F.col("size") > BLOCK).join(distinct.select("key", "sig"), "key")
+        shared = self.buckets(large, "comp", "size").withColumnRenamed("size", "of_comp")
+        counts = shared.groupBy("comp", "of_comp", "bucket").agg(F.count("*").alias("size")).filter("size > 1")
+        chained = counts.groupBy("comp", "of_comp").agg(F.sum(F.col("size") * F.col("size")).alias("work")).filter("work < of_comp * of_comp").select("comp")
+        chained = materialize(chained)
+        whole = members.join(chained, "comp", "left_anti").select(F.col("comp").alias("grp"), "key", F.lit(0).alias("band"), "size")
+        placed = self._placed(whole, n, "whole")
+        if not chained.isEmpty():
+            of_chains = shared.join(chained, "comp", "left_semi").join(counts.select("comp", "bucket", "size"), ["comp", "bucket"])
+            of_chains = materialize(of_chains.select(F.col("bucket").cast("string").cast("binary").alias("grp"), "key", "band", "size"))
+            placed = placed.union(self._placed(of_chains, of_chains.count(), "bucket"))
         reps = groups.join(distinct, "key").select("key", "sig", "rep")
         docs = self.docs.select(F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text"))
         texts = self._own_text(docs.join(reps, F.col("id").eqNullSafe(F.col("rep"))))
-        rows = placed.join(texts, "key").select("unit", "key", "comp", "side", "cross", "sig", "text")
+        rows = placed.join(texts, "key").select("unit", "grp", "key", "band", "side", "cross", "sig", "text")
         schema = "a binary, b binary, similarity double" if pairs else "key binary, links bigint, root binary"
         return rows.groupBy("unit").applyInArrow(_unit(self.threshold, pairs), schema)
 
@@ -316,7 +346,7 @@ class Join:
         per_key = self.classes.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n_copies"))
         known = per_key.join(links, "key", "left").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
         linked = known.filter("n_links is not null").groupBy("comp").agg(F.min("least").alias("of_comp"))
-        known = known.join(linked, "comp", "left").select(
+        known = known.join(redealt(linked), "comp", "left").select(
             "key", F.coalesce("of_comp", "least").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "n_copies"
         )
         return self.classes.select("id", "key").join(known, "key").select(F.col("id").alias(self.id_col), "class_id", "n_links", "n_copies")

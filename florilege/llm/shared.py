@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; only where none is set (tests) make a folder."""
+    """Use the cluster's spark.checkpoint.dir; only in local mode (tests) make a folder where none is set."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -36,6 +39,11 @@ def materialize_table(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def redealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt anew in turn: a join with an aggregate can be split where a key is skewed only if both its sides are plain shuffles."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def give_back() -> None:
     """Return freed memory of a Python worker to the system: workers live on, and what they hold counts against the executor."""
     pa.default_memory_pool().release_unused()

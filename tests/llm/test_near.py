@@ -101,3 +101,36 @@ def test_least_matches():
 
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_chain_of_unlike_texts(spark, monkeypatch):
+    """Thousands of classes that hang together, each like its neighbours only, are compared bucket by bucket."""
+    rng = random.Random(9)
+    stream = [f"w{rng.randrange(4000)}" for _ in range(2200 * 6 + 120)]
+    rows = [(i, " ".join(stream[i * 6 : i * 6 + 120])) for i in range(2200)]
+    compared = []
+    placed = Join._placed
+
+    def watched(members, n, kind):
+        compared.append((kind, members.agg(near.F.sum(near.F.least("size", near.F.lit(BLOCK)))).first()[0] or 0))
+        return placed(members, n, kind)
+
+    monkeypatch.setattr(Join, "_placed", staticmethod(watched))
+    got = sorted(map(tuple, near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    sets = [shingles(words(t)) for _, t in rows]
+    links = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i + 1, min(len(rows), i + 20)):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9:
+                links[i] += 1
+                links[j] += 1
+    assert min(links) >= 1 and got == [(i, 0, links[i], 1) for i in range(len(rows))]
+    work = dict(compared)
+    assert work["whole"] < BLOCK * len(rows) / 10 and 0 < work["bucket"] < BLOCK * len(rows) / 2
+
+
+def test_clashing_names_and_very_long_texts(spark):
+    long = " ".join(f"w{i % 5000}x{i % 7}" for i in range(150_000))
+    rows = [(1, long, "a", b"b"), (2, long + " end", "a", b"b"), (3, "short text of its own here", None, None), (4, None, "x", b"")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, comp string, key binary")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1, 1), (2, 1, 1, 1), (3, 3, 0, 1), (4, 4, 0, 1)]
