@@ -34,7 +34,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florilege.llm.components import components
@@ -246,6 +246,11 @@ def _unit(threshold: float, pairs: bool):
     return run
 
 
+def row_mark(id_col: str, text_col: str) -> Column:
+    """A number that tells rows of one id, or of none, apart by their text."""
+    return F.xxhash64(id_col, text_col).alias("row_mark")
+
+
 class Join:
     """The stages of the join over ``docs``; ``classes`` has one row per row of ``docs``."""
 
@@ -256,10 +261,11 @@ class Join:
         def sign(part: pa.RecordBatch) -> pa.RecordBatch:
             keys, n, values = signatures(part.column(1).to_pylist())
             return pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(keys, pa.binary()), pa.array(n, pa.int64()), pa.array(values, pa.binary())], names=["id", "key", "n", "sig"]
+                [part.column(0), part.column(2), pa.array(keys, pa.binary()), pa.array(n, pa.int64()), pa.array(values, pa.binary())], names=["id", "row_mark", "key", "n", "sig"]
             )
 
-        signed = map_slices(docs, [id_col, text_col], text_col, sign, f"id {kind}, key binary, n bigint, sig binary")
+        rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_mark(id_col, text_col))
+        signed = map_slices(rows, ["id", "text", "row_mark"], "text", sign, f"id {kind}, row_mark bigint, key binary, n bigint, sig binary")
         self.classes = materialize(signed)
 
     def distinct(self) -> DataFrame:
@@ -339,19 +345,32 @@ class Join:
         return self._in_units(True)
 
     def documents(self) -> DataFrame:
-        """id, class_id (least id of all that hang together), n_links (different texts linked), n_copies (rows of the same words)."""
+        """id, class_id (least id of all that hang together), n_links (different texts linked), n_copies (rows of the same words), row_mark, first.
+
+        ``first`` is true for one row of all that hang together, that of the
+        least id, rows without id last, and the least mark, and for its equals.
+        """
         found = materialize(self._in_units(False))
         links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
         comps = components(found, "key", "root").select(F.col("node").alias("key"), F.col("component").alias("comp"))
-        per_key = self.classes.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n_copies"))
+        order = F.struct(F.col("id").isNull().alias("none"), "id", "row_mark")
+        per_key = self.classes.groupBy("key").agg(F.min("id").alias("least"), F.min(order).alias("own"), F.count("*").alias("n_copies"))
         known = per_key.join(links, "key", "left").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-        linked = known.filter("n_links is not null").groupBy("comp").agg(F.min("least").alias("of_comp"))
+        linked = known.filter("n_links is not null").groupBy("comp").agg(F.min("least").alias("of_comp"), F.min("own").alias("own_of_comp"))
         known = known.join(redealt(linked), "comp", "left").select(
-            "key", F.coalesce("of_comp", "least").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "n_copies"
+            "key", F.coalesce("of_comp", "least").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "n_copies", F.coalesce("own_of_comp", "own").alias("own")
         )
-        return self.classes.select("id", "key").join(known, "key").select(F.col("id").alias(self.id_col), "class_id", "n_links", "n_copies")
+        first = order.eqNullSafe(F.col("own"))
+        return self.classes.select("id", "row_mark", "key").join(known, "key").select(F.col("id").alias(self.id_col), "class_id", "n_links", "n_copies", "row_mark", first.alias("first"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, class_id, n_links, n_copies."""
-    return Join(docs, threshold, id_col, text_col).documents()
+    return Join(docs, threshold, id_col, text_col).documents().drop("row_mark", "first")
+
+
+def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of all that hang together the one of the least id (see ``Join.documents``), once if it repeats."""
+    marks = Join(docs, threshold, id_col, text_col).documents().filter("first").select(F.col("row_mark").alias("_row_mark")).distinct()
+    own = docs.withColumn("_row_mark", row_mark(id_col, text_col))
+    return own.join(marks, "_row_mark", "left_semi").drop("_row_mark").dropDuplicates([id_col, text_col])

@@ -39,6 +39,12 @@ def materialize_table(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+
+
 def redealt(df: DataFrame) -> DataFrame:
     """``df`` dealt anew in turn: a join with an aggregate can be split where a key is skewed only if both its sides are plain shuffles."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

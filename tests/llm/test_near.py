@@ -4,7 +4,7 @@ import re
 import pytest
 
 from florilege.llm import near
-from florilege.llm.near import BLOCK, Join, least_matches, near_duplicates
+from florilege.llm.near import BLOCK, Join, least_matches, near_duplicates, one_of_each
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -134,3 +134,12 @@ def test_clashing_names_and_very_long_texts(spark):
     rows = [(1, long, "a", b"b"), (2, long + " end", "a", b"b"), (3, "short text of its own here", None, None), (4, None, "x", b"")]
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, comp string, key binary")).collect()
     assert sorted(map(tuple, got)) == [(1, 1, 1, 1), (2, 1, 1, 1), (3, 3, 0, 1), (4, 4, 0, 1)]
+
+
+def test_one_of_each(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text, 1), (None, text + " more", 2), (None, "alone here", 3), (None, "alone here", 3), (5, text + " and more", 4), (5, "another text of that id", 5), (4, text, 6), (4, text, 7), (None, None, 8), (None, None, 9)]
+    got = one_of_each(spark.createDataFrame(rows, "doc_id long, text string, first int")).collect()
+    kept = sorted(((r.doc_id, r.text) for r in got), key=str)
+    assert kept == sorted([(None, "alone here"), (5, "another text of that id"), (4, text), (None, None)], key=str)
+    assert one_of_each(spark.createDataFrame([], "doc_id long, text string, first int")).collect() == []
