@@ -2,7 +2,8 @@
 
 STAGES lists (name, function).  A function takes (spark, docs, sf_dir) and
 gives a DataFrame; ``run`` writes each result as Parquet into the shared
-checkpoint folder and reads it again as the next stage's documents.  All but
+checkpoint folder, reads it again as the next stage's documents and deletes it
+when that stage is written.  All but
 the last give the columns of ``documents``.
 """
 
@@ -14,10 +15,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from florilege.llm.decontaminate import decontaminate
-from florilege.llm.near import near_duplicates
+from florilege.llm.near import one_of_each
 from florilege.llm.packing import pack
 from florilege.llm.quality import apply_rules
-from florilege.llm.shared import checkpoint_dir
+from florilege.llm.shared import checkpoint_dir, remove_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -30,13 +31,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least id stays, once if its row repeats.
-
-    A row without id can't be named as the one that goes; it stays.
-    """
-    own = docs.select(*COLUMNS)
-    ids = near_duplicates(own).filter("doc_id = class_id").select("doc_id").distinct()
-    return own.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).union(own.filter("doc_id is null"))
+    """Of each group of near duplicates the document with the least id stays, once if its row repeats."""
+    return one_of_each(docs.select(*COLUMNS))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,4 +64,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            remove_folder(spark, f"{folder}/{k - 1}")
     return docs
