@@ -34,13 +34,12 @@ CACHE_WORDS, CACHE_CHARS = 200_000, 6_000_000
 
 @dataclass(frozen=True)
 class Band:
-    """Bounds, inclusive.  ``least_tokens``: shorter texts vary too much to be judged by their entropy."""
+    """Bounds, inclusive."""
 
     piece_chars: tuple[float, float]  # characters per token of the piece vocabulary
     byte_chars: tuple[float, float]  # characters per token of the byte-level vocabulary
     fallback_most: float  # share of tokens that are single bytes
     entropy_least: float  # entropy as a share of log2(tokens)
-    least_tokens: int = 50
 
 
 #: The four languages' lower bounds are those of ``fitted_least`` over the labelled texts of sf0.1, but for the entropy of en: fitted (0.534) it rejects no more labelled junk, and texts of few words that test_pipeline keeps.  Upper bounds are wide, as everyday prose has longer tokens than those texts.
@@ -137,7 +136,11 @@ def repeated_words(numbers: np.ndarray, per_text: np.ndarray) -> np.ndarray:
         return out
     owner = np.repeat(np.arange(len(per_text)), per_text)
     starts = np.flatnonzero(owner[:-2] == owner[2:])
-    key = (numbers[starts] << 42) | (numbers[starts + 1] << 21) | numbers[starts + 2]  # numbers stay below 2^21
+    size = int(numbers.max()) + 1
+    pair = numbers[starts] * size + numbers[starts + 1]
+    if size >= 1 << 21:  # three numbers are over 63 bits
+        pair = np.unique(pair, return_inverse=True)[1]
+    key = pair * size + numbers[starts + 2]
     _, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
     twice = counts[inverse] > 1
     starts, key = starts[twice], inverse[twice] * len(per_text) + owner[starts[twice]]
@@ -163,7 +166,10 @@ def token_entropy(ids: np.ndarray, per_text: np.ndarray) -> np.ndarray:
 
 
 def apply_rules(docs: DataFrame, pieces: str, byte_vocabulary: str, pattern: str, bands: dict[str, Band] | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: its counts, measures, ``base_failed`` and ``kept``, and the columns to ``carry`` as they are."""
+    """One row per row of ``docs``: its counts, measures, ``base_failed`` and ``kept``, and the columns to ``carry`` as they are.
+
+    A carried column whose name is one of the others' comes out as ``NAME_of_docs``.
+    """
     bands = bands or BANDS
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -198,12 +204,13 @@ def apply_rules(docs: DataFrame, pieces: str, byte_vocabulary: str, pattern: str
                 b.piece_chars[0] <= piece_chars[i] <= b.piece_chars[1]
                 and b.byte_chars[0] <= byte_chars[i] <= b.byte_chars[1]
                 and fallback[i] <= b.fallback_most
-                and (share[i] >= b.entropy_least or n_tokens[i] < b.least_tokens)
+                and share[i] >= b.entropy_least
             )
         columns = [part.column(0), n_words, *facts, repeats, failed, kept, piece_chars, byte_chars, fallback, share, *(part.column(c) for c in carry)]
         return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names=names)
 
-    names = [id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "chars_per_piece", "chars_per_byte_token", "fallback_share", "entropy_share", *carry]
+    names = [id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "chars_per_piece", "chars_per_byte_token", "fallback_share", "entropy_share"]
+    names += [f"{c}_of_docs" if c in names else c for c in carry]
     kinds = [kind, *["bigint"] * 5, "boolean", "boolean", *["double"] * 4, *(docs.schema[c].dataType.simpleString() for c in carry)]
     columns = [id_col, text_col] + ([lang_col] if lang_col else [])
     columns += [c for c in carry if c not in columns]

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
+from tokenizers import Tokenizer
 
 from florilege.llm.quality import BANDS, apply_rules, fitted_least, repeated_words, script_of, token_entropy
 
@@ -86,3 +87,44 @@ def test_bands_are_fitted(spark):
     n = Counter((r.lang, r.quality, r.kept) for r in judged.collect() if not r.base_failed)
     assert 4 * n["en", 0, True] < n["en", 0, False]
     assert all(n[k, 1, False] <= 0.01 * n[k, 1, True] for k in found)
+
+
+def test_many_different_words():
+    numbers = np.array([1, 2, 2**21 + 3, 11, 12, 13, 1, 3, 3])
+    assert repeated_words(numbers, np.array([9])).tolist() == [0]
+    assert repeated_words(np.array([2**22, 2**23, 2**24] * 2), np.array([6])).tolist() == [6]
+
+
+def second_verdict(text, lang, library, model):
+    """Base rule and bands, measured word by word with the public libraries."""
+    found = base(text)
+    if found[5]:
+        return False
+    words = WORD.findall(text)
+    ids = [i for w in words for i in model.encode(w)]
+    byte_tokens = sum(len(library.encode(" " + w, add_special_tokens=False).ids) for w in words)
+    entropy = -sum(c / len(ids) * math.log2(c / len(ids)) for c in Counter(ids).values())
+    b = BANDS.get(lang) or BANDS[script_of(text)]
+    fallback = sum(map(model.is_byte, ids)) / len(ids)
+    inside = lambda x, bounds: bounds[0] <= x <= bounds[1]
+    return inside(found[1] / len(ids), b.piece_chars) and inside(found[1] / byte_tokens, b.byte_chars) and fallback <= b.fallback_most and entropy / math.log2(len(ids)) >= b.entropy_least
+
+
+def test_verdicts_equal_a_second_implementation(spark):
+    rng = random.Random(8)
+    kinds = ["sun moon river stone the of and house water".split(), "qx#%zj kkq7w zzx0 #### $$$".split(), "été où château rivière jour".split(), "мир вода дом река".split(), "水 山 家 日".split(), ["".join(chr(rng.randrange(97, 123)) for _ in range(9)) for _ in range(80)]]
+    rows = []
+    for i in range(160):
+        mixed = rng.sample(kinds, rng.choice([1, 1, 2]))
+        rows.append((i, " ".join(rng.choice(rng.choice(mixed)) + rng.choice(["", "", "s", ",", str(rng.randrange(999))]) for _ in range(rng.choice([30, 60, 200]))), rng.choice(["en", "de", "fr", "es", None, "zz"])))
+    if Path("/root/testdata/sf0.001").exists():
+        rows += [(1000 + r.doc_id, r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    library, model = Tokenizer.from_file(PATHS[1]), sentencepiece.SentencePieceProcessor(model_file=PATHS[0])
+    got = {r.doc_id: r.kept for r in apply_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"), *PATHS).collect()}
+    want = {i: second_verdict(t, lang, library, model) for i, t, lang in rows}
+    assert got == want and 0.1 < sum(want.values()) / len(want) < 0.9
+
+
+def test_carried_names_that_clash(spark):
+    got = apply_rules(spark.createDataFrame([(1, "a b", "en", 5)], "doc_id long, text string, lang string, n_words long"), *PATHS, carry=("n_words", "text")).collect()[0]
+    assert got.n_words == 2 and got.n_words_of_docs == 5 and got.text == "a b"
