@@ -7,10 +7,10 @@ k = capacity // n, and a sequence of class k holds exactly k such pieces: exact
 parts leave no padding and fragments leave less than 1 / (FINE + 1).
 
 Each worker fills the bins of each class by itself, in one pass over its rows
-and with one open bin per class in memory.  The open bins that are left go
-through the same pass by class (one bin of each class stays open), and the
-last ones, fewer pieces than ``capacity * log(capacity)`` whatever the input,
-are filled up together by first fit.
+and with one open bin per class in memory.  What ``FAN`` workers leave open,
+one bin of each class at most, goes through the same pass in one task, and so
+on in rounds, until one worker's open bins are left: fewer pieces than
+``capacity * log(capacity)`` whatever the input, which first fit fills up.
 
 Null texts count as empty (a piece of the end id alone); every row is packed,
 repeated rows too; an empty table gives no rows.
@@ -34,6 +34,8 @@ from florilege.llm.words import slices
 
 #: Documents are cut until the rest is of this class at least.
 FINE = 8
+#: Workers whose open bins one task of the next round takes.
+FAN = 32
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:
@@ -77,7 +79,7 @@ def _emit(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
 
 
 def _fill(level: int, capacity: int, schema: pa.Schema, length_at: int):
-    """Second pass: pieces of open bins, rows of one class in one task."""
+    """A later round: pieces of the open bins of some workers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = Bins(level, capacity)
@@ -91,13 +93,13 @@ def _fill(level: int, capacity: int, schema: pa.Schema, length_at: int):
     return run
 
 
-def _first_fit(capacity: int, schema: pa.Schema, length_at: int):
+def _first_fit(level: int, capacity: int, schema: pa.Schema, length_at: int):
     """Last pass, one task: the bounded rest, longest first, each into the first sequence with room."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [row for b in batches for row in zip(*(c.to_pylist() for c in b.columns[:-2]))]
         key = lambda r: (-r[length_at], str(r))
-        bins = Bins(3, capacity)
+        bins = Bins(level, capacity)
         room: list[int] = []
         held: list[list] = []
         for row in sorted(rows, key=key):
@@ -164,9 +166,16 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, end_id: int = 0, capaci
 
     length_at = 2
     filled = materialize(docs.select(id_col, text_col).mapInArrow(first, spark_schema))
-    rest = filled.filter(F.col("sequence_id").isNull())
-    by_class = rest.repartition(F.floor(F.lit(capacity) / F.col("length")))
-    again = materialize(by_class.mapInArrow(_fill(2, capacity, schema, length_at), spark_schema))
-    last = again.filter(F.col("sequence_id").isNull()).coalesce(1).mapInArrow(_first_fit(capacity, schema, length_at), spark_schema)
-    done = F.col("sequence_id").isNotNull()
-    return filled.filter(done).unionByName(again.filter(done)).unionByName(last)
+    done, rest = [filled], filled
+    level, workers = 2, filled.rdd.getNumPartitions()
+    while workers > 1:
+        workers = -(-workers // FAN)
+        open_bins = rest.filter(F.col("sequence_id").isNull()).withColumn("_worker", F.floor(F.spark_partition_id() / FAN))
+        dealt = open_bins.repartition(workers, "_worker").drop("_worker")
+        rest = materialize(dealt.mapInArrow(_fill(level, capacity, schema, length_at), spark_schema))
+        done.append(rest)
+        level += 1
+    last = rest.filter(F.col("sequence_id").isNull()).coalesce(1).mapInArrow(_first_fit(level, capacity, schema, length_at), spark_schema)
+    for x in done:
+        last = last.unionByName(x.filter(F.col("sequence_id").isNotNull()))
+    return last

@@ -7,6 +7,7 @@ import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
 
+from florilege.llm import packing
 from florilege.llm.packing import cut_lengths, pack
 
 VOCAB = P.path("byte_bpe_50k.json")
@@ -57,3 +58,24 @@ def test_pack_is_whole_and_tight(spark):
 def test_empty_table(spark, capacity):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pack(df, VOCAB, P.PATTERN, capacity=capacity).collect() == []
+
+
+def test_rounds_of_workers_and_null_ids(spark, monkeypatch):
+    """More workers than one task takes, all rows without id: every id is packed once, with little padding."""
+    monkeypatch.setattr(packing, "FAN", 3)
+    rows = [(None, " ".join(f"w{(i * j) % 97}" for j in range(1 + i % 300))) for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(14)
+    got = pack(df, VOCAB, P.PATTERN).collect()
+    library = Tokenizer.from_file(VOCAB)
+    total = sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
+    assert sum(r.length for r in got) == total
+    held = defaultdict(list)
+    for r in got:
+        held[r.sequence_id].append((r.offset, r.length))
+    assert len(held) <= total / 1024 * 1.06 + 3
+    for x in held.values():
+        at = 0
+        for offset, length in sorted(x):
+            assert offset == at
+            at += length
+        assert at <= 1024
