@@ -106,7 +106,10 @@ def _segments(words: str, window: int) -> Column:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", carry: tuple[str, ...] = ()) -> DataFrame:
-    """id, n_words, n_hit, n_items, items_sha256, contaminated of each row of ``docs``, and the columns to ``carry``."""
+    """id, n_words, n_hit, n_items, items_sha256, contaminated of each row of ``docs``, and the columns to ``carry``.
+
+    A carried column whose name is one of the others' comes out as ``NAME_of_docs``.
+    """
     spans = hits(docs, items, window, text_col, item_col)
     spans = spans.groupBy("key", "first", "last", "item").agg(F.count("*").alias("n"))
     before = Window.partitionBy("key").orderBy("first", "last", "item").rowsBetween(Window.unboundedPreceding, -1)
@@ -116,6 +119,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
     carried = F.struct(*carry) if carry else F.struct(F.lit(0))
     rows = docs.select(F.col(id_col), carried.alias("carried"), n_words(raw_words(F.col(text_col))).cast("bigint").alias("n_words"), _text_key(F.col(text_col)).alias("key"))
     none = F.sha2(F.lit("").cast("binary"), 256)
+    taken = (id_col, "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     return rows.join(per_text, "key", "left").select(
         id_col,
         "n_words",
@@ -123,5 +127,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
         F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
         F.coalesce(F.sha2(F.array_join("items", ",").cast("binary"), 256), none).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"),
-        *(F.col(f"carried.{c}").alias(c) for c in carry),
+        *(F.col(f"carried.{c}").alias(f"{c}_of_docs" if c in taken else c) for c in carry),
     )
