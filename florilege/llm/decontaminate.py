@@ -15,8 +15,14 @@ the words beside it are then compared exactly, giving the longest run of item
 words around the place.  A run of at least a window's length is a hit of all
 its words, as each of them lies in a window that occurs.
 
+Where the anchors are of a checked size, they are broadcast to the segments of
+the texts.  Beyond it, words are shuffled with the hashes of their neighbours
+alone, once for each different text; the words of a segment are fetched for
+places where a neighbour fits, and compared there.
+
 Hits belong to texts, by a hash of the whole text, so that copies share them
-and no document is gathered anywhere.  Null and wordless texts have no words
+and no document is gathered anywhere; rows without words get a key of their
+own, so that they don't meet anywhere either.  Null and wordless texts have no words
 and no hits; null items and items without words have no windows; an item
 without id can hit but is not listed; item ids that repeat count once.
 """
@@ -26,20 +32,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from florilege.llm.shared import materialize
-from florilege.llm.words import fold, lead, n_words, plain_words, raw_words
+from florilege.llm.shared import materialize, redealt
+from florilege.llm.words import fold, lead, n_words, plain_words, raw_words, text_key
 
 WINDOW = 10
 #: Words of a text that are looked at together.
 SEGMENT = 128
-#: Anchors are broadcast only if their words hold at most this many bytes; beyond, the join shuffles by word.
+#: Anchors are broadcast only if their words hold at most this many bytes.
 BROADCAST_BYTES = 32 << 20
 
 
-def _text_key(text: Column) -> Column:
-    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
-
-
 def _run(eq: Column, most: Column) -> Column:
     """How many leading places of ``eq`` are true."""
     at = F.array_position(eq, False)
@@ -51,8 +53,11 @@ def anchors(items: DataFrame, docs: DataFrame, window: int = WINDOW, item_col: s
     own = items.select(F.col(item_col).cast("string").alias("item"), plain_words(F.col(text_col)).alias("w")).filter("size(w) > 0")
     own = own.dropDuplicates()
     vocabulary = own.select(F.explode("w").alias("word")).distinct()
-    hint = _bounded(vocabulary, F.octet_length("word"))
-    counts = docs.select(F.explode(raw_words(F.col(text_col))).alias("word")).select(fold(F.col("word")).alias("word")).join(hint, "word").groupBy("word").count()
+    counts = docs.select(F.explode(raw_words(F.col(text_col))).alias("word")).select(fold(F.col("word")).alias("word"))
+    if _fits(vocabulary, F.octet_length("word")):
+        counts = counts.join(F.broadcast(vocabulary), "word").groupBy("word").count()
+    else:
+        counts = counts.groupBy("word").count().join(vocabulary, "word")
     order = materialize(vocabulary.join(counts, "word", "left").select("word", F.coalesce("count", F.lit(0)).alias("n")))
     placed = own.select("item", "w", F.posexplode("w").alias("at", "word")).join(order, "word")
     size = F.size("w")
@@ -65,20 +70,37 @@ def anchors(items: DataFrame, docs: DataFrame, window: int = WINDOW, item_col: s
     return rarest.select("word", "item", F.least(size, F.lit(window)).alias("need"), left.alias("left"), F.slice("w", at + 2, window - 1).alias("right"))
 
 
-def _bounded(df: DataFrame, size: Column) -> DataFrame:
-    """``df`` with a broadcast hint if its measured size is within the bound."""
-    total = df.agg(F.coalesce(F.sum(size + 64), F.lit(0))).first()[0]
-    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+def _fits(df: DataFrame, size: Column) -> bool:
+    """Whether ``df`` is small enough to be broadcast, by its measured size."""
+    return df.agg(F.coalesce(F.sum(size + 64), F.lit(0))).first()[0] <= BROADCAST_BYTES
+
+
+def _met(texts: DataFrame, marks: DataFrame, window: int) -> DataFrame:
+    """Segments with the places ``p`` where an anchor's word stands beside its neighbour: the join on hashes, for anchors of any number."""
+    texts = materialize(texts.groupBy("key").agg(F.first("words").alias("words")))
+    marks = materialize(marks.withColumn("anchor", F.monotonically_increasing_id()))
+    segments = texts.select("key", n_words(F.col("words")).alias("n"), lead(F.col("words")).alias("lead"), F.explode(_segments("words", window)).alias("s")).select("key", "n", "lead", "s.*")
+    h = lambda w: F.xxhash64(fold(w))
+    words = F.col("words")
+    beside = F.transform(words, lambda w, i: F.struct(h(w).alias("h"), h(F.get(words, i - 1)).alias("before"), h(F.get(words, i + 1)).alias("after")))
+    places = segments.select("key", "core", "start", F.posexplode(beside).alias("p", "x")).filter((F.col("start") + F.col("p") >= F.col("core")) & (F.col("start") + F.col("p") < F.col("core") + SEGMENT))
+    places = places.select("key", "core", "p", "x.h", F.col("x.before").alias("before"), F.col("x.after").alias("after"))
+    narrow = marks.select("anchor", "need", F.xxhash64("word").alias("h"), F.xxhash64(F.get("left", F.lit(0))).alias("left_h"), F.xxhash64(F.get("right", F.lit(0))).alias("right_h"))
+    fits = (F.col("need") == 1) | (F.col("before") == F.col("left_h")) | (F.col("after") == F.col("right_h"))
+    places = places.join(narrow, "h").filter(fits).select("key", "core", "p", "anchor")
+    return segments.join(places, ["key", "core"]).join(marks, "anchor").filter(fold(F.get("words", F.col("p"))) == F.col("word"))
 
 
 def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """key, first, last (word places), item of each run of item words in a text."""
     marks = materialize(anchors(items, docs, window, item_col, text_col))
     size = F.octet_length("word") + F.size("left") * 16 + F.size("right") * 16 + F.octet_length(F.concat_ws("", "left", "right"))
-    marks = _bounded(marks, size)
-    texts = docs.select(_text_key(F.col(text_col)).alias("key"), raw_words(F.col(text_col)).alias("words"))
-    parts = texts.select("key", n_words(F.col("words")).alias("n"), lead(F.col("words")).alias("lead"), F.explode(_segments("words", window)).alias("s"))
-    found = parts.select("key", "n", "lead", "s.*", F.posexplode("s.words").alias("p", "raw")).withColumn("word", fold(F.col("raw"))).join(marks, "word")
+    texts = docs.select(text_key(F.col(text_col)).alias("key"), raw_words(F.col(text_col)).alias("words"))
+    if _fits(marks, size):
+        parts = texts.select("key", n_words(F.col("words")).alias("n"), lead(F.col("words")).alias("lead"), F.explode(_segments("words", window)).alias("s"))
+        found = parts.select("key", "n", "lead", "s.*", F.posexplode("s.words").alias("p", "raw")).withColumn("word", fold(F.col("raw"))).join(F.broadcast(marks), "word")
+    else:
+        found = _met(texts, marks, window)
     p, words = F.col("p"), F.col("words")
     place = F.col("start") + p
     found = found.filter((F.col("n") >= F.col("need")) & (place >= F.col("core")) & (place < F.col("core") + SEGMENT))
@@ -117,10 +139,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
     fresh = F.greatest(F.lit(0), F.col("last") - F.greatest(F.col("first") - 1, reach))
     per_text = spans.select("key", "item", fresh.alias("fresh")).groupBy("key").agg(F.sum("fresh").alias("n_hit"), F.array_sort(F.collect_set("item")).alias("items"))
     carried = F.struct(*carry) if carry else F.struct(F.lit(0))
-    rows = docs.select(F.col(id_col), carried.alias("carried"), n_words(raw_words(F.col(text_col))).cast("bigint").alias("n_words"), _text_key(F.col(text_col)).alias("key"))
+    rows = docs.select(F.col(id_col), carried.alias("carried"), n_words(raw_words(F.col(text_col))).cast("bigint").alias("n_words"), text_key(F.col(text_col), n_words(raw_words(F.col(text_col))) > 0).alias("key"))
     none = F.sha2(F.lit("").cast("binary"), 256)
     taken = (id_col, "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    return rows.join(per_text, "key", "left").select(
+    return rows.join(redealt(per_text), "key", "left").select(
         id_col,
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),

@@ -70,6 +70,12 @@ def plain_words(text: Column) -> Column:
     return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), PLAIN_GAP, -1), lambda w: w != "")
 
 
+def text_key(text: Column, known: Column | None = None) -> Column:
+    """16 bytes that stand for a text.  Where ``known`` is false they stand for the row alone."""
+    key = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.unhex(key if known is None else F.when(known, key).otherwise(F.md5(F.monotonically_increasing_id().cast("string").cast("binary"))))
+
+
 def slices(batch: pa.RecordBatch, text_at: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts hold about ``limit`` bytes (one row at least)."""
     n = batch.num_rows
