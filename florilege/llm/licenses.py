@@ -3,7 +3,7 @@
 A text first meets a cheap gate: a few literals and short words, one of which
 every rule's match and every base phrase holds.  Texts that pass are cut into
 plain words and into segments of ``SEGMENT`` words with ``EDGE`` more behind
-them (no match is longer), and a segment meets the rules whose keyword it
+them (no rule can match more), and a segment meets the rules whose keyword it
 holds.  A match is an interval of words.
 
 An interval that lies within another's is suppressed: of equal intervals the
@@ -12,8 +12,10 @@ the lower number stays.  What is left gives the labels, beside those of the
 base phrases, which always stay; the score is the highest weight among them
 (``BASE_WEIGHT`` for a base phrase).
 
-Matches belong to texts, by a hash of the whole text.  Null texts and texts
-without words have no matches and score 0; repeated rows repeat.
+Matches belong to texts, by a hash of the whole text; rows without words get
+a key of their own, so that they don't meet anywhere.  Null texts and texts
+without words have no matches and score 0; repeated rows repeat; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from florilege.llm.license_rules import GATE_WORDS, GATES, build
-from florilege.llm.shared import materialize
-from florilege.llm.words import PLAIN_GAP, lead, lower_ascii, n_words, raw_words
+from florilege.llm.shared import materialize, redealt
+from florilege.llm.words import PLAIN_GAP, lead, lower_ascii, n_words, raw_words, text_key
 
 SEGMENT, EDGE = 1024, 64
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
@@ -67,7 +69,7 @@ def matches(docs: DataFrame, text_col: str = "text") -> DataFrame:
     keywords = sorted({r[2] for r in rules})
     passed = docs.select(F.col(text_col).alias("text")).filter(gate(F.col("text")))
     words = F.split(lower_ascii(F.col("text")), PLAIN_GAP, -1)
-    passed = passed.select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"), words.alias("w"))
+    passed = passed.select(text_key(F.col("text")).alias("key"), words.alias("w"))
     passed = passed.select("key", "w", lead(F.col("w")).alias("lead"), n_words(F.col("w")).alias("n")).filter("n > 0")
 
     def cut(core: Column) -> Column:
@@ -105,8 +107,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         joined(F.when(F.col("base"), F.col("label"))).alias("base_labels"), joined("label").alias("labels"), F.max("weight").alias("score"),
     )
     text = F.col(text_col)
-    rows = docs.select(F.col(id_col), n_words(raw_words(text)).cast("bigint").alias("n_words"), F.unhex(F.md5(text.cast("binary"))).alias("key"))
-    return rows.join(per_text, "key", "left").select(
+    rows = docs.select(F.col(id_col), n_words(raw_words(text)).cast("bigint").alias("n_words"), text_key(text, n_words(raw_words(text)) > 0).alias("key"))
+    return rows.join(redealt(per_text), "key", "left").select(
         id_col, "n_words", F.coalesce("n_base", F.lit(0)).cast("bigint").alias("n_base"), "first_word", "last_word",
         F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"),
     )

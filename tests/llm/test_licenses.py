@@ -82,3 +82,68 @@ def test_overlap_beyond_the_neighbour(spark):
     rows = [("k", 0, 9, 1, "a", 1.0), ("k", 2, 11, 3, "b", 1.0), ("k", 4, 13, 2, "c", 1.0), ("k", 12, 15, 4, "d", 1.0), ("k", 40, 41, 9, "e", 1.0), ("j", 2, 11, 3, "b", 1.0)]
     found = spark.createDataFrame(rows, "key string, first int, last int, rule int, label string, weight double")
     assert sorted((r.key, r.label) for r in module.resolve(found).collect()) == [("j", "b"), ("k", "a"), ("k", "e")]
+
+
+def sample(parsed, rng):
+    """A text that a parsed pattern matches; what looks ahead is left out."""
+    out = []
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out.append(chr(arg))
+        elif name == "IN":
+            kind, value = arg[0]
+            if str(kind) == "NEGATE":
+                out.append("x")
+            else:
+                out.append(chr(value if str(kind) == "LITERAL" else value[0]))
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, inner = arg
+            out += [sample(inner, rng) for _ in range(rng.choice([low, min(int(high), low + 2)]))]
+        elif name == "SUBPATTERN":
+            out.append(sample(arg[3], rng))
+        elif name == "BRANCH":
+            out.append(sample(rng.choice(arg[1]), rng))
+        elif name == "NOT_LITERAL":
+            out.append("x")
+    return "".join(out)
+
+
+def most_words(parsed):
+    """The most spaces that a match can hold."""
+    n = 0
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            n += chr(arg) == " "
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            inner = most_words(arg[2])
+            assert not inner or int(arg[1]) < 1000, "a match of any length"
+            n += inner and inner * int(arg[1])
+        elif name == "SUBPATTERN":
+            n += most_words(arg[3])
+        elif name == "BRANCH":
+            n += max(map(most_words, arg[1]))
+    return n
+
+
+def test_every_rule_passes_its_gate_and_keyword(spark):
+    rng = random.Random(2)
+    rows = []
+    for r in build():
+        parsed = re._parser.parse(r.pattern)
+        assert most_words(parsed) <= module.EDGE, r
+        for _ in range(3):
+            tries = (sample(parsed, rng).strip() + end for _ in range(60) for end in ("", " 2 0"))  # some look ahead for a version
+            text = next(t for t in tries if re.search(r.pattern, f" {t} "))
+            assert r.keyword in f" {text} ", (r, text)
+            rows.append((r.rule, text))
+    df = spark.createDataFrame(rows, "rule int, text string")
+    assert df.filter(~module.gate(module.F.col("text"))).collect() == []
+    assert df.filter(~module.gate(module.F.upper(module.F.replace("text", module.F.lit(" "), module.F.lit(" - "))))).collect() == []
+
+
+def test_hundreds_of_rules_are_written():
+    from florilege.llm.license_rules import TEXTS, WRITTEN
+
+    assert len(TEXTS) + len(WRITTEN.strip().splitlines()) > 220
