@@ -20,6 +20,9 @@ gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,12 +37,14 @@ BASE_WEIGHT = 0.5
 
 def gate(text: Column) -> Column:
     """True for all texts in which a rule or a base phrase may match."""
-    low = F.lower(text)
-    out = low.rlike("(?:^|[^0-9a-z])(?:" + "|".join(GATE_WORDS) + ")(?:[^0-9a-z]|$)")
-    for literal in GATES:
-        gap = literal.replace(" ", "[^0-9a-z]+")
-        out = (F.contains(low, F.lit(literal)) if gap == literal else low.rlike(gap)) | out
-    return out
+    words = "(?:^|[^0-9a-z])(?:" + "|".join(GATE_WORDS) + ")(?:[^0-9a-z]|$)"
+    parts = [w.split("[")[0] for w in GATE_WORDS]  # literals that a gate word begins with
+
+    def holds(low: Column) -> Column:
+        found = [F.contains(low, F.lit(literal)) for literal in GATES]
+        return reduce(or_, found) | (reduce(or_, [F.contains(low, F.lit(x)) for x in parts]) & low.rlike(words))
+
+    return F.exists(F.array(F.lower(text)), holds)  # lowers the text once, not for each literal
 
 
 def _spaces(x: Column) -> Column:
