@@ -55,7 +55,13 @@ def test_trees(spark):
     rows = trees.collect()
     assert sum(len(t.leaves) for t in rows) == members.select("leaf").distinct().count()
     assert max(len(t.leaves) for t in rows) < 40
+    named = {t.tree: t for t in rows}
+    assert len(named) == len(rows) and any(t.above for t in rows)
+    turns = set()
     for t in rows:
+        above = [named[x] for x in t.above]
+        assert all(len(x.nodes) == 1 and x.above == t.above[:k] for k, x in enumerate(above)) and t.base == sum(len(x.ids) for x in above)
+        prefix = "".join(x.text for x in above)
         assert len(t.ids) == len(t.position_ids) == t.nodes[-1].end and len(t.text) == t.nodes[-1].char_end
         for n in t.nodes:
             assert t.ids[n.start : n.end] == library.encode(t.text[n.char_start : n.char_end], add_special_tokens=False).ids
@@ -67,7 +73,25 @@ def test_trees(spark):
                 at = t.nodes[at.parent]
             seen = [i for span in n.attend for i in range(span.start, span.end)]
             assert seen == sorted(i for p in path for i in range(p.start, p.end))
-            assert [t.position_ids[i] for i in seen] == list(range(len(seen)))
+            assert [t.position_ids[i] for i in seen] == list(range(t.base, t.base + len(seen)))
+            whole = prefix + "".join(t.text[p.char_start : p.char_end] for p in reversed(path))
+            assert whole not in turns  # each shared turn is written once, over all rows
+            turns.add(whole)
+
+
+def test_common_first_turn_is_written_once(spark):
+    rows = [(c, 0, "system", "the system prompt of all") for c in range(900)] + [(c, 1, "user", f"question {c % 600}") for c in range(900)] + [(c, 2, "assistant", "x " * (c % 7)) for c in range(600)]
+    rows += [(5000, 0, "system", "the system prompt of all")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    trees, _ = format_conversations(df, *PATHS, limit=16)
+    assert sum(t.text.count("the system prompt of all") for t in trees.collect()) == 1
+    assert sorted(map(tuple, digests(df, *PATHS, limit=16).collect()), key=str) == brute(rows)
+
+
+def test_very_long_texts_and_conversations(spark):
+    rows = [(1, 0, "user", "long \\ <turn " * 60_000), (1, 1, "assistant", "é" * 400_000)] + [(2, k, "assistant" if k % 2 else "user", f"turn {k}") for k in range(1500)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert sorted(map(tuple, digests(df, *PATHS).collect()), key=str) == brute(rows)
 
 
 def test_escapes():
