@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters with marks and the plain letters that stand for them.
-MARKED = "áäčďéěíĺľňóôöőřŕšťúůüűýžàâæçèêëîïñœùûÿãåìòõøßÁÄČĎÉĚÍĹĽŇÓÔÖŐŘŔŠŤÚŮÜŰÝŽÀÂÇÈÊËÎÏÑÙÛ"
-PLAIN = "aacdeeillnooo" + "orrstuuuu" + "yzaa" + "?ceeeiin?uuyaaioo??" + "AACDEEILLNOOOORRSTUUUUYZAACEEEIINUU"
-#: Letters that have no plain letter and are dropped.
-DROPPED = "æœøß"
+#: Plain letters and the letters with marks that they stand for; what is in none (æ, œ, ø, ß) is dropped.
+MARKED = {
+    "a": "áäàâãå", "c": "čç", "d": "ď", "e": "éěèêë", "i": "íîïì", "l": "ĺľ", "n": "ňñ", "o": "óôöőòõ", "r": "řŕ", "s": "š", "t": "ť", "u": "úůüűùû", "y": "ýÿ", "z": "ž",
+    "A": "ÁÄÀÂ", "C": "ČÇ", "D": "Ď", "E": "ÉĚÈÊË", "I": "ÍÎÏ", "L": "ĹĽ", "N": "ŇÑ", "O": "ÓÔÖŐ", "R": "ŘŔ", "S": "Š", "T": "Ť", "U": "ÚŮÜŰÙÛ", "Y": "Ý", "Z": "Ž",
+}
 
 
 def normal_space(x: Column) -> Column:
@@ -35,8 +35,7 @@ def word_tokens(x: Column) -> Column:
 
 def strip_marks(x: Column) -> Column:
     """Lower case, marks off, what is still not ASCII dropped."""
-    pairs = [(m, p) for m, p in zip(MARKED, PLAIN) if p != "?"]
-    plain = F.translate(x, "".join(m for m, _ in pairs), "".join(p for _, p in pairs))
+    plain = F.translate(x, "".join(MARKED.values()), "".join(p * len(marked) for p, marked in MARKED.items()))
     return F.lower(F.regexp_replace(plain, r"[^\x00-\x7F]", ""))
 
 

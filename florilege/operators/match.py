@@ -17,8 +17,10 @@ def phrase_spans(texts: DataFrame, phrases: DataFrame, key: str = "segment_id",
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(token), F.lit(0))
     own = phrases.select("phrase_id", F.regexp_extract_all(F.lower("phrase"), F.lit(token), F.lit(0)).alias("p")).filter("size(p) > 0")
     own = own.withColumn("word", F.get("p", F.lit(0)))
-    placed = texts.select(key, words.alias("w")).select(key, "w", F.posexplode("w").alias("at", "word"))
-    same = F.slice("w", F.col("at") + 1, F.size("p")) == F.col("p")
+    longest = own.agg(F.max(F.size("p"))).first()[0] or 1  # one number: a word carries the words behind it that a phrase can need
+    ahead = F.transform("w", lambda x, at: F.struct(x.alias("word"), F.slice("w", at + 1, longest).alias("ahead")))
+    placed = texts.select(key, words.alias("w")).select(key, F.posexplode(ahead).alias("at", "x")).select(key, "at", "x.*")
+    same = F.slice("ahead", F.lit(1), F.size("p")) == F.col("p")
     return placed.join(own, "word").filter(same).select(key, "phrase_id", F.col("at").alias("start"), F.size("p").alias("length"))
 
 

@@ -28,7 +28,7 @@ def renderings(term_segments: DataFrame, sets: DataFrame, least_df: int = 3, lea
     n_term = own.groupBy("term_id").agg(F.count("*").alias("n_term"))
     total = sets.select("segment_id").distinct().agg(F.count("*").alias("n_all"))
     k = own.join(sets, "segment_id").groupBy("term_id", "lemma").agg(F.count("*").alias("df"))
-    scored = k.join(F.broadcast(n_term), "term_id").join(document_frequency(sets).withColumnRenamed("df", "df_all"), "lemma").crossJoin(F.broadcast(total))  # one row
+    scored = k.join(n_term, "term_id").join(document_frequency(sets).withColumnRenamed("df", "df_all"), "lemma").crossJoin(F.broadcast(total))  # one row
     rate = F.col("df") / F.col("n_term")
     rest = F.col("n_all") - F.col("n_term")
     corpus = F.greatest(F.col("df_all") - F.col("df"), F.lit(floor)) / F.greatest(rest, F.lit(1))
@@ -53,9 +53,10 @@ def gap_lemmas(texts: DataFrame, known: DataFrame, floor: int = 3, ceiling: floa
     """lemma, df and first context of unknown lemmas between a floor and a share of all segments (empty ones counted)."""
     total = texts.agg(F.count("*").alias("n_all"))
     sets = lemma_sets(texts, "segment_id", "content", 3).join(known, "lemma", "left_anti")
-    first = sets.join(texts.select("segment_id", F.substring("content", 1, context).alias("context")), "segment_id")
-    found = first.groupBy("lemma").agg(F.count("*").alias("df"), F.min_by("context", "segment_id").alias("context"))
-    return found.crossJoin(F.broadcast(total)).filter((F.col("df") >= floor) & (F.col("df") <= F.floor(F.col("n_all") * ceiling))).drop("n_all")
+    found = sets.groupBy("lemma").agg(F.count("*").alias("df"), F.min("segment_id").alias("segment_id"))
+    found = found.join(F.broadcast(total), (F.col("df") >= floor) & (F.col("df") <= F.floor(F.col("n_all") * ceiling))).drop("n_all")  # one row
+    first = texts.groupBy("segment_id").agg(F.first(F.substring("content", 1, context)).alias("context"))
+    return found.join(first, "segment_id").select("lemma", "df", "context")
 
 
 def sample_contexts(members: DataFrame, kept: int = 12, used: int = 3) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from florilege.operators.navigation import numbered
+
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the source replace those of the target with their key."""
@@ -46,9 +48,11 @@ def update_from(target: DataFrame, source: DataFrame, key: str, column: str) ->
 
 def replace_guesses(target: DataFrame, fresh: DataFrame, keys: list[str], guessed: str = "model_proposed") -> DataFrame:
     """Guessed rows are wiped and new ones inserted where no row, a rejected one either, is in the way; nothing fresh, nothing done."""
-    if fresh.isEmpty():
-        return target
-    return insert_missing(target.filter(F.col("status") != guessed), fresh, keys)
+    is_guess = F.col("status") == guessed
+    any_fresh = fresh.limit(1).select(F.lit(True).alias("_any"))
+    kept = target.filter(is_guess).withColumn("_any", F.lit(True)).join(any_fresh, "_any", "left_anti").drop("_any")
+    others = target.filter(~F.coalesce(is_guess, F.lit(False)))
+    return insert_missing(others, fresh, keys).unionByName(kept, allowMissingColumns=True)
 
 
 def optimistic(target: DataFrame, commands: DataFrame, key: str) -> DataFrame:
@@ -110,9 +114,9 @@ def import_outcomes(rows: DataFrame, senses: DataFrame) -> DataFrame:
 
 
 def assign_keys(target: DataFrame, rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """New rows get keys behind the largest; rows are few beside the target."""
-    last = target.agg(F.coalesce(F.max(key), F.lit(0)).alias("_last"))
-    return rows.crossJoin(F.broadcast(last)).withColumn(key, F.col("_last") + F.row_number().over(Window.orderBy(*order))).drop("_last")
+    """New rows get keys behind the largest, in order; no window sees them all."""
+    last = target.agg(F.coalesce(F.max(key), F.lit(0)).alias("_last"))  # one row
+    return numbered(rows, order, "_n").join(F.broadcast(last)).withColumn(key, F.col("_last") + F.col("_n") + 1).drop("_last", "_n")
 
 
 def merge_sheet(existing: DataFrame, new: DataFrame, key: str, preserve: list[str]) -> DataFrame:

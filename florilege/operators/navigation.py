@@ -36,13 +36,18 @@ def page(rows: DataFrame, stamp: str, key: str, size: int, before=None) -> DataF
     return rows.orderBy(F.col(stamp).desc(), F.col(key).desc()).limit(size)
 
 
-def batches(rows: DataFrame, order: str, size: int) -> DataFrame:
-    """Batch number of each row in sorted order, by counts per range: no window over all rows."""
-    own = rows.repartitionByRange(order).withColumn("part", F.spark_partition_id())
+def numbered(rows: DataFrame, order: list[str], name: str = "number") -> DataFrame:
+    """Place of each row (0, 1, ...) in sorted order, by counts per range: no window over all rows."""
+    own = rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
     counts = own.groupBy("part").agg(F.count("*").alias("n"))
     base = counts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    at = F.col("base") + F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
-    return own.join(F.broadcast(base), "part").withColumn("batch", F.floor(at / size).cast("bigint")).drop("part", "base")
+    at = F.col("base") + F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    return own.join(F.broadcast(base), "part").withColumn(name, at.cast("bigint")).drop("part", "base")  # one row per range
+
+
+def batches(rows: DataFrame, order: str, size: int) -> DataFrame:
+    """Batch number of each row in sorted order."""
+    return numbered(rows, [order], "batch").withColumn("batch", F.floor(F.col("batch") / size).cast("bigint"))
 
 
 def absent(universe: tuple[int, int], present: DataFrame, column: str) -> DataFrame:

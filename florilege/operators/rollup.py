@@ -20,7 +20,7 @@ def article_progress(segments: DataFrame, reviews: DataFrame) -> DataFrame:
 
 def questions_by_status(segments: DataFrame, order: DataFrame, status: str) -> DataFrame:
     """Questions with segments of a status; parts without a place come last (9999)."""
-    found = segments.filter(F.col("status") == status).join(F.broadcast(order), "pars", "left")
+    found = segments.filter(F.col("status") == status).join(order, "pars", "left")
     return found.groupBy("pars", "question_path").agg(F.count("*").alias("n"), F.coalesce(F.max("ordinal"), F.lit(9999)).cast("bigint").alias("ordinal"))
 
 
@@ -79,11 +79,14 @@ def flips(rows: DataFrame, a: int, b: int) -> DataFrame:
 
 
 def coverage(segments: DataFrame, texts: DataFrame, lang: str) -> DataFrame:
-    """with, total, missing (ids, comma-joined) of a language."""
+    """with, total of a language; see ``uncovered`` for those without."""
     own = texts.filter(F.col("lang") == lang).select("segment_id").distinct().withColumn("has", F.lit(True))
-    flagged = segments.select("segment_id").join(own, "segment_id", "left")
-    missing = F.array_sort(F.collect_list(F.when(F.col("has").isNull(), F.col("segment_id"))))
-    return flagged.agg(F.count("has").alias("with"), F.count("*").alias("total"), F.array_join(F.transform(missing, lambda x: x.cast("string")), ",").alias("missing"))
+    return segments.select("segment_id").join(own, "segment_id", "left").agg(F.count("has").alias("with"), F.count("*").alias("total"))
+
+
+def uncovered(segments: DataFrame, texts: DataFrame, lang: str) -> DataFrame:
+    """Segments without a text of a language, as rows."""
+    return segments.select("segment_id").join(texts.filter(F.col("lang") == lang).select("segment_id"), "segment_id", "left_anti")
 
 
 def text_volume(texts: DataFrame) -> DataFrame:
@@ -91,12 +94,11 @@ def text_volume(texts: DataFrame) -> DataFrame:
 
 
 def token_cost(rows: DataFrame, rates: DataFrame) -> DataFrame:
-    """Price of each row by its model's rates per million; a model without rates is an error, found by an anti join."""
-    unknown = rows.join(rates, "model", "left_anti").select("model").distinct().limit(5).collect()
-    if unknown:
-        raise ValueError(f"no rates for {[r.model for r in unknown]}")
+    """Price of each row by its model's rates per million; a row of a model without rates is an error when it is computed."""
+    unknown = F.raise_error(F.concat(F.lit("no rates for "), F.coalesce("model", F.lit("null")))).cast("double")
     cost = (F.col("input") * F.col("input_rate") + F.col("cached") * F.col("cached_rate") + F.col("output") * F.col("output_rate")) / 1e6
-    return rows.join(F.broadcast(rates), "model").withColumn("usd", F.round(cost, 6))
+    joined = rows.join(rates.withColumn("_known", F.lit(True)), "model", "left")
+    return joined.withColumn("usd", F.when(F.col("_known"), F.round(cost, 6)).otherwise(unknown)).drop("_known")
 
 
 def assert_rates(needs_human: float, avg_iterations: float, most_human: float = 0.20, most_iterations: float = 2.5) -> None:

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MOST_PARTS = 10_000
+
+
 def categories(rows: DataFrame) -> DataFrame:
     """``category`` by counts of formulas and approved hits; rows in between have none and go."""
     category = F.when(F.col("formulas") >= 8, "formula").when(F.col("approved") >= 5, "rich").when(F.col("approved") <= 2, "plain")
@@ -32,12 +35,14 @@ def stratified(rows: DataFrame, total: int, shares: dict[str, float], seed: int,
     """
     pool = rows.filter(~F.col("question_path").isin(list(excluded))) if excluded else rows
     pool = pool.withColumn("rnd", F.xxhash64(F.lit(seed), "segment_id"))
-    parts = [r.pars for r in pool.select("pars").distinct().orderBy("pars").collect()]
+    parts = [r.pars for r in pool.select("pars").distinct().orderBy("pars").limit(MOST_PARTS + 1).collect()]
+    if len(parts) > MOST_PARTS:
+        raise ValueError(f"more than {MOST_PARTS} parts: quotas are held by the driver")
     wanted = F.broadcast(rows.sparkSession.createDataFrame(quotas(total, shares, parts), "category string, pars string, quota int"))
     pool = pool.withColumn("nth", F.row_number().over(Window.partitionBy("category", "question_path").orderBy("rnd", "segment_id")))
     order = [(F.col("nth") > 1), F.col("rnd"), F.col("segment_id")]
     pool = pool.withColumn("at", F.row_number().over(Window.partitionBy("category", "pars").orderBy(*order))).join(wanted, ["category", "pars"])
-    pool = pool.withColumn("in_quota", F.col("at") <= F.col("quota"))
+    pool = pool.withColumn("in_quota", F.col("at") <= F.col("quota")).filter(F.col("at") <= F.col("quota") + total)  # no more can be needed of a part
     whole = wanted.groupBy("category").agg(F.sum("quota").alias("whole"))
     pool = pool.withColumn("place", F.row_number().over(Window.partitionBy("category").orderBy(~F.col("in_quota"), *order)))
     return pool.join(F.broadcast(whole), "category").filter("place <= whole").select("segment_id", "pars", "question_path", "category")

@@ -201,7 +201,8 @@ QUERIES = {
     "A24_nested_senses": (lambda s, d: authority.nested(view(s, d, "sense"), "term", ["sense_id", "content"], "s").select("term", F.array_join(F.transform("s", lambda x: F.concat_ws(":", x["sense_id"], x["content"])), ";").alias("senses")), _N + " SELECT term, string_agg(sense_id || ':' || content, ';' ORDER BY sense_id) AS senses FROM sense GROUP BY 1"),
     "A25_blast_radius": (_radius, model_sql("usage", "segment", "review", "sense") + _STALE + ", t AS (SELECT DISTINCT sense_id, segment_id FROM usage WHERE status <> 'rejected') SELECT t.sense_id, count(*) AS total, count(*) FILTER (WHERE s.status = 'translated') AS translated, count(*) FILTER (WHERE s.status = 'needs_human') AS needs_human, count(*) FILTER (WHERE s.status = 'pending') AS pending, count(r.segment_id) AS reviewed, count(*) FILTER (WHERE st.segment_id IS NULL) AS marginal FROM t JOIN segment s ON s.segment_id = t.segment_id LEFT JOIN review r ON r.segment_id = t.segment_id LEFT JOIN stale st ON st.segment_id = t.segment_id GROUP BY 1"),
     "A27_pass_rates": (lambda s, d: guards.pass_rates(_seg(s, d).withColumn("ok", F.col("status") == "translated"), "element_type"), _S + " SELECT element_type, count(*) AS n, round(avg(CASE WHEN status = 'translated' THEN 1 ELSE 0 END), 6) AS rate FROM segment GROUP BY 1"),
-    "A28_coverage": (lambda s, d: rollup.coverage(s.range(100).withColumnRenamed("id", "segment_id"), view(s, d, "segment_text").filter("authority = 5"), "es"), model_sql("segment_text") + ", h AS (SELECT DISTINCT segment_id FROM segment_text WHERE lang = 'es' AND authority = 5) SELECT count(h.segment_id) AS \"with\", count(*) AS total, coalesce(string_agg(CAST(n AS VARCHAR), ',' ORDER BY n) FILTER (WHERE h.segment_id IS NULL), '') AS missing FROM range(100) AS t(n) LEFT JOIN h ON h.segment_id = n"),
+    "A28_coverage": (lambda s, d: rollup.coverage(view(s, d, "segment"), view(s, d, "segment_text").filter("authority = 5"), "es"), model_sql("segment", "segment_text") + ", h AS (SELECT DISTINCT segment_id FROM segment_text WHERE lang = 'es' AND authority = 5) SELECT count(h.segment_id) AS \"with\", count(*) AS total FROM segment s LEFT JOIN h ON h.segment_id = s.segment_id"),
+    "A28_uncovered": (lambda s, d: rollup.uncovered(view(s, d, "segment"), view(s, d, "segment_text").filter("authority = 5"), "es"), model_sql("segment", "segment_text") + " SELECT segment_id FROM segment WHERE segment_id NOT IN (SELECT segment_id FROM segment_text WHERE lang = 'es' AND authority = 5)"),
     "J07_flips": (lambda s, d: rollup.flips(view(s, d, "run_segment"), 0, 1), model_sql("run_segment") + " SELECT a.segment_id, a.status AS status_a, b.status AS status_b FROM run_segment a JOIN run_segment b ON a.segment_id = b.segment_id AND a.run_id = 0 AND b.run_id = 1 WHERE a.status <> b.status"),
     "T19_completeness": (_complete, None),
     "T20_extremes": (_extremes, _S + ", t AS (SELECT question_path, article_path, count(*) AS n FROM segment GROUP BY 1, 2) SELECT question_path, arg_min(article_path, (n, article_path)) AS short, arg_max(article_path, (n, article_path)) AS long FROM t GROUP BY 1"),

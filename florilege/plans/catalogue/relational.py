@@ -31,7 +31,7 @@ def _sense_view(s, d):
 
 
 def _v_segment(s, d):
-    return view(s, d, "segment").join(F.broadcast(view(s, d, "pars_order")), "pars").join(view(s, d, "review"), "segment_id").select("segment_id", "path", "ordinal", "reviewer")
+    return view(s, d, "segment").join(view(s, d, "pars_order"), "pars").join(view(s, d, "review"), "segment_id").select("segment_id", "path", "ordinal", "reviewer")
 
 
 def _left_text(s, d):
@@ -189,7 +189,7 @@ QUERIES = {
     "J05_anti_joins": (_anti, model_sql("segment", "review", "usage") + " SELECT segment_id, path FROM segment s WHERE status = 'pending' AND NOT EXISTS (SELECT 1 FROM review r WHERE r.segment_id = s.segment_id) AND NOT EXISTS (SELECT 1 FROM usage u WHERE u.segment_id = s.segment_id AND u.status = 'rejected')"),
     "J06_fresh_segments": (lambda s, d: stale.fresh_segments(view(s, d, "segment"), view(s, d, "usage"), view(s, d, "sense")).select("segment_id", "path"), model_sql("segment", "usage", "sense") + " SELECT segment_id, path FROM segment s WHERE NOT EXISTS (SELECT 1 FROM usage u JOIN sense USING (sense_id) WHERE u.segment_id = s.segment_id AND u.status <> 'rejected' AND used < version)"),
     "J09_stale_segments": (lambda s, d: stale.stale_segments(view(s, d, "usage"), view(s, d, "sense")), model_sql("usage", "sense") + " SELECT DISTINCT segment_id FROM usage JOIN sense USING (sense_id) WHERE usage.status <> 'rejected' AND used < version"),
-    "J10_default_ordinal": (lambda s, d: view(s, d, "segment").join(F.broadcast(view(s, d, "pars_order")), "pars", "left").select("segment_id", F.coalesce("ordinal", F.lit(9999)).cast("bigint").alias("ordinal")), model_sql("segment", "pars_order") + " SELECT segment_id, CAST(coalesce(ordinal, 9999) AS BIGINT) AS ordinal FROM segment LEFT JOIN pars_order USING (pars)"),
+    "J10_default_ordinal": (lambda s, d: view(s, d, "segment").join(view(s, d, "pars_order"), "pars", "left").select("segment_id", F.coalesce("ordinal", F.lit(9999)).cast("bigint").alias("ordinal")), model_sql("segment", "pars_order") + " SELECT segment_id, CAST(coalesce(ordinal, 9999) AS BIGINT) AS ordinal FROM segment LEFT JOIN pars_order USING (pars)"),
     "J11_comment_badges": (_unread, model_sql("comment", "reads") + " SELECT c.segment_id, count(*) AS total, count(*) FILTER (WHERE NOT resolved) AS open, count(*) FILTER (WHERE author <> 'u3' AND (last_read_at IS NULL OR created_at > last_read_at)) AS unread FROM comment c LEFT JOIN reads r ON r.segment_id = c.segment_id AND reader = 'u3' GROUP BY 1"),
     "T31_digests": (_digest, model_sql("comment", "review", "reads") + ", p AS (SELECT segment_id, author AS person FROM comment UNION SELECT segment_id, reviewer FROM review) SELECT person AS \"user\", c.segment_id, count(*) AS n, string_agg(CAST(comment_id AS VARCHAR), ',' ORDER BY created_at, comment_id) AS comment_ids FROM comment c JOIN p ON p.segment_id = c.segment_id AND person <> author LEFT JOIN reads r ON r.segment_id = c.segment_id AND reader = person WHERE last_read_at IS NULL OR created_at > last_read_at GROUP BY 1, 2"),
     "W02_neighbours": (_neighbours, _SEG + " SELECT article_path, lag(article_path) OVER (ORDER BY q_num, a_num) AS previous, lead(article_path) OVER (ORDER BY q_num, a_num) AS next FROM (SELECT DISTINCT q_num, a_num, article_path FROM segment) AS a"),

@@ -9,7 +9,7 @@ from florilege.operators import guards, match, mining, rollup
 from florilege.plans import flows
 from florilege.sinks import writers
 from florilege.sources import readers
-from florilege.sources.model import view
+from florilege.sources.model import model_sql, view
 from florilege.sources.readers import table
 
 _TOKENS = r"regexp_extract_all(lower(text), '\p{L}+')"
@@ -140,8 +140,16 @@ def _elements(s, d):
 
 
 def _locators(s, d):
-    titles = s.createDataFrame([(x,) for x in ("I q. 3 a. 1 arg. 1", "I-II q. 12 a. 4 s. c.", "III q. 2 pr.", "II-II q. 7", "I q. 1 a. 2 co.", "I q. 9 a. 3 ad 2", "Preface", "IV q. 1", "I q. 5 a. 6")], "title string")
-    return titles.withColumn("l", readers.parse_locator(F.col("title"))).select("title", "l.path", "l.element_type")
+    """A title for each segment: part, question and article by its numbers, the form of the element by its key."""
+    title = F.concat(F.get(F.array(*map(F.lit, _PARTS)), (F.col("segment_id") % 6).cast("int")), F.format_string(" q. %d", "q_num"), F.replace(F.get(F.array(*map(F.lit, _FORMS)), (F.col("segment_id") % 11).cast("int")), F.lit("A"), F.col("a_num").cast("string")))
+    return view(s, d, "segment").select("segment_id", readers.parse_locator(title).alias("l")).select("segment_id", "l.path", "l.element_type")
+
+
+_PARTS = ("I", "I-II", "II-II", "III", "IV", "II")
+_FORMS = (" a. A arg. 3", " a. A s. c.", " a. A s. c. 2", " a. A co.", " a. A ad 4", " a. A ad arg.", " pr.", "", " a. A", " a. A resp.", "  a.A  arg.12 ")
+_LOCATORS = model_sql("segment") + """ SELECT segment_id, CASE WHEN p AND form IN (0, 1, 2, 3, 4, 5, 6, 10) THEN list_extract(['I', 'I_II', 'II_II', 'III'], CAST(segment_id % 6 + 1 AS INT)) || '.q' || q_num || CASE WHEN form = 6 THEN '' ELSE '.a' || a_num END
+|| list_extract(['.arg3', '.sed_contra', '.sed_contra', '.respondeo', '.reply4', '.reply0', '.preamble', '', '', '', '.arg12'], form + 1) END AS path,
+CASE WHEN p THEN list_extract(['arg', 'sed_contra', 'sed_contra', 'respondeo', 'reply', 'reply', 'preamble', NULL, NULL, NULL, 'arg'], form + 1) END AS element_type FROM (SELECT *, segment_id % 6 < 4 AS p, CAST(segment_id % 11 AS INT) AS form FROM segment) AS x"""
 
 
 def _carried(s, d):
@@ -181,11 +189,12 @@ def _costs(s, d):
 
 
 def _verdicts(s, d):
-    said = s.createDataFrame([(1, "x <verdict> pass </verdict> fail"), (2, "first PASS\nthen revise it\nend"), (3, "nothing"), (4, "```json\n{\"a\": 1}\n```")], "id bigint, said string")
-    return said.select("id", tx.verdict(F.col("said")).alias("verdict"), tx.json_field(tx.unfence(F.col("said")), "a").alias("a"))
-
+    """What a reviewer might say of each document: a tag, lines, a fenced object or nothing."""
+    n = F.col("doc_id")
+    said = F.when(n % 4 == 0, F.format_string("x <verdict> pass%d </verdict> fail", n % 3)).when(n % 4 == 1, F.concat(F.lit("first PASS\nthen "), F.when(n % 3 == 0, "Revise").otherwise("it"), F.lit(" it\nend")))
+    said = said.when(n % 4 == 2, F.format_string("```json\n{\"a\": %d, \"b\": [1]}\n```", n)).otherwise("[" + "1]")
+    return _docs(s, d).select("doc_id", tx.verdict(said).alias("verdict"), tx.json_field(tx.unfence(said), "a").alias("a"))
 
-from florilege.sources.model import model_sql  # noqa: E402
 
 QUERIES = {
     "F01_normalised_counts": (_normal, r"SELECT doc_id, md5(trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g'))) AS spaced, CAST(len(regexp_extract_all(text, '[a-zA-Z]+')) AS BIGINT) AS ascii, CAST(len(regexp_extract_all(text, '\p{L}+')) AS BIGINT) AS letters, CAST(greatest(len(regexp_extract_all(text, '[.!?]+(?:\s|$)')), 1) AS BIGINT) AS sentences, left(text, 20) AS head FROM documents"),
@@ -193,7 +202,7 @@ QUERIES = {
     "F12_ratios": (_ratios, r"SELECT doc_id, CASE WHEN length(text) = 0 THEN 1.0 ELSE round(length(regexp_replace(text, '[aeiou]', '', 'g')) / length(text), 4) END AS ratio, round(length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) / nullif(length(regexp_replace(text, '[^\p{L}]', '', 'g')), 0), 6) AS upper, round(100 * length(regexp_replace(text, '[aeiou]', '', 'g')) / length(text), 1) AS percent FROM documents"),
     "F10_stems": (_stems, r"WITH w AS (SELECT DISTINCT lower(regexp_replace(w, '[0-9]+$', '')) AS w FROM (SELECT unnest(regexp_extract_all(text, '[a-zA-Z]+')) AS w FROM documents) AS x), c AS (SELECT w, CASE WHEN length(w) >= 5 AND (w LIKE '%us' OR w LIKE '%en') THEN left(w, length(w) - 2) ELSE regexp_replace(w, '[aeiouy]+$', '') END AS s FROM w) SELECT w, CASE WHEN length(s) < 3 THEN w ELSE s END AS stem FROM c"),
     "F17_token_costs": (_costs, "SELECT CASE WHEN l_returnflag = 'A' THEN 'a' ELSE 'b' END AS model, count(*) AS n, round(sum(round(CAST(CASE WHEN l_returnflag = 'A' THEN (l_quantity * 0.27 + l_tax * 0.07 + l_extendedprice * 1.1) ELSE (l_quantity * 3.0 + l_tax * 0.3 + l_extendedprice * 15.0) END AS DOUBLE) / 1e6, 6)), 3) AS usd FROM lineitem GROUP BY 1"),
-    "F22_verdicts": (_verdicts, "SELECT * FROM (VALUES (CAST(1 AS BIGINT), 'PASS', NULL), (2, 'REVISE', NULL), (3, NULL, NULL), (4, NULL, '1')) AS t(id, verdict, a)"),
+    "F22_verdicts": (_verdicts, "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'PASS' || doc_id % 3 WHEN 1 THEN CASE WHEN doc_id % 3 = 0 THEN 'REVISE' ELSE 'PASS' END END AS verdict, CASE WHEN doc_id % 4 = 2 THEN CAST(doc_id AS VARCHAR) END AS a FROM documents"),
     "J18_phrase_spans": (_phrase_spans, f"WITH p AS (SELECT item_id AS phrase_id, {_FIRST} AS p FROM benchmark), d AS (SELECT doc_id, {_TOKENS} AS w FROM documents) SELECT doc_id AS segment_id, phrase_id, CAST(i - 1 AS BIGINT) AS start, CAST(len(p) AS BIGINT) AS length FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d) AS x JOIN p ON w[i] = p[1] AND list_slice(w, i, i + len(p) - 1) = p"),
     "T05_leftmost_longest": (_chosen, None),
     "T06_masked": (_masked, None),
@@ -208,7 +217,7 @@ QUERIES = {
     "T25_draft_loop": (_loop, None),
     "T25_replayed_log": (_replay, "WITH c AS (SELECT *, length(text) % 3 = 0 AS pass FROM conversations) SELECT conv_id AS segment_id, max(turn) AS iterations, CASE WHEN count(*) FILTER (WHERE pass) > 0 THEN 'translated' ELSE 'needs_human' END AS status, md5(coalesce(arg_max(text, turn) FILTER (WHERE pass), arg_max(text, turn))) AS draft FROM c GROUP BY 1"),
     "S02_titled_paragraphs": (_elements, None),
-    "S03_locator_grammar": (_locators, "SELECT * FROM (VALUES ('I q. 3 a. 1 arg. 1', 'I.q3.a1.arg1', 'arg'), ('I-II q. 12 a. 4 s. c.', 'I_II.q12.a4.sed_contra', 'sed_contra'), ('III q. 2 pr.', 'III.q2.preamble', 'preamble'), ('II-II q. 7', 'II_II.q7', 'question_title'), ('I q. 1 a. 2 co.', 'I.q1.a2.respondeo', 'respondeo'), ('I q. 9 a. 3 ad 2', 'I.q9.a3.reply2', 'reply'), ('Preface', NULL, NULL), ('IV q. 1', NULL, NULL), ('I q. 5 a. 6', 'I.q5.a6', 'article_title')) AS t(title, path, element_type)"),
+    "S03_locator_grammar": (_locators, _LOCATORS),
     "S04_carry_forward": (_carried, None),
     "S08_glossary_senses": (_glossary, None),
     "K02_exchange_file": (_xliff, model_sql("segment") + _XLIFF),

@@ -37,9 +37,10 @@ def report(title: str, metrics: Iterable[DataFrame], most: int = 200) -> str:
     """Text of small metric tables, at most ``most`` lines of each: a report, not a result."""
     out = [f"# {title}"]
     for df in metrics:
-        rows = df.limit(most).collect()
+        rows = df.limit(most + 1).collect()
         out.append(" | ".join(df.columns))
-        out += [" | ".join("" if v is None else str(v) for v in r) for r in rows]
+        out += [" | ".join("" if v is None else str(v) for v in r) for r in rows[:most]]
+        out += [f"... more than {most} lines"] if len(rows) > most else []
     return "\n".join(out) + "\n"
 
 

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from florilege.functions.text import outside_parentheses, upper_share
 
-TRUE_WORDS = ("TRUE", "YES", "Y", "1", "X", "✓")
-#: Title grammar of a locator: part, question, then article with the kind of element and its number.
-LOCATOR = r"^\s*(I-II|II-II|III|II|I|Suppl)\s+q\.\s*(\d+)(?:\s+a\.\s*(\d+))?(?:\s+(arg|s\.\s*c|co|ad|pr)\.?\s*(\d+)?)?\.?\s*$"
+#: What a sheet holds where a row is approved, after trimming.
+TRUE_WORDS = ("TRUE", "True", "true", "1", "YES", "yes")
+#: Title grammar of a locator: part, question, then ``pr.`` or article and element.
+LOCATOR = r"^\s*(I-II|II-II|III|I) \s*q\.\s*(\d+)\s+(?:(pr)\.|a\.\s*(\d+)\s+(?:(arg)\.\s*(\d+)|(s)\.\s*c\.(?:\s*\d+)?|(co)\.|ad\s+(\d+)|ad\s+(arg)\.))\s*$"
+#: The same of lines that stand before a translated element: ``ot.`` for questions, ``čl.`` for articles.
+COORDINATE = r"^\s*(I-II|II-II|III|I)\s+ot\.\s*(\d+)\s+(?:čl\.\s*(\d+)\s+(?:(arg)\.\s*(\d+)|(protiarg)\.|(odp)\.|k\s+(\d+))|(pr)\.)"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,8 +26,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def jsonl(spark: SparkSession, path: str, schema: str, keys: list[str]) -> DataFrame:
-    """Last record of each key; blank lines are skipped, a line that is no object is an error."""
-    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id()).filter(F.trim("value") != "")
+    """Last record of each key; blank lines are skipped, a line that is no object is an error.
+
+    Files follow each other by path, lines as they stand: the order doesn't
+    depend on how files are dealt to tasks.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select("value", place.alias("at")).filter(F.trim("value") != "")
     parsed = lines.select("at", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r"))
     return parsed.groupBy(*(F.col(f"r.{k}").alias(k) for k in keys)).agg(F.max_by("r", "at").alias("r")).select("r.*")
 
@@ -37,7 +45,7 @@ def sample_ids(spark: SparkSession, path: str) -> DataFrame:
 
 def approvals(rows: DataFrame) -> DataFrame:
     """Approved rows of a sheet: a sense id that is no number drops the row, such a version is null."""
-    yes = F.upper(F.trim("approved")).isin(*TRUE_WORDS)
+    yes = F.trim("approved").isin(*TRUE_WORDS)
     return rows.filter(yes).withColumn("sense_id", F.col("sense_id").try_cast("int")).withColumn("version", F.col("version").try_cast("int")).filter("sense_id is not null")
 
 
@@ -46,14 +54,54 @@ def count_lines(spark: SparkSession, path: str, prefix: str = "[ANOMALY]") -> in
 
 
 def parse_locator(title: Column) -> Column:
-    """Struct of path and element type of a title; null for titles that are none."""
+    """Struct of path and element type of a title; null for titles that are none.
+
+    A preamble stands below its question, all else below an article.  Several
+    ``s. c.`` of an article share one path; ``ad arg.``, the reply to all
+    objections, has number 0.
+    """
     part = F.replace(F.regexp_extract(title, LOCATOR, 1), F.lit("-"), F.lit("_"))
-    q, a, kind, n = (F.regexp_extract(title, LOCATOR, k) for k in (2, 3, 4, 5))
-    name = F.when(kind == "arg", "arg").when(kind.startswith("s"), "sed_contra").when(kind == "co", "respondeo").when(kind == "ad", "reply").when(kind == "pr", "preamble")
-    head = F.concat(part, F.lit(".q"), q, F.when(a != "", F.concat(F.lit(".a"), a)).otherwise(F.lit("")))
-    path = F.when(name.isNull(), head).otherwise(F.concat(head, F.lit("."), name, n))
-    kind = F.coalesce(name, F.when(a != "", F.lit("article_title")).otherwise(F.lit("question_title")))
-    return F.when(title.rlike(LOCATOR), F.struct(path.alias("path"), kind.alias("element_type")))
+    q, pr, a, arg, arg_n, sc, co, reply_n, reply_all = (F.regexp_extract(title, LOCATOR, k) for k in range(2, 11))
+    kind = F.when(pr != "", "preamble").when(arg != "", "arg").when(sc != "", "sed_contra").when(co != "", "respondeo").otherwise("reply")
+    number = F.when(reply_all != "", "0").otherwise(F.concat(arg_n, reply_n))
+    return F.when(title.rlike(LOCATOR), F.struct(_element_path(part, q, a, kind, number).alias("path"), kind.alias("element_type")))
+
+
+def _element_path(part: Column, question: Column, article: Column, kind: Column, number: Column) -> Column:
+    return F.concat(part, F.lit(".q"), question, F.when(article != "", F.concat(F.lit(".a"), article)).otherwise(F.lit("")), F.lit("."), kind, number)
+
+
+def parse_coordinate(line: Column) -> Column:
+    """Path of a line that begins with a coordinate; null for other lines."""
+    part = F.replace(F.regexp_extract(line, COORDINATE, 1), F.lit("-"), F.lit("_"))
+    q, a, arg, arg_n, against, answer, reply_n, pr = (F.regexp_extract(line, COORDINATE, k) for k in range(2, 10))
+    kind = F.when(pr != "", "preamble").when(arg != "", "arg").when(against != "", "sed_contra").when(answer != "", "respondeo").otherwise("reply")
+    return F.when(line.rlike(COORDINATE), _element_path(part, q, a, kind, F.concat(arg_n, reply_n)))
+
+
+def preferred_source(wanted: DataFrame, files: DataFrame, keys: list[str], listed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """For each key the file of the best source that has one, and the gaps.
+
+    ``files``: keys, source, rank (best first).  A gap is a key without a file
+    (``none``), or one that is ``listed`` for the best source and had to fall
+    back (``fallback``).
+    """
+    best = files.groupBy(*keys).agg(F.min_by(F.struct("source", "rank"), F.struct("rank", "source")).alias("b")).select(*keys, "b.source", "b.rank")
+    found = wanted.select(*keys).distinct().join(best, keys, "left")
+    gaps = found.filter("source is null").select(*keys, F.lit("none").alias("gap"))
+    if listed is not None:
+        first = files.agg(F.min("rank").alias("first"))
+        back = found.filter("source is not null").join(listed.select(*keys).distinct(), keys, "left_semi").join(F.broadcast(first), F.col("rank") > F.col("first"), "left_semi")
+        gaps = gaps.union(back.select(*keys, F.lit("fallback").alias("gap")))
+    return found.filter("source is not null").select(*keys, "source"), gaps
+
+
+def json_or(spark: SparkSession, path: str, schema: str, default: tuple) -> DataFrame:
+    """The one record of a JSON file, or the default where there is no file."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if own.getFileSystem(spark._jsc.hadoopConfiguration()).exists(own):
+        return spark.read.schema(schema).json(path, multiLine=True)
+    return spark.createDataFrame([default], schema)
 
 
 def carry_forward(lines: DataFrame, file: str, at: str, tag: str, text: str) -> DataFrame:
