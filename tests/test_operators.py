@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from florilege.functions import paths
 from florilege.functions import text as tx
-from florilege.operators import guards, match, mining, mutate, navigation, rollup, sample, stale
+from florilege.operators import acceptance, guards, lookups, match, mining, mutate, navigation, rollup, sample, stale, terms
 from florilege.plans import flows
 from florilege.sinks import writers
 from florilege.sources import readers
@@ -297,3 +297,83 @@ def test_completeness_of_articles(spark):
     kinds = spark.createDataFrame([(1, "arg"), (1, "reply"), (1, "respondeo"), (2, "arg"), (3, "sed_contra")], "article int, kind string")
     got = guards.completeness(kinds, "article", "kind", ["arg", "reply"], ["respondeo", "sed_contra"])
     assert rows(got.select("article", F.array_join("fails", ",").alias("f"), F.array_join("warns", ",").alias("w"))) == [(1, "", "sed_contra"), (2, "reply", "respondeo,sed_contra"), (3, "arg,reply", "respondeo")]
+
+
+def resolved(text, phrases, lemmas, own, senses, signals, gaps, suppressed, has):
+    """One segment after the other, as a person would."""
+    said = re.findall(r"[^\W\d_]+", text.lower())
+    spans = sorted({(i, -len(p.split()), t) for t, p in phrases for i in range(len(said)) if said[i : i + len(p.split())] == p.split()})
+    out, end, used, masked = {}, 0, set(), text
+    for start, minus, t in spans:
+        if start >= end:
+            end = start - minus
+            used.add(t)
+            out.setdefault(t, ("hit", None))
+    for t, p in sorted(phrases, key=lambda x: (-len(x[1]), x[1])):
+        if t in used:
+            masked = re.sub(re.escape(p), " ", masked, flags=re.I)
+    candidates = set()
+    for token in sorted({w.lower() for w in re.findall("[a-zA-Z]+", masked)}):
+        of = [lemma for _, lemma in sorted((c, x) for s, c, x in lemmas if s == token)] or [token]
+        term = next((t for x in of for t, y in own if y == x.lower()), None)
+        if term is None:
+            candidates.add(re.sub(r"\d+$", "", of[0]).lower())
+        elif token not in suppressed:
+            out.setdefault(term, ("hit", None))
+    for lemma, t, sense in gaps:
+        if lemma in candidates and len(lemma) >= 4:
+            out.setdefault(t, ("gap", sense))
+    rows_ = []
+    for t, (how, sense) in out.items():
+        if how == "gap":
+            rows_.append((t, sense, "czech_derived" if has[0] else "english_derived" if has[1] else "model_proposed", "needs_review"))
+            continue
+        of = [(i, label) for i, u, label in senses if u == t]
+        heard = {i for i, _ in signals if i in {x for x, _ in of}}
+        strong = any(r <= 20 for i, r in signals if i in heard)
+        first = next((i for i, label in of if label is None), of[0][0])
+        if len(of) == 1:
+            rows_.append((t, first, "single", "auto"))
+        elif len(heard) == 1 and strong:
+            rows_.append((t, heard.pop(), "multi_voted", "auto"))
+        else:
+            rows_.append((t, first, "multi_flagged", "needs_review"))
+    return rows_
+
+
+def test_resolved_segments_equal_a_loop(spark):
+    rng = random.Random(11)
+    words = ["actus", "Actus", "essendi", "per", "se", "habitum", "caritas", "Caritas", "virtus", "esse", "unde", "quod", "gratia"]
+    phrases = [(1, "actus essendi"), (2, "per se"), (3, "se actus"), (4, "per se actus")]
+    lemmas = [("habitum", 0, "habitus"), ("virtus", 0, "vir"), ("virtus", 1, "Virtus2"), ("caritas", 0, "caritas"), ("unde", 0, "undo3"), ("quod", 0, "qui"), ("essendi", 0, "Esse")]
+    own = [(5, "habitus"), (6, "caritas"), (7, "virtus2"), (8, "esse")]
+    senses = [(10 * t + j, t, None if j == 1 else "x") for t in range(1, 9) for j in range(1 + t % 3)]
+    gaps = [("undo", 20, 200), ("gratia", 21, 210), ("qui", 22, 220), ("actus", 23, 230)]
+    texts, signals, suppressed, want = [], [], [], []
+    for i in range(120):
+        text = " ".join(rng.choice(words) + rng.choice(["", "", ",", "."]) for _ in range(rng.randrange(12)))
+        czech, english = rng.choice([None, "", "text"]), rng.choice([None, "text"])
+        own_signals = [(s[0], rng.choice([10, 30])) for s in senses if rng.random() < 0.2]
+        gone = {"habitum"} if rng.random() < 0.3 else set()
+        texts.append((i, text, czech, english))
+        signals += [(i, *x) for x in own_signals]
+        suppressed += [(i, x) for x in gone]
+        want += [(i, *r) for r in resolved(text, phrases, lemmas, own, senses, own_signals, gaps, gone, (czech, english))]
+    frame = spark.createDataFrame
+    got = terms.resolve_segments(
+        frame(texts, "segment_id long, content string, czech string, english string"), frame(phrases, "phrase_id long, phrase string"), frame(lemmas, "surface string, candidate int, lemma string"), frame(own, "term_id long, lemma string"),
+        frame(senses, "sense_id long, term_id long, label string"), frame(signals, "segment_id long, sense_id long, rank int"), frame(gaps, "lemma string, term_id long, sense_id long"), frame(suppressed, "segment_id long, token string"))
+    found = {tuple(r) for r in got.select("segment_id", "term_id", "sense_id", "method", "confidence").collect()}
+    assert found == set(want) and got.count() == len(want)
+    assert {r[3] for r in want} >= {"single", "multi_voted", "multi_flagged", "czech_derived"}
+
+
+def test_codes_that_must_be_known(spark):
+    codes, dimension = spark.createDataFrame([("a",), ("b",)], "code string"), spark.createDataFrame([("a", 1)], "code string, id int")
+    assert rows(lookups.ids_of(codes, dimension, "code", "id")) == [("a", 1), ("b", None)]
+    with pytest.raises(Exception, match="no id for b"):
+        lookups.ids_of(codes, dimension, "code", "id", required=True).collect()
+    links = spark.createDataFrame([("/q/st03.pdf",), ("/other",), ("/q/stx.pdf",)], "link string")
+    assert rows(acceptance.link_numbers(links, "link", "/q/st", ".pdf", strict=False)) == [("/q/st03.pdf", 3), ("/q/stx.pdf", None)]
+    with pytest.raises(Exception, match="unexpected link /q/stx.pdf"):
+        acceptance.link_numbers(links, "link", "/q/st", ".pdf").collect()
