@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,16 @@ def xliff(df: DataFrame, source: str, target: str) -> DataFrame:
     return own.select("pars", "units", F.concat(F.lit(head), "pars", F.lit('">'), F.array_join(F.transform("u", lambda x: x["u"]), ""), F.lit("</file></xliff>")).alias("document"))
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text as one file, in whatever store the path is in."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = own.getFileSystem(spark._jsc.hadoopConfiguration()).create(own, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
 def append_records(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 

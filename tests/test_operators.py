@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from florilege.functions import paths
 from florilege.functions import text as tx
 from florilege.operators import acceptance, guards, lookups, match, mining, mutate, navigation, rollup, sample, stale, terms
-from florilege.plans import flows
-from florilege.sinks import writers
+from florilege.plans import flows, steps
+from florilege.sinks import reports, writers
 from florilege.sources import readers
 from florilege.streaming import unread
 
@@ -377,3 +377,47 @@ def test_codes_that_must_be_known(spark):
     assert rows(acceptance.link_numbers(links, "link", "/q/st", ".pdf", strict=False)) == [("/q/st03.pdf", 3), ("/q/stx.pdf", None)]
     with pytest.raises(Exception, match="unexpected link /q/stx.pdf"):
         acceptance.link_numbers(links, "link", "/q/st", ".pdf").collect()
+
+
+def test_steps(spark, tmp_path):
+    context = steps.Context(spark, "x", str(tmp_path), {"limit": "5"})
+    assert context.knob("limit", int, 1) == 5 and context.knob("other", int, 1) == 1 and context.knob("none", int, None) is None
+
+    def broken(_):
+        raise RuntimeError("no such file")
+
+    ok = steps.Step("first", lambda c: steps.Result("first", True, "fine", {"n": 3, "list": list(range(7)), "checks": {"a": True}}), stage="ingest")
+    plan = [ok, steps.Step("gate", lambda c: steps.Result("gate", True), verify=lambda c: False), steps.Step("bad", broken, stage="ingest"), steps.Step("gate2", lambda c: steps.Result("x", True), verify=broken)]
+    assert [r.name for r in steps.run_steps(context, plan)] == ["first", "gate"]
+    got = steps.run_steps(context, plan, go_on=True)
+    assert [(r.ok, r.summary) for r in got] == [(True, "fine"), (False, "precondition not met"), (False, "no such file"), (False, "precondition error: no such file")]
+    text = (tmp_path / "ingest" / "first.md").read_text()
+    assert "- status: ok" in text and "- list (7): 0, 1, 2, 3, 4 (+2 more)" in text and "    - a: pass" in text and "action" not in text
+    assert "- step failed: no such file" in (tmp_path / "ingest" / "bad.md").read_text()
+    checks = spark.createDataFrame([("a", 3, 2, True), ("b", 1, 2, False)], "check string, found long, least long, ok boolean")
+    result = steps.run_step(context, steps.acceptance_step("verify", lambda c: checks))
+    assert not result.ok and result.summary == "b: 1 of 2" and "- failing checks: b" in steps.step_report("acquire", result, 0.1)
+    assert steps.load_state('{"a": 1}') == {"a": 1} and steps.load_state("{broken") == steps.load_state(None) == steps.load_state("[1]") == {}
+
+
+def test_reports(spark, tmp_path):
+    segments = spark.createDataFrame([(i,) for i in range(5)], "segment_id int")
+    texts = spark.createDataFrame([(1, "sk", "abc"), (2, "sk", "d"), (1, "en", "x")], "segment_id int, lang string, content string")
+    usage = spark.createDataFrame([("auto",), ("auto",), ("needs_review",)], "confidence string")
+    text = reports.coverage_report(segments, texts, ["sk", "la"], usage)
+    assert "- sk: 2/5 (40.0%); first missing: 0, 3, 4" in text and "- la: 0/5 (0.0%)" in text and "auto | 2" in text and "sk | 4" in text
+    runs = spark.createDataFrame([(0, 1, "translated", 1, 10, "arg"), (0, 2, "needs_human", 3, 30, "arg"), (1, 1, "translated", 1, 10, "arg"), (1, 2, "translated", 2, 30, "co")], "run_id int, segment_id int, status string, iterations int, chars int, element_type string")
+    assert "- cost: $1.0000 ($0.250000 a segment)" in reports.production_report(runs, 1.0) and "- average iterations: 1.75" in reports.production_report(runs, 1.0)
+    assert "$0.000000 a segment" in reports.production_report(runs.limit(0), 0.0)
+    assert "- corpus at this price: $10.00" in reports.pilot_report(runs, 800, 1.0) and "1/4 (25.0%)" in reports.pilot_report(runs, 800, 1.0)
+    both = reports.comparison_report(runs, 0, 1)
+    assert "needs_human | 1 | 0 | -1 | ▼" in both and "2 | needs_human | translated" in both
+    polished = spark.createDataFrame([(True, []), (False, ["la", "of"]), (False, ["la"])], "ok boolean, lost array<string>")
+    assert "1/3 (33.3%)" in reports.polish_report(polished) and "la | 2\nof | 1" in reports.polish_report(polished)
+    notes = spark.createDataFrame([("I.q2", 1, "b"), ("I.q1", 2, "a")], "path string, iteration int, feedback string")
+    assert reports.triage_report(notes).endswith("I.q1 | 2 | a\nI.q2 | 1 | b\n") and "... more than 1 lines" in reports.triage_report(notes, 1)
+    reports.save_record(spark, {"calls": 3}, "calls int, cost double", str(tmp_path / "stats"))
+    assert rows(readers.json_or(spark, str(tmp_path / "stats"), "calls int, cost double", (0, 0.0))) == [(3, None)]
+    for _ in range(2):
+        reports.append_rows(runs, str(tmp_path / "runs"))
+    assert spark.read.parquet(str(tmp_path / "runs")).count() == 8
