@@ -373,4 +373,4 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "do
     """The rows of ``docs`` without near duplicates: of all that hang together the one of the least id (see ``Join.documents``), once if it repeats."""
     marks = Join(docs, threshold, id_col, text_col).documents().filter("first").select(F.col("row_mark").alias("_row_mark")).distinct()
     own = docs.withColumn("_row_mark", row_mark(id_col, text_col))
-    return own.join(marks, "_row_mark", "left_semi").drop("_row_mark").dropDuplicates([id_col, text_col])
+    return own.join(marks, "_row_mark", "left_semi").dropDuplicates(["_row_mark", id_col, text_col]).drop("_row_mark")  # the join's own partitioning serves
