@@ -35,7 +35,7 @@ from florilege.llm.words import slices
 #: Documents are cut until the rest is of this class at least.
 FINE = 8
 #: Workers whose open bins one task of the next round takes.
-FAN = 32
+FAN = 8
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:
@@ -55,7 +55,7 @@ class Bins:
 
     def __init__(self, level: int, capacity: int) -> None:
         self.capacity, self.open, self.made = capacity, {}, []
-        self.next = level << 60 | TaskContext.get().partitionId() << 36
+        self.next = level << 58 | TaskContext.get().partitionId() << 36
 
     def put(self, length: int, row: tuple) -> None:
         k = self.capacity // length
