@@ -182,11 +182,10 @@ _node = pa.struct([*((k, pa.int32()) for k in NODE), ("attend", pa.list_(_span))
 _leaf = pa.struct([("node", pa.int32()), ("leaf", pa.binary())])
 
 
-def _trunk(distinct: DataFrame, places: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
+def _trunk(distinct: DataFrame, large: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """node, above (keys), role, text, ends (whether a conversation ends here), n_tokens, before (tokens above) of each node that is a row of its own."""
-    rep = places.groupBy("node").agg(F.min("leaf").alias("leaf"), F.first("depth").alias("depth"), F.max(F.col("depth") + 1 == F.col("turns")).alias("ends"))
     at = F.col("depth")
-    turns = rep.join(distinct, "leaf").select("node", F.slice("path", F.lit(1), at).alias("above"), F.get("c.roles", at).alias("role"), F.get("c.texts", at).alias("text"), "ends")
+    turns = large.join(distinct, "leaf").select("node", F.slice("path", F.lit(1), at).alias("above"), F.get("c.roles", at).alias("role"), F.get("c.texts", at).alias("text"), "ends")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary, pattern)
@@ -207,10 +206,11 @@ def prefix_trees(convs: DataFrame, vocabulary: str, pattern: str, limit: int = L
     distinct = convs.filter("size(path) > 0").groupBy(leaf.alias("leaf")).agg(F.first("path").alias("path"), F.first(F.struct("roles", "texts")).alias("c"))
     distinct = materialize(distinct)
     places = distinct.select("leaf", F.size("path").alias("turns"), F.posexplode("path").alias("depth", "node"))
-    large = materialize(places.groupBy("node").agg(F.count("*").alias("n")).filter(F.col("n") > limit))
-    places = places.join(redealt(large), "node")
-    trunk = _trunk(distinct, places, vocabulary, pattern)
-    deepest = places.groupBy("leaf").agg(F.max(F.struct("depth", "node", "n")).alias("d")).select("leaf", "d.*")
+    ends = F.col("depth") + 1 == F.col("turns")
+    large = places.groupBy("node").agg(F.count("*").alias("n"), F.min("leaf").alias("leaf"), F.first("depth").alias("depth"), F.max(ends).alias("ends"))
+    large = materialize(large.filter(F.col("n") > limit))
+    trunk = _trunk(distinct, large, vocabulary, pattern)
+    deepest = places.join(redealt(large.select("node", "n")), "node").groupBy("leaf").agg(F.max(F.struct("depth", "node", "n")).alias("d")).select("leaf", "d.*")
     deepest = deepest.join(redealt(trunk.select("node", (F.col("before") + F.col("n_tokens")).alias("base"))), "node")
     split = F.pmod(F.xxhash64(F.get("path", F.col("depth") + 1)), F.ceil(F.col("n") / limit))
     top = F.col("depth").isNull()
