@@ -204,7 +204,7 @@ QUERIES = {
     "A28_coverage": (lambda s, d: rollup.coverage(view(s, d, "segment"), view(s, d, "segment_text").filter("authority = 5"), "es"), model_sql("segment", "segment_text") + ", h AS (SELECT DISTINCT segment_id FROM segment_text WHERE lang = 'es' AND authority = 5) SELECT count(h.segment_id) AS \"with\", count(*) AS total FROM segment s LEFT JOIN h ON h.segment_id = s.segment_id"),
     "A28_uncovered": (lambda s, d: rollup.uncovered(view(s, d, "segment"), view(s, d, "segment_text").filter("authority = 5"), "es"), model_sql("segment", "segment_text") + " SELECT segment_id FROM segment WHERE segment_id NOT IN (SELECT segment_id FROM segment_text WHERE lang = 'es' AND authority = 5)"),
     "J07_flips": (lambda s, d: rollup.flips(view(s, d, "run_segment"), 0, 1), model_sql("run_segment") + " SELECT a.segment_id, a.status AS status_a, b.status AS status_b FROM run_segment a JOIN run_segment b ON a.segment_id = b.segment_id AND a.run_id = 0 AND b.run_id = 1 WHERE a.status <> b.status"),
-    "T19_completeness": (_complete, None),
+    "T19_completeness": (_complete, _S + ", h AS (SELECT article_path, list(DISTINCT element_type) AS has FROM segment GROUP BY 1) SELECT article_path, array_to_string(list_sort(list_filter(['1-URGENT', '2-HIGH'], lambda k: NOT list_contains(has, k))), ',') AS fails, array_to_string(list_sort(list_filter(['3-MEDIUM', '5-LOW'], lambda k: NOT list_contains(has, k))), ',') AS warns FROM h"),
     "T20_extremes": (_extremes, _S + ", t AS (SELECT question_path, article_path, count(*) AS n FROM segment GROUP BY 1, 2) SELECT question_path, arg_min(article_path, (n, article_path)) AS short, arg_max(article_path, (n, article_path)) AS long FROM t GROUP BY 1"),
     "T21_last_file": (_last_file, model_sql("segment_text") + " SELECT segment_id, doc_id FROM (SELECT segment_id, doc_id, row_number() OVER (PARTITION BY segment_id ORDER BY source DESC, doc_id DESC) AS n FROM segment_text) AS x WHERE n = 1"),
     "T22_stratified_sample": (_sample, None),

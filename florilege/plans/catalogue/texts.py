@@ -158,6 +158,14 @@ def _carried(s, d):
     return readers.carry_forward(lines, "doc_id", "at", "tag", "line").select("doc_id", "tag", F.length("line").cast("bigint").alias("chars"))
 
 
+_CARRIED = """WITH l AS (SELECT doc_id, i - 1 AS p, w[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents) AS x, unnest(range(1, len(w) + 1)) AS t(i)),
+g AS (SELECT *, CASE WHEN regexp_matches(line, '^[A-M]') AND p % 3 = 0 THEN left(line, 1) END AS tag FROM l), r AS (SELECT *, count(tag) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
+o AS (SELECT *, max(tag) OVER (PARTITION BY doc_id, run) AS own FROM r WHERE run > 0), j AS (SELECT doc_id, run, own, string_agg(trim(line), ' ' ORDER BY p) AS t FROM o WHERE tag IS NULL AND trim(line) <> '' GROUP BY 1, 2, 3)
+SELECT doc_id, own AS tag, length(max_by(t, run)) AS chars FROM j GROUP BY 1, 2"""
+_GLOSSARY = """WITH l AS (SELECT p_partkey AS place, unnest([trim(p_name), p_brand]) AS lemma, p_type FROM part), g AS (SELECT lemma, min(place) AS place, max_by(p_type, place) AS t FROM l WHERE lemma <> '' GROUP BY 1)
+SELECT lemma, place AS "at", CAST(0 AS BIGINT) AS position, 'kind' AS context, t AS content FROM g UNION ALL SELECT lemma, place, 1, NULL, lower(t) FROM g"""
+
+
 def _glossary(s, d):
     lines = table(s, d, "part").select(F.col("p_partkey").alias("at"), F.concat("p_name", F.lit(", "), "p_brand", F.lit(" – "), "p_type", F.lit(" (kind: other), "), F.lower("p_type")).alias("value"))
     return readers.senses(readers.glossary(lines)).select("lemma", "at", F.col("position").cast("bigint").alias("position"), "context", "content")
@@ -218,7 +226,7 @@ QUERIES = {
     "T25_replayed_log": (_replay, "WITH c AS (SELECT *, length(text) % 3 = 0 AS pass FROM conversations) SELECT conv_id AS segment_id, max(turn) AS iterations, CASE WHEN count(*) FILTER (WHERE pass) > 0 THEN 'translated' ELSE 'needs_human' END AS status, md5(coalesce(arg_max(text, turn) FILTER (WHERE pass), arg_max(text, turn))) AS draft FROM c GROUP BY 1"),
     "S02_titled_paragraphs": (_elements, None),
     "S03_locator_grammar": (_locators, _LOCATORS),
-    "S04_carry_forward": (_carried, None),
-    "S08_glossary_senses": (_glossary, None),
+    "S04_carry_forward": (_carried, _CARRIED),
+    "S08_glossary_senses": (_glossary, _GLOSSARY),
     "K02_exchange_file": (_xliff, model_sql("segment") + _XLIFF),
 }
