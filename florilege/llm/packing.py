@@ -36,6 +36,8 @@ from florilege.llm.words import slices
 FINE = 8
 #: Workers whose open bins one task of the next round takes.
 FAN = 8
+#: Bytes of text that are tokenised together.
+SLICE = 4 << 20
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:
@@ -135,7 +137,7 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, end_id: int = 0, capaci
         bins, own = Bins(1, capacity), encoder(vocabulary, pattern)
         cuts: dict[int, list[int]] = {}
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, SLICE):
                 flat, counts = own.encode(part.column(1).to_pylist())
                 n = counts + 1
                 ends = np.cumsum(n)
