@@ -78,6 +78,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_expiring_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.clicks import dedupe_clicks
+
+    return dedupe_clicks(table(spark, sf_dir, "clicks"))
+
+
 _PLAIN = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP10_SQL = f"""
@@ -120,7 +126,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op3_quality_rules, op4_ppm_scores, op5_license_scan, op6_jaccard_join, op7_sharding, op8_packing, op9_chat_trees, op10_decontamination, pipeline)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op3_quality_rules, op4_ppm_scores, op5_license_scan, op6_jaccard_join, op7_sharding, op8_packing, op9_chat_trees, op10_decontamination, op11_expiring_clicks, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
