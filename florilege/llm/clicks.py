@@ -262,7 +262,8 @@ def dedupe_clicks(clicks: DataFrame, n_batches: int = BATCHES) -> DataFrame:
     origin, far = ends
     landing, store = _hadoop(spark, f"{base}/landing")
     store.mkdirs(landing)
-    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    # each start loads the state anew, so a store that stays open after its commit would only hold disk
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.stateStore.unloadOnCommit": "true", "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
     were = {k: spark.conf.get(k, None) for k in settings}
     before = -1
     try:
