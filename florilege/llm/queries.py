@@ -84,6 +84,18 @@ def op11_expiring_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_clicks(table(spark, sf_dir, "clicks"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.suffixes import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from florilege.llm.negatives import hard_negatives
+
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 _PLAIN = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP10_SQL = f"""
@@ -119,6 +131,21 @@ FROM k JOIN c USING (k) JOIN m ON m.c = least LEFT JOIN z ON z.a = least
 """
 
 
+OP13_SQL = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e AS a JOIN e AS b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+p AS (SELECT a, anchor_id, b, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, b) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id, s.b) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -126,8 +153,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op3_quality_rules, op4_ppm_scores, op5_license_scan, op6_jaccard_join, op7_sharding, op8_packing, op9_chat_trees, op10_decontamination, op11_expiring_clicks, pipeline)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op3_quality_rules, op4_ppm_scores, op5_license_scan, op6_jaccard_join, op7_sharding, op8_packing, op9_chat_trees, op10_decontamination, op11_expiring_clicks, op12_suffix_dedup, op13_hard_negatives, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_jaccard_join": OP6_SQL, "op10_decontamination": OP10_SQL}
+    return {"op6_jaccard_join": OP6_SQL, "op10_decontamination": OP10_SQL, "op13_hard_negatives": OP13_SQL}
