@@ -17,8 +17,9 @@ its seed, so that every worker that is given its weights, or trains anew, has
 the same.  Weights have a fixed size (under 1 MB), whatever the input.
 
 A null or empty page, or one without article, has an empty text; white space
-within a block becomes one space, blocks are joined by one space; character
-references are decoded; tags are told by the HTML rules (stray and unquoted
+within a block becomes one space, blocks are joined by one space; an empty
+table gives an empty result; other columns don't matter; character
+references are decoded; tags may nest to any depth, memory follows the page; tags are told by the HTML rules (stray and unquoted
 quotes, a slash that closes nothing); markup that is never closed, or closed
 twice, is read as far as it goes; repeated rows repeat.
 """
@@ -66,13 +67,28 @@ PART = re.compile(r"[a-z]+")
 SPACE = re.compile(r"[\s ]+")
 
 
+class Node:
+    """An open element: its tag and class words, the one around it, and the hash slots of its whole path as bits.
+
+    Blocks share their path's nodes, so that a page takes memory by its size, however deep its tags go.
+    """
+
+    __slots__ = ("tag", "words", "around", "depth", "slots")
+
+    def __init__(self, tag: str, words: tuple[str, ...], around: Node | None) -> None:
+        self.tag, self.words, self.around, self.depth = tag, words, around, around.depth + 1 if around else 1
+        self.slots = around.slots if around else 0
+        for name in ("<" + tag, *(mark + w for w in words if len(w) > 1 for mark in ("", "~"))):
+            self.slots |= 1 << _of_path[name]
+
+
 class Block:
-    """``before`` and ``behind``: whether fields of a form stand between this block and the next one."""
+    """``path``: the innermost element.  ``before`` and ``behind``: whether fields of a form stand between this block and the next one."""
 
     __slots__ = ("path", "text", "linked", "bold", "depth", "before", "behind")
 
-    def __init__(self, path: list[tuple[str, tuple[str, ...]]], text: str, linked: int, bold: int, before: bool) -> None:
-        self.path, self.text, self.linked, self.bold, self.depth, self.before, self.behind = path, text, linked, bold, len(path), before, False
+    def __init__(self, path: Node | None, text: str, linked: int, bold: int, before: bool) -> None:
+        self.path, self.text, self.linked, self.bold, self.depth, self.before, self.behind = path, text, linked, bold, path.depth if path else 0, before, False
 
 
 def _enclosed_end(page: str, at: int, tag: str, around: set[str], endless: set) -> int:
@@ -100,7 +116,8 @@ def _enclosed_end(page: str, at: int, tag: str, around: set[str], endless: set)
 def scan(page: str | None) -> list[Block]:
     """Blocks of a page in order."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Node] = []
+    open_tags: dict[str, int] = {}
     parts: list[str] = []
     state = {"linked": 0, "bold": 0, "fields": False}
     anchors = bolds = 0
@@ -118,11 +135,18 @@ def scan(page: str | None) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(list(stack), text, state["linked"], state["bold"], state["fields"]))
+                out.append(Block(stack[-1] if stack else None, text, state["linked"], state["bold"], state["fields"]))
                 state["fields"] = False
             parts.clear()
         state["linked"] = state["bold"] = 0
 
+    def leave() -> str:
+        tag = stack.pop().tag
+        open_tags[tag] -= 1
+        if not open_tags[tag]:
+            del open_tags[tag]
+        return tag
+
     at, n = 0, len(page)
     while at < n:
         m = TOKEN.search(page, at)
@@ -145,7 +169,7 @@ def scan(page: str | None) -> list[Block]:
                 close()
             if not (tag in ("svg", "math") and m[3].endswith("/")):  # a slash closes nothing else
                 if tag in ENCLOSED:
-                    at = _enclosed_end(page, at, tag, {t for t, _ in stack}, endless)
+                    at = _enclosed_end(page, at, tag, set(open_tags), endless)
                 else:
                     end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
                     at = end.end() if end else n
@@ -161,16 +185,15 @@ def scan(page: str | None) -> list[Block]:
         close()
         anchors = bolds = 0
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            while tag in open_tags and leave() != tag:
+                pass
         else:
-            while stack and tag in CLOSES.get(stack[-1][0], ()):
-                stack.pop()
+            while stack and tag in CLOSES.get(stack[-1].tag, ()):
+                leave()
             if tag not in VOID:
                 words = tuple(w for a in ATTRIBUTE.finditer(m[3]) for w in PART.findall((a[2] or a[3] or a[4] or "").lower()))
-                stack.append((tag, words))
+                stack.append(Node(tag, words, stack[-1] if stack else None))
+                open_tags[tag] = open_tags.get(tag, 0) + 1
     close()
     return out
 
@@ -200,9 +223,10 @@ def vectors(blocks: list[Block], at_first: int = 0, of_page: int | None = None)
     counts, shapes, paths = [], [], []
     last_path, last_slots = None, []
     for at, b in enumerate(blocks):
-        if b.path != last_path:
-            last_path, last_slots = b.path, [_of_path["<" + tag] for tag, _ in b.path] + [_of_path[mark + w] for _, words in b.path for w in words if len(w) > 1 for mark in ("", "~")]
-            last_slots += [_of_path[">" + b.path[-1][0]]] if b.path else []
+        if b.path is not last_path:
+            last_path = b.path
+            bits = b.path.slots | 1 << _of_path[">" + b.path.tag] if b.path else 0
+            last_slots = np.flatnonzero(np.unpackbits(np.frombuffer(bits.to_bytes(PATH_SLOTS // 8, "little"), np.uint8), bitorder="little")).tolist()
         paths += [at * FEATURES + k for k in last_slots]
         text = b.text
         words = text.lower().split(" ")

@@ -7,8 +7,8 @@ them (no rule can match more), and a segment meets the rules whose keyword it
 holds.  A match is an interval of words.
 
 An interval that lies within another's is suppressed: of equal intervals the
-rule of lower number stays.  Of two that still overlap, the one whose rule has
-the lower number stays.  What is left gives the labels, beside those of the
+rule of lower number stays.  What is left is taken in the order of rules: a
+match goes only if one that stays, of a lower rule, overlaps it.  That gives the labels, beside those of the
 base phrases, which always stay; the score is the highest weight among them
 (``BASE_WEIGHT`` for a base phrase).
 
@@ -90,14 +90,25 @@ def matches(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def resolve(found: DataFrame) -> DataFrame:
-    """The matches of rules that no other suppresses."""
+    """The matches of rules that no other suppresses: those inside another go, the rest are taken by rule, each unless one already taken overlaps it.
+
+    Matches that hang together by overlaps are a chain, which alone is folded
+    as an array: no more of a text than that meets.
+    """
     order = Window.partitionBy("key").orderBy("first", F.col("last").desc(), "rule")
     outer = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     kept = found.filter("rule >= 0").withColumn("outer", outer).filter("outer is null or outer < last")
-    near = Window.partitionBy("key").orderBy("first").rangeBetween(-EDGE, EDGE)  # no match is longer
-    kept = kept.withColumn("near", F.collect_list(F.struct("first", "last", "rule")).over(near))
-    lost = F.exists("near", lambda x: (x["first"] <= F.col("last")) & (x["last"] >= F.col("first")) & (x["rule"] < F.col("rule")))
-    return kept.filter(~lost).drop("outer", "near")
+    begins = (F.col("outer").isNull() | (F.col("outer") < F.col("first"))).cast("int")
+    kept = kept.withColumn("chain", F.sum(begins).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    match = F.struct("rule", "first", "last", "label", "weight")
+    chains = kept.groupBy("key", "chain").agg(F.array_sort(F.collect_list(match)).alias("m"))
+
+    def take(taken: Column, x: Column) -> Column:
+        lost = F.exists(taken, lambda t: (t["first"] <= x["last"]) & (t["last"] >= x["first"]) & (t["rule"] < x["rule"]))
+        return F.when(lost, taken).otherwise(F.concat(taken, F.array(x)))
+
+    chosen = F.when(F.size("m") == 1, F.col("m")).otherwise(F.aggregate("m", F.slice("m", 1, 0), take))
+    return chains.select("key", F.explode(chosen).alias("x")).select("key", "x.first", "x.last", "x.rule", "x.label", "x.weight")
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

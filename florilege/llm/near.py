@@ -22,7 +22,9 @@ form a class, by a 128-bit hash of the words, and only one of them is compared.
 
 Texts without words (null, empty, only signs) are linked to nothing; they form
 a class with texts that are equal to the letter, null being one of its own.
-Repeated rows belong to one class; null ids are kept.
+Repeated rows belong to one class; null ids are kept, and join nothing: a
+class's text is found by the mark of one of its rows, a hash of id and text.
+An empty table gives no rows; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -269,8 +271,8 @@ class Join:
         self.classes = materialize(signed)
 
     def distinct(self) -> DataFrame:
-        """key, sig, rep (an id), n_copies of each class with words."""
-        return self.classes.filter("n > 0").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("n_copies"), F.first("sig").alias("sig"))
+        """key, sig, rep (the mark of one row), n_copies of each class with words."""
+        return self.classes.filter("n > 0").groupBy("key").agg(F.min("row_mark").alias("rep"), F.count("*").alias("n_copies"), F.first("sig").alias("sig"))
 
     @staticmethod
     def buckets(distinct: DataFrame, *more: str) -> DataFrame:
@@ -319,14 +321,14 @@ class Join:
             of_chains = materialize(of_chains.select(F.col("bucket").cast("string").cast("binary").alias("grp"), "key", "band", "size"))
             placed = placed.union(self._placed(of_chains, of_chains.count(), "bucket"))
         reps = groups.join(distinct, "key").select("key", "sig", "rep")
-        docs = self.docs.select(F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text"))
-        texts = self._own_text(docs.join(reps, F.col("id").eqNullSafe(F.col("rep"))))
+        docs = self.docs.select(row_mark(self.id_col, self.text_col), F.col(self.text_col).alias("text"))
+        texts = self._own_text(docs.join(reps, F.col("row_mark") == F.col("rep")))
         rows = placed.join(texts, "key").select("unit", "grp", "key", "band", "side", "cross", "sig", "text")
         schema = "a binary, b binary, similarity double" if pairs else "key binary, links bigint, root binary"
         return rows.groupBy("unit").applyInArrow(_unit(self.threshold, pairs), schema)
 
     def _own_text(self, texts: DataFrame) -> DataFrame:
-        """One text for each key: ids that repeat bring other texts along, which are told by their own key."""
+        """One text for each key: rows that repeat bring it more than once, and a mark's other text, if ever, is told by its own key."""
 
         def fits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[bytes] = set()

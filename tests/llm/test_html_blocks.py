@@ -13,7 +13,7 @@ def test_scan():
     page = "<!DOCTYPE html><body><!-- <p>no</p> --><div class='a-b'>one <b>two</b>&amp; 3<br>4<script>var x = '</p>';</script> five</div><p>six<p>seven &#233;\n\t x</p><style>p{}</style><ul><li><a href='>'>eight</a><li>nine</ul>tail"
     blocks = scan(page)
     assert [b.text for b in blocks] == ["one two& 3 4", "five", "six", "seven é x", "eight", "nine", "tail"]
-    assert [b.path[-1][0] for b in blocks] == ["div", "div", "p", "p", "li", "li", "body"] and blocks[0].path[-1][1] == ("a", "b")
+    assert [b.path.tag for b in blocks] == ["div", "div", "p", "p", "li", "li", "body"] and blocks[0].path.words == ("a", "b")
     assert blocks[4].linked == 5 and not blocks[5].linked
 
 
@@ -108,7 +108,7 @@ def test_tags_by_the_html_rules(page, want):
 
 def test_every_class_word_counts():
     words = " ".join(f"w{chr(97 + i)}" for i in range(20))
-    assert len(scan(f"<div class='{words}'>x</div>")[0].path[0][1]) == 20
+    assert len(scan(f"<div class='{words}'>x</div>")[0].path.words) == 20
 
 
 def test_slices_equal_the_whole_page(model):
@@ -152,3 +152,41 @@ def test_whole_texts_of_pages_by_hand(model, name):
     page = LAYOUTS[name]
     want = " ".join(b.text[1:-1] for b in scan(page) if b.text.startswith("«"))
     assert main_texts([page.replace("«", "").replace("»", "")], model) == [want]
+
+
+@pytest.mark.parametrize("page", ["<div class='a b'>x" * 50_000, "<div>x" * 25_000 + "</p></div>y" * 25_000, "<b>" * 50_000 + "x", "<ul><li>x" * 25_000 + "</i></ul>" * 25_000])
+def test_deep_pages_take_memory_by_their_size(model, page):
+    import tracemalloc
+
+    tracemalloc.start()
+    blocks = scan(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000 and sum(len(b.text.split()) for b in blocks) == page.count("x") + page.count("y")
+    assert len(main_texts([page], model)[0].split()) <= sum(len(b.text.split()) for b in blocks)
+
+
+def plain_forward(w, x):
+    """Log odds of each block of one page, by the definition of the network: one block, one gate, one unit at a time."""
+    import math
+
+    sigma = lambda v: 1 / (1 + math.exp(-v))
+
+    def run(rows, d):
+        h, c, out = [0.0] * HIDDEN, [0.0] * HIDDEN, []
+        for row in rows:
+            z = [sum(float(a) * float(w["x" + d][k][j]) for k, a in enumerate(row) if a) + sum(h[k] * float(w["h" + d][k][j]) for k in range(HIDDEN)) + float(w["c" + d][j]) for j in range(4 * HIDDEN)]
+            c = [sigma(z[HIDDEN + k]) * c[k] + sigma(z[k]) * math.tanh(z[3 * HIDDEN + k]) for k in range(HIDDEN)]
+            h = [sigma(z[2 * HIDDEN + k]) * math.tanh(c[k]) for k in range(HIDDEN)]
+            out.append(h)
+        return out
+
+    ahead, back = run(x, "f"), run(x[::-1], "b")[::-1]
+    return [sum((f + b)[k] * float(w["o"][k]) for k in range(2 * HIDDEN)) + float(w["p"][0]) for f, b in zip(ahead, back, strict=True)]
+
+
+def test_forward_pass_against_a_plain_one(model):
+    for x, _ in training_set(2, 77):
+        x = x[:12]
+        lengths = np.array([len(x)])
+        assert model.logits(x[:, None, :], lengths)[:, 0] == pytest.approx(plain_forward(model.w, x), abs=1e-3)

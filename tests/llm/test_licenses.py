@@ -24,9 +24,8 @@ def brute(doc_id, text):
             kept.append(x)
         outer = max(outer, x[1])
     left = []
-    for i, x in enumerate(kept):
-        before, after = kept[i - 1] if i else None, kept[i + 1] if i + 1 < len(kept) else None
-        if not ((before and before[1] >= x[0] and before[2] < x[2]) or (after and after[0] <= x[1] and after[2] < x[2])):
+    for x in sorted(kept, key=lambda x: (x[2], x[0])):
+        if not any(t[0] <= x[1] and t[1] >= x[0] and t[2] < x[2] for t in left):
             left.append(x)
     labels = {label for _, label in base} | {x[3] for x in left}
     weights = [x[4] for x in left] + [BASE_WEIGHT] * bool(base)
@@ -81,7 +80,19 @@ def test_plan_is_native(spark):
 def test_overlap_beyond_the_neighbour(spark):
     rows = [("k", 0, 9, 1, "a", 1.0), ("k", 2, 11, 3, "b", 1.0), ("k", 4, 13, 2, "c", 1.0), ("k", 12, 15, 4, "d", 1.0), ("k", 40, 41, 9, "e", 1.0), ("j", 2, 11, 3, "b", 1.0)]
     found = spark.createDataFrame(rows, "key string, first int, last int, rule int, label string, weight double")
-    assert sorted((r.key, r.label) for r in module.resolve(found).collect()) == [("j", "b"), ("k", "a"), ("k", "e")]
+    assert sorted((r.key, r.label) for r in module.resolve(found).collect()) == [("j", "b"), ("k", "a"), ("k", "d"), ("k", "e")]
+
+
+def test_what_is_suppressed_suppresses_nothing(spark):
+    rows = [("k", 4 * i, 4 * i + 4, i, str(i), 1.0) for i in range(7)] + [("j", 12 - 4 * i, 16 - 4 * i, i, str(i), 1.0) for i in range(4)]
+    found = spark.createDataFrame(rows, "key string, first int, last int, rule int, label string, weight double")
+    assert sorted((r.key, r.label) for r in module.resolve(found).collect()) == [("j", "0"), ("j", "2"), ("k", "0"), ("k", "2"), ("k", "4"), ("k", "6")]
+
+
+def test_very_long_text(spark):
+    text = ("Licensed under the Apache License, Version 2.0 or CC BY and more words. " * 15_000).strip()
+    assert len(text) > 1_000_000
+    assert [tuple(r) for r in scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()] == [brute(1, text)]
 
 
 def sample(parsed, rng):

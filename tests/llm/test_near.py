@@ -143,3 +143,24 @@ def test_one_of_each(spark):
     kept = sorted(((r.doc_id, r.text) for r in got), key=str)
     assert kept == sorted([(None, "alone here"), (5, "another text of that id"), (4, text), (None, None)], key=str)
     assert one_of_each(spark.createDataFrame([], "doc_id long, text string, first int")).collect() == []
+
+
+def test_rows_without_id_or_of_one_id_join_nothing(spark):
+    """5,000 rows without id and as many of one id, near pairs among them: texts are found by row, not by id."""
+    rng = random.Random(11)
+    texts = []
+    for k in range(2500):
+        base = [f"w{rng.randrange(4000)}" for _ in range(40)]
+        texts += [" ".join(base), " ".join([*base, "more"])]
+    rows = [(None, t) for t in texts] + [(7, "other " + t) for t in texts]
+    join = near.Join(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = join.documents().collect()
+    assert len(found) == 10_000 and {r.n_links for r in found} <= {1, 2, 3} and all(r.n_links for r in found)
+    plans = []
+    own_text = near.Join._own_text
+    near.Join._own_text = lambda self, texts: plans.append(texts.count()) or own_text(self, texts)
+    try:
+        join._in_units(False).count()
+    finally:
+        near.Join._own_text = own_text
+    assert plans == [10_000]
