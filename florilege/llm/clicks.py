@@ -260,10 +260,17 @@ def dedupe_clicks(clicks: DataFrame, n_batches: int = BATCHES) -> DataFrame:
     if ends is None:
         return spark.createDataFrame([], CLOSED).select(*shown)
     origin, far = ends
-    landing, store = _hadoop(spark, f"{base}/landing")
-    store.mkdirs(landing)
-    # each start loads the state anew, so a store that stays open after its commit would only hold disk
-    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.stateStore.unloadOnCommit": "true", "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    landing, shared = _hadoop(spark, f"{base}/landing")
+    shared.mkdirs(landing)
+    store = "spark.sql.streaming.stateStore"
+    settings = {
+        f"{store}.providerClass": ROCKS,
+        # each start loads the state anew: a store that stays open after its commit would only hold disk
+        f"{store}.unloadOnCommit": "true",
+        # a commit writes what has changed, counts no rows, and leaves checksums to the shared folder's file system
+        f"{store}.rocksdb.changelogCheckpointing.enabled": "true", f"{store}.rocksdb.trackTotalNumberOfRows": "false", "spark.sql.streaming.checkpoint.fileChecksum.enabled": "false",
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    }
     were = {k: spark.conf.get(k, None) for k in settings}
     before = -1
     try:
