@@ -74,8 +74,23 @@ def percentage(part: Column, whole: Column) -> Column:
 
 
 def outside_parentheses(x: Column) -> Column:
-    """Split at commas that stand outside parentheses (one level)."""
-    return F.transform(F.regexp_extract_all(x, F.lit(r"(?:[^,(]|\([^)]*\))+"), F.lit(0)), lambda p: F.trim(p))
+    """Split at commas that stand outside parentheses; every other sign is kept, parts are trimmed.
+
+    A fold over the signs counts how deep they stand: an unclosed parenthesis
+    reaches to the end, one that closes nothing is a sign like any other.
+    """
+    begin = F.struct(F.lit(0).alias("depth"), F.array(F.lit("")).alias("parts"))
+    last = lambda acc: F.element_at(acc["parts"], -1)
+
+    def add(acc: Column, sign: Column) -> Column:
+        depth = acc["depth"] + F.when(sign == "(", 1).when((sign == ")") & (acc["depth"] > 0), -1).otherwise(0)
+        cut = (sign == ",") & (acc["depth"] == 0)
+        longer = F.concat(F.slice(acc["parts"], F.lit(1), F.size(acc["parts"]) - 1), F.array(F.concat(last(acc), sign)))
+        return F.struct(depth.alias("depth"), F.when(cut, F.concat(acc["parts"], F.array(F.lit("")))).otherwise(longer).alias("parts"))
+
+    # what holds neither commas nor parentheses goes on as a whole: the fold's steps are runs, not signs
+    runs = F.regexp_extract_all(x, F.lit(r"[(),]|[^(),]+"), F.lit(0))
+    return F.transform(F.aggregate(runs, begin, add)["parts"], lambda p: F.trim(p))
 
 
 def unfence(x: Column) -> Column:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florilege.operators.mutate import assign_keys, delete_where, insert_missing
+from florilege.operators.mutate import assign_keys, delete_where, upsert_pending
 from florilege.operators.navigation import numbered
+from florilege.operators.stale import guard_and_reset
+from florilege.store import TableSet, computed_once
 
 #: Kinds of proposals; only those with free text may be edited before they are approved, sense-wide ones compete.
 RENDERING, HERE, REMOVE, RETIRE, ADD = "rendering", "sense_here", "remove_here", "retire_sense", "add_term"
@@ -46,56 +48,115 @@ def add_terms(terms: DataFrame, fresh: DataFrame) -> DataFrame:
     return terms.unionByName(assign_keys(terms, new, "term_id", ["term"]), allowMissingColumns=True)
 
 
-def reopen(proposals: DataFrame, ids: DataFrame) -> DataFrame:
-    """Decided proposals once more as pending ones of their first author; those decided stay as they are."""
-    again = proposals.join(ids.select("proposal_id"), "proposal_id", "left_semi").filter("status <> 'pending'")
-    keys = ["kind", "proposed_by", "sense_id"]
-    new = again.groupBy(*keys).agg(F.min("proposal_id").alias("of"), F.min_by("content", "proposal_id").alias("content")).withColumn("status", F.lit("pending"))
-    open_ = proposals.filter("status = 'pending'").select(*keys)
-    return proposals.unionByName(assign_keys(proposals, insert_missing(open_.limit(0), new, keys).join(open_, keys, "left_anti"), "proposal_id", ["of"]), allowMissingColumns=True)
+def reopen(proposals: DataFrame, ids: DataFrame, senses: DataFrame, segments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Proposals with rejected ones once more as pending ones of their first author, and the outcome of each id.
+
+    Outcomes: ok, not_found, not_rejected (an approved one has had its effect, a
+    superseded one lost to another), gone (its sense or segment is no more).
+    """
+    p = ids.select("proposal_id").distinct().join(proposals, "proposal_id", "left")
+    p = p.join(senses.select("sense_id", F.lit(True).alias("_sense")).distinct(), "sense_id", "left")
+    p = p.join(segments.select(F.col("segment_id").alias("origin"), F.lit(True).alias("_segment")).distinct(), "origin", "left")
+    gone = (F.col("sense_id").isNotNull() & F.col("_sense").isNull()) | (F.col("origin").isNotNull() & F.col("_segment").isNull())
+    outcome = F.when(F.col("kind").isNull(), "not_found").when(F.col("status") != "rejected", "not_rejected").when(gone, "gone").otherwise("ok")
+    told = p.withColumn("outcome", outcome)
+    again = told.filter("outcome = 'ok'").select(*proposals.columns)
+    return upsert_pending(proposals, again, "proposal_id"), told.select("proposal_id", "outcome")
 
 
-def approvals(proposals: DataFrame, chosen: DataFrame, terms: DataFrame) -> DataFrame:
-    """proposal_id, outcome, effect, sense_id, target_id, segment_id, content of each chosen proposal (proposal_id, edited).
+def approvals(proposals: DataFrame, chosen: DataFrame, terms: DataFrame, senses: DataFrame, usage: DataFrame) -> DataFrame:
+    """proposal_id, outcome, effect, sense_id, target_id, origin, lemma, content, kind of each chosen proposal (proposal_id, edited).
 
     Outcomes: ok, not_found, not_pending, no_edit (a kind without free text),
-    empty_edit, term_exists.  Effects of those that are ok: ``change`` (new
-    content), ``repoint``, ``acknowledge``, ``reject_usage``, ``retire``,
+    empty_edit, empty (no content), wrong_term (a target of another term, or
+    none), retired (target), stale (no usage to change), term_exists (one of
+    several for a lemma comes first).  Effects of those that are ok: ``change``
+    (new content), ``repoint``, ``acknowledge``, ``reject_usage``, ``retire``,
     ``add``.
     """
-    known = terms.select(F.lower("term").alias("_l")).distinct().withColumn("_known", F.lit(True))
+    known = terms.select(F.lower("lemma").alias("_l")).distinct().withColumn("_known", F.lit(True))
+    own = senses.select("sense_id", F.col("term_id").alias("_term"))
+    target = senses.select(F.col("sense_id").alias("target_id"), F.col("term_id").alias("_target_term"), F.col("status").alias("_target_status"))
+    used = usage.select(F.col("segment_id").alias("origin"), "sense_id", F.lit(True).alias("_used")).distinct()
     p = chosen.join(proposals, "proposal_id", "left").withColumn("_l", F.lower("lemma")).join(known, "_l", "left")
-    kind = F.col("kind")
+    p = p.join(own, "sense_id", "left").join(target, "target_id", "left").join(used, ["origin", "sense_id"], "left")
+    kind, edit = F.col("kind"), F.trim("edited")
+    pointed, add = (kind == HERE) & F.col("target_id").isNotNull(), kind == ADD
     free = kind.isin(*EDITABLE) | ((kind == HERE) & F.col("target_id").isNull())
-    edit = F.trim("edited")
+    content = F.coalesce(edit, F.col("content"))
     outcome = (
-        F.when(kind.isNull(), "not_found").when(F.col("status") != "pending", "not_pending").when(edit.isNotNull() & ~free, "no_edit")
-        .when(edit == "", "empty_edit").when((kind == ADD) & F.col("_known"), "term_exists").otherwise("ok")
-    )
-    effect = F.when(kind == RENDERING, "change").when((kind == HERE) & F.col("target_id").isNotNull(), "repoint").when(kind == HERE, "acknowledge").when(kind == REMOVE, "reject_usage").when(kind == RETIRE, "retire").otherwise("add")
-    out = p.withColumn("outcome", outcome).withColumn("effect", F.when(F.col("outcome") == "ok", effect)).withColumn("content", F.coalesce(edit, F.col("content")))
-    return out.select("proposal_id", "outcome", "effect", "sense_id", "target_id", "segment_id", "content", "kind")
-
-
-def applied(proposals: DataFrame, senses: DataFrame, usage: DataFrame, done: DataFrame) -> dict[str, DataFrame]:
-    """Proposals, senses and usage after ``approvals``: all from one snapshot, so that nothing is half done.
-
-    Where several approved proposals change one sense, the last one counts.
+        F.when(kind.isNull(), "not_found").when(F.col("status") != "pending", "not_pending").when(edit.isNotNull() & ~free, "no_edit").when(edit == "", "empty_edit")
+        .when((kind == RENDERING) & F.coalesce(F.trim(content) == "", F.lit(True)), "empty")
+        .when(pointed & ~F.coalesce(F.col("_term") == F.col("_target_term"), F.lit(False)), "wrong_term")
+        .when(pointed & (F.col("_target_status") == "retired"), "retired")
+        .when((pointed | (kind == REMOVE)) & F.col("_used").isNull(), "stale")
+        .when(add & F.col("_known"), "term_exists").otherwise("ok")
+    )
+    effect = F.when(kind == RENDERING, "change").when(pointed, "repoint").when(kind == HERE, "acknowledge").when(kind == REMOVE, "reject_usage").when(kind == RETIRE, "retire").otherwise("add")
+    p = p.withColumn("outcome", outcome).withColumn("content", content)
+    first = p.filter(add & (F.col("outcome") == "ok")).groupBy("_l").agg(F.min("proposal_id").alias("_first"))
+    p = p.join(first, "_l", "left")
+    p = p.withColumn("outcome", F.when(add & (F.col("outcome") == "ok") & (F.col("proposal_id") != F.col("_first")), "term_exists").otherwise(F.col("outcome")))
+    return p.withColumn("effect", F.when(F.col("outcome") == "ok", effect)).select("proposal_id", "outcome", "effect", "sense_id", "target_id", "origin", "lemma", "content", "kind")
+
+
+def repoint(usage: DataFrame, senses: DataFrame, moves: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Usage and senses after usages (segment_id, sense_id) have moved to ``target_id``: confirmed, with the target's version; a target that was only proposed is approved, without a new version."""
+    goal = senses.select(F.col("sense_id").alias("_to"), F.col("version").alias("_version"))
+    moved = moves.select("segment_id", "sense_id", F.col("target_id").alias("_to")).join(goal, "_to")
+    use = usage.join(moved, ["segment_id", "sense_id"], "left")
+    hit = F.col("_to").isNotNull()
+    use = use.withColumns({"sense_id": F.coalesce("_to", "sense_id"), "status": F.when(hit, "confirmed").otherwise(F.col("status")), "used": F.coalesce("_version", "used")}).select(*usage.columns)
+    targets = moves.select(F.col("target_id").alias("sense_id")).distinct().withColumn("_hit", F.lit(True))
+    approved = F.col("_hit") & (F.col("status") == "proposed")
+    return use, senses.join(targets, "sense_id", "left").withColumn("status", F.when(approved, "approved").otherwise(F.col("status"))).select(*senses.columns)
+
+
+def applied(proposals: DataFrame, terms: DataFrame, senses: DataFrame, usage: DataFrame, segments: DataFrame, human: DataFrame, done: DataFrame) -> dict[str, DataFrame]:
+    """proposal, term, sense, usage and segment after ``approvals``: all from one snapshot, to be committed as one.
+
+    Where several approved proposals change one sense or one usage, the last
+    one counts.  New content and retirement raise the version; a moved or
+    rejected usage resets its segment instead (``human``: segment_id of those
+    that people have edited, which go to review).  A new term has one approved
+    sense without label.
     """
-    ok = done.filter("outcome = 'ok'")
+    ok = computed_once(done.filter("outcome = 'ok'"))
     change = ok.filter(F.col("effect").isin("change", "retire")).groupBy("sense_id").agg(F.max_by(F.struct("effect", "content"), "proposal_id").alias("c"))
     change = change.select("sense_id", F.col("c.effect").alias("_effect"), F.col("c.content").alias("_content"))
-    new = senses.join(change, "sense_id", "left")
+    here = ok.filter(F.col("effect").isin("repoint", "reject_usage")).groupBy(F.col("origin").alias("segment_id"), "sense_id").agg(F.max_by(F.struct("effect", "target_id"), "proposal_id").alias("h"))
+    here = here.select("segment_id", "sense_id", F.col("h.effect").alias("effect"), F.col("h.target_id").alias("target_id"))
+    use, new = repoint(usage, senses, here.filter("effect = 'repoint'"))
+    gone = here.filter("effect = 'reject_usage'").select("segment_id", "sense_id", F.lit(True).alias("_gone"))
+    use = use.join(gone, ["segment_id", "sense_id"], "left").withColumn("status", F.when(F.col("_gone"), "rejected").otherwise(F.col("status"))).select(*usage.columns)
+
+    new = new.join(change, "sense_id", "left")
     differs = (F.col("_effect") == "retire") | ((F.col("_effect") == "change") & ~F.col("content").eqNullSafe(F.col("_content")))
     bump = F.coalesce(differs, F.lit(False))
     new = new.withColumn("version", F.col("version") + bump.cast("int")).withColumn("status", F.when(F.col("_effect") == "retire", "retired").otherwise(F.col("status")))
-    new = new.withColumn("content", F.when(F.col("_effect") == "change", F.col("_content")).otherwise(F.col("content"))).drop("_effect", "_content")
-    here = ok.filter(F.col("effect").isin("repoint", "reject_usage")).groupBy("segment_id", "sense_id").agg(F.max_by(F.struct("effect", "target_id"), "proposal_id").alias("h"))
-    use = usage.join(here.select("segment_id", "sense_id", "h"), ["segment_id", "sense_id"], "left")
-    use = use.withColumn("status", F.when(F.col("h.effect") == "reject_usage", "rejected").when(F.col("h.effect") == "repoint", "confirmed").otherwise(F.col("status")))
-    use = use.withColumn("sense_id", F.when(F.col("h.effect") == "repoint", F.col("h.target_id")).otherwise(F.col("sense_id"))).drop("h")
+    new = new.withColumn("content", F.when(F.col("_effect") == "change", F.col("_content")).otherwise(F.col("content"))).select(*senses.columns)
+
+    added = ok.filter("effect = 'add'").select("proposal_id", "lemma", "content").withColumn("category", F.lit("term"))
+    added = computed_once(assign_keys(terms, added, "term_id", ["proposal_id"]))
+    own = added.select("proposal_id", F.col("term_id").cast("int").alias("term_id"), "content", F.lit("approved").alias("status"), F.lit(1).alias("version"))
+    new = new.unionByName(assign_keys(senses, own, "sense_id", ["proposal_id"]).drop("proposal_id"), allowMissingColumns=True)
+
     wide = ok.filter(F.col("kind").isin(*SENSE_WIDE)).select("sense_id").distinct().withColumn("_wide", F.lit(True))
-    own = proposals.join(ok.select("proposal_id", F.lit(True).alias("_ok")), "proposal_id", "left").join(wide, "sense_id", "left")
+    p = proposals.join(ok.select("proposal_id", F.lit(True).alias("_ok")), "proposal_id", "left").join(wide, "sense_id", "left")
     sibling = F.col("_wide") & (F.col("status") == "pending") & F.col("kind").isin(*SENSE_WIDE)
-    own = own.withColumn("status", F.when(F.col("_ok"), "approved").when(F.coalesce(sibling, F.lit(False)), "superseded").otherwise(F.col("status"))).drop("_ok", "_wide")
-    return {"proposal": own, "sense": new, "usage": use}
+    p = p.withColumn("status", F.when(F.col("_ok"), "approved").when(F.coalesce(sibling, F.lit(False)), "superseded").otherwise(F.col("status"))).select(*proposals.columns)
+    return {
+        "proposal": p, "term": terms.unionByName(added.select("term_id", "lemma", "category"), allowMissingColumns=True), "sense": new, "usage": use,
+        "segment": guard_and_reset(segments, here.select("segment_id"), human),
+    }
+
+
+def approve(tables: TableSet, chosen: DataFrame) -> tuple[int, DataFrame]:
+    """Apply chosen proposals to a set of tables (proposal, term, sense, usage, segment, human) as one commit; its number and the outcomes.
+
+    A second writer on the same snapshot gets StaleError and has changed nothing.
+    """
+    read, t = tables.read()
+    done = computed_once(approvals(t["proposal"], chosen, t["term"], t["sense"], t["usage"]))
+    after = applied(t["proposal"], t["term"], t["sense"], t["usage"], t["segment"].select("segment_id", "status"), t["human"], done)
+    return tables.commit(read, after), done

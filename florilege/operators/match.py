@@ -1,27 +1,11 @@
-"""Phrase matching, masking, dictionary look-up, evidence votes, overlays."""
+"""Choice among phrases' places, dictionary look-up, evidence votes, overlays."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florilege.functions.text import ascii_tokens, escaped, letter_tokens
-
-
-def phrase_spans(texts: DataFrame, phrases: DataFrame, key: str = "segment_id", text: str = "content", token: str = r"[\p{L}]+") -> DataFrame:
-    """key, phrase_id, start, length (in words) of all places of phrases in texts.
-
-    An inverted index in place of a nested loop: text words are joined with the
-    phrases' first words, then the words behind are compared.
-    """
-    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(token), F.lit(0))
-    own = phrases.select("phrase_id", F.regexp_extract_all(F.lower("phrase"), F.lit(token), F.lit(0)).alias("p")).filter("size(p) > 0")
-    own = own.withColumn("word", F.get("p", F.lit(0)))
-    longest = own.agg(F.max(F.size("p"))).first()[0] or 1  # one number: a word carries the words behind it that a phrase can need
-    ahead = F.transform("w", lambda x, at: F.struct(x.alias("word"), F.slice("w", at + 1, longest).alias("ahead")))
-    placed = texts.select(key, words.alias("w")).select(key, F.posexplode(ahead).alias("at", "x")).select(key, "at", "x.*")
-    same = F.slice("ahead", F.lit(1), F.size("p")) == F.col("p")
-    return placed.join(own, "word").filter(same).select(key, "phrase_id", F.col("at").alias("start"), F.size("p").alias("length"))
+from florilege.functions.text import ascii_tokens, letter_tokens
 
 
 def leftmost_longest(spans: DataFrame, key: str = "segment_id") -> DataFrame:
@@ -37,11 +21,6 @@ def leftmost_longest(spans: DataFrame, key: str = "segment_id") -> DataFrame:
     return chosen.select(key, "x.phrase_id", "x.start", (-F.col("x.minus")).alias("length"))
 
 
-def mask(text: Column, phrases: Column) -> Column:
-    """All places of the phrases, winners of an overlap or not, become a space."""
-    return F.aggregate(phrases, text, lambda acc, p: F.regexp_replace(acc, F.concat(F.lit("(?i)"), escaped(p)), F.lit(" ")))
-
-
 def lemma_matches(texts: DataFrame, lemmas: DataFrame, terms: DataFrame, key: str = "segment_id", text: str = "content") -> DataFrame:
     """key, token, term_id: of a token's candidate lemmas the first that is a term; tokens without lemma stand for themselves.
 

@@ -85,15 +85,25 @@ def transition(target: DataFrame, commands: DataFrame, key: str, allowed: dict[s
     return joined.withColumn("reason", F.when(F.col("status").isNull(), "notfound").when(may, "ok").otherwise("wrong_status"))
 
 
-def propose(target: DataFrame, proposals: DataFrame) -> DataFrame:
-    """Proposals of the same kind, proposer, sense (or lemma without case) and origin replace open ones."""
-    keys = lambda d: d.withColumn("_k", F.struct("kind", "proposed_by", F.coalesce(F.col("sense_id").cast("string"), F.lower("lemma")).alias("what"), F.coalesce("origin", F.lit(-1)).alias("origin")))
-    new = keys(proposals)
-    new = new.withColumn("_n", F.row_number().over(Window.partitionBy("_k").orderBy(F.col("proposal_id").desc()))).filter("_n = 1").drop("_n")
-    old = keys(target)
-    open_ = (F.col("status") == "pending") & F.col("_hit").isNotNull()
-    kept = old.join(new.select("_k", F.lit(True).alias("_hit")), "_k", "left").filter(~F.coalesce(open_, F.lit(False)))
-    return kept.drop("_k", "_hit").unionByName(new.drop("_k"))
+def upsert_pending(target: DataFrame, proposals: DataFrame, order: str) -> DataFrame:
+    """Proposals as pending ones: an open one of the same kind, author, sense (for a new term: lemma without case) and origin is changed in place and keeps its id; others get ids behind the largest, in order.
+
+    Of several with one key the last one's content counts, at the first one's
+    place.  What an open proposal takes over are ``target_id``, ``content`` and
+    ``note``, as far as the table has them; all other columns are carried.
+    """
+    what = F.when(F.col("kind") == "add_term", F.lower("lemma")).otherwise(F.col("sense_id").cast("string"))
+    keyed = lambda d: d.withColumn("_k", F.struct("kind", "proposed_by", what.alias("what"), F.coalesce("origin", F.lit(-1)).alias("origin")))
+    columns = [c for c in target.columns if c != "proposal_id"]
+    given = keyed(proposals.withColumn("status", F.lit("pending")))
+    new = given.groupBy("_k").agg(F.max_by(F.struct(*columns), order).alias("_new"), F.min(order).alias("_first"))
+    changed = [c for c in ("target_id", "content", "note") if c in columns]
+    own = keyed(target).withColumn("_open", F.col("status") == "pending").join(new, "_k", "left")
+    hit = F.col("_open") & F.col("_first").isNotNull()
+    kept = own.withColumns({c: F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in changed}).select(*target.columns)
+    open_ = keyed(target.filter("status = 'pending'")).select("_k")
+    fresh = assign_keys(target, new.join(open_, "_k", "left_anti").select("_first", "_new.*"), "proposal_id", ["_first"])
+    return kept.unionByName(fresh.select(*target.columns))
 
 
 def decide(target: DataFrame, proposal_id: int, status: str, by: str) -> DataFrame:
@@ -106,13 +116,6 @@ def decide(target: DataFrame, proposal_id: int, status: str, by: str) -> DataFra
     return joined.withColumn("decided_by", F.when(mine, F.lit(by)).otherwise(F.col("decided_by"))).withColumn("status", after).drop("_s", "_on")
 
 
-def import_outcomes(rows: DataFrame, senses: DataFrame) -> DataFrame:
-    """Outcome of approval rows (sense_id, version): ok, already_confirmed, conflict, not_found."""
-    joined = rows.join(senses.select("sense_id", F.col("version").alias("now"), "status"), "sense_id", "left")
-    outcome = F.when(F.col("now").isNull(), "not_found").when(F.col("status") == "approved", "already_confirmed").when(F.col("version").isNotNull() & (F.col("version") != F.col("now")), "conflict").otherwise("ok")
-    return joined.withColumn("outcome", outcome)
-
-
 def assign_keys(target: DataFrame, rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """New rows get keys behind the largest, in order; no window sees them all."""
     last = target.agg(F.coalesce(F.max(key), F.lit(0)).alias("_last"))  # one row

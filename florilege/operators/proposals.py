@@ -6,29 +6,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def locked_terms(usage: DataFrame, senses: DataFrame) -> DataFrame:
+    """segment_id, sense_id that bind a segment: a usage that isn't rejected, of an approved sense with a rendering."""
+    bound = senses.filter((F.col("status") == "approved") & F.col("content").isNotNull()).select("sense_id")
+    return usage.filter("status <> 'rejected'").select("segment_id", "sense_id").join(bound, "sense_id", "left_semi").distinct()
+
+
 def validate(proposals: DataFrame, senses: DataFrame, locked: DataFrame) -> DataFrame:
     """Adds ``reason``: ok or what is wrong.
 
-    ``proposals``: proposal_id, kind (change, repoint, retire), sense_id,
-    target_id, content, segment_id.  ``locked``: segment_id, sense_id that a
-    segment is bound to.
+    ``proposals``: proposal_id, kind (rendering, sense_here, remove_here,
+    retire_sense), sense_id, target_id, content, segment_id.  ``senses``: their
+    ``content`` is the rendering that holds.  ``locked``: segment_id, sense_id
+    that a segment is bound to (see ``locked_terms``).  A ``sense_here`` names
+    another sense of the term, or else a text of its own.
     """
-    own = senses.select("sense_id", "term_id", F.col("content").alias("now"), "status")
-    target = senses.select(F.col("sense_id").alias("target_id"), F.col("term_id").alias("target_term"), F.col("status").alias("target_status"))
-    bound = locked.select("segment_id", "sense_id").distinct().withColumn("bound", F.lit(True))
+    own = senses.select("sense_id", F.col("term_id").alias("_term"), F.col("content").alias("_now"))
+    target = senses.select(F.col("sense_id").alias("target_id"), F.col("term_id").alias("_target_term"))
+    bound = locked.select("segment_id", "sense_id").distinct().withColumn("_bound", F.lit(True))
     joined = proposals.join(own, "sense_id", "left").join(target, "target_id", "left").join(bound, ["segment_id", "sense_id"], "left")
+    kind, pointed = F.col("kind"), F.col("target_id").isNotNull()
+    blank = F.coalesce(F.col("content") == "", F.lit(True))
+    same = F.col("content") == F.coalesce("_now", F.lit(""))
+    here = kind == "sense_here"
     reason = (
-        F.when(F.col("term_id").isNull(), "not_found")
-        .when((F.col("kind") == "change") & F.coalesce(F.trim("content") == "", F.lit(True)), "content_required")
-        .when((F.col("kind") == "change") & F.col("content").eqNullSafe(F.col("now")), "no_change")
-        .when((F.col("kind") == "repoint") & F.col("target_id").isNull(), "missing_target")
-        .when((F.col("kind") == "repoint") & F.col("target_term").isNull(), "not_found")
-        .when((F.col("kind") == "repoint") & (F.col("target_term") != F.col("term_id")), "wrong_term")
-        .when((F.col("kind") == "repoint") & (F.col("target_status") == "retired"), "retired")
-        .when(F.col("segment_id").isNotNull() & F.col("bound").isNull(), "not_locked_here")
+        F.when(F.col("_term").isNull(), "not_found")
+        .when((kind == "rendering") & blank, "proposed_sk_required")
+        .when((kind == "rendering") & same, "no_change")
+        .when(kind.isin("sense_here", "remove_here") & F.col("_bound").isNull(), "not_locked_here")
+        .when(here & pointed & (F.col("target_id") == F.col("sense_id")), "no_change")
+        .when(here & pointed & ~F.coalesce(F.col("_target_term") == F.col("_term"), F.lit(False)), "wrong_term")
+        .when(here & ~pointed & blank, "missing_target")
+        .when(here & ~pointed & same, "no_change")
         .otherwise("ok")
     )
-    return joined.withColumn("reason", reason).drop("now", "status", "target_term", "target_status", "bound", "term_id")
+    return joined.withColumn("reason", reason).select(*proposals.columns, "reason")
 
 
 def constraints_block(rows: DataFrame) -> DataFrame:

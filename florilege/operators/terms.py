@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florilege.functions.text import ascii_tokens, canonical_lemma, holds_phrase, letter_tokens, stem, strip_marks
-from florilege.operators.match import lemma_matches, leftmost_longest, mask, phrase_spans, vote
+from florilege.operators.match import lemma_matches, leftmost_longest, vote
+from florilege.operators.phrases import masked, phrase_spans
+from florilege.store import computed_once
 
 #: How a usage was found.
 SINGLE, VOTED, FLAGGED = "single", "multi_voted", "multi_flagged"
@@ -61,7 +63,7 @@ def resolve_segments(texts: DataFrame, phrases: DataFrame, lemmas: DataFrame, te
 
     ``texts``: segment_id, content, czech, english.  Phrases (phrase_id is the
     term) are matched first, leftmost and longest; those found are masked wherever
-    they stand, longest first.
+    they stand.
     Of the words left, the first candidate lemma that is a term hits, whatever
     its case; a hit that ``suppressed`` (segment_id, token) names is consumed
     without result.  Words without a hit fall back to their first candidate
@@ -70,11 +72,11 @@ def resolve_segments(texts: DataFrame, phrases: DataFrame, lemmas: DataFrame, te
     with several senses are voted on by ``signals``.
     """
     kept = texts.select("segment_id", F.coalesce("content", F.lit("")).alias("content"))
-    spans = leftmost_longest(phrase_spans(kept, phrases)).join(phrases.select(F.col("phrase_id").cast("bigint").alias("phrase_id"), "phrase"), "phrase_id")
-    covered = spans.groupBy("segment_id").agg(F.array_sort(F.collect_set(F.struct((-F.length("phrase")).alias("n"), "phrase"))).alias("p"))
-    masked = kept.join(covered, "segment_id", "left").select("segment_id", F.when(F.col("p").isNull(), F.col("content")).otherwise(mask(F.col("content"), F.col("p.phrase"))).alias("content"))
-    hits = lemma_matches(masked, lemmas, terms)
-    tokens = masked.select("segment_id", F.explode(F.array_distinct(F.transform(ascii_tokens(F.col("content")), F.lower))).alias("token"))
+    places = computed_once(phrase_spans(kept, phrases))
+    spans = leftmost_longest(places)
+    cut = masked(kept, places.join(spans.select("segment_id", "phrase_id").distinct(), ["segment_id", "phrase_id"], "left_semi"))
+    hits = lemma_matches(cut, lemmas, terms)
+    tokens = cut.select("segment_id", F.explode(F.array_distinct(F.transform(ascii_tokens(F.col("content")), F.lower))).alias("token"))
     missed = tokens.join(hits, ["segment_id", "token"], "left_anti")
     first = lemmas.groupBy(F.lower("surface").alias("token")).agg(F.min_by("lemma", "candidate").alias("_l"))
     gap = missed.join(first, "token", "left").select("segment_id", canonical_lemma(F.coalesce("_l", "token")).alias("lemma")).filter(F.length("lemma") >= least).distinct()

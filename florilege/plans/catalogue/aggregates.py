@@ -106,11 +106,6 @@ def _subtree(s, d):
     return left["usage"].select(F.lit("usage").alias("name")).union(left["segment"].select(F.lit("segment"))).groupBy("name").agg(F.count("*").alias("n"))
 
 
-def _import(s, d):
-    rows = view(s, d, "sense").filter("sense_id % 5 < 3").select((F.col("sense_id") * 2).alias("sense_id"), F.when(F.col("sense_id") % 5 > 0, 3).alias("version"))
-    return mutate.import_outcomes(rows, view(s, d, "sense")).groupBy("outcome").agg(F.count("*").alias("n"))
-
-
 def _keys(s, d):
     new = view(s, d, "sense").select("term").distinct()
     return mutate.assign_keys(view(s, d, "sense"), new, "sense_id", ["term"]).select(F.col("sense_id").cast("bigint").alias("sense_id"), "term")
@@ -224,7 +219,6 @@ QUERIES = {
     "U10_retire": (lambda s, d: mutate.retire(view(s, d, "sense"), [4, 8, 15]).select("sense_id", "status", F.col("version").cast("bigint").alias("version")), _N + " SELECT sense_id, CASE WHEN sense_id IN (4, 8, 15) THEN 'retired' ELSE status END AS status, CAST(version + CASE WHEN sense_id IN (4, 8, 15) THEN 1 ELSE 0 END AS BIGINT) AS version FROM sense"),
     "U12_guard_and_reset": (_reset, model_sql("usage", "sense", "segment", "review") + _STALE + " SELECT s.segment_id, CASE WHEN st.segment_id IS NULL THEN status WHEN r.segment_id IS NOT NULL THEN 'needs_human' ELSE 'pending' END AS status, CASE WHEN st.segment_id IS NOT NULL AND r.segment_id IS NOT NULL THEN 'edited by a person' END AS note FROM segment s LEFT JOIN stale st ON st.segment_id = s.segment_id LEFT JOIN review r ON r.segment_id = s.segment_id"),
     "U13_delete_subtree": (_subtree, model_sql("usage", "segment") + ", g AS (SELECT segment_id FROM segment WHERE path LIKE 'r1.%') SELECT 'usage' AS name, count(*) AS n FROM usage WHERE segment_id NOT IN (SELECT segment_id FROM g) UNION ALL SELECT 'segment', count(*) FROM segment WHERE segment_id NOT IN (SELECT segment_id FROM g)"),
-    "U19_import_outcomes": (_import, _N + ", i AS (SELECT sense_id * 2 AS id, CASE WHEN sense_id % 5 > 0 THEN 3 END AS v FROM sense WHERE sense_id % 5 < 3) SELECT CASE WHEN version IS NULL THEN 'not_found' WHEN status = 'approved' THEN 'already_confirmed' WHEN v <> version THEN 'conflict' ELSE 'ok' END AS outcome, count(*) AS n FROM i LEFT JOIN sense ON sense_id = id GROUP BY 1"),
     "U21_update_from": (_update_from, _N + ", f AS (SELECT term_id, label FROM (SELECT term_id, label, row_number() OVER (PARTITION BY term_id ORDER BY version, sense_id) AS n FROM sense WHERE label IS NOT NULL) AS x WHERE n = 1) SELECT sense_id, term_id, coalesce(f.label, sense.label) AS label FROM sense LEFT JOIN f USING (term_id)"),
     "M02_assigned_keys": (_keys, _N + " SELECT CAST((SELECT max(sense_id) FROM sense) + row_number() OVER (ORDER BY term) AS BIGINT) AS sense_id, term FROM (SELECT DISTINCT term FROM sense) AS x"),
     "K03_sheet_merge": (_sheet, model_sql("segment", "review") + " SELECT segment_id, status, reviewer AS note FROM segment LEFT JOIN review USING (segment_id)"),

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from florilege.functions import text as tx
 from florilege.functions.paths import labels
-from florilege.operators import acceptance, glossary, lookups, mutate, stale, terms
+from florilege.operators import acceptance, glossary, imports, lookups, mutate, stale, terms
 from florilege.sources.model import model_sql, view
 from florilege.sources.readers import preferred_source, table
+from florilege.store import TableSet, shared_folder
 
 
 def _v(*names):
@@ -27,59 +30,117 @@ def _notes(s, d):
 
 
 def _proposals(s, d):
-    """Proposals made of senses: the kind by the id, the state by the sense's."""
-    n = F.col("sense_id")
-    kind = F.get(F.array(*map(F.lit, _KINDS)), (n % 5).cast("int"))
-    return view(s, d, "sense").select(
-        n.alias("proposal_id"), kind.alias("kind"), F.concat(F.lit("u"), (n % 7).cast("string")).alias("proposed_by"), (n % 40 + 1).alias("sense_id"), F.when(n % 2 == 0, n % 30 + 1).alias("target_id"),
-        F.when(n % 3 > 0, n).alias("segment_id"), F.concat(F.lit("term"), (n % 9).cast("string")).alias("lemma"), F.concat(F.lit("text "), (n % 11).cast("string")).alias("content"),
-        F.when(F.col("status") == "proposed", "pending").when(F.col("status") == "approved", "approved").otherwise("rejected").alias("status"), (n * 7919 % 1000).alias("decided_at"))
+    """Proposals made of usages: kind, target and text by their numbers, the state by the usage's."""
+    n, first = F.col("segment_id"), view(s, d, "sense").groupBy("term_id").agg(F.min("sense_id").alias("first"))
+    used = view(s, d, "usage").groupBy("segment_id", "used").agg(F.min("sense_id").alias("sense_id"), F.min("status").alias("status"))
+    own = used.join(view(s, d, "sense").select("sense_id", "term_id").join(first, "term_id"), "sense_id")
+    kind = F.get(F.array(*map(F.lit, _KINDS)), ((n + F.col("used")) % 5).cast("int"))
+    status = F.when(F.col("status") == "model_proposed", "pending").when(F.col("status") == "confirmed", "approved").otherwise("rejected")
+    return own.select(
+        (n * 10 + F.col("used")).alias("proposal_id"), kind.alias("kind"), F.concat(F.lit("u"), (n % 7).cast("string")).alias("proposed_by"), F.when(kind != "add_term", F.col("sense_id")).alias("sense_id"),
+        F.when(n % 3 == 0, F.col("first")).when(n % 3 == 1, F.col("sense_id") + 1).alias("target_id"), F.when(n % 7 == 0, n + 1).otherwise(n).alias("origin"),
+        F.concat(F.when(n % 2 == 0, "Term").otherwise("term"), (n % 1000).cast("string")).alias("lemma"), F.when(n % 13 == 0, " ").otherwise(F.concat(F.lit("text "), (n % 11).cast("string"))).alias("content"),
+        status.alias("status"), (n * 7919 % 1000).alias("decided_at"))
 
 
 _KINDS = ("rendering", "sense_here", "remove_here", "retire_sense", "add_term")
-_PROPOSALS = model_sql("sense", "usage", "segment") + """, p AS (SELECT sense_id AS proposal_id, list_extract(['rendering', 'sense_here', 'remove_here', 'retire_sense', 'add_term'], CAST(sense_id % 5 + 1 AS INT)) AS kind, 'u' || sense_id % 7 AS proposed_by, sense_id % 40 + 1 AS sense_id,
-CASE WHEN sense_id % 2 = 0 THEN sense_id % 30 + 1 END AS target_id, CASE WHEN sense_id % 3 > 0 THEN sense_id END AS segment_id, 'term' || sense_id % 9 AS lemma, 'text ' || sense_id % 11 AS content,
-CASE status WHEN 'proposed' THEN 'pending' WHEN 'approved' THEN 'approved' ELSE 'rejected' END AS status, sense_id * 7919 % 1000 AS decided_at FROM sense)"""
-_APPROVED = _PROPOSALS + """, c AS (SELECT sense_id + sense_id % 2 * 1000000 AS proposal_id, CASE sense_id % 4 WHEN 0 THEN ' edited ' WHEN 1 THEN '  ' END AS edited FROM sense WHERE sense_id % 3 > 0),
-j AS (SELECT c.proposal_id, edited, kind, sense_id, target_id, segment_id, lemma, content, status FROM c LEFT JOIN p USING (proposal_id)),
-o AS (SELECT *, CASE WHEN kind IS NULL THEN 'not_found' WHEN status <> 'pending' THEN 'not_pending' WHEN edited IS NOT NULL AND NOT (kind IN ('rendering', 'add_term') OR (kind = 'sense_here' AND target_id IS NULL)) THEN 'no_edit' WHEN trim(edited) = '' THEN 'empty_edit'
-WHEN kind = 'add_term' AND lemma IN ('term1', 'term4') THEN 'term_exists' ELSE 'ok' END AS outcome FROM j),
+_PROPOSALS = model_sql("sense", "usage", "segment", "review") + """, f AS (SELECT term_id, min(sense_id) AS first FROM sense GROUP BY 1),
+p0 AS (SELECT u.*, term_id, first, list_extract(['rendering', 'sense_here', 'remove_here', 'retire_sense', 'add_term'], CAST((segment_id + used) % 5 + 1 AS INT)) AS kind FROM (SELECT segment_id, used, min(sense_id) AS sense_id, min(status) AS status FROM usage GROUP BY 1, 2) AS u JOIN (SELECT sense_id, term_id FROM sense) AS n USING (sense_id) JOIN f USING (term_id)),
+p AS (SELECT segment_id * 10 + used AS proposal_id, kind, 'u' || segment_id % 7 AS proposed_by, CASE WHEN kind <> 'add_term' THEN sense_id END AS sense_id, CASE segment_id % 3 WHEN 0 THEN first WHEN 1 THEN sense_id + 1 END AS target_id,
+CASE WHEN segment_id % 7 = 0 THEN segment_id + 1 ELSE segment_id END AS origin, CASE WHEN segment_id % 2 = 0 THEN 'Term' ELSE 'term' END || segment_id % 1000 AS lemma, CASE WHEN segment_id % 13 = 0 THEN ' ' ELSE 'text ' || segment_id % 11 END AS content,
+CASE status WHEN 'model_proposed' THEN 'pending' WHEN 'confirmed' THEN 'approved' ELSE 'rejected' END AS status, segment_id * 7919 % 1000 AS decided_at FROM p0)"""
+_APPROVED = _PROPOSALS + """, c AS (SELECT proposal_id + CASE WHEN proposal_id % 10 = 7 THEN 100000000000 ELSE 0 END AS proposal_id, CASE proposal_id % 4 WHEN 0 THEN ' edited ' WHEN 1 THEN '  ' END AS edited FROM p),
+us AS (SELECT DISTINCT segment_id, sense_id FROM usage),
+j AS (SELECT c.proposal_id, edited, kind, p.sense_id, target_id, origin, lemma, coalesce(trim(edited), p.content) AS content, p.status, s.term_id, t.term_id AS target_term, t.status AS target_status, us.segment_id IS NOT NULL AS is_used
+FROM c LEFT JOIN p USING (proposal_id) LEFT JOIN sense s ON s.sense_id = p.sense_id LEFT JOIN sense t ON t.sense_id = target_id LEFT JOIN us ON us.segment_id = origin AND us.sense_id = p.sense_id),
+o0 AS (SELECT *, CASE WHEN kind IS NULL THEN 'not_found' WHEN status <> 'pending' THEN 'not_pending' WHEN edited IS NOT NULL AND NOT (kind IN ('rendering', 'add_term') OR (kind = 'sense_here' AND target_id IS NULL)) THEN 'no_edit' WHEN trim(edited) = '' THEN 'empty_edit'
+WHEN kind = 'rendering' AND trim(content) = '' THEN 'empty' WHEN kind = 'sense_here' AND target_id IS NOT NULL AND target_term IS DISTINCT FROM term_id THEN 'wrong_term' WHEN kind = 'sense_here' AND target_status = 'retired' THEN 'retired'
+WHEN ((kind = 'sense_here' AND target_id IS NOT NULL) OR kind = 'remove_here') AND NOT is_used THEN 'stale' WHEN kind = 'add_term' AND lower(lemma) IN ('term1', 'term4') THEN 'term_exists' ELSE 'ok' END AS outcome FROM j),
+o AS (SELECT * EXCLUDE outcome, CASE WHEN kind = 'add_term' AND outcome = 'ok' AND proposal_id > min(proposal_id) FILTER (WHERE kind = 'add_term' AND outcome = 'ok') OVER (PARTITION BY lower(lemma)) THEN 'term_exists' ELSE outcome END AS outcome FROM o0),
 e AS (SELECT proposal_id, outcome, CASE WHEN outcome = 'ok' THEN CASE kind WHEN 'rendering' THEN 'change' WHEN 'sense_here' THEN CASE WHEN target_id IS NULL THEN 'acknowledge' ELSE 'repoint' END WHEN 'remove_here' THEN 'reject_usage' WHEN 'retire_sense' THEN 'retire' ELSE 'add' END END AS effect,
-sense_id, target_id, segment_id, coalesce(trim(edited), content) AS content, kind FROM o)"""
+sense_id, target_id, origin, lemma, content, kind FROM o)"""
+
+
+def _terms(s):
+    return s.createDataFrame([(7, "Term1"), (9, "TERM4")], "term_id int, lemma string")
 
 
 def _approvals(s, d):
-    n = F.col("sense_id")
-    chosen = view(s, d, "sense").filter(n % 3 > 0).select((n + n % 2 * 1000000).alias("proposal_id"), F.when(n % 4 == 0, " edited ").when(n % 4 == 1, "  ").alias("edited"))
-    return glossary.approvals(_proposals(s, d), chosen, s.createDataFrame([("Term1",), ("TERM4",)], "term string"))
+    p, n = _proposals(s, d), F.col("proposal_id")
+    chosen = p.select(F.when(n % 10 == 7, n + 100000000000).otherwise(n).alias("proposal_id"), F.when(n % 4 == 0, " edited ").when(n % 4 == 1, "  ").alias("edited"))
+    return glossary.approvals(p, chosen, _terms(s), view(s, d, "sense"), view(s, d, "usage"))
 
 
 def _applied(s, d):
-    out = glossary.applied(_proposals(s, d), view(s, d, "sense"), view(s, d, "usage").select("segment_id", "sense_id", "status"), _approvals(s, d))
-    count = lambda name: out[name].groupBy("status").agg(F.count("*").alias("n"), F.sum("sense_id").cast("bigint").alias("ids")).select(F.lit(name).alias("what"), "status", "n", "ids")
-    versions = out["sense"].agg(F.count("*").alias("n"), F.sum("version").cast("bigint").alias("ids")).select(F.lit("version").alias("what"), F.lit("all").alias("status"), "n", "ids")
-    return count("proposal").union(count("sense")).union(count("usage")).union(versions)
+    """All tables after the approvals, as sums by status; committed as one and read again."""
+    p, sense = _proposals(s, d), view(s, d, "sense").drop("term", "label", "category")
+    out = glossary.applied(p, _terms(s), sense, view(s, d, "usage"), view(s, d, "segment").select("segment_id", "status"), view(s, d, "review").select("segment_id"), _approvals(s, d))
+    tables = TableSet(s, f"{shared_folder(s)}/glossary-{uuid.uuid4().hex}")
+    tables.commit(0, out)
+    out = tables.read()[1]
+    count = lambda name, key, status="status": out[name].groupBy(F.col(status) if status else F.lit("all").alias("status")).agg(F.count("*").alias("n"), F.sum(key).cast("bigint").alias("ids")).select(F.lit(name).alias("what"), "status", "n", "ids")
+    sums = out["sense"].agg(F.count("*").alias("n"), F.sum("version").cast("bigint").alias("ids")).select(F.lit("version").alias("what"), F.lit("all").alias("status"), "n", "ids")
+    stamps = out["usage"].agg(F.count("*").alias("n"), F.sum("used").cast("bigint").alias("ids")).select(F.lit("used").alias("what"), F.lit("all").alias("status"), "n", "ids")
+    return count("proposal", "proposal_id").union(count("sense", "sense_id")).union(count("usage", "sense_id")).union(count("segment", "segment_id")).union(count("term", "term_id", None)).union(sums).union(stamps)
 
 
 _APPLIED = _APPROVED + """, w AS (SELECT sense_id, max_by(effect, proposal_id) AS effect, max_by(content, proposal_id) AS content FROM e WHERE effect IN ('change', 'retire') GROUP BY 1),
-s2 AS (SELECT s.sense_id, version + CASE WHEN w.effect = 'retire' OR (w.effect = 'change' AND w.content IS DISTINCT FROM s.content) THEN 1 ELSE 0 END AS version, CASE WHEN w.effect = 'retire' THEN 'retired' ELSE status END AS status FROM sense s LEFT JOIN w USING (sense_id)),
-h AS (SELECT segment_id, sense_id, max_by(effect, proposal_id) AS effect, max_by(coalesce(target_id, -1), proposal_id) AS target_id FROM e WHERE effect IN ('repoint', 'reject_usage') AND segment_id IS NOT NULL GROUP BY 1, 2),
-u2 AS (SELECT CASE h.effect WHEN 'reject_usage' THEN 'rejected' WHEN 'repoint' THEN 'confirmed' ELSE status END AS status, CASE WHEN h.effect = 'repoint' THEN h.target_id ELSE u.sense_id END AS sense_id FROM usage u LEFT JOIN h ON h.segment_id = u.segment_id AND h.sense_id = u.sense_id),
+h AS (SELECT origin AS segment_id, sense_id, max_by(effect, proposal_id) AS effect, max_by(coalesce(target_id, -1), proposal_id) AS target_id FROM e WHERE effect IN ('repoint', 'reject_usage') GROUP BY 1, 2),
+ad AS (SELECT row_number() OVER (ORDER BY proposal_id) AS k FROM e WHERE effect = 'add'),
+s2 AS (SELECT s.sense_id, version + CASE WHEN w.effect = 'retire' OR (w.effect = 'change' AND w.content IS DISTINCT FROM s.content) THEN 1 ELSE 0 END AS version,
+CASE WHEN w.effect = 'retire' THEN 'retired' WHEN status = 'proposed' AND s.sense_id IN (SELECT target_id FROM h WHERE effect = 'repoint') THEN 'approved' ELSE status END AS status FROM sense s LEFT JOIN w USING (sense_id)
+UNION ALL SELECT (SELECT max(sense_id) FROM sense) + k, 1, 'approved' FROM ad),
+u2 AS (SELECT u.segment_id, CASE h.effect WHEN 'reject_usage' THEN 'rejected' WHEN 'repoint' THEN 'confirmed' ELSE u.status END AS status, CASE WHEN h.effect = 'repoint' THEN h.target_id ELSE u.sense_id END AS sense_id, CASE WHEN h.effect = 'repoint' THEN t.version ELSE used END AS used
+FROM usage u LEFT JOIN h ON h.segment_id = u.segment_id AND h.sense_id = u.sense_id LEFT JOIN sense t ON t.sense_id = h.target_id),
 k AS (SELECT DISTINCT sense_id FROM e WHERE outcome = 'ok' AND kind IN ('rendering', 'retire_sense')),
-p2 AS (SELECT CASE WHEN e.outcome = 'ok' THEN 'approved' WHEN k.sense_id IS NOT NULL AND p.status = 'pending' AND p.kind IN ('rendering', 'retire_sense') THEN 'superseded' ELSE p.status END AS status, p.sense_id FROM p LEFT JOIN e USING (proposal_id) LEFT JOIN k ON k.sense_id = p.sense_id)
-SELECT 'proposal' AS what, status, count(*) AS n, CAST(sum(sense_id) AS BIGINT) AS ids FROM p2 GROUP BY 2 UNION ALL SELECT 'sense', status, count(*), CAST(sum(sense_id) AS BIGINT) FROM s2 GROUP BY 2
-UNION ALL SELECT 'usage', status, count(*), CAST(sum(sense_id) AS BIGINT) FROM u2 GROUP BY 2 UNION ALL SELECT 'version', 'all', count(*), CAST(sum(version) AS BIGINT) FROM s2"""
+p2 AS (SELECT p.proposal_id, CASE WHEN e.outcome = 'ok' THEN 'approved' WHEN k.sense_id IS NOT NULL AND p.status = 'pending' AND p.kind IN ('rendering', 'retire_sense') THEN 'superseded' ELSE p.status END AS status FROM p LEFT JOIN e USING (proposal_id) LEFT JOIN k ON k.sense_id = p.sense_id),
+g2 AS (SELECT segment_id, CASE WHEN segment_id NOT IN (SELECT segment_id FROM h) THEN status WHEN segment_id IN (SELECT segment_id FROM review) THEN 'needs_human' ELSE 'pending' END AS status FROM segment)
+SELECT 'proposal' AS what, status, count(*) AS n, CAST(sum(proposal_id) AS BIGINT) AS ids FROM p2 GROUP BY 2 UNION ALL SELECT 'sense', status, count(*), CAST(sum(sense_id) AS BIGINT) FROM s2 GROUP BY 2
+UNION ALL SELECT 'usage', status, count(*), CAST(sum(sense_id) AS BIGINT) FROM u2 GROUP BY 2 UNION ALL SELECT 'segment', status, count(*), CAST(sum(segment_id) AS BIGINT) FROM g2 GROUP BY 2
+UNION ALL SELECT 'term', 'all', count(*), CAST(sum(x) AS BIGINT) FROM (SELECT 7 AS x UNION ALL SELECT 9 UNION ALL SELECT 9 + k FROM ad) AS t
+UNION ALL SELECT 'version', 'all', count(*), CAST(sum(version) AS BIGINT) FROM s2 UNION ALL SELECT 'used', 'all', count(*), CAST(sum(used) AS BIGINT) FROM u2"""
 
 
 def _reopened(s, d):
-    p = _proposals(s, d)
-    out = glossary.reopen(p.select("proposal_id", "kind", "proposed_by", "sense_id", "content", "status"), p.filter("proposal_id % 2 = 0"))
-    return out.select(F.col("proposal_id").cast("bigint").alias("proposal_id"), "kind", "proposed_by", F.col("sense_id").cast("bigint").alias("sense_id"), "content", "status")
+    p = _proposals(s, d).drop("decided_at")
+    out, _ = glossary.reopen(p, p.filter("proposal_id % 2 = 0"), view(s, d, "sense"), view(s, d, "segment"))
+    return out.withColumns({c: F.col(c).cast("bigint") for c in ("proposal_id", "sense_id", "target_id", "origin")})
+
+
+_REOPENED = _PROPOSALS + """, r AS (SELECT *, CASE WHEN kind = 'add_term' THEN lower(lemma) ELSE CAST(sense_id AS VARCHAR) END AS x FROM p),
+a AS (SELECT kind, proposed_by, x, origin, min(proposal_id) AS of, max(proposal_id) AS source FROM r WHERE proposal_id % 2 = 0 AND status = 'rejected' AND origin IN (SELECT segment_id FROM segment) GROUP BY 1, 2, 3, 4),
+o AS (SELECT r.proposal_id, a.source, a.of FROM a LEFT JOIN r ON r.status = 'pending' AND r.kind = a.kind AND r.proposed_by = a.proposed_by AND r.x = a.x AND r.origin = a.origin),
+n AS (SELECT (SELECT max(proposal_id) FROM p) + row_number() OVER (ORDER BY of) AS proposal_id, source FROM o WHERE proposal_id IS NULL)
+SELECT p.proposal_id, p.kind, p.proposed_by, p.sense_id, CASE WHEN o.source IS NULL THEN p.target_id ELSE q.target_id END AS target_id, p.origin, p.lemma, coalesce(q.content, p.content) AS content, p.status FROM p LEFT JOIN o ON o.proposal_id = p.proposal_id LEFT JOIN p q ON q.proposal_id = o.source
+UNION ALL SELECT n.proposal_id, kind, proposed_by, sense_id, target_id, origin, lemma, content, 'pending' FROM n JOIN p ON p.proposal_id = source"""
+
+
+def _sheet(s, d):
+    """A sheet of two kinds of rows: for each sense one that names a sense, or one of a new term."""
+    n = F.col("sense_id")
+    own = view(s, d, "sense").filter(n % 5 < 3).select(
+        (n * 10).alias("place"), (n * 2).alias("sense_id"), F.when(n % 5 > 0, 3).alias("version"), F.lit("ignored").alias("lemma"), F.lit(None).cast("string").alias("surface"), F.when(n % 3 > 0, F.concat(F.lit(" l"), (n % 3).cast("string"))).alias("label"),
+        F.when(n % 4 == 0, F.lit(" ")).otherwise(F.concat(F.lit("c"), (n % 3).cast("string"))).alias("content"), F.lit("term").alias("category"))
+    new = view(s, d, "sense").filter(n % 5 >= 3).select(
+        (n * 10 + 1).alias("place"), F.lit(None).cast("bigint").alias("sense_id"), F.lit(None).cast("int").alias("version"), F.when(n % 11 == 0, " ").otherwise(F.concat(F.when(n % 2 == 0, "NEW ").otherwise("New "), (n % 70).cast("string"))).alias("lemma"),
+        F.lit("s").alias("surface"), F.when(n % 3 > 0, F.concat(F.lit("l"), (n % 3).cast("string"))).alias("label"), F.when(n % 7 == 0, "").otherwise(F.concat(F.lit("c"), (n % 2).cast("string"))).alias("content"), F.lit("term").alias("category"))
+    terms_ = view(s, d, "sense").select("term_id", F.col("term").alias("lemma")).distinct().withColumns({"category": F.lit(None).cast("string"), "surface": F.lit(None).cast("string")})
+    return imports.import_approvals(own.union(new), terms_, view(s, d, "sense"))
+
+
+_SHEET = model_sql("sense") + """, a AS (SELECT sense_id * 10 AS place, sense_id * 2 AS id, CASE WHEN sense_id % 5 > 0 THEN 3 END AS v, CASE WHEN sense_id % 3 > 0 THEN 'l' || sense_id % 3 END AS l, CASE WHEN sense_id % 4 > 0 THEN 'c' || sense_id % 3 END AS c FROM sense WHERE sense_id % 5 < 3),
+ao AS (SELECT a.*, n.*, CASE WHEN n.sense_id IS NULL THEN 'NOT_FOUND' WHEN v IS NULL THEN 'CONFLICT' WHEN status = 'approved' AND (c IS NULL OR c = content) THEN 'ALREADY_CONFIRMED' ELSE 'OK' END AS outcome FROM a LEFT JOIN sense n ON n.sense_id = id),
+b AS (SELECT sense_id * 10 + 1 AS place, CASE WHEN sense_id % 11 <> 0 THEN 'new ' || sense_id % 70 END AS k, CASE WHEN sense_id % 3 > 0 THEN 'l' || sense_id % 3 END AS l, CASE WHEN sense_id % 7 <> 0 THEN 'c' || sense_id % 2 END AS c FROM sense WHERE sense_id % 5 >= 3),
+bo AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY place) AS of_k, row_number() OVER (PARTITION BY k, l ORDER BY place) AS of_l, lag(c IGNORE NULLS) OVER (PARTITION BY k, l ORDER BY place) AS was FROM b),
+bb AS (SELECT *, CASE WHEN k IS NULL THEN 'NO_LEMMA' WHEN of_k = 1 THEN 'CREATED' WHEN of_l = 1 THEN 'SENSE_ADDED' ELSE 'UPDATED' END AS outcome, k IS NOT NULL AND of_l > 1 AND c IS NOT NULL AND c IS DISTINCT FROM was AS bumped FROM bo)"""
+_IMPORTED = _SHEET + """, t AS (SELECT k, (SELECT max(term_id) FROM sense) + row_number() OVER (ORDER BY place) AS term_id FROM bb WHERE outcome = 'CREATED'),
+g AS (SELECT k, l, min(place) AS place, 1 + count(*) FILTER (WHERE bumped) AS version, max_by(c, place) AS content FROM bb WHERE k IS NOT NULL GROUP BY 1, 2)
+SELECT n.sense_id, n.term_id, CASE WHEN o.outcome IN ('OK', 'ALREADY_CONFIRMED') THEN o.l ELSE n.label END AS label, CASE WHEN o.outcome = 'OK' THEN 'approved' ELSE n.status END AS status, n.version + CASE WHEN o.outcome = 'OK' THEN 1 ELSE 0 END AS version, CASE WHEN o.outcome = 'OK' THEN coalesce(o.c, '') ELSE n.content END AS content
+FROM sense n LEFT JOIN ao o ON o.id = n.sense_id UNION ALL SELECT (SELECT max(sense_id) FROM sense) + row_number() OVER (ORDER BY place), term_id, l, 'approved', version, content FROM g JOIN t USING (k)"""
 
 
-_REOPENED = _PROPOSALS + """, a AS (SELECT kind, proposed_by, sense_id, min(proposal_id) AS of, min_by(content, proposal_id) AS content FROM p WHERE proposal_id % 2 = 0 AND status <> 'pending' GROUP BY 1, 2, 3),
-n AS (SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.status = 'pending' AND p.kind = a.kind AND p.proposed_by = a.proposed_by AND p.sense_id = a.sense_id))
-SELECT CAST(proposal_id AS BIGINT) AS proposal_id, kind, proposed_by, CAST(sense_id AS BIGINT) AS sense_id, content, status FROM p UNION ALL SELECT (SELECT max(proposal_id) FROM p) + row_number() OVER (ORDER BY of), kind, proposed_by, sense_id, content, 'pending' FROM n"""
+def _imported(s, d):
+    return _sheet(s, d)["sense"].select(*(F.col(c).cast("bigint").alias(c) for c in ("sense_id", "term_id", "version")), "label", "status", "content")
 
 
 def _entries(s, d):
@@ -269,6 +330,8 @@ QUERIES = {
     "U16_reopened": (_reopened, _REOPENED),
     "U17_approvals": (_approvals, _APPROVED + " SELECT * FROM e"),
     "U17_applied": (_applied, _APPLIED),
+    "U19_import_outcomes": (lambda s, d: _sheet(s, d)["outcome"], _SHEET + " SELECT place, outcome, outcome = 'OK' AS bumped FROM ao UNION ALL SELECT place, outcome, bumped FROM bb"),
+    "U19_imported_senses": (_imported, _IMPORTED.replace("n.sense_id, n.term_id, CASE", "CAST(n.sense_id AS BIGINT) AS sense_id, CAST(n.term_id AS BIGINT) AS term_id, CASE").replace("ELSE 0 END AS version", "ELSE 0 END AS version")),
     "X04_acceptance": (lambda s, d: acceptance.checks(view(s, d, "segment").agg(F.count_distinct("article_path").alias("articles"), F.count("*").alias("segments"), F.count_distinct("pars").alias("parts")), {"articles": 10, "segments": 10**9, "parts": 5}), _SE + " SELECT c.check, c.found, c.least, c.found >= c.least AS ok FROM (SELECT unnest([{'check': 'articles', 'found': count(DISTINCT article_path), 'least': CAST(10 AS BIGINT)}, {'check': 'segments', 'found': count(*), 'least': 1000000000}, {'check': 'parts', 'found': count(DISTINCT pars), 'least': 5}]) AS c FROM segment) AS x".replace("c.check", 'c."check"')),
     "E01_articles": (_v("segment")(acceptance.articles), _SE + " SELECT article_path AS article, pars AS part, q_num AS question, a_num AS number, count(*) AS n FROM segment GROUP BY 1, 2, 3, 4"),
     "E02_overlay_elements": (_overlay, _OVERLAY),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from florilege.operators import authority, match, mining, mutate, proposals, rollup, stale
+from florilege.operators import authority, glossary, match, mining, mutate, proposals, rollup, stale
 from florilege.sources.model import model_sql, view
 from florilege.sources.readers import table
 
@@ -15,19 +15,25 @@ def _seg(s, d):
 
 
 def _validate(s, d):
-    p = view(s, d, "sense").select(
-        F.col("sense_id").alias("proposal_id"), F.when(F.col("sense_id") % 3 == 0, "change").when(F.col("sense_id") % 3 == 1, "repoint").otherwise("retire").alias("kind"),
-        (F.col("sense_id") * 2).alias("sense_id"), F.when(F.col("sense_id") % 7 != 0, F.col("sense_id") * 3).alias("target_id"),
-        F.when(F.col("sense_id") % 2 == 0, "red widget").when(F.col("sense_id") % 5 == 0, " ").otherwise("new").alias("content"), F.when(F.col("sense_id") % 4 == 0, F.col("sense_id")).alias("segment_id"))
-    return proposals.validate(p, view(s, d, "sense"), view(s, d, "usage")).select("proposal_id", "reason")
-
-
-_VALIDATE = model_sql("sense", "usage") + """, p AS (SELECT sense_id AS proposal_id, CASE sense_id % 3 WHEN 0 THEN 'change' WHEN 1 THEN 'repoint' ELSE 'retire' END AS kind, sense_id * 2 AS sense_id,
-CASE WHEN sense_id % 7 <> 0 THEN sense_id * 3 END AS target_id, CASE WHEN sense_id % 2 = 0 THEN 'red widget' WHEN sense_id % 5 = 0 THEN ' ' ELSE 'new' END AS content, CASE WHEN sense_id % 4 = 0 THEN sense_id END AS segment_id FROM sense)
-SELECT proposal_id, CASE WHEN s.sense_id IS NULL THEN 'not_found' WHEN kind = 'change' AND trim(p.content) = '' THEN 'content_required' WHEN kind = 'change' AND p.content = s.content THEN 'no_change'
-WHEN kind = 'repoint' AND target_id IS NULL THEN 'missing_target' WHEN kind = 'repoint' AND t.sense_id IS NULL THEN 'not_found' WHEN kind = 'repoint' AND t.term_id <> s.term_id THEN 'wrong_term' WHEN kind = 'repoint' AND t.status = 'retired' THEN 'retired'
-WHEN p.segment_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM usage u WHERE u.segment_id = p.segment_id AND u.sense_id = p.sense_id) THEN 'not_locked_here' ELSE 'ok' END AS reason
-FROM p LEFT JOIN sense s ON s.sense_id = p.sense_id LEFT JOIN sense t ON t.sense_id = target_id"""
+    """Proposals of all usages: kinds by number, other senses of the term or of another, texts that are and aren't new."""
+    n = F.col("segment_id")
+    first = view(s, d, "sense").groupBy("term_id").agg(F.min("sense_id").alias("first"))
+    own = view(s, d, "usage").join(view(s, d, "sense").select("sense_id", "term_id", F.col("content").alias("now")).join(first, "term_id"), "sense_id")
+    kind = F.get(F.array(*map(F.lit, ("rendering", "sense_here", "remove_here", "retire_sense"))), ((n + F.col("used")) % 4).cast("int"))
+    p = own.select(
+        (n * 10 + F.col("used")).alias("proposal_id"), kind.alias("kind"), F.when(n % 11 == 0, F.col("sense_id") + 1000000000).otherwise(F.col("sense_id")).alias("sense_id"),
+        F.when(n % 3 == 0, F.col("first")).when(n % 3 == 1, F.col("sense_id") + 1).alias("target_id"), F.when(n % 5 == 0, "").when(n % 5 == 1, F.col("now")).when(n % 5 == 2, "new").alias("content"), "segment_id")
+    return proposals.validate(p, view(s, d, "sense"), proposals.locked_terms(view(s, d, "usage"), view(s, d, "sense"))).select("proposal_id", "reason")
+
+
+_VALIDATE = model_sql("sense", "usage") + """, f AS (SELECT term_id, min(sense_id) AS first FROM sense GROUP BY 1),
+p AS (SELECT segment_id * 10 + used AS proposal_id, list_extract(['rendering', 'sense_here', 'remove_here', 'retire_sense'], CAST((segment_id + used) % 4 + 1 AS INT)) AS kind, u.sense_id + CASE WHEN segment_id % 11 = 0 THEN 1000000000 ELSE 0 END AS sense_id,
+CASE segment_id % 3 WHEN 0 THEN first WHEN 1 THEN u.sense_id + 1 END AS target_id, CASE segment_id % 5 WHEN 0 THEN '' WHEN 1 THEN n.content WHEN 2 THEN 'new' END AS content, segment_id FROM usage u JOIN sense n USING (sense_id) JOIN f USING (term_id)),
+k AS (SELECT DISTINCT segment_id, sense_id FROM usage u JOIN (SELECT sense_id FROM sense WHERE status = 'approved' AND content IS NOT NULL) AS a USING (sense_id) WHERE status <> 'rejected')
+SELECT proposal_id, CASE WHEN s.sense_id IS NULL THEN 'not_found' WHEN kind = 'rendering' AND coalesce(p.content, '') = '' THEN 'proposed_sk_required' WHEN kind = 'rendering' AND p.content = coalesce(s.content, '') THEN 'no_change'
+WHEN kind IN ('sense_here', 'remove_here') AND k.sense_id IS NULL THEN 'not_locked_here' WHEN kind = 'sense_here' AND target_id IS NOT NULL THEN CASE WHEN target_id = p.sense_id THEN 'no_change' WHEN t.term_id IS DISTINCT FROM s.term_id THEN 'wrong_term' ELSE 'ok' END
+WHEN kind = 'sense_here' THEN CASE WHEN coalesce(p.content, '') = '' THEN 'missing_target' WHEN p.content = coalesce(s.content, '') THEN 'no_change' ELSE 'ok' END ELSE 'ok' END AS reason
+FROM p LEFT JOIN sense s ON s.sense_id = p.sense_id LEFT JOIN sense t ON t.sense_id = target_id LEFT JOIN k ON k.segment_id = p.segment_id AND k.sense_id = p.sense_id"""
 
 
 def _cues(s, d):
@@ -70,10 +76,13 @@ def _constraints(s, d):
 
 
 def _repoint(s, d):
-    to = view(s, d, "sense").filter("status = 'flagged'").groupBy("term_id").agg(F.min("sense_id").alias("to"))
-    old = view(s, d, "sense").filter("status = 'proposed'").select("sense_id", "term_id").join(to, "term_id")
-    u = view(s, d, "usage").filter("status <> 'rejected'").join(old, "sense_id", "left")
-    return u.select("segment_id", F.coalesce("to", "sense_id").alias("sense_id"), F.when(F.col("to").isNotNull(), "confirmed").otherwise(F.col("status")).alias("status"))
+    """Usages of retired senses move to the first sense of the term that isn't."""
+    n, u = view(s, d, "sense"), view(s, d, "usage")
+    goal = n.filter("status <> 'retired'").groupBy("term_id").agg(F.min("sense_id").alias("target_id"))
+    old = n.filter("status = 'retired'").select("sense_id", "term_id").join(goal, "term_id").drop("term_id")
+    moves = u.filter("status <> 'rejected'").select("segment_id", "sense_id").distinct().join(old, "sense_id")
+    use, senses = glossary.repoint(u, n, moves)
+    return use.select(F.lit("usage").alias("what"), "sense_id", "status", F.col("used").cast("bigint").alias("n")).union(senses.select(F.lit("sense"), "sense_id", "status", F.col("version").cast("bigint")))
 
 
 def _tombstones(s, d):
@@ -122,7 +131,9 @@ QUERIES = {
     "T14_new_labels": (_proposed, _N + " SELECT min(sense_id) AS position, upper(content) AS label FROM sense WHERE lower(content) NOT IN (SELECT lower(content) FROM sense WHERE term_id = 3) GROUP BY upper(content)"),
     "A26_constraint_block": (_constraints, model_sql("usage", "sense") + " SELECT content AS required, label, string_agg(DISTINCT term, ', ' ORDER BY term) AS surfaces FROM usage JOIN sense USING (sense_id) WHERE usage.status = 'confirmed' GROUP BY 1, 2"),
     "A18_text_lengths": (_snapshots, "SELECT doc_id % 100 AS segment_id, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1"),
-    "U08_repointed": (_repoint, model_sql("usage", "sense") + ", t AS (SELECT term_id, min(sense_id) AS goal FROM sense WHERE status = 'flagged' GROUP BY 1), o AS (SELECT sense_id, goal FROM sense JOIN t USING (term_id) WHERE status = 'proposed') SELECT segment_id, coalesce(goal, u.sense_id) AS sense_id, CASE WHEN goal IS NOT NULL THEN 'confirmed' ELSE status END AS status FROM usage u LEFT JOIN o ON o.sense_id = u.sense_id WHERE status <> 'rejected'"),
+    "U08_repointed": (_repoint, model_sql("usage", "sense") + """, t AS (SELECT term_id, min(sense_id) AS goal FROM sense WHERE status <> 'retired' GROUP BY 1), o AS (SELECT sense_id, goal FROM sense JOIN t USING (term_id) WHERE status = 'retired'),
+m AS (SELECT DISTINCT segment_id, sense_id, goal FROM usage JOIN o USING (sense_id) WHERE status <> 'rejected') SELECT 'usage' AS what, coalesce(goal, u.sense_id) AS sense_id, CASE WHEN goal IS NOT NULL THEN 'confirmed' ELSE u.status END AS status, CAST(coalesce(n.version, used) AS BIGINT) AS n
+FROM usage u LEFT JOIN m ON m.segment_id = u.segment_id AND m.sense_id = u.sense_id LEFT JOIN sense n ON n.sense_id = goal UNION ALL SELECT 'sense', sense_id, CASE WHEN status = 'proposed' AND sense_id IN (SELECT goal FROM m) THEN 'approved' ELSE status END, CAST(version AS BIGINT) FROM sense"""),
     "U09_tombstones": (_tombstones, _U + " SELECT CASE WHEN used = 4 AND method = 'R' THEN 'rejected' ELSE status END AS status, count(*) AS n FROM usage GROUP BY 1"),
     "U14_delete_using": (lambda s, d: mutate.delete_using(view(s, d, "usage"), view(s, d, "review"), ["segment_id"]).groupBy("method").agg(F.count("*").alias("n")), model_sql("usage", "review") + " SELECT method, count(*) AS n FROM usage WHERE segment_id NOT IN (SELECT segment_id FROM review) GROUP BY 1"),
     "U18_threads": (_threads, _C + " SELECT comment_id, resolved OR segment_id = 7 AS resolved FROM comment WHERE NOT (author = 'u1' AND segment_id = 9)"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from florilege.functions import text as tx
-from florilege.operators import guards, match, mining, rollup
+from florilege.operators import guards, match, mining, phrases, rollup
 from florilege.plans import flows
 from florilege.sinks import writers
 from florilege.sources import readers
@@ -51,17 +51,16 @@ def _stems(s, d):
 
 
 def _phrase_spans(s, d):
-    return match.phrase_spans(_texts(s, d), _phrases(s, d)).select("segment_id", "phrase_id", F.col("start").cast("bigint").alias("start"), F.col("length").cast("bigint").alias("length"))
+    return phrases.phrase_spans(_texts(s, d), _phrases(s, d)).select("segment_id", "phrase_id", F.col("start").cast("bigint").alias("start"), F.col("length").cast("bigint").alias("length"))
 
 
 def _chosen(s, d):
-    return match.leftmost_longest(match.phrase_spans(_texts(s, d), _phrases(s, d))).select("segment_id", F.col("phrase_id").cast("bigint").alias("phrase_id"), F.col("start").cast("bigint").alias("start"), F.col("length").cast("bigint").alias("length"))
+    return match.leftmost_longest(phrases.phrase_spans(_texts(s, d), _phrases(s, d))).select("segment_id", F.col("phrase_id").cast("bigint").alias("phrase_id"), F.col("start").cast("bigint").alias("start"), F.col("length").cast("bigint").alias("length"))
 
 
 def _masked(s, d):
-    spans = match.phrase_spans(_texts(s, d), _phrases(s, d)).join(_phrases(s, d), "phrase_id")
-    own = spans.groupBy("segment_id").agg(F.array_sort(F.collect_set("phrase")).alias("p"))
-    return _texts(s, d).join(own, "segment_id").select("segment_id", F.length(match.mask(F.col("content"), F.col("p"))).cast("bigint").alias("chars"))
+    spans = phrases.phrase_spans(_texts(s, d), _phrases(s, d))
+    return phrases.masked(_texts(s, d).join(spans.select("segment_id").distinct(), "segment_id", "left_semi"), spans).select("segment_id", F.length("content").cast("bigint").alias("chars"))
 
 
 def _terms(s, d):

@@ -13,10 +13,11 @@ from florilege.functions.text import outside_parentheses, upper_share
 
 #: What a sheet holds where a row is approved, after trimming.
 TRUE_WORDS = ("TRUE", "True", "true", "1", "YES", "yes")
-#: Title grammar of a locator: part, question, then ``pr.`` or article and element.
-LOCATOR = r"^\s*(I-II|II-II|III|I) \s*q\.\s*(\d+)\s+(?:(pr)\.|a\.\s*(\d+)\s+(?:(arg)\.\s*(\d+)|(s)\.\s*c\.(?:\s*\d+)?|(co)\.|ad\s+(\d+)|ad\s+(arg)\.))\s*$"
-#: The same of lines that stand before a translated element: ``ot.`` for questions, ``čl.`` for articles.
-COORDINATE = r"^\s*(I-II|II-II|III|I)\s+ot\.\s*(\d+)\s+(?:čl\.\s*(\d+)\s+(?:(arg)\.\s*(\d+)|(protiarg)\.|(odp)\.|k\s+(\d+))|(pr)\.)"
+#: Parts, and the abbreviations of titles and of lines before a translated element.
+PARTS = ("I-II", "II-II", "III", "I")
+TITLE_WORDS = {"question": "q.", "article": "a.", "preamble": "pr.", "arg": "arg.", "sed_contra": "s. c.", "respondeo": "co.", "reply": "ad"}
+LINE_WORDS = {"question": "ot.", "article": "čl.", "preamble": "pr.", "arg": "arg.", "sed_contra": "protiarg.", "respondeo": "odp.", "reply": "k"}
+KINDS = ("preamble", "arg", "sed_contra", "respondeo", "reply")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,15 +27,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def jsonl(spark: SparkSession, path: str, schema: str, keys: list[str]) -> DataFrame:
-    """Last record of each key; blank lines are skipped, a line that is no object is an error.
+    """Last record of each key; blank lines are skipped, a line that is no object is an error that names its file and line.
 
-    Files follow each other by path, lines as they stand: the order doesn't
-    depend on how files are dealt to tasks.
+    Files follow each other by path, lines as they stand, however files are cut
+    and dealt to tasks: a line's number is its place in its block behind the
+    lines of the blocks before it, which are counted.
     """
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
-    lines = spark.read.text(path).select("value", place.alias("at")).filter(F.trim("value") != "")
-    parsed = lines.select("at", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r"))
-    return parsed.groupBy(*(F.col(f"r.{k}").alias(k) for k in keys)).agg(F.max_by("r", "at").alias("r")).select("r.*")
+    meta = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select("value", meta.alias("at"))
+    record = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE"})
+    parsed = lines.select("at", (F.trim("value") == "").alias("blank"), record.alias("r"))
+    bad = ~F.col("blank") & (F.col("r").isNull() | F.col("r._corrupt_record").isNotNull())
+    names = [f.name for f in parsed.schema["r"].dataType if f.name != "_corrupt_record"]
+    good = parsed.filter(~F.col("blank") & ~bad).select("at", F.struct(*(F.col(f"r.{c}").alias(c) for c in names)).alias("r"))
+    latest = good.groupBy(*(F.col(f"r.{k}").alias(k) for k in keys)).agg(F.max_by("r", "at").alias("r")).select("r.*")
+
+    blocks = parsed.groupBy("at.file", "at.block").agg(F.count("*").alias("n"), F.min("at.line").alias("first"), F.min(F.when(bad, F.col("at.line"))).alias("bad"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row per block of a file
+    number = F.coalesce(F.sum("n").over(before), F.lit(0)) + F.col("bad") - F.col("first") + 1
+    told = blocks.withColumn("number", number).filter("bad IS NOT NULL")
+    broken = told.agg(F.min(F.struct("file", "number")).alias("b")).filter("b IS NOT NULL")
+    error = F.raise_error(F.format_string("%s, line %d: no JSON object", F.col("b.file"), F.col("b.number")))
+    return latest.unionByName(broken.select(*(error.cast(latest.schema[c].dataType).alias(c) for c in latest.columns)))
 
 
 def sample_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -44,15 +58,54 @@ def sample_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def approvals(rows: DataFrame) -> DataFrame:
-    """Approved rows of a sheet: a sense id that is no number drops the row, such a version is null."""
-    yes = F.trim("approved").isin(*TRUE_WORDS)
-    return rows.filter(yes).withColumn("sense_id", F.col("sense_id").try_cast("int")).withColumn("version", F.col("version").try_cast("int")).filter("sense_id is not null")
+    """Approved rows of a sheet, as ``imports.import_approvals`` takes them.
+
+    ``rows``: texts of place, approved, category, lemma, surface, label,
+    content, sense_id, version.  A row without sense id is a new term's; with
+    neither id nor lemma, or with an id that is no number, it goes.  A version
+    that is no number is null.
+    """
+    cell = {c: F.trim(F.coalesce(c, F.lit(""))) for c in ("approved", "category", "lemma", "surface", "label", "content", "sense_id", "version")}
+    own = rows.select("place", *(x.alias(c) for c, x in cell.items())).filter(F.col("approved").isin(*TRUE_WORDS)).drop("approved")
+    number = F.col("sense_id").try_cast("long")
+    kept = own.filter(F.when(F.col("sense_id") == "", F.col("lemma") != "").otherwise(number.isNotNull()))
+    return kept.withColumn("sense_id", number).withColumn("version", F.col("version").try_cast("long"))
 
 
 def count_lines(spark: SparkSession, path: str, prefix: str = "[ANOMALY]") -> int:
     return spark.read.text(path).filter(F.col("value").startswith(prefix)).count()
 
 
+def _address(text: Column, words: dict[str, str], whole: bool) -> Column:
+    """Struct of part, question, article, kind and number of an address made of ``words``; null for other texts.
+
+    One pattern finds the pieces; which of them go together is said of each
+    kind: a preamble has no article, all else has one; an objection and a reply
+    have a number (a reply to all has the word for objections in its place).
+    """
+    said = lambda w: r"\s*".join(w.replace(".", r"\.").split()) + (r"\s*" if w.endswith(".") else r"\s+")
+    kinds = "|".join(f"({said(words[k])})" for k in KINDS)
+    pattern = rf"^\s*({'|'.join(PARTS)})\s+{said(words['question'])}(\d+)\s+(?:{said(words['article'])}(\d+)\s+)?(?:{kinds})(\d+|{said(words['arg'])})?" + (r"\s*$" if whole else "")
+    # behind a kind that may end the text its white space may be missing
+    group = lambda k: F.regexp_extract(F.concat(text, F.lit(" ")), pattern, k)
+    part, question, article, rest = F.replace(group(1), F.lit("-"), F.lit("_")), group(2), group(3), group(4 + len(KINDS))
+    kind = F.coalesce(*(F.when(group(4 + k) != "", F.lit(name)) for k, name in enumerate(KINDS)))
+    number = F.when(rest.rlike(r"^\d+$"), rest)
+    fits = (kind == "preamble") == (article == "")
+    if whole:
+        fits &= F.when(kind.isin("preamble", "respondeo"), rest == "").when(kind == "arg", number.isNotNull()).when(kind == "sed_contra", (rest == "") | number.isNotNull()).otherwise(rest != "")
+        number = F.when((kind == "reply") & (rest != "") & number.isNull(), F.lit("0")).otherwise(number)
+    else:
+        fits &= F.when(kind.isin("arg", "reply"), number.isNotNull()).otherwise(True)
+    numbered = F.when(kind.isin("arg", "reply"), number)
+    return F.when((part != "") & fits, F.struct(part.alias("part"), question.alias("question"), article.alias("article"), kind.alias("kind"), numbered.alias("number")))
+
+
+def _element_path(a: Column) -> Column:
+    article = F.when(a["article"] != "", F.concat(F.lit(".a"), a["article"])).otherwise(F.lit(""))
+    return F.concat(a["part"], F.lit(".q"), a["question"], article, F.lit("."), a["kind"], F.coalesce(a["number"], F.lit("")))
+
+
 def parse_locator(title: Column) -> Column:
     """Struct of path and element type of a title; null for titles that are none.
 
@@ -60,23 +113,13 @@ def parse_locator(title: Column) -> Column:
     ``s. c.`` of an article share one path; ``ad arg.``, the reply to all
     objections, has number 0.
     """
-    part = F.replace(F.regexp_extract(title, LOCATOR, 1), F.lit("-"), F.lit("_"))
-    q, pr, a, arg, arg_n, sc, co, reply_n, reply_all = (F.regexp_extract(title, LOCATOR, k) for k in range(2, 11))
-    kind = F.when(pr != "", "preamble").when(arg != "", "arg").when(sc != "", "sed_contra").when(co != "", "respondeo").otherwise("reply")
-    number = F.when(reply_all != "", "0").otherwise(F.concat(arg_n, reply_n))
-    return F.when(title.rlike(LOCATOR), F.struct(_element_path(part, q, a, kind, number).alias("path"), kind.alias("element_type")))
-
-
-def _element_path(part: Column, question: Column, article: Column, kind: Column, number: Column) -> Column:
-    return F.concat(part, F.lit(".q"), question, F.when(article != "", F.concat(F.lit(".a"), article)).otherwise(F.lit("")), F.lit("."), kind, number)
+    a = _address(title, TITLE_WORDS, True)
+    return F.when(a.isNotNull(), F.struct(_element_path(a).alias("path"), a["kind"].alias("element_type")))
 
 
 def parse_coordinate(line: Column) -> Column:
     """Path of a line that begins with a coordinate; null for other lines."""
-    part = F.replace(F.regexp_extract(line, COORDINATE, 1), F.lit("-"), F.lit("_"))
-    q, a, arg, arg_n, against, answer, reply_n, pr = (F.regexp_extract(line, COORDINATE, k) for k in range(2, 10))
-    kind = F.when(pr != "", "preamble").when(arg != "", "arg").when(against != "", "sed_contra").when(answer != "", "respondeo").otherwise("reply")
-    return F.when(line.rlike(COORDINATE), _element_path(part, q, a, kind, F.concat(arg_n, reply_n)))
+    return _element_path(_address(line, LINE_WORDS, False))
 
 
 def preferred_source(wanted: DataFrame, files: DataFrame, keys: list[str], listed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

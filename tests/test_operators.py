@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from florilege.functions import paths
 from florilege.functions import text as tx
 from florilege.operators import acceptance, guards, lookups, match, mining, mutate, navigation, rollup, sample, stale, terms
-from florilege.plans import flows, steps
+from florilege.operators import phrases as phrases_
+from florilege.plans import flows
 from florilege.sinks import reports, writers
 from florilege.sources import readers
 from florilege.streaming import unread
@@ -61,7 +62,7 @@ def test_leftmost_longest_equals_loop(spark):
     phrases = [(0, "actus"), (1, "actus essendi"), (2, "essendi"), (3, "per se"), (4, "se actus"), (5, "per se actus")]
     texts = [(i, " ".join(rng.choice("actus essendi per se et".split()) for _ in range(12))) for i in range(40)] + [(99, None), (98, "")]
     df = spark.createDataFrame(texts, "segment_id long, content string")
-    spans = match.phrase_spans(df, spark.createDataFrame(phrases, "phrase_id long, phrase string"))
+    spans = phrases_.phrase_spans(df, spark.createDataFrame(phrases, "phrase_id long, phrase string"))
     want = []
     for i, t in texts:
         end = 0
@@ -72,11 +73,6 @@ def test_leftmost_longest_equals_loop(spark):
     assert rows(match.leftmost_longest(spans)) == sorted(want)
 
 
-def test_mask_takes_losers_too(spark):
-    masked = match.mask(F.lit("Actus essendi et essendi"), F.array(F.lit("actus essendi"), F.lit("essendi")))
-    assert one(spark, masked).split() == ["et"]
-
-
 def test_overlay_and_links(spark):
     base = spark.createDataFrame([("a", 1)], "k string, n int")
     found, missing = match.overlay(spark.createDataFrame([("a",), ("b",)], "k string"), base, "k")
@@ -138,13 +134,13 @@ def test_changes_of_state(spark):
     assert up.count() == 2
     empty = sense.limit(0)
     assert mutate.replace_guesses(sense, empty, ["sense_id"], "proposed").count() == 2
-    props = "proposal_id int, kind string, proposed_by string, sense_id int, lemma string, origin int, status string, decided_by string"
-    old = spark.createDataFrame([(1, "k", "u", 5, "L", None, "pending", None), (2, "k", "v", 5, "L", None, "pending", None), (3, "k", "u", 5, "L", None, "rejected", "x")], props)
-    new = spark.createDataFrame([(9, "k", "u", 5, "l", None, "pending", None)], props)
-    both = mutate.propose(old, new)
-    assert rows(both, "proposal_id") == [(2,), (3,), (9,)]
-    done = mutate.decide(both, 9, "approved", "boss")
-    assert rows(done, "proposal_id", "status") == [(2, "superseded"), (3, "rejected"), (9, "approved")] == rows(mutate.decide(done, 9, "rejected", "late"), "proposal_id", "status")
+    props = "proposal_id long, kind string, proposed_by string, sense_id int, lemma string, origin int, content string, status string, decided_by string"
+    old = spark.createDataFrame([(1, "k", "u", 5, "L", None, "a", "pending", None), (2, "k", "v", 5, "L", None, "b", "pending", None), (3, "k", "u", 5, "L", None, "c", "rejected", "x")], props)
+    new = spark.createDataFrame([(9, "k", "u", 5, "l", None, "d", "pending", None), (10, "k", "u", 5, "l", 4, "e", "pending", None), (11, "k", "u", 5, "l", 4, "f", "pending", None)], props)
+    both = mutate.upsert_pending(old, new, "proposal_id")
+    assert rows(both, "proposal_id", "content", "status") == [(1, "d", "pending"), (2, "b", "pending"), (3, "c", "rejected"), (4, "f", "pending")]
+    done = mutate.decide(both, 1, "approved", "boss")
+    assert rows(done, "proposal_id", "status") == [(1, "approved"), (2, "superseded"), (3, "rejected"), (4, "superseded")] == rows(mutate.decide(done, 1, "rejected", "late"), "proposal_id", "status")
 
 
 def test_invalidation_loop_ends(spark):
@@ -189,8 +185,6 @@ def test_readers(spark, tmp_path):
     assert rows(readers.sample_ids(spark, str(tmp_path / "s.json"))) == [(4,), (7,)]
     (tmp_path / "a.log").write_text("[ANOMALY] x\nfine\n[ANOMALY] y\n")
     assert readers.count_lines(spark, str(tmp_path / "a.log")) == 2
-    sheet = spark.createDataFrame([("TRUE", "1", "2"), ("yes", "x", "2"), ("", "3", "1"), (" True ", "4", "?"), ("X", "5", "1"), ("Y", "6", "1"), ("Yes", "7", "1"), ("✓", "8", "1")], "approved string, sense_id string, version string")
-    assert sorted(map(str, rows(readers.approvals(sheet), "sense_id", "version"))) == ["(1, 2)", "(4, None)"]
     said = spark.createDataFrame([("Objection 2. It seems",), ("On the contrary, x",), ("I answer that, y",), ("Reply to Objection 3. z",), ("Other",)], "t string").select(readers.marker_type(F.col("t")).alias("m")).collect()
     assert [tuple(r.m) if r.m else None for r in said] == [("arg", 2), ("sed_contra", None), ("respondeo", None), ("reply", 3), None]
     pages = spark.createDataFrame([(1, '<P TITLE="I q. 1 a. 1 arg. 1">one<span class="ref">no</span> <p title="I q. 1 a. 1 co.">two</p>x<p title="I q. 1 a. 1 arg. 1">three</p>'), (2, None), (3, "<p>none</p>")], "id int, html string")
@@ -309,9 +303,11 @@ def resolved(text, phrases, lemmas, own, senses, signals, gaps, suppressed, has)
             end = start - minus
             used.add(t)
             out.setdefault(t, ("hit", None))
-    for t, p in sorted(phrases, key=lambda x: (-len(x[1]), x[1])):
+    places = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", text)]
+    for start, minus, t in spans:
         if t in used:
-            masked = re.sub(re.escape(p), " ", masked, flags=re.I)
+            a, b = places[start][0], places[start - minus - 1][1]
+            masked = masked[:a] + " " * (b - a) + masked[b:]
     candidates = set()
     for token in sorted({w.lower() for w in re.findall("[a-zA-Z]+", masked)}):
         of = [lemma for _, lemma in sorted((c, x) for s, c, x in lemmas if s == token)] or [token]
@@ -379,27 +375,6 @@ def test_codes_that_must_be_known(spark):
         acceptance.link_numbers(links, "link", "/q/st", ".pdf").collect()
 
 
-def test_steps(spark, tmp_path):
-    context = steps.Context(spark, "x", str(tmp_path), {"limit": "5"})
-    assert context.knob("limit", int, 1) == 5 and context.knob("other", int, 1) == 1 and context.knob("none", int, None) is None
-
-    def broken(_):
-        raise RuntimeError("no such file")
-
-    ok = steps.Step("first", lambda c: steps.Result("first", True, "fine", {"n": 3, "list": list(range(7)), "checks": {"a": True}}), stage="ingest")
-    plan = [ok, steps.Step("gate", lambda c: steps.Result("gate", True), verify=lambda c: False), steps.Step("bad", broken, stage="ingest"), steps.Step("gate2", lambda c: steps.Result("x", True), verify=broken)]
-    assert [r.name for r in steps.run_steps(context, plan)] == ["first", "gate"]
-    got = steps.run_steps(context, plan, go_on=True)
-    assert [(r.ok, r.summary) for r in got] == [(True, "fine"), (False, "precondition not met"), (False, "no such file"), (False, "precondition error: no such file")]
-    text = (tmp_path / "ingest" / "first.md").read_text()
-    assert "- status: ok" in text and "- list (7): 0, 1, 2, 3, 4 (+2 more)" in text and "    - a: pass" in text and "action" not in text
-    assert "- step failed: no such file" in (tmp_path / "ingest" / "bad.md").read_text()
-    checks = spark.createDataFrame([("a", 3, 2, True), ("b", 1, 2, False)], "check string, found long, least long, ok boolean")
-    result = steps.run_step(context, steps.acceptance_step("verify", lambda c: checks))
-    assert not result.ok and result.summary == "b: 1 of 2" and "- failing checks: b" in steps.step_report("acquire", result, 0.1)
-    assert steps.load_state('{"a": 1}') == {"a": 1} and steps.load_state("{broken") == steps.load_state(None) == steps.load_state("[1]") == {}
-
-
 def test_reports(spark, tmp_path):
     segments = spark.createDataFrame([(i,) for i in range(5)], "segment_id int")
     texts = spark.createDataFrame([(1, "sk", "abc"), (2, "sk", "d"), (1, "en", "x")], "segment_id int, lang string, content string")

@@ -98,25 +98,28 @@ def test_all_senses_retired_and_proposed(spark, folder):
     senses = {r.sense_id: r for r in view(spark, folder, "sense").collect()}
     gone = (4, 8, 15)
     assert rows(run(spark, folder, "U10_retire"), "sense_id", "status", "version") == sorted(((k, "retired" if k in gone else r.status, r.version + (k in gone)) for k, r in senses.items()), key=str)
-    used = {(u.segment_id, u.sense_id) for u in view(spark, folder, "usage").collect()}
+
+
+def test_reasons_of_proposals_of_all_usages(spark, folder):
+    senses = {r.sense_id: r for r in view(spark, folder, "sense").collect()}
+    usage = view(spark, folder, "usage").collect()
+    bound = {(u.segment_id, u.sense_id) for u in usage if u.status != "rejected" and senses[u.sense_id].status == "approved" and senses[u.sense_id].content is not None}
     want = []
-    for k in senses:
-        kind = ("change", "repoint", "retire")[k % 3]
-        now, to, text, place = senses.get(k * 2), k * 3 if k % 7 else None, "red widget" if k % 2 == 0 else " " if k % 5 == 0 else "new", k if k % 4 == 0 else None
-        goal = senses.get(to)
-        if now is None:
+    for u in usage:
+        n, kind, own = u.segment_id, ("rendering", "sense_here", "remove_here", "retire_sense")[(u.segment_id + u.used) % 4], senses[u.sense_id]
+        to = (min(k for k, r in senses.items() if r.term_id == own.term_id), u.sense_id + 1, None)[n % 3]
+        text, reason = ("", own.content, "new", None, None)[n % 5], "ok"
+        if n % 11 == 0:
             reason = "not_found"
-        elif kind == "change" and not text.strip():
-            reason = "content_required"
-        elif kind == "change" and text == now.content:
-            reason = "no_change"
-        elif kind == "repoint" and (to is None or goal is None):
-            reason = "missing_target" if to is None else "not_found"
-        elif kind == "repoint" and (goal.term_id != now.term_id or goal.status == "retired"):
-            reason = "wrong_term" if goal.term_id != now.term_id else "retired"
-        else:
-            reason = "not_locked_here" if place is not None and (place, k * 2) not in used else "ok"
-        want.append((k, reason))
+        elif kind == "rendering":
+            reason = "proposed_sk_required" if not text else "no_change" if text == own.content else "ok"
+        elif kind in ("sense_here", "remove_here") and (n, u.sense_id) not in bound:
+            reason = "not_locked_here"
+        elif kind == "sense_here" and to is not None:
+            reason = "no_change" if to == u.sense_id else "wrong_term" if to not in senses or senses[to].term_id != own.term_id else "ok"
+        elif kind == "sense_here":
+            reason = "missing_target" if not text else "no_change" if text == own.content else "ok"
+        want.append((n * 10 + u.used, reason))
     assert rows(run(spark, folder, "G10_proposal_reasons"), "proposal_id", "reason") == sorted(want, key=str)
 
 
