@@ -51,10 +51,31 @@ def vote(candidates: DataFrame, senses: DataFrame, signals: DataFrame, strong: i
     return joined.select("segment_id", "term_id", sense.alias("sense_id"), F.when((F.col("n") == 1) | F.coalesce(decided, F.lit(False)), "auto").otherwise("needs_review").alias("confidence"))
 
 
+def trigrams(text: Column) -> Column:
+    """Distinct runs of three signs of a text, lower case; of a shorter text the text itself."""
+    low = F.lower(text)
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - 2, F.lit(1))), lambda k: F.substring(low, k, F.lit(3))))
+
+
 def cue_signals(candidates: DataFrame, cues: DataFrame, texts: DataFrame, rank: int) -> DataFrame:
-    """Signals of cues that a segment's text holds; the equi join on the term comes first, never a bare cross join."""
-    joined = candidates.join(cues, "term_id").join(texts, "segment_id")
-    return joined.filter(F.contains(F.lower("content"), F.lower("cue"))).select("segment_id", "sense_id", F.lit(rank).alias("rank")).distinct()
+    """segment_id, sense_id, rank of cues (term_id, sense_id, cue) that the text of a segment holds for which their term is a candidate; case doesn't count.
+
+    An inverted index of trigrams: a cue stands under the one of its trigrams
+    that the fewest texts have, so that a frequent word doesn't bring all texts
+    along; a text meets the cues that stand under its trigrams, and only then is
+    looked at whole.  Cues of one or two signs are looked for in the texts of
+    their candidates; empty ones are nowhere.
+    """
+    own = cues.filter(F.length("cue") > 0).select("term_id", "sense_id", F.lower("cue").alias("cue")).distinct()
+    each = own.filter(F.length("cue") >= 3).select("cue").distinct().select("cue", F.explode(trigrams(F.col("cue"))).alias("gram"))
+    asked = texts.join(candidates.select("segment_id").distinct(), "segment_id", "left_semi").select("segment_id", F.lower("content").alias("content"))
+    placed = asked.select("segment_id", F.explode(trigrams(F.col("content"))).alias("gram")).join(each.select("gram").distinct(), "gram", "left_semi")
+    spread = placed.groupBy("gram").agg(F.count("*").alias("n"))
+    key = each.join(spread, "gram", "left").groupBy("cue").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    met = placed.join(key, "gram").join(own, "cue").join(candidates.select("segment_id", "term_id").distinct(), ["segment_id", "term_id"])
+    short = own.filter(F.length("cue") < 3).join(candidates.select("segment_id", "term_id").distinct(), "term_id")
+    pairs = met.select("segment_id", "sense_id", "cue").union(short.select("segment_id", "sense_id", "cue"))
+    return pairs.join(asked, "segment_id").filter(F.contains("content", F.col("cue"))).select("segment_id", "sense_id", F.lit(rank).alias("rank")).distinct()
 
 
 def resolve(phrases: DataFrame, tokens: DataFrame, gaps: DataFrame) -> DataFrame:

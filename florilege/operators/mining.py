@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from florilege.functions.text import letter_tokens
+from florilege.functions.text import ascii_tokens, canonical_lemma, letter_tokens
+from florilege.store import computed_once
 
 
 def lemma_sets(texts: DataFrame, key: str, text: str, least: int = 1) -> DataFrame:
@@ -26,9 +27,10 @@ def renderings(term_segments: DataFrame, sets: DataFrame, least_df: int = 3, lea
     """
     own = term_segments.select("term_id", "segment_id").distinct()
     n_term = own.groupBy("term_id").agg(F.count("*").alias("n_term"))
-    total = sets.select("segment_id").distinct().agg(F.count("*").alias("n_all"))
-    k = own.join(sets, "segment_id").groupBy("term_id", "lemma").agg(F.count("*").alias("df"))
-    scored = k.join(n_term, "term_id").join(document_frequency(sets).withColumnRenamed("df", "df_all"), "lemma").crossJoin(F.broadcast(total))  # one row
+    sets = computed_once(sets)
+    total = sets.agg(F.count_distinct("segment_id").alias("n_all"))
+    k = own.join(sets, "segment_id").groupBy("term_id", "lemma").agg(F.count("*").alias("df")).filter(F.col("df") >= least_df)
+    scored = k.join(n_term, "term_id").join(document_frequency(sets).withColumnRenamed("df", "df_all").filter(F.col("df_all") >= least_df), "lemma").crossJoin(F.broadcast(total))  # one row
     rate = F.col("df") / F.col("n_term")
     rest = F.col("n_all") - F.col("n_term")
     corpus = F.greatest(F.col("df_all") - F.col("df"), F.lit(floor)) / F.greatest(rest, F.lit(1))
@@ -49,14 +51,36 @@ def top_cues(texts: DataFrame, stop: list[str], n: int) -> DataFrame:
     return document_frequency(sets).orderBy(F.col("df").desc(), "lemma").limit(n)
 
 
-def gap_lemmas(texts: DataFrame, known: DataFrame, floor: int = 3, ceiling: float = 0.40, context: int = 300) -> DataFrame:
-    """lemma, df and first context of unknown lemmas between a floor and a share of all segments (empty ones counted)."""
+def gap_lemmas(texts: DataFrame, lemmas: DataFrame, known: DataFrame, ignored: DataFrame | None = None, floor: int = 3, ceiling: float = 0.40, least: int = 4, context: int = 300) -> DataFrame:
+    """lemma, df, content, czech, english of lemmas that no term covers, between a floor and a share of all segments (empty ones counted).
+
+    ``texts``: segment_id, content, czech, english.  ``lemmas``: surface,
+    candidate (0, 1, ...), lemma; a word without a candidate stands for itself.
+    A word any of whose candidates is known, whatever the case, is covered;
+    another counts for its first candidate, once a segment.  The contexts are
+    those of the first segment that has one.  Distinct words are looked up
+    once, and only the texts that are shown are read again.
+    """
+    tokens = texts.select("segment_id", *(F.coalesce(F.length(c) > 0, F.lit(False)).alias(f"_{c}") for c in ("czech", "english")), F.explode(F.array_distinct(F.transform(ascii_tokens(F.coalesce("content", F.lit(""))), F.lower))).alias("token"))
+    covered = known.select(F.lower("lemma").alias("lemma")).distinct()
+    looked = tokens.select("token").distinct().join(lemmas.select(F.lower("surface").alias("token"), "candidate", F.col("lemma").alias("_l")), "token", "left")
+    looked = looked.select("token", F.coalesce("candidate", F.lit(0)).alias("candidate"), F.coalesce("_l", "token").alias("_l"))
+    hit = looked.select("token", F.lower("_l").alias("lemma")).join(covered, "lemma", "left_semi").select("token").distinct()
+    first = looked.groupBy("token").agg(canonical_lemma(F.min_by("_l", "candidate")).alias("lemma")).join(hit, "token", "left_anti")
+    first = first.filter(F.length("lemma") >= least).join(covered, "lemma", "left_anti")
+    if ignored is not None:
+        first = first.join(ignored.select("lemma").distinct(), "lemma", "left_anti")
+    seen = tokens.join(first, "token").groupBy("segment_id", "lemma").agg(F.first("_czech").alias("_czech"), F.first("_english").alias("_english"))
+    n = F.col("segment_id")
+    counts = seen.groupBy("lemma").agg(F.count("*").alias("df"), F.min(n).alias("at_content"), F.min(F.when(F.col("_czech"), n)).alias("at_czech"), F.min(F.when(F.col("_english"), n)).alias("at_english"))
     total = texts.agg(F.count("*").alias("n_all"))
-    sets = lemma_sets(texts, "segment_id", "content", 3).join(known, "lemma", "left_anti")
-    found = sets.groupBy("lemma").agg(F.count("*").alias("df"), F.min("segment_id").alias("segment_id"))
-    found = found.join(F.broadcast(total), (F.col("df") >= floor) & (F.col("df") <= F.floor(F.col("n_all") * ceiling))).drop("n_all")  # one row
-    first = texts.groupBy("segment_id").agg(F.first(F.substring("content", 1, context)).alias("context"))
-    return found.join(first, "segment_id").select("lemma", "df", "context")
+    found = computed_once(counts.join(F.broadcast(total), (F.col("df") >= floor) & (F.col("df") <= F.floor(F.col("n_all") * ceiling))).drop("n_all"))  # one row
+    columns = ("content", "czech", "english")
+    asked = found.select(F.explode(F.array(*(f"at_{c}" for c in columns))).alias("segment_id")).filter("segment_id IS NOT NULL").distinct()
+    heads = computed_once(texts.join(asked, "segment_id", "left_semi").groupBy("segment_id").agg(*(F.first(F.substring(c, 1, context)).alias(c) for c in columns)))
+    for c in columns:
+        found = found.join(heads.select(F.col("segment_id").alias(f"at_{c}"), c), f"at_{c}", "left")
+    return found.select("lemma", "df", *columns)
 
 
 def sample_contexts(members: DataFrame, kept: int = 12, used: int = 3) -> DataFrame:

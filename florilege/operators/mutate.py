@@ -116,6 +116,14 @@ def decide(target: DataFrame, proposal_id: int, status: str, by: str) -> DataFra
     return joined.withColumn("decided_by", F.when(mine, F.lit(by)).otherwise(F.col("decided_by"))).withColumn("status", after).drop("_s", "_on")
 
 
+def changes(before: DataFrame, after: DataFrame, keys: list[str], columns: list[str] = ()) -> DataFrame:
+    """keys, change of what differs between two snapshots: added, removed, or changed in one of ``columns`` (null equals null)."""
+    told = lambda d, name: d.select(*keys, F.struct(*columns, F.lit(True).alias("_")).alias(name)).distinct()
+    both = told(before, "_a").join(told(after, "_b"), keys, "full")
+    change = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(~F.col("_a").eqNullSafe(F.col("_b")), "changed")
+    return both.withColumn("change", change).filter("change IS NOT NULL").select(*keys, "change")
+
+
 def assign_keys(target: DataFrame, rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """New rows get keys behind the largest, in order; no window sees them all."""
     last = target.agg(F.coalesce(F.max(key), F.lit(0)).alias("_last"))  # one row

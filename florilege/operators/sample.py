@@ -39,10 +39,17 @@ def stratified(rows: DataFrame, total: int, shares: dict[str, float], seed: int,
     if len(parts) > MOST_PARTS:
         raise ValueError(f"more than {MOST_PARTS} parts: quotas are held by the driver")
     wanted = F.broadcast(rows.sparkSession.createDataFrame(quotas(total, shares, parts), "category string, pars string, quota int"))
-    pool = pool.withColumn("nth", F.row_number().over(Window.partitionBy("category", "question_path").orderBy("rnd", "segment_id")))
-    order = [(F.col("nth") > 1), F.col("rnd"), F.col("segment_id")]
-    pool = pool.withColumn("at", F.row_number().over(Window.partitionBy("category", "pars").orderBy(*order))).join(wanted, ["category", "pars"])
-    pool = pool.withColumn("in_quota", F.col("at") <= F.col("quota")).filter(F.col("at") <= F.col("quota") + total)  # no more can be needed of a part
+    # of a part no more than its quota and the whole sample can be needed: ranks are cut at that before any shuffle
+    most = total + max(q for _, _, q in quotas(total, shares, parts)) if parts else 0
+    columns = ["segment_id", "pars", "question_path", "category", "rnd"]
+    first = pool.groupBy("category", "question_path").agg(F.min(F.struct("rnd", "segment_id", "pars")).alias("f")).select("f.segment_id", "f.pars", "question_path", "category", "f.rnd")
+    per_part = Window.partitionBy("category", "pars").orderBy("rnd", "segment_id")
+    cut = lambda d, n, later: d.select(*columns, F.lit(later).alias("later"), F.row_number().over(per_part).alias("at")).filter(F.col("at") <= n).drop("at")
+    # the first rows of questions are among all rows too: twice as many of these leave enough others
+    few = cut(first, most, False).union(cut(pool, 2 * most, True)).groupBy(*columns).agg(F.min("later").alias("later"))
+    order = ["later", "rnd", "segment_id"]
+    pool = few.withColumn("at", F.row_number().over(Window.partitionBy("category", "pars").orderBy(*order))).join(wanted, ["category", "pars"])
+    pool = pool.withColumn("in_quota", F.col("at") <= F.col("quota"))
     whole = wanted.groupBy("category").agg(F.sum("quota").alias("whole"))
     pool = pool.withColumn("place", F.row_number().over(Window.partitionBy("category").orderBy(~F.col("in_quota"), *order)))
     return pool.join(F.broadcast(whole), "category").filter("place <= whole").select("segment_id", "pars", "question_path", "category")

@@ -158,10 +158,6 @@ def _resume(s, d):
     return flows.pending_batches(_seg(s, d).filter("status = 'pending'").select("segment_id"), view(s, d, "review"), 40).groupBy("batch").agg(F.count("*").alias("n"))
 
 
-def _gained(s, d):
-    return flows.gained(view(s, d, "usage").filter("used = 2"), _seg(s, d).filter("status = 'translated'"))
-
-
 def _extrapolate(s, d):
     chars = view(s, d, "run_segment")
     done = chars.filter("run_id = 0").agg(F.sum("chars").alias("c"), F.lit(0.5).alias("usd"))
@@ -205,7 +201,6 @@ QUERIES = {
     "T22_stratified_sample": (_sample, None),
     "T23_cost_extrapolation": (_extrapolate, model_sql("segment_text", "run_segment") + " SELECT lang, round(sum(length(content)) * 0.5 / (SELECT sum(chars) FROM run_segment WHERE run_id = 0), 6) AS usd FROM segment_text GROUP BY 1"),
     "T26_resumed_batches": (_resume, model_sql("segment", "review") + " SELECT CAST(floor((n - 1) / 40) AS BIGINT) AS batch, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY segment_id) AS n FROM segment WHERE status = 'pending' AND segment_id NOT IN (SELECT segment_id FROM review)) AS x GROUP BY 1"),
-    "T27_gained": (_gained, model_sql("segment", "usage") + " SELECT DISTINCT segment_id FROM usage WHERE used = 2 AND segment_id IN (SELECT segment_id FROM segment WHERE status = 'translated')"),
     "T28_drift": (_drift, _N + " SELECT * FROM (SELECT sense_id, CASE WHEN sense_id % 5 = 0 THEN 'other' ELSE content END AS live, CASE WHEN sense_id % 7 = 0 THEN NULL ELSE content END AS snapshot FROM sense) AS x WHERE live IS DISTINCT FROM snapshot"),
     "T29_run_deltas": (lambda s, d: rollup.compare_runs(_failures(s, d), "failure", 0, 1), _FAILURES + ", a AS (SELECT failure, n AS n_a FROM n WHERE run_id = 0), b AS (SELECT failure, n AS n_b FROM n WHERE run_id = 1) SELECT coalesce(a.failure, b.failure) AS failure, coalesce(n_a, 0) AS n_a, coalesce(n_b, 0) AS n_b, coalesce(n_b, 0) - coalesce(n_a, 0) AS change, CASE WHEN coalesce(n_b, 0) > coalesce(n_a, 0) THEN '▲' WHEN coalesce(n_b, 0) < coalesce(n_a, 0) THEN '▼' ELSE '=' END AS sign FROM a FULL JOIN b ON a.failure = b.failure"),
     "T30_cost_preview": (_preview, model_sql("usage", "sense", "review") + _STALE + " SELECT count(*) AS payable, round(count(*) * CAST(0.000056 AS DOUBLE), 6) AS usd FROM (SELECT segment_id FROM stale ORDER BY segment_id LIMIT 300) AS x WHERE segment_id NOT IN (SELECT segment_id FROM review)"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from florilege.functions import text as tx
 from florilege.functions.paths import labels
 from florilege.operators import acceptance, glossary, imports, lookups, mutate, stale, terms
+from florilege.plans import flows
 from florilege.sources.model import model_sql, view
 from florilege.sources.readers import preferred_source, table
 from florilege.store import TableSet, shared_folder
@@ -179,10 +180,21 @@ def _reset(s, d):
     return after.join(ids, "segment_id", "left_semi").groupBy("status").agg(F.count("*").alias("n"), F.sum("segment_id").cast("bigint").alias("ids"))
 
 
+def gained_segments(s, d):
+    """Segments that senses without an earlier usage have gained since a day, if translated."""
+    usage, seg = view(s, d, "usage").filter("status <> 'rejected'"), view(s, d, "segment")
+    before = usage.filter(F.col("made_at") < F.lit(GAINED_SINCE).cast("date"))
+    return flows.gained(before.select("segment_id", "sense_id"), usage.select("segment_id", "sense_id"), view(s, d, "sense").select("sense_id", F.col("sense_id").alias("term_id")), lookups.translated_bodies(seg))
+
+
+GAINED_SINCE = "1992-09-01"
+GAINED = f""", ub AS (SELECT DISTINCT segment_id, sense_id FROM usage WHERE status <> 'rejected' AND made_at < DATE '{GAINED_SINCE}'), ua AS (SELECT DISTINCT segment_id, sense_id FROM usage WHERE status <> 'rejected'),
+gs AS (SELECT DISTINCT sense_id AS term_id, segment_id FROM ua WHERE sense_id NOT IN (SELECT sense_id FROM ub) AND sense_id IN (SELECT sense_id FROM sense) AND segment_id IN (SELECT segment_id FROM segment WHERE status = 'translated' AND len(string_split(path, '.')) >= 4))"""
+
+
 def _gained(s, d):
-    seg, usage = view(s, d, "segment"), view(s, d, "usage").filter("used = 2 and status <> 'rejected'").select("segment_id").distinct()
-    gained = seg.filter("status = 'translated'").select("segment_id").join(usage, "segment_id", "left_semi")
-    after = stale.guard_and_reset(seg.select("segment_id", "status"), gained, view(s, d, "review").select("segment_id").distinct())
+    seg = view(s, d, "segment")
+    after = stale.guard_and_reset(seg.select("segment_id", "status"), gained_segments(s, d), view(s, d, "review").select("segment_id").distinct())
     return after.groupBy("status").agg(F.count("*").alias("n"), F.sum("segment_id").cast("bigint").alias("ids"))
 
 
@@ -324,7 +336,8 @@ QUERIES = {
     "M04_insert_comments": (_v("comment")(lambda c: c.select("comment_id", "segment_id", "author").unionByName(mutate.assign_keys(c, c.filter("resolved").select("segment_id", F.lit("new").alias("author")).distinct(), "comment_id", ["segment_id"])).select(F.col("comment_id").cast("bigint").alias("comment_id"), F.col("segment_id").cast("bigint").alias("segment_id"), "author")), model_sql("comment") + " SELECT comment_id, segment_id, author FROM comment UNION ALL SELECT (SELECT max(comment_id) FROM comment) + row_number() OVER (ORDER BY segment_id), segment_id, 'new' FROM (SELECT DISTINCT segment_id FROM comment WHERE resolved) AS x"),
     "M05_replaced_glossary": (_replaced, _REPLACED),
     "M06_preambles": (_preambles, _SE + " SELECT segment_id, path, 'body' AS element_type FROM segment WHERE segment_id % 5 <> 0 UNION ALL SELECT (SELECT max(segment_id) FROM segment) + row_number() OVER (ORDER BY q), q, 'preamble' FROM (SELECT DISTINCT question_path || '.preamble' AS q FROM segment) AS x"),
-    "M07_apply_gained": (_gained, model_sql("segment", "usage", "review") + ", i AS (SELECT segment_id FROM segment WHERE status = 'translated' AND segment_id IN (SELECT segment_id FROM usage WHERE used = 2 AND status <> 'rejected'))" + _GUARDED + " GROUP BY 1"),
+    "M07_apply_gained": (_gained, model_sql("segment", "usage", "review", "sense") + GAINED + ", i AS (SELECT DISTINCT segment_id FROM gs)" + _GUARDED + " GROUP BY 1"),
+    "T27_gained": (gained_segments, model_sql("segment", "usage", "review", "sense") + GAINED + " SELECT term_id, segment_id FROM gs"),
     "M09_reset_corpus": (_reset, model_sql("segment", "usage", "review", "sense") + ", i AS (SELECT segment_id FROM segment WHERE status = 'translated' AND segment_id IN (SELECT segment_id FROM usage WHERE sense_id IN (SELECT sense_id FROM sense WHERE status = 'flagged')))" + _GUARDED + " WHERE segment_id IN (SELECT segment_id FROM i) GROUP BY 1"),
     "U11_add_terms": (_v("sense")(lambda n: glossary.add_terms(n.groupBy("term").agg(F.min("term_id").alias("term_id")), n.select(F.when(F.col("sense_id") % 2 == 0, F.upper("term")).otherwise(F.col("content")).alias("term"))).select(F.col("term_id").cast("bigint").alias("term_id"), "term")), _N + ", t AS (SELECT term, min(term_id) AS term_id FROM sense GROUP BY 1), f AS (SELECT min(x) AS term FROM (SELECT CASE WHEN sense_id % 2 = 0 THEN upper(term) ELSE content END AS x FROM sense) AS y WHERE lower(x) NOT IN (SELECT lower(term) FROM t) GROUP BY lower(x)) SELECT CAST(term_id AS BIGINT) AS term_id, term FROM t UNION ALL SELECT (SELECT max(term_id) FROM t) + row_number() OVER (ORDER BY term), term FROM f"),
     "U16_reopened": (_reopened, _REOPENED),

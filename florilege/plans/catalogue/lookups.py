@@ -37,9 +37,17 @@ FROM p LEFT JOIN sense s ON s.sense_id = p.sense_id LEFT JOIN sense t ON t.sense
 
 
 def _cues(s, d):
-    candidates = _texts(s, d).select("segment_id", (F.col("segment_id") % 5).alias("term_id"))
-    cues = s.createDataFrame([(k, 10 * k + j, c) for k in range(5) for j, c in enumerate(("The thing", "under", "el que"))], "term_id long, sense_id long, cue string")
-    return match.cue_signals(candidates, cues, _texts(s, d), 30).select("segment_id", "sense_id")
+    """Cues of all senses: what their content says, and pieces of all benchmark texts; a document is a candidate of two terms."""
+    n = F.col("segment_id")
+    candidates = _texts(s, d).select("segment_id", F.explode(F.array(1 + n % 25, 1 + (n + 7) % 25)).cast("int").alias("term_id"))
+    own = view(s, d, "sense").select("term_id", "sense_id", F.col("content").alias("cue"))
+    items = table(s, d, "benchmark").select((1 + F.col("item_id") % 25).cast("int").alias("term_id"), (F.col("item_id") + 10**9).alias("sense_id"), F.explode(F.array(F.upper(F.substring("text", 5, 12)), F.substring("text", 1, 9), F.substring("text", 3, 2))).alias("cue"))
+    return match.cue_signals(candidates, own.union(items), _texts(s, d), 30).select("segment_id", F.col("sense_id").cast("bigint").alias("sense_id"))
+
+
+_CUES = model_sql("sense") + """, c AS (SELECT term_id, sense_id, lower(content) AS cue FROM sense UNION SELECT CAST(1 + item_id % 25 AS INT), item_id + 1000000000, lower(unnest([substr(text, 5, 12), substr(text, 1, 9), substr(text, 3, 2)])) FROM benchmark),
+k AS (SELECT doc_id, CAST(1 + doc_id % 25 AS INT) AS term_id FROM documents UNION SELECT doc_id, CAST(1 + (doc_id + 7) % 25 AS INT) FROM documents)
+SELECT DISTINCT doc_id AS segment_id, CAST(sense_id AS BIGINT) AS sense_id FROM k JOIN c USING (term_id) JOIN documents USING (doc_id) WHERE cue <> '' AND contains(lower(text), cue)"""
 
 
 def _texts(s, d):
@@ -126,7 +134,7 @@ QUERIES = {
     "G10_proposal_reasons": (_validate, _VALIDATE),
     "J08_reply_links": (_replies, _S + ", t AS (SELECT segment_id, article_path, CASE element_type WHEN '1-URGENT' THEN 'arg' ELSE 'reply' END AS kind FROM segment WHERE element_type IN ('1-URGENT', '2-HIGH')), n AS (SELECT *, row_number() OVER (PARTITION BY article_path, kind ORDER BY segment_id) - CASE kind WHEN 'reply' THEN 1 ELSE 0 END AS number FROM t) SELECT r.segment_id, a.segment_id AS reply_to FROM n r LEFT JOIN n a ON a.article_path = r.article_path AND a.number = r.number AND a.kind = 'arg' AND a.number <> 0 WHERE r.kind = 'reply'"),
     "J13_overlay": (_overlay, model_sql("review", "segment") + " SELECT r.segment_id * 50 AS segment_id, CASE WHEN s.segment_id IS NULL THEN 'missing' ELSE 'found' END AS state FROM review r LEFT JOIN segment s ON s.segment_id = r.segment_id * 50"),
-    "J17_cue_signals": (_cues, "WITH c(term_id, sense_id, cue) AS (SELECT k, 10 * k + j, list_extract(['the thing', 'under', 'el que'], j + 1) FROM range(5) AS a(k), range(3) AS b(j)) SELECT DISTINCT doc_id AS segment_id, sense_id FROM documents JOIN c ON doc_id % 5 = term_id AND contains(lower(text), cue)"),
+    "J17_cue_signals": (_cues, _CUES),
     "T12_contexts": (_contexts, r"WITH t AS (SELECT DISTINCT doc_id, w AS lemma FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM documents) AS x WHERE length(w) >= 5), n AS (SELECT *, row_number() OVER (PARTITION BY lemma ORDER BY doc_id) AS k FROM t) SELECT lemma, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids FROM n WHERE k <= 3 GROUP BY 1"),
     "T14_new_labels": (_proposed, _N + " SELECT min(sense_id) AS position, upper(content) AS label FROM sense WHERE lower(content) NOT IN (SELECT lower(content) FROM sense WHERE term_id = 3) GROUP BY upper(content)"),
     "A26_constraint_block": (_constraints, model_sql("usage", "sense") + " SELECT content AS required, label, string_agg(DISTINCT term, ', ' ORDER BY term) AS surfaces FROM usage JOIN sense USING (sense_id) WHERE usage.status = 'confirmed' GROUP BY 1, 2"),

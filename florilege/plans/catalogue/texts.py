@@ -64,10 +64,10 @@ def _masked(s, d):
 
 
 def _terms(s, d):
-    """Most frequent words of the benchmark as terms."""
-    words = table(s, d, "benchmark").select(F.explode(tx.ascii_tokens(F.lower("text"))).alias("lemma"))
-    top = words.groupBy("lemma").count().orderBy(F.col("count").desc(), "lemma").limit(40)
-    return top.select(F.abs(F.crc32(F.col("lemma").cast("binary"))).cast("bigint").alias("term_id"), "lemma")
+    """All words of the benchmark that stand in two items or more, as terms."""
+    words = table(s, d, "benchmark").select("item_id", F.explode(tx.ascii_tokens(F.lower("text"))).alias("lemma"))
+    own = words.groupBy("lemma").agg(F.count_distinct("item_id").alias("n")).filter("n > 1")
+    return own.select(F.abs(F.crc32(F.col("lemma").cast("binary"))).cast("bigint").alias("term_id"), "lemma")
 
 
 def _lemmas(s, d):
@@ -76,7 +76,7 @@ def _lemmas(s, d):
     return w.select("surface", F.lit(0).alias("candidate"), F.regexp_replace("surface", "s$", "").alias("lemma")).union(w.select("surface", F.lit(1), F.col("surface")))
 
 
-_T = """WITH terms AS (SELECT w AS lemma FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-zA-Z]+')) AS w FROM benchmark) AS x GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 40),
+_T = """WITH terms AS (SELECT w AS lemma FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-zA-Z]+')) AS w FROM benchmark) AS x GROUP BY 1 HAVING count(DISTINCT item_id) > 1),
 surfaces AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-zA-Z]+')) AS w FROM benchmark) AS x),
 tokens AS (SELECT DISTINCT doc_id, lower(w) AS token FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[a-zA-Z]+')) AS w FROM documents) AS x),
 cand AS (SELECT token, 0 AS c, regexp_replace(token, 's$', '') AS lemma FROM (SELECT DISTINCT token FROM tokens) AS t WHERE token IN (SELECT w FROM surfaces) UNION ALL SELECT token, 1, token FROM (SELECT DISTINCT token FROM tokens) AS t),
@@ -113,8 +113,20 @@ SELECT CAST(term_id AS INT) AS term_id, lemma, df, round(rate, 6) AS rate, round
 
 
 def _gaps(s, d):
-    known = table(s, d, "benchmark").select(F.explode(tx.letter_tokens(F.lower("text"))).alias("lemma")).distinct()
-    return mining.gap_lemmas(_texts(s, d), known).select("lemma", "df", F.md5(F.col("context").cast("binary")).alias("context"))
+    docs = table(s, d, "documents")
+    texts = docs.select(F.col("doc_id").alias("segment_id"), F.col("text").alias("content"), F.when(F.col("lang") == "de", F.col("text")).alias("czech"), F.when(F.col("lang") == "en", F.col("text")).otherwise("").alias("english"))
+    lemmas = _lemmas(s, d)
+    known = lemmas.filter("candidate = 1 AND lemma NOT LIKE '%s'").select("lemma")
+    found = mining.gap_lemmas(texts, lemmas, known)
+    return found.select("lemma", "df", *(F.md5(F.col(c).cast("binary")).alias(c) for c in ("content", "czech", "english")))
+
+
+_GAPS = """WITH tokens AS (SELECT DISTINCT doc_id, lower(w) AS token FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[a-zA-Z]+')) AS w FROM documents) AS x),
+surf AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-zA-Z]+')) AS w FROM benchmark) AS x), known AS (SELECT w FROM surf WHERE w NOT LIKE '%s'),
+f AS (SELECT token, CASE WHEN token IN (SELECT w FROM surf) THEN regexp_replace(token, 's$', '') ELSE token END AS lemma FROM (SELECT DISTINCT token FROM tokens) AS t WHERE token NOT IN (SELECT w FROM known)),
+k AS (SELECT * FROM f WHERE lemma NOT IN (SELECT w FROM known) AND length(lemma) >= 4), seen AS (SELECT DISTINCT doc_id, lemma FROM tokens JOIN k USING (token)), n AS (SELECT count(*) AS n_all FROM documents),
+c AS (SELECT lemma, count(*) AS df, min(doc_id) AS a, min(doc_id) FILTER (WHERE lang = 'de' AND text <> '') AS b, min(doc_id) FILTER (WHERE lang = 'en' AND text <> '') AS c FROM seen JOIN documents USING (doc_id) GROUP BY 1)
+SELECT lemma, df, md5(left(x.text, 300)) AS content, md5(left(y.text, 300)) AS czech, md5(left(z.text, 300)) AS english FROM c JOIN n ON df >= 3 AND df <= floor(n_all * 0.4) LEFT JOIN documents x ON x.doc_id = a LEFT JOIN documents y ON y.doc_id = b LEFT JOIN documents z ON z.doc_id = c"""
 
 
 def _guards(s, d):
@@ -180,8 +192,17 @@ SELECT pars, count(*) AS units, md5('<xliff xmlns="urn:oasis:names:tc:xliff:docu
 
 
 def _loop(s, d):
-    t = table(s, d, "conversations").filter("turn = 0").select(F.col("conv_id").alias("segment_id"), F.col("text").alias("content"))
-    return flows.translate(t, flows.EchoModel("the")).select("segment_id", "status", F.col("iterations").cast("bigint").alias("iterations"))
+    """Drafts of all turns, which must hold a word that begins as the term does."""
+    t = table(s, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("segment_id"), F.col("text").alias("content"))
+    asked = t.select("segment_id", F.lit("the").alias("required"), F.lit("term").alias("category"))
+    out = flows.draft_rounds(t, asked, s.createDataFrame([], "lemma string, form string"), flows.EchoModel("the"))
+    return out.select("segment_id", "status", F.col("rounds").cast("bigint").alias("rounds"), F.col("chosen").cast("bigint").alias("chosen"), F.md5(F.col("draft").cast("binary")).alias("draft"), F.array_join(F.transform("classes", lambda c: c["class"]), ",").alias("classes"), "feedback")
+
+
+_LOOP = r"""WITH c AS (SELECT conv_id * 1000 + turn AS segment_id, coalesce(text, '') AS t FROM conversations),
+h AS (SELECT *, len(list_filter(regexp_extract_all(lower(regexp_replace(strip_accents(t), '[^\x00-\x7F]', '', 'g')), '[a-z]+'), lambda w: starts_with(w, 'the'))) > 0 AS has FROM c)
+SELECT segment_id, CASE WHEN t = '' THEN 'needs_human' ELSE 'translated' END AS status, CAST(CASE WHEN t = '' THEN 0 WHEN has AND contains(t, 'the') THEN 1 ELSE 2 END AS BIGINT) AS rounds, CAST(CASE WHEN t = '' THEN NULL WHEN has AND contains(t, 'the') THEN 1 ELSE 2 END AS BIGINT) AS chosen,
+md5(CASE WHEN t = '' THEN NULL WHEN has AND contains(t, 'the') THEN t ELSE t || ' the' END) AS draft, CASE WHEN t = '' THEN 'no_source_text' WHEN NOT has THEN 'precheck_terminology' WHEN contains(t, 'the') THEN '' ELSE 'reviewer_revision' END AS classes, CAST(NULL AS VARCHAR) AS feedback FROM h"""
 
 
 def _replay(s, d):
@@ -216,12 +237,12 @@ QUERIES = {
     "J16_first_candidate": (_resolved, _T + " SELECT doc_id AS segment_id, token, lemma FROM tokens JOIN hit USING (token)"),
     "T08_votes": (_votes, model_sql("sense", "usage", "segment") + ", se AS (SELECT * FROM sense), c AS (SELECT segment_id, CAST(1 + segment_id % 25 AS INT) AS term_id FROM segment), o AS (SELECT term_id, count(*) AS n, arg_min(sense_id, (label IS NOT NULL, sense_id)) AS main FROM se GROUP BY 1), h AS (SELECT u.segment_id, term_id, count(DISTINCT u.sense_id) AS heard, min(CASE WHEN used < 4 THEN 20 ELSE 30 END) AS rank, min(u.sense_id) AS only_one FROM usage u JOIN se ON se.sense_id = u.sense_id GROUP BY 1, 2) SELECT c.segment_id, c.term_id, CASE WHEN n > 1 AND coalesce(heard = 1 AND rank <= 20, FALSE) THEN only_one ELSE main END AS sense_id, CASE WHEN n = 1 OR coalesce(heard = 1 AND rank <= 20, FALSE) THEN 'auto' ELSE 'needs_review' END AS confidence FROM c JOIN o USING (term_id) LEFT JOIN h ON h.segment_id = c.segment_id AND h.term_id = c.term_id"),
     "A19_document_frequency": (lambda s, d: mining.document_frequency(mining.lemma_sets(_texts(s, d), "segment_id", "content", 1)), _SETS.replace("{n}", "1") + " SELECT lemma, count(*) AS df FROM sets GROUP BY 1"),
-    "A20_gap_lemmas": (_gaps, _SETS.replace("{n}", "3") + ", known AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS lemma FROM benchmark), n AS (SELECT count(*) AS n_all FROM documents) SELECT lemma, count(*) AS df, md5(arg_min(left(text, 300), doc_id)) AS context FROM sets JOIN documents ON doc_id = segment_id, n WHERE lemma NOT IN (SELECT lemma FROM known) GROUP BY lemma, n_all HAVING count(*) >= 3 AND count(*) <= floor(n_all * 0.4)"),
+    "A20_gap_lemmas": (_gaps, _GAPS),
     "A21_top_cues": (lambda s, d: mining.top_cues(_texts(s, d), ["the", "and", "der"], 25), _SETS.replace("{n}", "3") + " SELECT lemma, count(*) AS df FROM sets WHERE lemma NOT IN ('the', 'and', 'der') GROUP BY 1 ORDER BY df DESC, lemma LIMIT 25"),
     "T11_renderings": (_renderings, _LIFT),
     "T16_terminology": (_terminology, None),
     "T18_polish_guards": (_guards, None),
-    "T25_draft_loop": (_loop, None),
+    "T25_draft_loop": (_loop, _LOOP),
     "T25_replayed_log": (_replay, "WITH c AS (SELECT *, length(text) % 3 = 0 AS pass FROM conversations) SELECT conv_id AS segment_id, max(turn) AS iterations, CASE WHEN count(*) FILTER (WHERE pass) > 0 THEN 'translated' ELSE 'needs_human' END AS status, md5(coalesce(arg_max(text, turn) FILTER (WHERE pass), arg_max(text, turn))) AS draft FROM c GROUP BY 1"),
     "S02_titled_paragraphs": (_elements, None),
     "S03_locator_grammar": (_locators, _LOCATORS),

@@ -11,9 +11,10 @@ from florilege.functions import paths
 from florilege.functions import text as tx
 from florilege.operators import acceptance, guards, lookups, match, mining, mutate, navigation, rollup, sample, stale, terms
 from florilege.operators import phrases as phrases_
-from florilege.plans import flows
+from florilege.plans import flows, polish
 from florilege.sinks import reports, writers
 from florilege.sources import readers
+from florilege.store import TableSet
 from florilege.streaming import unread
 
 
@@ -99,9 +100,17 @@ def test_lift_uses_other_segments_and_floor(spark):
 
 
 def test_gaps_count_empty_segments(spark):
-    texts = spark.createDataFrame([(i, "novum verbum" if i < 4 else None) for i in range(10)], "segment_id long, content string")
-    known = spark.createDataFrame([("verbum",)], "lemma string")
-    assert rows(mining.gap_lemmas(texts, known, 3, 0.4), "lemma", "df") == [("novum", 4)] and mining.gap_lemmas(texts, known, 3, 0.39).count() == 0
+    texts = spark.createDataFrame([(i, "novum verbum" if i < 4 else None, None, "") for i in range(10)], "segment_id long, content string, czech string, english string")
+    known, lemmas = spark.createDataFrame([("verbum",)], "lemma string"), spark.createDataFrame([], "surface string, candidate int, lemma string")
+    assert rows(mining.gap_lemmas(texts, lemmas, known, floor=3, ceiling=0.4), "lemma", "df") == [("novum", 4)] and mining.gap_lemmas(texts, lemmas, known, floor=3, ceiling=0.39).count() == 0
+
+
+def test_gaps_by_candidates_and_their_contexts(spark):
+    lemmas = spark.createDataFrame([("amans", 0, "Amo2"), ("amans", 1, "Caritas"), ("ratione", 0, "Ratio3"), ("rationem", 0, "ratio"), ("unde", 0, "unde")], "surface string, candidate int, lemma string")
+    texts = [(1, "Ratione amans", "", ""), (2, "rationem, rationem unde", "cz", None), (3, "ratione", "cz2", "en"), (4, "Ratione unde x", None, "en2"), (5, None, "cz", "en")]
+    df = spark.createDataFrame(texts, "segment_id long, content string, czech string, english string")
+    got = mining.gap_lemmas(df, lemmas, spark.createDataFrame([("caritas",)], "lemma string"), spark.createDataFrame([("unde",)], "lemma string"), floor=1, ceiling=0.9, context=4)
+    assert rows(got) == [("ratio", 4, "Rati", "cz", "en")]
 
 
 def test_guards(spark):
@@ -211,18 +220,156 @@ def test_writers(spark, tmp_path):
     assert writers.report("T", [df.select("id")]) == "# T\nid\n1\n"
 
 
-def test_flows(spark):
-    class Broken:
+def scripted(script):
+    class Scripted:
+        """Answers by the source: a list of drafts and of reviews, where None is an error."""
+
+        def __init__(self, script):
+            self.script, self.tried = script, {}
+
         def draft(self, source, feedback):
-            raise OSError("no line")
+            said = self.script[source][0]
+            answer = said[min(len(feedback), len(said) - 1)]
+            if answer is None:
+                raise OSError("no line")
+            return answer
 
         def review(self, source, draft):
-            return "PASS", ""
-
-    df = spark.createDataFrame([(1, "x the y"), (2, "plain"), (3, "")], "segment_id long, content string")
-    got = rows(flows.translate(df, flows.EchoModel("the")))
-    assert got == [(1, "translated", 1, "x the y"), (2, "translated", 2, "plain the"), (3, "translated", 2, " the draft is empty")]
-    assert rows(flows.translate(df, Broken()), "segment_id", "status") == [(1, "pending"), (2, "pending"), (3, "pending")]
+            said = self.script[source][1].get(draft, ("PASS", ""))
+            if said is None or (said[0] == "ONCE" and not self.tried.setdefault((source, draft), 0)):
+                self.tried[source, draft] = 1
+                raise OSError("no reviewer")
+            return ("PASS", "") if said[0] == "ONCE" else said
+
+    return Scripted(script)
+
+
+def one_by_one(source, required, script, most=3):
+    """The rounds of one segment, as a loop."""
+    if not source:
+        return ("needs_human", 0, None, None, ["0 no_source_text"], None)
+    feedback, classes, passed, latest, last, n = [], [], None, None, None, 0
+    for n in range(1, most + 1):
+        draft = script[source][0][min(len(feedback), len(script[source][0]) - 1)]
+        if draft is None:
+            classes.append(f"{n} translator_error")
+            break
+        latest = (n, draft)
+        missing = sorted(t for t in required if t not in draft.split())
+        if missing:
+            classes += [f"{n} precheck_terminology {t}" for t in missing]
+            last = ", ".join(missing)
+            feedback.append(last)
+            continue
+        passed = (n, draft)
+        said = script[source][1].get(draft, ("PASS", ""))
+        if said is None or said[0] == "ONCE":
+            classes.append(f"{n} reviewer_error")
+        if said is None:
+            break
+        if said[0] in ("PASS", "ONCE"):
+            return ("translated", n, n, draft, classes, None)
+        classes.append(f"{n} reviewer_revision")
+        last = said[1] or None
+        if not last:
+            break
+        feedback.append(last)
+    chosen = passed or latest
+    return ("needs_human" if chosen else "pending", n, chosen and chosen[0], chosen and chosen[1], classes, last)
+
+
+def test_rounds_of_drafts_equal_a_loop(spark):
+    script = {
+        "ok": (["good word"], {}), "none": ([None], {}), "late error": (["word no", None], {"word no": ("REVISE", "more")}), "never": (["bad", "worse", "worst"], {}), "then": (["bad", "now word"], {}),
+        "revised": (["word a", "word b"], {"word a": ("REVISE", "b")}), "deaf": (["word a"], {"word a": None}), "once": (["word a"], {"word a": ("ONCE", "")}), "silent": (["word a"], {"word a": ("REVISE", "")}),
+        "back": (["word a", "bad", "bad"], {"word a": ("REVISE", "x")}), "tired": (["word a", "word b", "word c"], {"word a": ("REVISE", "1"), "word b": ("REVISE", "2"), "word c": ("REVISE", "3")}), "error after": (["bad", None], {}),
+    }
+    sources = [*script, "", None]
+    segments = spark.createDataFrame([(k, x, "clash") for k, x in enumerate(sources)], "segment_id long, content string, status string")
+    asked = spark.createDataFrame([(k, "word", "term") for k in range(len(sources))] + [(3, "bad", "term"), (3, "other", "term")], "segment_id long, required string, category string")
+    got = flows.draft_rounds(segments, asked, spark.createDataFrame([], "lemma string, form string"), scripted(script))
+    found = {r.segment_id: (r.status, r.rounds, r.chosen, r.draft, [" ".join(str(x) for x in c if x is not None) for c in r.classes], r.feedback) for r in got.collect()}
+    assert found == {k: one_by_one(x, ["word", "bad", "other"] if k == 3 else ["word"], script) for k, x in enumerate(sources)}
+    assert not flows.draft_rounds(segments.limit(0), asked, spark.createDataFrame([], "lemma string, form string"), scripted(script)).collect()
+
+
+def test_gained_segments_of_terms_without_usage(spark):
+    before = spark.createDataFrame([(1, 10), (2, 20)], "segment_id long, sense_id int")
+    after = spark.createDataFrame([(1, 10), (2, 11), (3, 30), (4, 30), (4, 31), (5, 30), (6, 20)], "segment_id long, sense_id int")
+    targets = spark.createDataFrame([(1, 10), (1, 11), (3, 30), (3, 31)], "term_id int, sense_id int")
+    assert rows(flows.gained(before, after, targets, spark.createDataFrame([(2,), (3,), (4,)], "segment_id long"))) == [(3, 3), (3, 4)]
+    a, b = (spark.createDataFrame(x, "k int, v string") for x in ([(1, "a"), (2, None), (3, "c"), (4, "d")], [(1, "a"), (2, None), (3, None), (5, "e")]))
+    assert rows(mutate.changes(a, b, ["k"], ["v"])) == [(3, "changed"), (4, "removed"), (5, "added")]
+
+
+def test_cues_by_their_rarest_trigram(spark):
+    rng = random.Random(5)
+    words = ["the thing", "Under", "el que", "ab", "x", "zzz", "ééé", "thing"]
+    texts = [(k, "".join(rng.choice([*words, " ", ","]) for _ in range(rng.randrange(12)))) for k in range(80)] + [(80, None)]
+    cues = [(k % 3, k, "".join(rng.choice(words) for _ in range(rng.choice([1, 1, 2]))).upper()) for k in range(40)] + [(0, 99, ""), (1, 98, None)]
+    candidates = [(k, t) for k, _ in texts for t in range(3) if rng.random() < 0.6]
+    got = match.cue_signals(spark.createDataFrame(candidates, "segment_id int, term_id int"), spark.createDataFrame(cues, "term_id int, sense_id int, cue string"), spark.createDataFrame(texts, "segment_id int, content string"), 30)
+    text = dict(texts)
+    assert rows(got) == sorted({(k, i, 30) for k, t in candidates for u, i, c in cues if t == u and c and text[k] is not None and c.lower() in text[k].lower()})
+
+
+def service_in(folder):
+    class Service:
+        """Batches in a folder that all workers see; ready at the second call."""
+
+        def __init__(self, folder):
+            self.folder = folder
+
+        def submit(self, key, rows):
+            import json
+            import pathlib
+
+            path = pathlib.Path(self.folder) / f"b{key}"
+            if not path.exists():
+                path.write_text(json.dumps(rows))
+            with (pathlib.Path(self.folder) / "calls").open("a") as f:
+                f.write(key + "\n")
+            return path.name
+
+        def poll(self, batch):
+            import json
+            import pathlib
+
+            if batch.endswith("7") and not (seen := pathlib.Path(self.folder) / f"seen-{batch}").exists():
+                seen.write_text("")
+                return None
+            return {k: text.replace("  ", " ") if k % 5 else "way too short" for k, text in json.loads((pathlib.Path(self.folder) / batch).read_text()) if k % 7}
+
+    return Service(folder)
+
+
+def test_polish_goes_on_after_each_state(spark, tmp_path):
+    candidates = spark.createDataFrame([(k, f"one  sentence of the text number {k} that is long. And one  more.") for k in range(60)], "segment_id long, text string")
+    ends = []
+    for broken in (None, 2, 3, 4, 5):
+        folder = tmp_path / str(broken)
+        folder.mkdir()
+        tables = TableSet(spark, f"file://{folder}/tables")
+        commit, service = tables.commit, service_in(str(folder))
+        if broken:
+
+            def fails(read, new, commit=commit, broken=broken):
+                out = commit(read, new)
+                if out == broken:
+                    raise OSError("killed")
+                return out
+
+            tables.commit = fails
+            with pytest.raises(OSError):
+                polish.polish(tables, candidates, service, ["text"], 9)
+            tables.commit = commit
+        for _ in range(3):
+            states = polish.polish(tables, candidates, service, ["text"], 9)
+        assert states == {"written": 60} and len((folder / "calls").read_text().split()) == 7
+        ends.append(rows(tables.read()[1]["polished"]))
+    assert all(e == ends[0] for e in ends) and len(ends[0]) == 60
+    text = dict(ends[0])
+    assert text[1] == "one sentence of the text number 1 that is long. And one more." and text[5].startswith("one  sentence") and text[7].startswith("one  sentence")
 
 
 def test_stream_equals_batch(spark, tmp_path):
