@@ -52,9 +52,8 @@ def vote(candidates: DataFrame, senses: DataFrame, signals: DataFrame, strong: i
 
 
 def trigrams(text: Column) -> Column:
-    """Distinct runs of three signs of a text, lower case; of a shorter text the text itself."""
-    low = F.lower(text)
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - 2, F.lit(1))), lambda k: F.substring(low, k, F.lit(3))))
+    """Distinct runs of three signs of a text, lower case, in one pass."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("(?s)(?=(.{3}))"), F.lit(1)))
 
 
 def cue_signals(candidates: DataFrame, cues: DataFrame, texts: DataFrame, rank: int) -> DataFrame:

@@ -55,12 +55,34 @@ def replace_guesses(target: DataFrame, fresh: DataFrame, keys: list[str], guesse
     return insert_missing(others, fresh, keys).unionByName(kept, allowMissingColumns=True)
 
 
-def optimistic(target: DataFrame, commands: DataFrame, key: str) -> DataFrame:
-    """Outcome of each command (key, expected, action, value): ok, conflict or notfound, and the version that follows."""
-    joined = commands.join(target.select(key, "version"), key, "left")
-    outcome = F.when(F.col("version").isNull() & (F.col("expected") > 0), "notfound").when(F.coalesce("version", F.lit(0)) != F.col("expected"), "conflict").otherwise("ok")
-    after = F.when(F.col("outcome") != "ok", F.col("version")).when(F.col("action") == "reset", F.lit(0)).otherwise(F.col("expected") + 1)
-    return joined.withColumn("outcome", outcome).withColumn("next_version", after)
+def review(segments: DataFrame, reviews: DataFrame, texts: DataFrame, commands: DataFrame) -> dict[str, DataFrame]:
+    """outcome, review and text after commands, one a segment: (segment_id, action, expected, by, content, note).
+
+    ``reviews``: segment_id, reviewer, version, note.  ``texts``: segment_id,
+    content, the texts that people have written.  ``save``, ``accept`` and
+    ``note`` make a review or raise its version if it is the expected one;
+    ``reset`` deletes it with the text.  Only ``note`` changes the note, only
+    ``save`` the text.  A segment that isn't there is ``notfound``, a version
+    that another has changed, or deleted under a reset, ``conflict``: neither
+    changes anything.
+    """
+    known = segments.select("segment_id", F.lit(True).alias("_known")).distinct()
+    held = reviews.select("segment_id", F.col("version").alias("_version"), F.col("note").alias("_note"))
+    c = commands.join(known, "segment_id", "left").join(held, "segment_id", "left")
+    none, same, reset = F.col("_version").isNull(), F.col("_version") == F.col("expected"), F.col("action") == "reset"
+    fits = F.when(none, ~reset | (F.col("expected") == 0)).otherwise(same)
+    c = c.withColumn("outcome", F.when(F.col("_known").isNull(), "notfound").when(fits, "ok").otherwise("conflict"))
+    c = c.withColumn("version", F.when(F.col("outcome") == "ok", F.when(reset, 0).otherwise(F.coalesce("_version", F.lit(0)) + 1)))
+    ok = c.filter("outcome = 'ok'")
+    note = F.when(F.col("action") == "note", F.col("note")).otherwise(F.col("_note"))
+    made = ok.filter("action <> 'reset'").select("segment_id", F.col("by").alias("reviewer"), "version", note.alias("note"))
+    said = ok.filter("action = 'save'").select("segment_id", "content")
+    gone = ok.filter("action = 'reset'").select("segment_id")
+    return {
+        "outcome": c.select("segment_id", "outcome", "version"),
+        "review": upsert(reviews.join(gone, "segment_id", "left_anti"), made, ["segment_id"]),
+        "text": upsert(texts.join(gone, "segment_id", "left_anti"), said, ["segment_id"]),
+    }
 
 
 def bump_on_change(target: DataFrame, changes: DataFrame, key: str, column: str) -> DataFrame:
@@ -76,13 +98,18 @@ def retire(target: DataFrame, ids: list[int], key: str = "sense_id") -> DataFram
     return update_where(target, F.col(key).isin(ids), {"status": F.lit("retired"), "version": F.col("version") + 1})
 
 
-def transition(target: DataFrame, commands: DataFrame, key: str, allowed: dict[str, list[str]]) -> DataFrame:
-    """Reason of each command (key, to): ok, notfound, wrong_status, by what each status may come from."""
+def transition(target: DataFrame, commands: DataFrame, key: str, allowed: dict[str, list[str]], polished: DataFrame | None = None, back: str = "needs_human") -> DataFrame:
+    """Reason of each command (key, to): ok, notfound, wrong_status, by what each status may come from; already_polished where ``back`` comes too late for one of ``polished``."""
     joined = commands.join(target.select(key, "status"), key, "left")
     may = F.lit(False)
     for to, froms in allowed.items():
         may = may | ((F.col("to") == to) & F.col("status").isin(froms))
-    return joined.withColumn("reason", F.when(F.col("status").isNull(), "notfound").when(may, "ok").otherwise("wrong_status"))
+    late = F.lit(False)
+    if polished is not None:
+        joined = joined.join(polished.select(key, F.lit(True).alias("_polished")).distinct(), key, "left")
+        late = (F.col("to") == back) & F.col("_polished").isNotNull()
+    reason = F.when(F.col("status").isNull(), "notfound").when(~may, "wrong_status").when(late, "already_polished").otherwise("ok")
+    return joined.withColumn("reason", reason).drop("_polished")
 
 
 def upsert_pending(target: DataFrame, proposals: DataFrame, order: str) -> DataFrame:

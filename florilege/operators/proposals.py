@@ -43,6 +43,31 @@ def validate(proposals: DataFrame, senses: DataFrame, locked: DataFrame) -> Data
     return joined.withColumn("reason", reason).select(*proposals.columns, "reason")
 
 
+#: Kinds that change a sense everywhere, and kinds of one segment.
+SENSE_WIDE, PER_SEGMENT = ("rendering", "retire_sense"), ("sense_here", "remove_here")
+
+
+def display(proposals: DataFrame, senses: DataFrame, segments: DataFrame, radius: DataFrame) -> DataFrame:
+    """Proposals (proposal_id, kind, sense_id, target_id, origin, snapshot) as they are shown.
+
+    ``label`` of the sense; ``target_label`` and ``target_content`` of a target
+    of the same term; ``locator`` of the segment for kinds of one segment;
+    ``live``, the rendering that holds now, and ``drift`` from the one that the
+    proposal has seen; for kinds that change a sense everywhere the counts of
+    ``radius`` (sense_id, ...), 0 where it has no row.
+    """
+    counts = [c for c in radius.columns if c != "sense_id"]
+    own = senses.select("sense_id", F.col("term_id").alias("_term"), "label", F.col("content").alias("live"))
+    target = senses.select(F.col("sense_id").alias("target_id"), F.col("term_id").alias("_target_term"), F.col("label").alias("_label"), F.col("content").alias("_content"))
+    place = segments.select(F.col("segment_id").alias("origin"), F.col("path").alias("_path"))
+    p = proposals.join(own, "sense_id", "left").join(target, "target_id", "left").join(place, "origin", "left").join(radius.select("sense_id", F.struct(*counts).alias("_r")), "sense_id", "left")
+    same, wide = F.col("_term") == F.col("_target_term"), F.col("kind").isin(*SENSE_WIDE) & F.col("sense_id").isNotNull()
+    return p.select(
+        *proposals.columns, "label", F.when(same, F.col("_label")).alias("target_label"), F.when(same, F.col("_content")).alias("target_content"), F.when(F.col("kind").isin(*PER_SEGMENT), F.col("_path")).alias("locator"), "live",
+        (F.col("_term").isNotNull() & ~F.col("live").eqNullSafe(F.col("snapshot"))).alias("drift"), *(F.when(wide, F.coalesce(f"_r.{c}", F.lit(0))).alias(c) for c in counts),
+    )
+
+
 def constraints_block(rows: DataFrame) -> DataFrame:
     """Per required text and label: the distinct surfaces, sorted, in one line."""
     return rows.groupBy("required", "label").agg(F.array_join(F.array_sort(F.collect_set("surface")), ", ").alias("surfaces"))

@@ -51,9 +51,17 @@ def price_per_segment(last_cost: float | None, last_segments: int, tokens: int =
 
 
 def guard_and_reset(segments: DataFrame, stale: DataFrame, human: DataFrame) -> DataFrame:
-    """New status of segments: stale ones go to pending, or to needs_human with a note where a person has edited them."""
-    marked = segments.join(stale.select("segment_id").distinct().withColumn("stale", F.lit(True)), "segment_id", "left")
-    marked = marked.join(human.select("segment_id").distinct().withColumn("human", F.lit(True)), "segment_id", "left")
-    guarded = F.col("stale").isNotNull() & F.col("human").isNotNull()
-    status = F.when(guarded, "needs_human").when(F.col("stale").isNotNull(), "pending").otherwise(F.col("status"))
-    return marked.withColumn("status", status).withColumn("note", F.when(guarded, F.lit("edited by a person"))).drop("stale", "human")
+    """New status of segments: stale ones go to pending, their notes with them, or to needs_human with a note where a person has edited them; others keep theirs."""
+    marked = segments.join(stale.select("segment_id").distinct().withColumn("_stale", F.lit(True)), "segment_id", "left")
+    marked = marked.join(human.select("segment_id").distinct().withColumn("_human", F.lit(True)), "segment_id", "left")
+    guarded = F.col("_stale").isNotNull() & F.col("_human").isNotNull()
+    status = F.when(guarded, "needs_human").when(F.col("_stale").isNotNull(), "pending").otherwise(F.col("status"))
+    note = F.col("note") if "note" in segments.columns else F.lit(None).cast("string")
+    note = F.when(guarded, "edited by a person").when(F.col("_stale").isNull(), note)
+    return marked.withColumn("status", status).withColumn("note", note).drop("_stale", "_human")
+
+
+def drop_polished(polished: DataFrame, stale: DataFrame, human: DataFrame) -> DataFrame:
+    """Polished texts without those of segments that ``guard_and_reset`` sends back to pending."""
+    reset = stale.select("segment_id").distinct().join(human.select("segment_id"), "segment_id", "left_anti")
+    return polished.join(reset, "segment_id", "left_anti")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from florilege.operators import authority, guards, mutate, rollup, sample, stale
+from florilege.operators import authority, guards, mutate, proposals, rollup, sample, stale
 from florilege.plans import flows
 from florilege.sources.model import model_sql, view
 
@@ -68,9 +68,25 @@ def _guarded(s, d):
 
 
 def _optimistic(s, d):
-    state = view(s, d, "review").select("segment_id", F.col("human_version").alias("version"))
-    commands = _seg(s, d).select("segment_id", (F.col("segment_id") % 3).cast("int").alias("expected"), F.when(F.col("segment_id") % 5 == 0, "reset").otherwise("edit").alias("action"))
-    return mutate.optimistic(state, commands, "segment_id").select("segment_id", "outcome", F.col("next_version").cast("bigint").alias("next_version"))
+    """A command for each segment, and for some that aren't there: outcomes, reviews and texts after them."""
+    n = F.col("segment_id")
+    reviews = view(s, d, "review").select("segment_id", "reviewer", F.col("human_version").alias("version"), F.concat(F.lit("n"), (n % 3).cast("string")).alias("note"))
+    texts = view(s, d, "review").filter("segment_id % 2 = 0").select("segment_id", F.lit("old").alias("content"))
+    action = F.get(F.array(*map(F.lit, ("save", "accept", "note", "reset"))), (n % 4).cast("int"))
+    commands = _seg(s, d).select(F.when(n % 17 == 0, n + 10**9).otherwise(n).alias("segment_id"), action.alias("action"), (n % 3).cast("int").alias("expected"), F.lit("boss").alias("by"), F.concat(F.lit("t"), n.cast("string")).alias("content"), F.lit("new note").alias("note"))
+    out = mutate.review(_seg(s, d), reviews, texts, commands)
+    none = F.lit(None).cast("string")
+    shown = [out["outcome"].select(F.lit("outcome").alias("what"), "segment_id", F.col("version").cast("bigint").alias("version"), F.col("outcome").alias("who"), none.alias("said")), out["review"].select(F.lit("review"), "segment_id", F.col("version").cast("bigint"), "reviewer", "note")]
+    return shown[0].union(shown[1]).union(out["text"].select(F.lit("text"), "segment_id", F.lit(None).cast("bigint"), none, "content"))
+
+
+_COMMANDS = model_sql("segment", "review") + """, c AS (SELECT CASE WHEN segment_id % 17 = 0 THEN segment_id + 1000000000 ELSE segment_id END AS segment_id, list_extract(['save', 'accept', 'note', 'reset'], CAST(segment_id % 4 + 1 AS INT)) AS action, CAST(segment_id % 3 AS INT) AS expected, 't' || segment_id AS content FROM segment),
+o AS (SELECT c.*, human_version AS v, 'n' || c.segment_id % 3 AS old, CASE WHEN s.segment_id IS NULL THEN 'notfound' WHEN human_version IS NULL THEN CASE WHEN action = 'reset' AND expected <> 0 THEN 'conflict' ELSE 'ok' END WHEN human_version = expected THEN 'ok' ELSE 'conflict' END AS outcome
+FROM c LEFT JOIN segment s ON s.segment_id = c.segment_id LEFT JOIN review r ON r.segment_id = c.segment_id), k AS (SELECT * FROM o WHERE outcome = 'ok')
+SELECT 'outcome' AS what, segment_id, CAST(CASE WHEN outcome <> 'ok' THEN NULL WHEN action = 'reset' THEN 0 ELSE coalesce(v, 0) + 1 END AS BIGINT) AS version, outcome AS who, CAST(NULL AS VARCHAR) AS said FROM o
+UNION ALL SELECT 'review', segment_id, CAST(human_version AS BIGINT), reviewer, 'n' || segment_id % 3 FROM review WHERE segment_id NOT IN (SELECT segment_id FROM k)
+UNION ALL SELECT 'review', segment_id, CAST(coalesce(v, 0) + 1 AS BIGINT), 'boss', CASE WHEN action = 'note' THEN 'new note' WHEN v IS NOT NULL THEN old END FROM k WHERE action <> 'reset'
+UNION ALL SELECT 'text', segment_id, NULL, NULL, 'old' FROM review WHERE segment_id % 2 = 0 AND segment_id NOT IN (SELECT segment_id FROM k WHERE action IN ('reset', 'save')) UNION ALL SELECT 'text', segment_id, NULL, NULL, content FROM k WHERE action = 'save'"""
 
 
 def _bump(s, d):
@@ -90,8 +106,8 @@ def _preview(s, d):
 
 
 def _transition(s, d):
-    commands = _seg(s, d).select((F.col("segment_id") * 2).alias("segment_id"), F.lit("translated").alias("to"))
-    return mutate.transition(_seg(s, d), commands, "segment_id", {"translated": ["pending", "needs_human"]}).groupBy("reason").agg(F.count("*").alias("n"))
+    commands = _seg(s, d).select((F.col("segment_id") * 2 - F.col("segment_id") % 2).alias("segment_id"), F.when(F.col("segment_id") % 3 == 0, "translated").otherwise("needs_human").alias("to"))
+    return mutate.transition(_seg(s, d), commands, "segment_id", {"translated": ["needs_human"], "needs_human": ["translated"]}, view(s, d, "review")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def _guesses(s, d):
@@ -170,6 +186,25 @@ def _drift(s, d):
     return old.join(now, "sense_id").filter(~F.col("live").eqNullSafe(F.col("snapshot"))).select("sense_id", "live", "snapshot")
 
 
+def _display(s, d):
+    """Proposals of all usages as they are shown: the rendering that they have seen, targets of the same term or another."""
+    n = F.col("segment_id")
+    kind = F.get(F.array(*map(F.lit, ("rendering", "sense_here", "remove_here", "retire_sense", "add_term"))), ((n + F.col("used")) % 5).cast("int"))
+    used = view(s, d, "usage").groupBy("segment_id", "used").agg(F.min("sense_id").alias("sense_id"))
+    own = used.select((n * 10 + F.col("used")).alias("proposal_id"), kind.alias("kind"), F.when(kind != "add_term", F.col("sense_id")).alias("sense_id"), F.when(n % 3 == 0, F.col("sense_id") + 25).alias("target_id"), n.alias("origin"), F.when(n % 7 > 0, F.when(n % 5 == 0, "other").otherwise("red widget")).alias("snapshot"))
+    radius = stale.blast_radius(view(s, d, "usage"), _seg(s, d), view(s, d, "review"), view(s, d, "sense"))
+    return proposals.display(own, view(s, d, "sense"), view(s, d, "segment"), radius)
+
+
+_DISPLAY = model_sql("usage", "sense", "segment", "review") + """, st AS (SELECT DISTINCT segment_id FROM usage JOIN sense USING (sense_id) WHERE usage.status <> 'rejected' AND used < version),
+p AS (SELECT segment_id * 10 + used AS proposal_id, k AS kind, CASE WHEN k <> 'add_term' THEN sense_id END AS sense_id, CASE WHEN segment_id % 3 = 0 THEN sense_id + 25 END AS target_id, segment_id AS origin, CASE WHEN segment_id % 7 > 0 THEN CASE WHEN segment_id % 5 = 0 THEN 'other' ELSE 'red widget' END END AS snapshot
+FROM (SELECT *, list_extract(['rendering', 'sense_here', 'remove_here', 'retire_sense', 'add_term'], CAST((segment_id + used) % 5 + 1 AS INT)) AS k FROM (SELECT segment_id, used, min(sense_id) AS sense_id FROM usage GROUP BY 1, 2) AS g) AS x),
+r AS (SELECT sense_id, count(*) AS total, count(*) FILTER (WHERE status = 'translated') AS translated, count(*) FILTER (WHERE status = 'needs_human') AS needs_human, count(*) FILTER (WHERE status = 'pending') AS pending, count(*) FILTER (WHERE segment_id IN (SELECT segment_id FROM review)) AS reviewed, count(*) FILTER (WHERE segment_id NOT IN (SELECT segment_id FROM st)) AS marginal
+FROM (SELECT DISTINCT sense_id, segment_id FROM usage WHERE status <> 'rejected') AS t JOIN (SELECT segment_id, status FROM segment) AS s USING (segment_id) GROUP BY 1)
+SELECT p.*, s.label, CASE WHEN t.term_id = s.term_id THEN t.label END AS target_label, CASE WHEN t.term_id = s.term_id THEN t.content END AS target_content, CASE WHEN kind IN ('sense_here', 'remove_here') THEN g.path END AS locator, s.content AS live, s.sense_id IS NOT NULL AND s.content IS DISTINCT FROM p.snapshot AS drift,
+""" + ", ".join(f"CASE WHEN kind IN ('rendering', 'retire_sense') THEN coalesce(r.{c}, 0) END AS {c}" for c in ("total", "translated", "needs_human", "pending", "reviewed", "marginal")) + " FROM p LEFT JOIN sense s ON s.sense_id = p.sense_id LEFT JOIN sense t ON t.sense_id = p.target_id LEFT JOIN segment g ON g.segment_id = p.origin LEFT JOIN r ON r.sense_id = p.sense_id"
+
+
 _S, _U, _N = model_sql("segment"), model_sql("usage"), model_sql("sense")
 _STALE = ", stale AS (SELECT DISTINCT segment_id FROM usage JOIN sense USING (sense_id) WHERE usage.status <> 'rejected' AND used < version)"
 QUERIES = {
@@ -202,13 +237,14 @@ QUERIES = {
     "T23_cost_extrapolation": (_extrapolate, model_sql("segment_text", "run_segment") + " SELECT lang, round(sum(length(content)) * 0.5 / (SELECT sum(chars) FROM run_segment WHERE run_id = 0), 6) AS usd FROM segment_text GROUP BY 1"),
     "T26_resumed_batches": (_resume, model_sql("segment", "review") + " SELECT CAST(floor((n - 1) / 40) AS BIGINT) AS batch, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY segment_id) AS n FROM segment WHERE status = 'pending' AND segment_id NOT IN (SELECT segment_id FROM review)) AS x GROUP BY 1"),
     "T28_drift": (_drift, _N + " SELECT * FROM (SELECT sense_id, CASE WHEN sense_id % 5 = 0 THEN 'other' ELSE content END AS live, CASE WHEN sense_id % 7 = 0 THEN NULL ELSE content END AS snapshot FROM sense) AS x WHERE live IS DISTINCT FROM snapshot"),
+    "T28_display": (_display, _DISPLAY),
     "T29_run_deltas": (lambda s, d: rollup.compare_runs(_failures(s, d), "failure", 0, 1), _FAILURES + ", a AS (SELECT failure, n AS n_a FROM n WHERE run_id = 0), b AS (SELECT failure, n AS n_b FROM n WHERE run_id = 1) SELECT coalesce(a.failure, b.failure) AS failure, coalesce(n_a, 0) AS n_a, coalesce(n_b, 0) AS n_b, coalesce(n_b, 0) - coalesce(n_a, 0) AS change, CASE WHEN coalesce(n_b, 0) > coalesce(n_a, 0) THEN '▲' WHEN coalesce(n_b, 0) < coalesce(n_a, 0) THEN '▼' ELSE '=' END AS sign FROM a FULL JOIN b ON a.failure = b.failure"),
     "T30_cost_preview": (_preview, model_sql("usage", "sense", "review") + _STALE + " SELECT count(*) AS payable, round(count(*) * CAST(0.000056 AS DOUBLE), 6) AS usd FROM (SELECT segment_id FROM stale ORDER BY segment_id LIMIT 300) AS x WHERE segment_id NOT IN (SELECT segment_id FROM review)"),
     "U01_upsert": (_upsert, model_sql("review", "comment") + ", n AS (SELECT segment_id, max(author) AS reviewer, CAST(9 AS BIGINT) AS version FROM comment GROUP BY 1) SELECT segment_id, reviewer, CAST(human_version AS BIGINT) AS version FROM review WHERE segment_id NOT IN (SELECT segment_id FROM n) UNION ALL SELECT * FROM n"),
     "U02_insert_missing": (_insert_missing, model_sql("review", "comment") + " SELECT segment_id, reviewer FROM review UNION ALL SELECT segment_id, max(author) FROM comment WHERE segment_id NOT IN (SELECT segment_id FROM review) GROUP BY 1"),
     "U03_guarded_upsert": (_guarded, _N + " SELECT sense_id, CASE WHEN sense_id % 3 = 0 AND status <> 'approved' THEN 'flagged' ELSE status END AS status FROM sense"),
-    "U04_optimistic_lock": (_optimistic, model_sql("segment", "review") + ", c AS (SELECT segment_id, segment_id % 3 AS expected, segment_id % 5 = 0 AS reset FROM segment), o AS (SELECT c.segment_id, expected, reset, human_version AS v, CASE WHEN human_version IS NULL AND expected > 0 THEN 'notfound' WHEN coalesce(human_version, 0) <> expected THEN 'conflict' ELSE 'ok' END AS outcome FROM c LEFT JOIN review r ON r.segment_id = c.segment_id) SELECT segment_id, outcome, CAST(CASE WHEN outcome <> 'ok' THEN v WHEN reset THEN 0 ELSE expected + 1 END AS BIGINT) AS next_version FROM o"),
-    "U05_transitions": (_transition, _S + ", c AS (SELECT segment_id * 2 AS id FROM segment) SELECT CASE WHEN status IS NULL THEN 'notfound' WHEN status IN ('pending', 'needs_human') THEN 'ok' ELSE 'wrong_status' END AS reason, count(*) AS n FROM c LEFT JOIN segment ON segment_id = id GROUP BY 1"),
+    "U04_optimistic_lock": (_optimistic, _COMMANDS),
+    "U05_transitions": (_transition, model_sql("segment", "review") + ", c AS (SELECT segment_id * 2 - segment_id % 2 AS id, CASE WHEN segment_id % 3 = 0 THEN 'translated' ELSE 'needs_human' END AS goal FROM segment) SELECT CASE WHEN status IS NULL THEN 'notfound' WHEN NOT ((goal = 'translated' AND status = 'needs_human') OR (goal = 'needs_human' AND status = 'translated')) THEN 'wrong_status' WHEN goal = 'needs_human' AND id IN (SELECT segment_id FROM review) THEN 'already_polished' ELSE 'ok' END AS reason, count(*) AS n FROM c LEFT JOIN segment ON segment_id = id GROUP BY 1"),
     "U06_replace_guesses": (_guesses, model_sql("usage", "segment") + ", o AS (SELECT DISTINCT segment_id, sense_id, status FROM usage WHERE status <> 'model_proposed'), f AS (SELECT segment_id, segment_id % 2000 AS sense_id, 'model_proposed' AS status FROM segment s WHERE status = 'pending' AND NOT EXISTS (SELECT 1 FROM o WHERE o.segment_id = s.segment_id AND o.sense_id = s.segment_id % 2000)) SELECT status, count(*) AS n, CAST(sum(segment_id) AS BIGINT) AS \"check\" FROM (SELECT * FROM o UNION ALL SELECT * FROM f) AS x GROUP BY 1"),
     "U07_version_bump": (_bump, _N + ", c AS (SELECT sense_id, version, content, sense_id % 4 = 0 AS hit, CASE WHEN sense_id % 8 = 0 THEN content WHEN sense_id % 12 <> 0 THEN 'new words' END AS new FROM sense) SELECT sense_id, CAST(CASE WHEN hit AND content IS DISTINCT FROM new THEN version + 1 ELSE version END AS BIGINT) AS version, CASE WHEN hit THEN new ELSE content END AS content FROM c"),
     "U10_retire": (lambda s, d: mutate.retire(view(s, d, "sense"), [4, 8, 15]).select("sense_id", "status", F.col("version").cast("bigint").alias("version")), _N + " SELECT sense_id, CASE WHEN sense_id IN (4, 8, 15) THEN 'retired' ELSE status END AS status, CAST(version + CASE WHEN sense_id IN (4, 8, 15) THEN 1 ELSE 0 END AS BIGINT) AS version FROM sense"),

@@ -39,7 +39,7 @@ FROM p LEFT JOIN sense s ON s.sense_id = p.sense_id LEFT JOIN sense t ON t.sense
 def _cues(s, d):
     """Cues of all senses: what their content says, and pieces of all benchmark texts; a document is a candidate of two terms."""
     n = F.col("segment_id")
-    candidates = _texts(s, d).select("segment_id", F.explode(F.array(1 + n % 25, 1 + (n + 7) % 25)).cast("int").alias("term_id"))
+    candidates = _texts(s, d).select("segment_id", F.explode(F.array((1 + n % 25).cast("int"), (1 + (n + 7) % 25).cast("int"))).alias("term_id"))
     own = view(s, d, "sense").select("term_id", "sense_id", F.col("content").alias("cue"))
     items = table(s, d, "benchmark").select((1 + F.col("item_id") % 25).cast("int").alias("term_id"), (F.col("item_id") + 10**9).alias("sense_id"), F.explode(F.array(F.upper(F.substring("text", 5, 12)), F.substring("text", 1, 9), F.substring("text", 3, 2))).alias("cue"))
     return match.cue_signals(candidates, own.union(items), _texts(s, d), 30).select("segment_id", F.col("sense_id").cast("bigint").alias("sense_id"))

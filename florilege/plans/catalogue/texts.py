@@ -182,13 +182,37 @@ def _glossary(s, d):
     return readers.senses(readers.glossary(lines)).select("lemma", "at", F.col("position").cast("bigint").alias("position"), "context", "content")
 
 
-def _xliff(s, d):
+def _exchange(s, d):
     t = view(s, d, "segment").select("pars", "path", F.col("element_type").alias("source"), F.col("status").alias("target"), F.when(F.col("segment_id") % 2 == 0, "a < b & \"c\"").alias("note"))
-    return writers.xliff(t, "la", "sk").select("pars", "units", F.md5(F.col("document").cast("binary")).alias("document"))
+    return writers.exchange_lines(t, "la", "sk").select("pars", F.when(F.col("path") == writers.AFTER_ALL, "end").otherwise(F.col("path")).alias("path"), "line")
 
 
-_XLIFF = """ , u AS (SELECT pars, path, '<unit id="' || replace(path, '.', '_') || '">' || CASE WHEN segment_id % 2 = 0 THEN '<notes><note>a &lt; b &amp; &quot;c&quot;</note></notes>' ELSE '' END || '<segment><source>' || element_type || '</source><target>' || status || '</target></segment></unit>' AS u FROM segment)
-SELECT pars, count(*) AS units, md5('<xliff xmlns="urn:oasis:names:tc:xliff:document:2.0" version="2.0" srcLang="la" trgLang="sk"><file id="' || pars || '">' || string_agg(u, '' ORDER BY path) || '</file></xliff>') AS document FROM u GROUP BY pars"""
+_EXCHANGE = """ SELECT pars, path, '<unit id="' || replace(path, '.', '_') || '">' || CASE WHEN segment_id % 2 = 0 THEN '<notes><note>a &lt; b &amp; &quot;c&quot;</note></notes>' ELSE '' END || '<segment><source>' || element_type || '</source><target>' || status || '</target></segment></unit>' AS line FROM segment
+UNION ALL SELECT DISTINCT pars, NULL, '<xliff xmlns="urn:oasis:names:tc:xliff:document:2.0" version="2.0" srcLang="la" trgLang="sk"><file id="' || pars || '">' FROM segment UNION ALL SELECT DISTINCT pars, 'end', '</file></xliff>' FROM segment"""
+
+
+def _marked(s, d):
+    """Pages whose paragraphs open elements by their place: an objection, its reply, the answer, what goes on."""
+    n = F.col("page_id")
+    words = F.when(n % 4 == 0, "Objection 1. ").when(n % 4 == 1, "I answer that, ").when(n % 4 == 2, "Reply to Objection 12. ").otherwise("On the contrary, ")
+    html = F.regexp_replace(F.regexp_replace("html", r"</h1>\s*<p>", F.concat(F.lit("</h1><p>"), words)), r"</p>\s*</article>", "</p><p>Objection 7. last</p></article>")
+    own = table(s, d, "pages").select("page_id", html.alias("html"))
+    return readers.marked_elements(own, "page_id", "html").select("page_id", F.col("at").cast("bigint").alias("at"), "kind", "number", F.md5(F.col("text").cast("binary")).alias("text"))
+
+
+def _coordinates(s, d):
+    """Texts whose every third line is a coordinate of its number."""
+    n = F.col("at")
+    place = F.format_string("II-II ot. %d čl. %d %s zde", F.col("doc_id"), n % 5, F.get(F.array(*map(F.lit, ("arg. 3", "protiarg.", "odp.", "k 2"))), (n % 4).cast("int")))
+    lines = _docs(s, d).select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumn("line", F.when(n % 3 == 0, place).otherwise(F.col("line")))
+    lines = lines.withColumn("path", readers.parse_coordinate(F.col("line")))
+    return readers.carry_forward(lines, "doc_id", "at", "path", "line").select("doc_id", "path", F.md5(F.col("line").cast("binary")).alias("text"))
+
+
+_COORDINATES = """WITH l AS (SELECT doc_id, i - 1 AS p, w[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents) AS x, unnest(range(1, len(w) + 1)) AS t(i)),
+g AS (SELECT *, CASE WHEN p % 3 = 0 THEN 'II_II.q' || doc_id || '.a' || p % 5 || '.' || list_extract(['arg3', 'sed_contra', 'respondeo', 'reply2'], CAST(p % 4 + 1 AS INT)) END AS tag FROM l), r AS (SELECT *, count(tag) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
+o AS (SELECT *, max(tag) OVER (PARTITION BY doc_id, run) AS own FROM r WHERE run > 0), j AS (SELECT doc_id, run, own, string_agg(trim(line), ' ' ORDER BY p) AS t FROM o WHERE tag IS NULL AND trim(line) <> '' GROUP BY 1, 2, 3)
+SELECT doc_id, own AS path, md5(max_by(t, run)) AS text FROM j GROUP BY 1, 2"""
 
 
 def _loop(s, d):
@@ -248,5 +272,7 @@ QUERIES = {
     "S03_locator_grammar": (_locators, _LOCATORS),
     "S04_carry_forward": (_carried, _CARRIED),
     "S08_glossary_senses": (_glossary, _GLOSSARY),
-    "K02_exchange_file": (_xliff, model_sql("segment") + _XLIFF),
+    "K02_exchange_file": (_exchange, model_sql("segment") + _EXCHANGE),
+    "S04_coordinate_overlay": (_coordinates, _COORDINATES),
+    "S06_marked_elements": (_marked, None),
 }

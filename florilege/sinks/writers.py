@@ -19,14 +19,29 @@ def _xml(c) -> F.Column:
     return F.replace(F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
 
 
-def xliff(df: DataFrame, source: str, target: str) -> DataFrame:
-    """One exchange document per part: pars, units, document; rows: pars, path, source, target, note (may be null)."""
+def exchange_lines(df: DataFrame, source: str, target: str) -> DataFrame:
+    """pars, path, line: the lines of an exchange document per part, in order of path: a head (path null), the units, an end (path after all).
+
+    Rows: pars, path, source, target, note (may be null).  No part is ever one
+    row: a unit is a line, and a document is its part's lines.
+    """
     unit_id = F.replace("path", F.lit("."), F.lit("_"))
     note = F.when(F.col("note").isNotNull(), F.concat(F.lit("<notes><note>"), _xml(F.col("note")), F.lit("</note></notes>"))).otherwise(F.lit(""))
     unit = F.concat(F.lit('<unit id="'), unit_id, F.lit('">'), note, F.lit("<segment><source>"), _xml(F.col("source")), F.lit("</source><target>"), _xml(F.col("target")), F.lit("</target></segment></unit>"))
-    own = df.groupBy("pars").agg(F.count("*").alias("units"), F.array_sort(F.collect_list(F.struct("path", unit.alias("u")))).alias("u"))
     head = f'<xliff xmlns="urn:oasis:names:tc:xliff:document:2.0" version="2.0" srcLang="{source}" trgLang="{target}"><file id="'
-    return own.select("pars", "units", F.concat(F.lit(head), "pars", F.lit('">'), F.array_join(F.transform("u", lambda x: x["u"]), ""), F.lit("</file></xliff>")).alias("document"))
+    edge = F.explode(F.array(F.struct(F.lit(None).cast("string").alias("path"), F.concat(F.lit(head), "pars", F.lit('">')).alias("line")), F.struct(F.lit(AFTER_ALL).alias("path"), F.lit("</file></xliff>").alias("line"))))
+    edges = df.select("pars").distinct().select("pars", edge.alias("e")).select("pars", "e.*")
+    return df.select("pars", "path", unit.alias("line")).union(edges)
+
+
+#: Behind every path: paths are of letters, digits, points and underscores.
+AFTER_ALL = "\uffff"
+
+
+def write_exchange(df: DataFrame, folder: str, source: str, target: str) -> None:
+    """``folder/pars=...`` holds the document of a part: its files in order of name, each line in its place."""
+    lines = exchange_lines(df, source, target)
+    lines.repartitionByRange("pars", "path").sortWithinPartitions("pars", "path").select("pars", "line").write.partitionBy("pars").text(folder)
 
 
 def put_text(spark: SparkSession, path: str, text: str) -> None:

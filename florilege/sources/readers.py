@@ -229,6 +229,37 @@ def elements(pages: DataFrame, key: str, page: str) -> DataFrame:
     return own.select(key, "path", "element_type", F.array_join(F.transform("t", lambda x: x["text"]), " ").alias("text"))
 
 
+def page_blocks(pages: DataFrame, key: str, page: str) -> DataFrame:
+    """key, at, level, text of headings (level 1 to 6) and paragraphs (level null) of pages, in document order.
+
+    A block reaches to the next tag of its kinds, closed or not; tags within it
+    go, white space is one space, character references stay.  Blocks without text
+    are left out.
+    """
+    found = F.regexp_extract_all(F.regexp_replace(page, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1>", ""), F.lit(r"(?is)<(?:h[1-6]|p)\b[^>]*>(?:(?!</?(?:h[1-6]|p)\b).)*"), F.lit(0))
+    each = pages.filter(F.col(page).isNotNull()).select(key, F.posexplode(found).alias("at", "b"))
+    level = F.regexp_extract("b", r"(?i)^<h([1-6])", 1)
+    text = F.trim(F.regexp_replace(F.regexp_replace("b", r"(?s)<[^>]*>", " "), r"\s+", " "))
+    return each.select(key, "at", F.when(level != "", level.cast("int")).alias("level"), text.alias("text")).filter("text <> ''")
+
+
+def marked_elements(pages: DataFrame, key: str, page: str, level: int = 1) -> DataFrame:
+    """key, heading (its place), kind, number, text of elements that markers open under headings of ``level`` or above.
+
+    A heading's range ends at the next one; a paragraph falls into the last
+    range opened before it, and into the last element opened in that range.
+    What stands before the first heading or marker belongs to none.
+    """
+    blocks = page_blocks(pages, key, page)
+    order = Window.partitionBy(key).orderBy("at")
+    opens = F.col("level").isNotNull() & (F.col("level") <= level)
+    ranged = blocks.withColumn("heading", F.last(F.when(opens, F.col("at")), True).over(order)).filter(F.col("heading").isNotNull() & F.col("level").isNull())
+    within = Window.partitionBy(key, "heading").orderBy("at")
+    marked = ranged.withColumn("m", marker_type(F.col("text"))).withColumn("first", F.last(F.when(F.col("m").isNotNull(), F.col("at")), True).over(within)).filter("first IS NOT NULL")
+    own = marked.groupBy(key, "heading", "first").agg(F.min_by("m", "at").alias("m"), F.array_sort(F.collect_list(F.struct("at", "text"))).alias("t"))
+    return own.select(key, "heading", F.col("first").alias("at"), "m.kind", "m.number", F.array_join(F.transform("t", lambda x: x["text"]), " ").alias("text"))
+
+
 def marker_type(text: Column) -> Column:
     """Kind and number of a paragraph by the words that it begins with."""
     objection, reply = F.regexp_extract(text, r"^Objection (\d+)\.", 1), F.regexp_extract(text, r"^Reply to Objection (\d+)\.", 1)

@@ -5,6 +5,8 @@ import datetime
 import pytest
 
 from florilege.plans import registry
+from florilege.sinks import writers
+from florilege.sources import readers
 from florilege.sources.model import view
 
 
@@ -74,24 +76,63 @@ def test_votes_of_all_segments(spark, folder):
 
 def test_commands_of_all_segments(spark, folder):
     segments, review = view(spark, folder, "segment").collect(), {r.segment_id: r for r in view(spark, folder, "review").collect()}
-    want = []
+    reviews = {k: (r.human_version, r.reviewer, f"n{k % 3}") for k, r in review.items()}
+    texts, outcomes = {k: "old" for k in review if k % 2 == 0}, []
+    known = {s.segment_id for s in segments}
     for s in segments:
-        v, expected = review[s.segment_id].human_version if s.segment_id in review else None, s.segment_id % 3
-        outcome = "notfound" if v is None and expected > 0 else "conflict" if (v or 0) != expected else "ok"
-        want.append((s.segment_id, outcome, v if outcome != "ok" else 0 if s.segment_id % 5 == 0 else expected + 1))
-    assert rows(run(spark, folder, "U04_optimistic_lock"), "segment_id", "outcome", "next_version") == sorted(want, key=str)
+        n = s.segment_id
+        k, action, expected = n + 10**9 if n % 17 == 0 else n, ("save", "accept", "note", "reset")[n % 4], n % 3
+        held = reviews.get(k)
+        if k not in known:
+            outcomes.append((k, None, "notfound"))
+        elif (held is None and action == "reset" and expected) or (held is not None and held[0] != expected):
+            outcomes.append((k, None, "conflict"))
+        elif action == "reset":
+            reviews.pop(k, None)
+            texts.pop(k, None)
+            outcomes.append((k, 0, "ok"))
+        else:
+            version = held[0] + 1 if held else 1
+            reviews[k] = (version, "boss", "new note" if action == "note" else held[2] if held else None)
+            texts |= {k: f"t{n}"} if action == "save" else {}
+            outcomes.append((k, version, "ok"))
+    want = [("outcome", *x, None) for x in outcomes] + [("review", k, *x) for k, x in reviews.items()] + [("text", k, None, None, x) for k, x in texts.items()]
+    assert rows(run(spark, folder, "U04_optimistic_lock"), "what", "segment_id", "version", "who", "said") == sorted(want, key=str)
     assert rows(run(spark, folder, "K03_sheet_merge"), "segment_id", "status", "note") == sorted(((s.segment_id, s.status, review[s.segment_id].reviewer if s.segment_id in review else None) for s in segments), key=str)
     state, reasons = {s.segment_id: s.status for s in segments}, {}
     for s in segments:
-        now = state.get(s.segment_id * 2)
-        reason = "notfound" if now is None else "ok" if now in ("pending", "needs_human") else "wrong_status"
+        k, to = s.segment_id * 2 - s.segment_id % 2, "translated" if s.segment_id % 3 == 0 else "needs_human"
+        now = state.get(k)
+        may = now == ("needs_human" if to == "translated" else "translated")
+        reason = "notfound" if now is None else "wrong_status" if not may else "already_polished" if to == "needs_human" and k in review else "ok"
         reasons[reason] = reasons.get(reason, 0) + 1
     assert rows(run(spark, folder, "U05_transitions"), "reason", "n") == sorted(reasons.items(), key=str)
     got = run(spark, folder, "K02_exchange_file").collect()
     parts = {}
     for s in segments:
         parts[s.pars] = parts.get(s.pars, 0) + 1
-    assert {r.pars: r.units for r in got} == parts
+    assert {p: sum(r.pars == p for r in got) for p in parts} == {p: n + 2 for p, n in parts.items()}
+
+
+def test_exchange_documents_in_files(spark, tmp_path):
+    import xml.etree.ElementTree as et
+
+    given = spark.range(500).selectExpr("concat('p', id % 3) AS pars", "concat('p', id % 3, '.q', lpad(id, 4, '0')) AS path", "'a < b' AS source", "'x & y' AS target", "CASE WHEN id % 2 = 0 THEN 'said' END AS note")
+    writers.write_exchange(given.repartition(7), str(tmp_path / "x"), "la", "sk")
+    for part in range(3):
+        files = sorted((tmp_path / "x" / f"pars=p{part}").glob("part-*.txt"))
+        root = et.fromstring("".join(f.read_text() for f in files))
+        ids = [u.get("id") for u in root.iter("{urn:oasis:names:tc:xliff:document:2.0}unit")]
+        assert ids == [f"p{part}_q{k:04d}" for k in range(500) if k % 3 == part]
+
+
+def test_elements_that_markers_open(spark):
+    page = """<h1>Top</h1><p>before</p><p>Objection 1. one <b>bold</b>&nbsp;<p>goes on<script>var p = "<p>Objection 9. no</p>"</script></p><h2>minor</h2><p>still on</p>
+    <P class=x>On the contrary, two</P><!-- <p>Objection 3. no</p> --><h1>Next</h1><p>loose</p><p>I answer that, three</p><p>Reply to Objection 2. four</p><p></p>"""
+    pages = spark.createDataFrame([(1, page), (2, None), (3, "<p>Objection 1. no heading</p>"), (4, "")], "id int, html string")
+    got = rows(readers.marked_elements(pages, "id", "html"), "kind", "number", "text")
+    assert got == sorted([("arg", 1, "Objection 1. one bold &nbsp; goes on still on"), ("sed_contra", None, "On the contrary, two"), ("respondeo", None, "I answer that, three"), ("reply", 2, "Reply to Objection 2. four")], key=str)
+    assert [r.heading for r in readers.marked_elements(pages, "id", "html").orderBy("at").collect()] == [0, 0, 7, 7]
 
 
 def test_all_senses_retired_and_proposed(spark, folder):
