@@ -37,7 +37,7 @@ FINE = 8
 #: Workers whose open bins one task of the next round takes.
 FAN = 8
 #: Bytes of text that are tokenised together.
-SLICE = 4 << 20
+SLICE = 3 << 20
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:
@@ -161,6 +161,7 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, end_id: int = 0, capaci
                         bins.put(length, row)
                         start += length
                     base += size
+                del flat, inside, ids, view  # not held while the next slice is tokenised
                 yield from _emit(bins.made, schema)
                 bins.made = []
         yield from _emit([(*row, None, None) for held in bins.open.values() for _, row in held], schema)

@@ -10,7 +10,8 @@ its language's band, or in its script's where the language has none.
 
 Each distinct word is tokenised once per batch of rows; a bounded cache keeps
 it for later batches.  Null texts have no words and fail the base rule; a null
-or unknown language takes the band of the script; repeated rows repeat.
+or unknown language takes the band of the script; repeated rows repeat; an empty
+table gives no rows.  Columns that are carried along keep their names.
 """
 
 from __future__ import annotations

@@ -2,7 +2,8 @@
 
 Null texts count as empty.  Every row of the input gives one row; repeated rows
 repeat.  Special strings inside a text are one token each, as the tokenizers
-library has it by default.
+library has it by default.  A very long text is one slice; an empty table gives
+no rows; other columns, whatever they are called, are not read.
 """
 
 from __future__ import annotations
