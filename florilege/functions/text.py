@@ -21,6 +21,24 @@ def canonical_lemma(x: Column) -> Column:
     return F.lower(F.regexp_replace(x, r"\d+$", ""))
 
 
+#: Lower-case signs whose folded form is another, and that form, by Unicode's own tables.
+_FOLDED = {c.lower(): c.casefold() for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x10000)]) if c.casefold() != c.lower() and len(c.lower()) == 1}
+_SINGLE = {c: f for c, f in _FOLDED.items() if len(f) == 1}
+_LONGER = {c: f for c, f in _FOLDED.items() if len(f) > 1}
+
+
+def casefold(x: Column) -> Column:
+    """Case folded for comparison: as ``lower``, but a sharp s is two, a final sigma is a sigma, ligatures are their letters.
+
+    Signs that fold to one are translated at once; texts with one of the few
+    that fold to several are put together sign by sign.
+    """
+    table = F.create_map(*(F.lit(v) for pair in _LONGER.items() for v in pair))
+    single = F.translate(F.lower(x), "".join(_SINGLE), "".join(_SINGLE.values()))
+    longer = F.array_join(F.transform(F.split(single, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")
+    return F.when(single.rlike("[" + "".join(_LONGER) + "]"), longer).otherwise(single)
+
+
 def ascii_tokens(x: Column) -> Column:
     return F.regexp_extract_all(x, F.lit("[a-zA-Z]+"), F.lit(0))
 
@@ -98,6 +116,29 @@ def unfence(x: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.trim(x), r"^```[a-zA-Z]*\s*", ""), r"\s*```$", "")
 
 
+#: Categories that a model may name.
+CATEGORIES = ("term", "name", "formula", "prose")
+
+
+def model_entries(x: Column, asked: Column, text: str = "slovak") -> Column:
+    """Map of lemma to (category, content) of a model's JSON answer, fenced or not; null for what is no object.
+
+    An entry is an object with ``text`` and perhaps a category, or the text
+    alone.  Lemmas that weren't ``asked`` (an array), entries without text and
+    other categories than ``CATEGORIES`` go.
+    """
+    bare = F.trim(F.replace(F.regexp_replace(x, r"```(?:json)?\s*", ""), F.lit("```"), F.lit("")))
+    given = F.map_filter(F.from_json(bare, "map<string,string>"), lambda k, v: F.array_contains(asked, k) & v.isNotNull())
+
+    def entry(v: Column) -> Column:
+        inner = v.startswith("{")
+        category = F.lower(F.trim(F.get_json_object(v, "$.category")))
+        content = F.trim(F.when(inner, F.get_json_object(v, f"$.{text}")).otherwise(v))
+        return F.struct(F.when(inner & category.isin(*CATEGORIES), category).alias("category"), content.alias("content"))
+
+    return F.map_filter(F.transform_values(given, lambda _, v: entry(v)), lambda _, e: F.coalesce(e["content"] != "", F.lit(False)))
+
+
 def verdict(x: Column) -> Column:
     """Upper-case verdict: of the tag if there is one, else of the last line that names one."""
     tag = F.upper(F.trim(F.regexp_extract(x, r"(?is)<verdict>(.*?)</verdict>", 1)))

@@ -94,3 +94,20 @@ def test_a_broken_line_names_its_place_in_files_of_several_splits(spark, tmp_pat
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", was[0])
         spark.conf.set("spark.sql.files.openCostInBytes", was[1])
+
+
+def test_casefold_is_that_of_unicode(spark):
+    texts = ["Straße", "ΣΊΣΥΦΟΣ ς", "ﬁnal ﬂow", "ŉ", "plain Text", "", "İ"[:0], "µ ſ", "ẞ", "Ǆ ǆ"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert {r.x: r.y for r in df.select("x", tx.casefold(F.col("x")).alias("y")).collect()} == {t: t.casefold() for t in texts}
+    assert spark.range(1).select(tx.casefold(F.lit(None).cast("string")).alias("y")).first().y is None
+
+
+def test_entries_of_a_models_answer(spark):
+    cases = {
+        '```json\n{"a": {"slovak": " x ", "category": " Term "}, "b": "y", "made up": "z"}\n```': {"a": ("term", "x"), "b": (None, "y")},
+        '{"a": {"slovak": "x", "category": "odd"}, "b": {"category": "term"}, "c": {"slovak": "  "}}': {"a": (None, "x")}, '{"a": null, "b": "  "}': {}, "[1]": None, "no": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "x string")
+    got = {r.x: r.y and {k: tuple(v) for k, v in r.y.items()} if r.y is not None else None for r in df.select("x", tx.model_entries(F.col("x"), F.array(*map(F.lit, "abc"))).alias("y")).collect()}
+    assert got == cases
