@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florilege.llm.components import components
-from florilege.llm.shared import held, materialize, redealt
+from florilege.llm.shared import forget_shuffles, held, materialize, redealt
 from florilege.llm.words import PLAIN_TABLE, Numbering, map_slices
 
 WORDS, THRESHOLD = 5, 0.8
@@ -308,6 +308,7 @@ class Join:
         sizes = groups.groupBy("comp").agg(F.count("*").alias("size"))
         members = materialize(groups.join(redealt(sizes), "comp"))
         n = members.count()
+        forget_shuffles(self.docs.sparkSession)
         # of large groups: the work bucket by bucket
         large = members.filter(F.col("size") > BLOCK).join(distinct.select("key", "sig"), "key")
         shared = self.buckets(large, "comp", "size").withColumnRenamed("size", "of_comp")
@@ -353,6 +354,7 @@ class Join:
         least id, rows without id last, and the least mark, and for its equals.
         """
         found = materialize(self._in_units(False))
+        forget_shuffles(self.docs.sparkSession)
         links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
         comps = components(found, "key", "root").select(F.col("node").alias("key"), F.col("component").alias("comp"))
         order = F.struct(F.col("id").isNull().alias("none"), "id", "row_mark")

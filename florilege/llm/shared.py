@@ -45,6 +45,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: Spark deletes the shuffle files of plans that nothing refers to any more only then, and those of many rounds fill the executors' disks."""
+    spark._jvm.System.gc()
+
+
 def redealt(df: DataFrame) -> DataFrame:
     """``df`` dealt anew in turn: a join with an aggregate can be split where a key is skewed only if both its sides are plain shuffles."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
