@@ -78,8 +78,13 @@ def sentences(x: Column) -> Column:
     return F.greatest(F.size(F.regexp_extract_all(x, F.lit(r"[.!?]+(\s|$)"), F.lit(0))), F.lit(1))
 
 
+def rounded(x: Column, places: int) -> Column:
+    """Rounded as SQL engines do a double: the scaled value itself goes to the next whole number, not the number that its shortest digits show."""
+    return F.round(x * F.lit(10.0**places), 0) / F.lit(10.0**places)
+
+
 def length_ratio(after: Column, before: Column) -> Column:
-    return F.when(F.length(before) == 0, F.lit(1.0)).otherwise(F.round(F.length(after) / F.length(before), 4))
+    return F.when(F.length(before) == 0, F.lit(1.0)).otherwise(rounded(F.try_divide(F.length(after), F.length(before)), 4))
 
 
 def upper_share(x: Column) -> Column:
@@ -88,7 +93,8 @@ def upper_share(x: Column) -> Column:
 
 
 def percentage(part: Column, whole: Column) -> Column:
-    return F.coalesce(F.round(100 * F.try_divide(part, whole), 1), F.lit(0.0))
+    """Of 100, to one place: multiplied before it is divided, so that 63.75 is not 63.7499...; 0 without a whole."""
+    return F.coalesce(rounded(F.try_divide(F.lit(100.0) * part, whole), 1), F.lit(0.0))
 
 
 def outside_parentheses(x: Column) -> Column:

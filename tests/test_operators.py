@@ -543,3 +543,16 @@ def test_reports(spark, tmp_path):
     for _ in range(2):
         reports.append_rows(runs, str(tmp_path / "runs"))
     assert spark.read.parquet(str(tmp_path / "runs")).count() == 8
+
+
+def test_ratios_round_as_sql_does(spark):
+    import duckdb
+
+    pairs = [(255, 400), (251, 400), (577, 800), (1, 3), (0, 7)] + [(k, n) for n in (160, 400, 800, 8000) for k in range(1, n, 7)]
+    df = spark.createDataFrame(pairs, "a int, b int")
+    text = lambda c: F.repeat(F.lit("x"), F.col(c))
+    got = df.select("a", "b", tx.length_ratio(text("a"), text("b")).alias("r"), tx.percentage(F.col("a"), F.col("b")).alias("p")).collect()
+    said = ", ".join(f"({a}, {b})" for a, b in pairs)
+    want = duckdb.connect().execute(f"SELECT a, b, round(a / b, 4), round(100 * a / b, 1) FROM (VALUES {said}) AS t(a, b)").fetchall()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert one(spark, tx.percentage(F.lit(255), F.lit(400))) == 63.8 and one(spark, tx.percentage(F.lit(1), F.lit(0))) == 0.0
