@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from florilege.operators.navigation import numbered
+
 
 def csv_sheet(df: DataFrame, path: str, columns: list[str]) -> None:
     """One CSV with a fixed header: arrays are joined with ``|``, nulls are empty; no rows give the header alone."""
@@ -34,6 +36,17 @@ def exchange_lines(df: DataFrame, source: str, target: str) -> DataFrame:
     return df.select("pars", "path", unit.alias("line")).union(edges)
 
 
+def exchange_documents(df: DataFrame, source: str, target: str) -> DataFrame:
+    """The lines of ``exchange_lines`` in their documents: ``at``, a line's place (0: the head), and ``units`` of its document.
+
+    Lines are numbered in ranges of the order of all documents; no window sees
+    a document whole, and one row per document tells where it begins.
+    """
+    lines = numbered(exchange_lines(df, source, target), ["pars", "path"], "_n")
+    each = lines.groupBy("pars").agg(F.min("_n").alias("_first"), (F.count("*") - 2).alias("units"))
+    return lines.join(F.broadcast(each), "pars").select("pars", "path", (F.col("_n") - F.col("_first")).alias("at"), "units", "line")
+
+
 #: Behind every path: paths are of letters, digits, points and underscores.
 AFTER_ALL = "\uffff"
 

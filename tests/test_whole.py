@@ -114,6 +114,21 @@ def test_commands_of_all_segments(spark, folder):
     assert {p: sum(r.pars == p for r in got) for p in parts} == {p: n + 2 for p, n in parts.items()}
 
 
+def test_exchange_documents_are_put_in_order(spark, folder):
+    """The lines of each part, by their places alone, are one document, with its number of units."""
+    import xml.etree.ElementTree as et
+
+    segments = view(spark, folder, "segment").collect()
+    got = run(spark, folder, "K02_exchange_file").collect()
+    for part in {s.pars for s in segments}:
+        lines = sorted((r for r in got if r.pars == part), key=lambda r: r["at"])
+        units = sorted(s.path.replace(".", "_") for s in segments if s.pars == part)
+        assert [r["at"] for r in lines] == list(range(len(units) + 2)) and {r["units"] for r in lines} == {len(units)}
+        root = et.fromstring("".join(r.line for r in lines))
+        assert len(units) == len(list(root.iter("{urn:oasis:names:tc:xliff:document:2.0}unit")))
+        assert [r.path for r in lines[1:-1]] == sorted(s.path for s in segments if s.pars == part)
+
+
 def test_exchange_documents_in_files(spark, tmp_path):
     import xml.etree.ElementTree as et
 
