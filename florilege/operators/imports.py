@@ -9,6 +9,8 @@ lemma without case, and the rows of one are folded over its senses in order.
 
 from __future__ import annotations
 
+import heapq
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,25 +38,45 @@ def _number(x) -> int | None:
 
 
 class _Term:
-    """One term and its senses, as rows find them."""
+    """One term and its senses, as rows find them: by id and by label, so that a row costs the same however many senses there are."""
 
     def __init__(self, key: str, state: pd.DataFrame) -> None:
         self.key, self.senses, self.term = key, [], None
+        self.by_id: dict[int, int] = {}
+        self.by_label: dict[str | None, list[int]] = defaultdict(list)
         for row in state.sort_values("sense_id").to_dict("records"):
             self.term = {"term_id": _number(row["term_id"]), "lemma": row["lemma"], "category": row["category"], "surface": _text(row["surface"]), "place": None}
             if _number(row["sense_id"]) is not None:
-                self.senses.append({"sense_id": _number(row["sense_id"]), "label": row["label"], "status": row["status"], "version": _number(row["version"]), "content": row["content"], "written": False, "place": None})
+                self.by_id.setdefault(_number(row["sense_id"]), len(self.senses))
+                self.put({"sense_id": _number(row["sense_id"]), "label": row["label"], "status": row["status"], "version": _number(row["version"]), "content": row["content"], "written": False, "place": None})
+
+    def put(self, sense: dict) -> None:
+        self.senses.append(sense)
+        heapq.heappush(self.by_label[sense["label"]], len(self.senses) - 1)
+
+    def relabel(self, at: int, label: str | None) -> None:
+        self.senses[at]["label"] = label
+        heapq.heappush(self.by_label[label], at)
+
+    def first(self, label: str | None) -> dict | None:
+        """The first sense of a label; places that have another one by now are forgotten."""
+        places = self.by_label[label]
+        while places and self.senses[places[0]]["label"] != label:
+            heapq.heappop(places)
+        return self.senses[places[0]] if places else None
 
     def approve(self, row: dict) -> tuple[str, bool]:
         """A row with a sense's id."""
-        sense = next(s for s in self.senses if s["sense_id"] == _number(row["sense_id"]))
+        at = self.by_id[_number(row["sense_id"])]
+        sense = self.senses[at]
         if _number(row["version"]) is None:
             return CONFLICT, False
         content, known = _text(row["content"]), sense["status"] == "approved"
         if known and (content is None or content == sense["content"]):
-            sense["label"] = _text(row["label"])
+            self.relabel(at, _text(row["label"]))
             return CONFIRMED, False
-        sense |= {"content": content or "", "written": True, "label": _text(row["label"]), "version": sense["version"] + 1, "status": "approved"}
+        sense |= {"content": content or "", "written": True, "version": sense["version"] + 1, "status": "approved"}
+        self.relabel(at, _text(row["label"]))
         if not known:
             self.term["surface"] = _text(row["surface"]) or self.term["surface"]
         return OK, True
@@ -65,11 +87,11 @@ class _Term:
         new = {"sense_id": None, "label": label, "status": "approved", "version": 1, "content": content, "written": content is not None, "place": row["place"]}
         if self.term is None:
             self.term = {"term_id": None, "lemma": _text(row["lemma"]), "category": _text(row["category"]), "surface": _text(row["surface"]), "place": row["place"]}
-            self.senses.append(new)
+            self.put(new)
             return CREATED, False
-        sense = next((s for s in self.senses if s["label"] == label), None)
+        sense = self.first(label)
         if sense is None:
-            self.senses.append(new)
+            self.put(new)
             return SENSE_ADDED, False
         sense["status"] = "approved"
         bump = content is not None and content != sense["content"]

@@ -192,3 +192,21 @@ def test_proposals_of_one_id_as_in_sql(spark, tmp_path):
 
 
 SMALL = "/root/testdata/sf0.001"
+
+
+def test_many_senses_of_one_term_are_found_at_once():
+    """Work grows with the rows, not with rows times senses."""
+    import time
+
+    import pandas as pd
+
+    n = 30_000
+    state = pd.DataFrame({"term_id": 1, "lemma": "a", "category": None, "surface": None, "sense_id": range(n), "label": [f"l{k}" for k in range(n)], "status": "flagged", "version": 1, "content": "c"})
+    sheet = pd.DataFrame({"place": range(n), "sense_id": range(n), "version": 1.0, "lemma": "a", "surface": None, "label": [f"m{k}" for k in range(n)], "content": "d", "category": None})
+    sheet.loc[n] = {"place": n, "sense_id": None, "version": None, "lemma": "a", "surface": None, "label": f"m{n - 1}", "content": "e", "category": None}
+    begun = time.process_time()
+    out = imports._fold(("a",), sheet, state)
+    assert time.process_time() - begun < 8
+    assert list(out[out["what"] == "outcome"]["outcome"].value_counts().items()) == [("OK", n), ("UPDATED", 1)]
+    last = out[out["what"] == "sense"].iloc[-1]
+    assert (last["sense_id"], last["label"], last["version"], last["content"]) == (n - 1, f"m{n - 1}", 3, "e")
