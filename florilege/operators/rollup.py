@@ -97,7 +97,7 @@ def token_cost(rows: DataFrame, rates: DataFrame) -> DataFrame:
     """Price of each row by its model's rates per million; a row of a model without rates is an error when it is computed."""
     unknown = F.raise_error(F.concat(F.lit("no rates for "), F.coalesce("model", F.lit("null")))).cast("double")
     cost = (F.col("input") * F.col("input_rate") + F.col("cached") * F.col("cached_rate") + F.col("output") * F.col("output_rate")) / 1e6
-    joined = rows.join(rates.withColumn("_known", F.lit(True)), "model", "left")
+    joined = rows.join(F.broadcast(rates.withColumn("_known", F.lit(True))), "model", "left")  # a row per model; by the model, a few tasks would get all rows
     return joined.withColumn("usd", F.when(F.col("_known"), F.round(cost, 6)).otherwise(unknown)).drop("_known")
 
 

@@ -556,3 +556,13 @@ def test_ratios_round_as_sql_does(spark):
     want = duckdb.connect().execute(f"SELECT a, b, round(a / b, 4), round(100 * a / b, 1) FROM (VALUES {said}) AS t(a, b)").fetchall()
     assert sorted(map(tuple, got)) == sorted(want)
     assert one(spark, tx.percentage(F.lit(255), F.lit(400))) == 63.8 and one(spark, tx.percentage(F.lit(1), F.lit(0))) == 0.0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rates_go_to_the_rows(spark):
+    given = spark.range(10).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("model"), *(F.lit(1.0).alias(c) for c in ("input", "cached", "output")))
+    rates = spark.createDataFrame([("a", 1.0, 1.0, 1.0), ("b", 2.0, 2.0, 2.0)], "model string, input_rate double, cached_rate double, output_rate double")
+    assert "SortMergeJoin" not in plan_of(rollup.token_cost(given, rates)) and "BroadcastHashJoin" in plan_of(rollup.token_cost(given, rates))
