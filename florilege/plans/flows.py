@@ -11,7 +11,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florilege.operators.mutate import changes
 from florilege.operators.terms import term_check
 from florilege.store import computed_once
 
@@ -59,13 +58,12 @@ def gained(before: DataFrame, after: DataFrame, targets: DataFrame, translated:
 
     ``before`` and ``after``: segment_id, sense_id of its output; ``targets``:
     term_id, sense_id of newly approved terms.  Terms with a usage before are
-    left out; what the run has added for the others is the difference of the
-    snapshots.
+    left out; the others have no row in ``before``, so that all that they have in
+    ``after`` is what the run has added, and the snapshots needn't be compared.
     """
-    used = before.join(targets, "sense_id").select("term_id").distinct()
+    used = before.select("sense_id").distinct().join(targets, "sense_id").select("term_id").distinct()
     fresh = targets.join(used, "term_id", "left_anti")
-    added = changes(before, after, ["segment_id", "sense_id"]).filter("change = 'added'")
-    found = added.join(fresh, "sense_id").select("term_id", "segment_id").distinct()
+    found = after.join(fresh, "sense_id").select("term_id", "segment_id").distinct()
     return found.join(translated.select("segment_id"), "segment_id", "left_semi").select("term_id", "segment_id")
 
 

@@ -566,3 +566,11 @@ def test_rates_go_to_the_rows(spark):
     given = spark.range(10).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("model"), *(F.lit(1.0).alias(c) for c in ("input", "cached", "output")))
     rates = spark.createDataFrame([("a", 1.0, 1.0, 1.0), ("b", 2.0, 2.0, 2.0)], "model string, input_rate double, cached_rate double, output_rate double")
     assert "SortMergeJoin" not in plan_of(rollup.token_cost(given, rates)) and "BroadcastHashJoin" in plan_of(rollup.token_cost(given, rates))
+
+
+def test_gained_terms_need_no_comparison_of_snapshots(spark):
+    pairs = lambda *x: spark.createDataFrame(list(x), "segment_id long, sense_id long")
+    targets = spark.createDataFrame([(1, 10), (1, 11), (2, 20), (3, 30)], "term_id long, sense_id long")
+    got = flows.gained(pairs((1, 10), (1, 99)), pairs((1, 10), (2, 11), (2, 20), (2, 20), (3, 20), (4, 30), (5, 99)), targets, spark.createDataFrame([(2,), (4,)], "segment_id long"))
+    assert rows(got, "term_id", "segment_id") == [(2, 2), (3, 4)]
+    assert "FullOuter" not in plan_of(got)
