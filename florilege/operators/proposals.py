@@ -47,6 +47,12 @@ def validate(proposals: DataFrame, senses: DataFrame, locked: DataFrame) -> Data
 SENSE_WIDE, PER_SEGMENT = ("rendering", "retire_sense"), ("sense_here", "remove_here")
 
 
+def _joined(proposals: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """A left join in which proposals without a key, which have no partner, are dealt over the tasks by their ids."""
+    own = proposals.withColumn("_deal", F.when(F.col(key).isNull(), F.xxhash64("proposal_id")).otherwise(F.lit(0).cast("bigint")))
+    return own.join(other.withColumn("_deal", F.col(key).cast("bigint") % 1), [key, "_deal"], "left").drop("_deal")
+
+
 def display(proposals: DataFrame, senses: DataFrame, segments: DataFrame, radius: DataFrame) -> DataFrame:
     """Proposals (proposal_id, kind, sense_id, target_id, origin, snapshot) as they are shown.
 
@@ -60,7 +66,9 @@ def display(proposals: DataFrame, senses: DataFrame, segments: DataFrame, radius
     own = senses.select("sense_id", F.col("term_id").alias("_term"), "label", F.col("content").alias("live"))
     target = senses.select(F.col("sense_id").alias("target_id"), F.col("term_id").alias("_target_term"), F.col("label").alias("_label"), F.col("content").alias("_content"))
     place = segments.select(F.col("segment_id").alias("origin"), F.col("path").alias("_path"))
-    p = proposals.join(own, "sense_id", "left").join(target, "target_id", "left").join(place, "origin", "left").join(radius.select("sense_id", F.struct(*counts).alias("_r")), "sense_id", "left")
+    p = _joined(proposals, own, "sense_id")
+    p = _joined(p, radius.select("sense_id", F.struct(*counts).alias("_r")), "sense_id")
+    p = _joined(_joined(p, target, "target_id"), place, "origin")
     same, wide = F.col("_term") == F.col("_target_term"), F.col("kind").isin(*SENSE_WIDE) & F.col("sense_id").isNotNull()
     return p.select(
         *proposals.columns, "label", F.when(same, F.col("_label")).alias("target_label"), F.when(same, F.col("_content")).alias("target_content"), F.when(F.col("kind").isin(*PER_SEGMENT), F.col("_path")).alias("locator"), "live",

@@ -574,3 +574,18 @@ def test_gained_terms_need_no_comparison_of_snapshots(spark):
     got = flows.gained(pairs((1, 10), (1, 99)), pairs((1, 10), (2, 11), (2, 20), (2, 20), (3, 20), (4, 30), (5, 99)), targets, spark.createDataFrame([(2,), (4,)], "segment_id long"))
     assert rows(got, "term_id", "segment_id") == [(2, 2), (3, 4)]
     assert "FullOuter" not in plan_of(got)
+
+
+def test_proposals_without_a_key_are_dealt_out(spark):
+    from florilege.operators import proposals
+
+    given = spark.range(4000).select(F.col("id").alias("proposal_id"), F.when(F.col("id") % 1000 == 0, F.col("id")).alias("sense_id"))
+    other = spark.createDataFrame([(0, "zero"), (1000, "one"), (-1, "none")], "sense_id long, label string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = proposals._joined(given, other, "sense_id")
+        sizes = [r["n"] for r in got.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.count("*").alias("n")).collect()]
+        assert sorted(r["proposal_id"] for r in got.filter("label IS NOT NULL").collect()) == [0, 1000] and got.count() == 4000
+        assert "hashpartitioning(sense_id" in plan_of(got) and "_deal" in plan_of(got).split("hashpartitioning(", 1)[1].split(")", 1)[0], sizes
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
