@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florilege.functions.text import ascii_tokens, letter_tokens
+from florilege.store import computed_once
 
 
 def leftmost_longest(spans: DataFrame, key: str = "segment_id") -> DataFrame:
@@ -63,18 +64,23 @@ def cue_signals(candidates: DataFrame, cues: DataFrame, texts: DataFrame, rank:
     that the fewest texts have, so that a frequent word doesn't bring all texts
     along; a text meets the cues that stand under its trigrams, and only then is
     looked at whole.  Cues of one or two signs are looked for in the texts of
-    their candidates; empty ones are nowhere.
+    their candidates; empty ones are nowhere.  All this is done once for a cue,
+    however many senses share it: senses come in where a text holds their cue.
     """
     own = cues.filter(F.length("cue") > 0).select("term_id", "sense_id", F.lower("cue").alias("cue")).distinct()
-    each = own.filter(F.length("cue") >= 3).select("cue").distinct().select("cue", F.explode(trigrams(F.col("cue"))).alias("gram"))
+    words = computed_once(own.select("term_id", "cue").distinct())
+    wanted = candidates.select("segment_id", "term_id").distinct()
+    each = words.filter(F.length("cue") >= 3).select("cue").distinct().select("cue", F.explode(trigrams(F.col("cue"))).alias("gram"))
     asked = texts.join(candidates.select("segment_id").distinct(), "segment_id", "left_semi").select("segment_id", F.lower("content").alias("content"))
-    placed = asked.select("segment_id", F.explode(trigrams(F.col("content"))).alias("gram")).join(each.select("gram").distinct(), "gram", "left_semi")
+    grams = each.select("gram").distinct()
+    placed = asked.select("segment_id", F.explode(trigrams(F.col("content"))).alias("gram")).join(grams, "gram", "left_semi")
     spread = placed.groupBy("gram").agg(F.count("*").alias("n"))
     key = each.join(spread, "gram", "left").groupBy("cue").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
-    met = placed.join(key, "gram").join(own, "cue").join(candidates.select("segment_id", "term_id").distinct(), ["segment_id", "term_id"])
-    short = own.filter(F.length("cue") < 3).join(candidates.select("segment_id", "term_id").distinct(), "term_id")
-    pairs = met.select("segment_id", "sense_id", "cue").union(short.select("segment_id", "sense_id", "cue"))
-    return pairs.join(asked, "segment_id").filter(F.contains("content", F.col("cue"))).select("segment_id", "sense_id", F.lit(rank).alias("rank")).distinct()
+    met = placed.join(key, "gram").join(words, "cue").join(wanted, ["segment_id", "term_id"])
+    short = words.filter(F.length("cue") < 3).join(wanted, "term_id")
+    pairs = met.select("segment_id", "term_id", "cue").union(short.select("segment_id", "term_id", "cue"))
+    held = pairs.join(asked, "segment_id").filter(F.contains("content", F.col("cue"))).select("segment_id", "term_id", "cue")
+    return held.join(own, ["term_id", "cue"]).select("segment_id", "sense_id", F.lit(rank).alias("rank")).distinct()
 
 
 def resolve(phrases: DataFrame, tokens: DataFrame, gaps: DataFrame) -> DataFrame:

@@ -589,3 +589,14 @@ def test_proposals_without_a_key_are_dealt_out(spark):
         assert "hashpartitioning(sense_id" in plan_of(got) and "_deal" in plan_of(got).split("hashpartitioning(", 1)[1].split(")", 1)[0], sizes
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_cues_that_many_senses_share(spark):
+    import time
+
+    texts = spark.range(3000).select(F.col("id").alias("segment_id"), F.concat(F.lit("red wit and bol "), F.when(F.col("id") == 7, "red bolt").otherwise("")).alias("content"))
+    cues = spark.range(20_000).select(F.lit(1).alias("term_id"), F.col("id").alias("sense_id"), F.lit("red bolt").alias("cue"))
+    begun = time.time()
+    got = match.cue_signals(texts.select("segment_id", F.lit(1).alias("term_id")), cues.union(cues.select("term_id", "sense_id", F.lit("wit-x"))), texts, 30)
+    assert got.count() == 20_000 and got.select("segment_id").distinct().count() == 1
+    assert time.time() - begun < 60
