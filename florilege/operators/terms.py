@@ -48,12 +48,14 @@ def term_check(drafts: DataFrame, constraints: DataFrame, forms: DataFrame, key:
     with its stem.
     """
     words = letter_tokens(F.coalesce(F.col(draft), F.lit("")))
-    tokens = drafts.select(key, F.array_distinct(F.transform(words, F.lower)).alias("_t"), F.array_distinct(F.transform(words, strip_marks)).alias("_n"), F.col(draft).alias("_d"))
+    distinct = F.array_distinct(words)
+    tokens = drafts.select(key, F.array_distinct(F.transform(distinct, F.lower)).alias("_t"), F.array_distinct(F.transform(distinct, strip_marks)).alias("_n"))
     is_formula = F.coalesce(F.col("category") == "formula", F.lit(False))
-    phrases = constraints.filter(is_formula).join(tokens, key).select(key, "required", F.coalesce(holds_phrase(F.col("_d"), F.col("required")), F.lit(False)).alias("ok"))
+    phrases = constraints.filter(is_formula).join(drafts.select(key, F.col(draft).alias("_d")), key).select(key, "required", F.coalesce(holds_phrase(F.col("_d"), F.col("required")), F.lit(False)).alias("ok"))
     each = constraints.filter(~is_formula).select(key, "required", F.explode_outer(letter_tokens(F.col("required"))).alias("lemma"))
-    each = each.join(forms_of(each, forms), "lemma", "left").join(tokens, key)
-    begins = F.exists("_n", lambda t: F.startswith(t, stem(strip_marks(F.col("lemma")))))
+    known = each.select("lemma").distinct().join(forms_of(each, forms), "lemma", "left").withColumn("_stem", stem(strip_marks(F.col("lemma"))))
+    each = each.join(known, "lemma", "left").join(tokens, key)
+    begins = F.exists("_n", lambda t: F.startswith(t, F.col("_stem")))
     met = F.col("lemma").isNull() | F.array_contains("_t", F.lower("lemma")) | F.coalesce(F.arrays_overlap("_t", "forms"), F.lit(False)) | begins
     return phrases.union(each.groupBy(key, "required").agg(F.bool_and(met).alias("ok")))
 
