@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from florilege.functions.text import ascii_tokens, canonical_lemma, letter_tokens
 from florilege.store import computed_once
 
+#: Words that share their lemma with another and go to the tasks whole; beyond that, they are joined by shuffles.
+MOST_SHARED = 200_000
+
 
 def lemma_sets(texts: DataFrame, key: str, text: str, least: int = 1) -> DataFrame:
     """Distinct (key, lemma); lemmas are lower-case words of ``least`` letters or more."""
@@ -60,24 +63,42 @@ def gap_lemmas(texts: DataFrame, lemmas: DataFrame, known: DataFrame, ignored: D
     another counts for its first candidate, once a segment.  The contexts are
     those of the first segment that has one.  Distinct words are looked up
     once, and only the texts that are shown are read again.
+
+    Words are counted where they stand, so that only the vocabulary is shuffled.
+    A segment counts once for a lemma: words that share their lemma with another
+    word are counted by segment in a second reading, and what an id that several
+    rows have counts too much is taken off.
     """
-    tokens = texts.select("segment_id", *(F.coalesce(F.length(c) > 0, F.lit(False)).alias(f"_{c}") for c in ("czech", "english")), F.explode(F.array_distinct(F.transform(ascii_tokens(F.coalesce("content", F.lit(""))), F.lower))).alias("token"))
+    columns, n = ("content", "czech", "english"), F.col("segment_id")
+    # a projection of its own: above the explode, flags would be told anew for each word
+    flagged = texts.select("segment_id", "content", *(F.coalesce(F.col(c) != "", F.lit(False)).alias(f"_{c}") for c in columns[1:]))
+    tokens = flagged.select("segment_id", "_czech", "_english", F.explode(F.array_distinct(F.transform(ascii_tokens(F.coalesce("content", F.lit(""))), F.lower))).alias("token"))
+    each = computed_once(tokens.groupBy("token").agg(F.count("*").alias("n"), F.min(n).alias("at_content"), F.min(F.when(F.col("_czech"), n)).alias("at_czech"), F.min(F.when(F.col("_english"), n)).alias("at_english")))
     covered = known.select(F.lower("lemma").alias("lemma")).distinct()
-    looked = tokens.select("token").distinct().join(lemmas.select(F.lower("surface").alias("token"), "candidate", F.col("lemma").alias("_l")), "token", "left")
+    looked = each.select("token").join(lemmas.select(F.lower("surface").alias("token"), "candidate", F.col("lemma").alias("_l")), "token", "left")
     looked = looked.select("token", F.coalesce("candidate", F.lit(0)).alias("candidate"), F.coalesce("_l", "token").alias("_l"))
     hit = looked.select("token", F.lower("_l").alias("lemma")).join(covered, "lemma", "left_semi").select("token").distinct()
     first = looked.groupBy("token").agg(canonical_lemma(F.min_by("_l", "candidate")).alias("lemma")).join(hit, "token", "left_anti")
     first = first.filter(F.length("lemma") >= least).join(covered, "lemma", "left_anti")
     if ignored is not None:
         first = first.join(ignored.select("lemma").distinct(), "lemma", "left_anti")
-    seen = tokens.join(first, "token").groupBy("segment_id", "lemma").agg(F.first("_czech").alias("_czech"), F.first("_english").alias("_english"))
-    n = F.col("segment_id")
-    counts = seen.groupBy("lemma").agg(F.count("*").alias("df"), F.min(n).alias("at_content"), F.min(F.when(F.col("_czech"), n)).alias("at_czech"), F.min(F.when(F.col("_english"), n)).alias("at_english"))
+    repeated = computed_once(texts.groupBy("segment_id").agg(F.count("*").alias("_m")).filter("_m > 1").select(n.alias("_id")))
+    if not repeated.isEmpty():
+        twice = tokens.join(repeated, n.eqNullSafe(F.col("_id")), "left_semi").groupBy("token", "segment_id").agg((F.count("*") - 1).alias("_m"))
+        each = each.join(twice.groupBy("token").agg(F.sum("_m").alias("_m")), "token", "left").withColumn("n", F.col("n") - F.coalesce("_m", F.lit(0)))
+    named = computed_once(first.join(each, "token"))
+    counts = named.groupBy("lemma").agg(F.count("*").alias("_words"), F.sum("n").alias("df"), *(F.min(f"at_{c}").alias(f"at_{c}") for c in columns))
+    shared = computed_once(named.join(counts.filter((F.col("_words") > 1) & (F.col("df") >= floor)).select("lemma"), "lemma", "left_semi").select("token", "lemma"))
+    if (n_shared := shared.count()) > 0:
+        own = F.broadcast(shared) if n_shared <= MOST_SHARED else shared
+        seen = tokens.select("segment_id", "token").join(own, "token").select("segment_id", "lemma").distinct()
+        counts = counts.join(seen.groupBy("lemma").agg(F.count("*").alias("_df")), "lemma", "left").withColumn("df", F.coalesce("_df", "df"))
+    counts = counts.select("lemma", "df", *(f"at_{c}" for c in columns))
     total = texts.agg(F.count("*").alias("n_all"))
     found = computed_once(counts.join(F.broadcast(total), (F.col("df") >= floor) & (F.col("df") <= F.floor(F.col("n_all") * ceiling))).drop("n_all"))  # one row
-    columns = ("content", "czech", "english")
     asked = found.select(F.explode(F.array(*(f"at_{c}" for c in columns))).alias("segment_id")).filter("segment_id IS NOT NULL").distinct()
-    heads = computed_once(texts.join(asked, "segment_id", "left_semi").groupBy("segment_id").agg(*(F.first(F.substring(c, 1, context)).alias(c) for c in columns)))
+    cut = texts.select("segment_id", *(F.substring(c, 1, context).alias(c) for c in columns))  # before the join, so that whole texts stay where they are
+    heads = computed_once(cut.join(asked, "segment_id", "left_semi").groupBy("segment_id").agg(*(F.first(c).alias(c) for c in columns)))
     for c in columns:
         found = found.join(heads.select(F.col("segment_id").alias(f"at_{c}"), c), f"at_{c}", "left")
     return found.select("lemma", "df", *columns)
