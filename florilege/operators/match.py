@@ -28,10 +28,14 @@ def lemma_matches(texts: DataFrame, lemmas: DataFrame, terms: DataFrame, key: st
     ``lemmas``: surface, candidate (0, 1, ...), lemma.  Distinct tokens are looked up once.
     """
     tokens = texts.select(key, F.explode(F.array_distinct(F.transform(ascii_tokens(F.col(text)), F.lower))).alias("token"))
-    looked = tokens.select("token").distinct().join(lemmas.withColumnRenamed("surface", "token"), "token", "left")
+    return tokens.join(token_terms(tokens.select("token").distinct(), lemmas, terms), "token").select(key, "token", "term_id")
+
+
+def token_terms(words: DataFrame, lemmas: DataFrame, terms: DataFrame) -> DataFrame:
+    """token, term_id of those of the distinct ``words`` (token) that are a term by one of their candidate lemmas, the first such one."""
+    looked = words.join(lemmas.withColumnRenamed("surface", "token"), "token", "left")
     looked = looked.select("token", F.coalesce("candidate", F.lit(0)).alias("candidate"), F.lower(F.coalesce("lemma", "token")).alias("lemma"))
-    hit = looked.join(terms.select("term_id", F.lower("lemma").alias("lemma")), "lemma").groupBy("token").agg(F.min_by("term_id", F.struct("candidate", "term_id")).alias("term_id"))
-    return tokens.join(hit, "token").select(key, "token", "term_id")
+    return looked.join(terms.select("term_id", F.lower("lemma").alias("lemma")), "lemma").groupBy("token").agg(F.min_by("term_id", F.struct("candidate", "term_id")).alias("term_id"))
 
 
 def vote(candidates: DataFrame, senses: DataFrame, signals: DataFrame, strong: int = 20) -> DataFrame:

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florilege.functions.text import ascii_tokens, canonical_lemma, holds_phrase, letter_tokens, stem, strip_marks
-from florilege.operators.match import lemma_matches, leftmost_longest, vote
+from florilege.operators.match import leftmost_longest, token_terms, vote
 from florilege.operators.phrases import masked, phrase_spans
 from florilege.store import computed_once
 
 #: How a usage was found.
 SINGLE, VOTED, FLAGGED = "single", "multi_voted", "multi_flagged"
+#: Words that stand for a term and go to the tasks whole; beyond that, they are joined by a shuffle.
+MOST_KNOWN = 200_000
 
 
 def forms_of(lemmas: DataFrame, forms: DataFrame) -> DataFrame:
@@ -71,22 +73,28 @@ def resolve_segments(texts: DataFrame, phrases: DataFrame, lemmas: DataFrame, te
     without result.  Words without a hit fall back to their first candidate
     lemma, of ``least`` letters or more, if ``gaps`` (lemma, term_id, sense_id)
     has a proposal for it.  Phrases go before words, words before gaps; terms
-    with several senses are voted on by ``signals``.
+    with several senses are voted on by ``signals``.  Words are looked up once
+    for all texts; texts meet only those that stand for a term.
     """
     kept = texts.select("segment_id", F.coalesce("content", F.lit("")).alias("content"))
     places = computed_once(phrase_spans(kept, phrases))
     spans = leftmost_longest(places)
     cut = masked(kept, places.join(spans.select("segment_id", "phrase_id").distinct(), ["segment_id", "phrase_id"], "left_semi"))
-    hits = lemma_matches(cut, lemmas, terms)
-    tokens = cut.select("segment_id", F.explode(F.array_distinct(F.transform(ascii_tokens(F.col("content")), F.lower))).alias("token"))
-    missed = tokens.join(hits, ["segment_id", "token"], "left_anti")
+    words = computed_once(cut.select("segment_id", F.array_distinct(F.transform(ascii_tokens(F.col("content")), F.lower)).alias("words")))
+    tokens = words.select("segment_id", F.explode("words").alias("token"))
+    vocabulary = computed_once(tokens.select("token").distinct())
+    hit = computed_once(token_terms(vocabulary, lemmas, terms))
     first = lemmas.groupBy(F.lower("surface").alias("token")).agg(F.min_by("lemma", "candidate").alias("_l"))
-    gap = missed.join(first, "token", "left").select("segment_id", canonical_lemma(F.coalesce("_l", "token")).alias("lemma")).filter(F.length("lemma") >= least).distinct()
-    gap = gap.join(gaps.select("lemma", "term_id", F.col("sense_id").alias("gap_sense")), "lemma")
+    gap = vocabulary.join(hit, "token", "left_anti").join(first, "token", "left").select("token", canonical_lemma(F.coalesce("_l", "token")).alias("lemma")).filter(F.length("lemma") >= least)
+    gap = gap.join(gaps.select("lemma", F.col("term_id").cast("bigint").alias("term_id"), F.col("sense_id").cast("bigint").alias("gap_sense")), "lemma")
+    known = hit.select("token", F.lit(1).alias("stage"), F.col("term_id").cast("bigint"), F.lit(None).cast("bigint").alias("gap_sense"))
+    known = computed_once(known.union(gap.select("token", F.lit(2), "term_id", "gap_sense")))
+    met = tokens.join(F.broadcast(known) if known.count() <= MOST_KNOWN else known, "token")
     if suppressed is not None:
-        hits = hits.join(suppressed.select("segment_id", F.lower("token").alias("token")), ["segment_id", "token"], "left_anti")
+        away = suppressed.select("segment_id", F.lower("token").alias("token"), F.lit(1).alias("stage"))
+        met = met.join(away, ["segment_id", "token", "stage"], "left_anti")
     staged = spans.select("segment_id", F.col("phrase_id").alias("term_id"), F.lit(0).alias("stage"), F.lit(None).cast("bigint").alias("gap_sense"))
-    staged = staged.union(hits.select("segment_id", F.col("term_id").cast("bigint"), F.lit(1), F.lit(None).cast("bigint"))).union(gap.select("segment_id", F.col("term_id").cast("bigint"), F.lit(2), F.col("gap_sense").cast("bigint")))
+    staged = staged.union(met.select("segment_id", "term_id", "stage", "gap_sense"))
     found = staged.groupBy("segment_id", "term_id").agg(F.min_by(F.struct("stage", "gap_sense"), F.struct("stage", "gap_sense")).alias("s")).select("segment_id", "term_id", "s.*")
     size = senses.groupBy("term_id").agg(F.count("*").alias("n"))
     voted = vote(found.filter("stage < 2").select("segment_id", "term_id"), senses, signals, strong).join(size, "term_id")

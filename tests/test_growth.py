@@ -1,6 +1,6 @@
 """What jobs shuffle follows vocabularies and keys, not words times texts."""
 
-from florilege.operators import mining
+from florilege.operators import mining, terms
 
 
 def shuffled(spark, run):
@@ -29,3 +29,19 @@ def test_gaps_shuffle_words_not_texts(spark):
     # ids that repeat, the null one too, count once; so do two words of one lemma
     assert {r.lemma: r.df for r in out} == dict.fromkeys(words[3:], 400) | {"common": 400, "seldom": 1}
     assert records < 10_000
+
+
+def test_resolver_shuffles_words_not_texts(spark):
+    words = " ".join(f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(60))
+    texts = spark.createDataFrame([(k, words + " Rosa mundi", "cz", "") for k in range(400)], "segment_id long, content string, czech string, english string")
+    lemmas = spark.createDataFrame([("rosa", 0, "Rosa2"), ("rosa", 1, "rosa"), ("wordaa", 0, "thing7")], "surface string, candidate int, lemma string")
+    terms_ = spark.createDataFrame([(5, "Rosa")], "term_id long, lemma string")
+    senses = spark.createDataFrame([(50, 5, None)], "sense_id long, term_id long, label string")
+    signals = spark.createDataFrame([], "segment_id long, sense_id long, rank int")
+    gaps = spark.createDataFrame([("thing", 9, 90), ("rosa", 8, 80)], "lemma string, term_id long, sense_id long")
+    gone = spark.createDataFrame([(7, "ROSA")], "segment_id long, token string")
+    phrases = spark.createDataFrame([(1, "no such phrase")], "phrase_id long, phrase string")
+    out, records = shuffled(spark, lambda: terms.resolve_segments(texts, phrases, lemmas, terms_, senses, signals, gaps, gone).collect())
+    want = [(k, 5, 50, "single", "auto") for k in range(400) if k != 7] + [(k, 9, 90, "czech_derived", "needs_review") for k in range(400)]
+    assert sorted(map(tuple, out)) == sorted(want)
+    assert records < 10_000
