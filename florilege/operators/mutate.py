@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from florilege.operators.navigation import numbered
+from florilege.store import computed_once
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -123,14 +124,14 @@ def upsert_pending(target: DataFrame, proposals: DataFrame, order: str) -> DataF
     keyed = lambda d: d.withColumn("_k", F.struct("kind", "proposed_by", what.alias("what"), F.coalesce("origin", F.lit(-1)).alias("origin")))
     columns = [c for c in target.columns if c != "proposal_id"]
     given = keyed(proposals.withColumn("status", F.lit("pending")))
-    new = given.groupBy("_k").agg(F.max_by(F.struct(*columns), order).alias("_new"), F.min(order).alias("_first"))
+    new = computed_once(given.groupBy("_k").agg(F.max_by(F.struct(*columns), order).alias("_new"), F.min(order).alias("_first")))
     changed = [c for c in ("target_id", "content", "note") if c in columns]
-    own = keyed(target).withColumn("_open", F.col("status") == "pending").join(new, "_k", "left")
-    hit = F.col("_open") & F.col("_first").isNotNull()
-    kept = own.withColumns({c: F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in changed}).select(*target.columns)
-    open_ = keyed(target.filter("status = 'pending'")).select("_k")
-    fresh = assign_keys(target, new.join(open_, "_k", "left_anti").select("_first", "_new.*"), "proposal_id", ["_first"])
-    return kept.unionByName(fresh.select(*target.columns))
+    is_open = F.coalesce(F.col("status") == "pending", F.lit(False))
+    open_ = keyed(target.filter(is_open))  # only open proposals can change, so only they meet the new ones
+    hit = F.col("_first").isNotNull()
+    kept = open_.join(new, "_k", "left").withColumns({c: F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in changed}).select(*target.columns)
+    fresh = assign_keys(target, new.join(open_.select("_k"), "_k", "left_anti").select("_first", "_new.*"), "proposal_id", ["_first"])
+    return target.filter(~is_open).unionByName(kept).unionByName(fresh.select(*target.columns))
 
 
 def decide(target: DataFrame, proposal_id: int, status: str, by: str) -> DataFrame:

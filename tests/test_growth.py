@@ -1,6 +1,6 @@
 """What jobs shuffle follows vocabularies and keys, not words times texts."""
 
-from florilege.operators import mining, terms
+from florilege.operators import mining, mutate, terms
 
 
 def shuffled(spark, run):
@@ -45,3 +45,17 @@ def test_resolver_shuffles_words_not_texts(spark):
     want = [(k, 5, 50, "single", "auto") for k in range(400) if k != 7] + [(k, 9, 90, "czech_derived", "needs_review") for k in range(400)]
     assert sorted(map(tuple, out)) == sorted(want)
     assert records < 10_000
+
+
+def test_upsert_shuffles_open_proposals_not_decided_ones(spark):
+    row = ("CAST(id AS STRING) AS lemma", "id % 7 AS sense_id", "id AS origin", "'rendering' AS kind", "'u' AS proposed_by")
+    target = spark.range(20_000).selectExpr("id AS proposal_id", *row, "IF(id % 1000 = 0, 'pending', 'rejected') AS status", "'old' AS content")
+    new = spark.range(2).selectExpr("id * 1000 AS id").selectExpr("id AS proposal_id", *row, "'rejected' AS status", "'new' AS content").unionByName(
+        spark.range(5, 6).selectExpr("id AS proposal_id", *row, "'rejected' AS status", "'more' AS content"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out, records = shuffled(spark, lambda: mutate.upsert_pending(target, new, "proposal_id").filter("content <> 'old'").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted((r.proposal_id, r.status, r.content) for r in out) == [(0, "pending", "new"), (1000, "pending", "new"), (20_000, "pending", "more")]
+    assert records < 10_000
