@@ -12,10 +12,33 @@ from florilege.store import computed_once
 MOST_SHARED = 200_000
 
 
+def lemma_lists(texts: DataFrame, key: str, text: str, least: int = 1) -> DataFrame:
+    """key, lemmas, opens: distinct lower-case words of ``least`` letters or more, in one list for a text.
+
+    Only ids that several rows have are shuffled with their words, so that each
+    word stands in one list of an id.  ``opens`` holds for one row of each id
+    that has words.
+    """
+    lemmas = F.transform(letter_tokens(F.coalesce(F.col(text), F.lit(""))), F.lower)
+    own = texts.select(key, F.filter(F.array_distinct(lemmas), lambda w: F.length(w) >= least).alias("lemmas"))
+    single = own.withColumn("opens", F.size("lemmas") > 0)
+    repeated = computed_once(texts.groupBy(key).agg(F.count("*").alias("_m")).filter("_m > 1").select(F.col(key).alias("_id")))
+    if repeated.isEmpty():
+        return single
+    met = F.col(key).eqNullSafe(F.col("_id"))
+    pairs = own.join(repeated, met, "left_semi").select(key, F.explode("lemmas").alias("lemma")).distinct()
+    return single.join(repeated, met, "left_anti").unionByName(_lists(pairs, key))
+
+
+def _lists(pairs: DataFrame, key: str) -> DataFrame:
+    """Distinct (key, lemma) as lists of one, and an empty one that opens each id."""
+    opening = pairs.select(key).distinct().select(key, F.array().cast("array<string>").alias("lemmas"), F.lit(True).alias("opens"))
+    return pairs.select(key, F.array("lemma").alias("lemmas"), F.lit(False).alias("opens")).unionByName(opening)
+
+
 def lemma_sets(texts: DataFrame, key: str, text: str, least: int = 1) -> DataFrame:
     """Distinct (key, lemma); lemmas are lower-case words of ``least`` letters or more."""
-    lemmas = F.array_distinct(F.transform(letter_tokens(F.coalesce(F.col(text), F.lit(""))), F.lower))
-    return texts.select(key, F.explode(lemmas).alias("lemma")).filter(F.length("lemma") >= least).distinct()
+    return lemma_lists(texts, key, text, least).select(key, F.explode("lemmas").alias("lemma"))
 
 
 def document_frequency(sets: DataFrame) -> DataFrame:
@@ -25,15 +48,23 @@ def document_frequency(sets: DataFrame) -> DataFrame:
 def renderings(term_segments: DataFrame, sets: DataFrame, least_df: int = 3, least_rate: float = 0.05, least_lift: float = 8.0, top: int = 6, floor: float = 0.5) -> DataFrame:
     """term_id, lemma, df, rate, lift, score, rank.
 
-    The corpus rate leaves out the term's own segments and counts ``floor``
-    documents at least; score = rate * ln(lift).
+    ``sets``: segment_id with a ``lemma`` each, or with ``lemmas`` in a
+    list (see ``lemma_lists``).  The corpus rate leaves out the term's own
+    segments and counts ``floor`` documents at least; score = rate * ln(lift).
     """
     own = term_segments.select("term_id", "segment_id").distinct()
     n_term = own.groupBy("term_id").agg(F.count("*").alias("n_term"))
-    sets = computed_once(sets)
-    total = sets.agg(F.count_distinct("segment_id").alias("n_all"))
-    k = own.join(sets, "segment_id").groupBy("term_id", "lemma").agg(F.count("*").alias("df")).filter(F.col("df") >= least_df)
-    scored = k.join(n_term, "term_id").join(document_frequency(sets).withColumnRenamed("df", "df_all").filter(F.col("df_all") >= least_df), "lemma").crossJoin(F.broadcast(total))  # one row
+    lists = sets if "lemmas" in sets.columns else _lists(sets, "segment_id")
+    terms = own.groupBy("segment_id").agg(F.collect_list("term_id").alias("terms"))
+    # a segment's lemmas, and null for the segment itself, meet its terms, or null if it has none; the first one counts for the corpus
+    told = F.when(F.col("opens") & F.col("segment_id").isNotNull(), F.concat("lemmas", F.array(F.lit(None).cast("string")))).otherwise(F.col("lemmas"))
+    rows = lists.join(terms, "segment_id", "left").select(told.alias("lemmas"), F.posexplode_outer("terms").alias("at", "term_id"))
+    rows = rows.select(F.explode("lemmas").alias("lemma"), "term_id", (F.coalesce("at", F.lit(0)) == 0).cast("bigint").alias("first"))
+    counts = computed_once(rows.groupBy("lemma", "term_id").agg(F.count("*").alias("df"), F.sum("first").alias("first")))
+    total = counts.filter("lemma IS NULL").agg(F.sum("first").alias("n_all"))
+    df_all = counts.filter("lemma IS NOT NULL").groupBy("lemma").agg(F.sum("first").alias("df_all")).filter(F.col("df_all") >= least_df)
+    k = counts.filter((F.col("df") >= least_df) & F.col("term_id").isNotNull()).drop("first")
+    scored = k.join(n_term, "term_id").join(df_all, "lemma").crossJoin(F.broadcast(total))  # one row
     rate = F.col("df") / F.col("n_term")
     rest = F.col("n_all") - F.col("n_term")
     corpus = F.greatest(F.col("df_all") - F.col("df"), F.lit(floor)) / F.greatest(rest, F.lit(1))

@@ -59,3 +59,18 @@ def test_upsert_shuffles_open_proposals_not_decided_ones(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sorted((r.proposal_id, r.status, r.content) for r in out) == [(0, "pending", "new"), (1000, "pending", "new"), (20_000, "pending", "more")]
     assert records < 10_000
+
+
+def test_lift_shuffles_texts_not_words_times_texts(spark):
+    words = " ".join(f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(60))
+    rows = [(k, words + (" rare" if k < 5 else "")) for k in range(400)]
+    rows += [(7, "rare twice"), (7, "twice"), (None, "rare none"), (None, "rare"), (401, None), (402, "")]  # ids that repeat, the null one too, count once
+    texts = spark.createDataFrame(rows, "segment_id long, content string")
+    links = spark.createDataFrame([(1, k) for k in range(10)] + [(2, k) for k in range(5, 10)] + [(1, 3), (3, None), (None, 3)], "term_id int, segment_id long")
+    run = lambda: mining.renderings(links, mining.lemma_lists(texts, "segment_id", "content")).collect()
+    out, records = shuffled(spark, run)
+    assert [(r.term_id, r.lemma, r.df, r.rate) for r in out] == [(1, "rare", 6, 0.6)]
+    assert abs(out[0].lift - 0.6 / (1 / 390)) < 1e-9  # the null id's is the one text apart
+    again = mining.renderings(links, mining.lemma_sets(texts, "segment_id", "content")).collect()
+    assert again == out and mining.lemma_sets(texts, "segment_id", "content").count() == 400 * 60 + 5 + 2 + 2
+    assert records < 10_000
