@@ -7,9 +7,9 @@ blob holds the open windows of all clicks of a shard as arrays, sorted by click.
 A batch is folded into it by a merge join on sorted ids and some vectorised
 rounds, one per window that a click opens in the batch.
 
-A window is open until its deadline falls behind the watermark; the shard's one
-timer stands at its least deadline.  A closing row behind the last batch moves
-the watermark past all deadlines, so that the timers close what is left.
+A window is open until its deadline falls behind the watermark; the shard's
+timeout stands at its least deadline.  In the last batch each shard has a
+closing row, so that all of them close what is left.
 
 Defined results: a row without id, with an id below 0 or without a time of
 arrival takes no part.  Other nulls are empty texts in the hash.  Rows that
@@ -24,14 +24,14 @@ of one click within a batch.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from florilege.llm.shared import checkpoint_dir, remove_folder
 
@@ -40,12 +40,12 @@ SPAN, LATE, BATCHES = 72, 48, 12
 #: Copies to a shard, over all batches; shards at least.
 SHARD_ROWS, LEAST_SHARDS = 100_000, 64
 MS = 3_600_000
-#: Hours before the first one at which event time begins (the watermark stands at 0 before the first batch), and behind the last one of the closing row.
-HEAD, FAR = 1000, 1_000_000
+#: Hours before the first one at which event time begins (the watermark stands at 0 before the first batch).
+HEAD = 1000
 
 ROW = "shard int, click_id long, hour long, hash binary, crc long, n long"
 CLOSED = "click_id long, start_hour long, closed_batch long, n_repeats long, n_conflicts long, conflict_crc long, hash binary"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 
 
 def epoch_micros(stamp: str, kind: str) -> Column:
@@ -161,62 +161,37 @@ def fold(state: Windows, click_id: np.ndarray, hour: np.ndarray, opener: np.ndar
     return after.take(np.argsort(after.click_id, kind="stable")), closed
 
 
-class Expiring(StatefulProcessor):
-    """Folds a shard's rows into its blob; closes what falls behind the watermark.
+def expiring(batch: int, before: int, origin: int, last: bool) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """A function that folds a shard's rows into its blob and closes what falls behind the watermark, with rows or by its timeout.
 
     ``batch`` is fed now, ``before`` was the last that had rows: windows behind
     the watermark with which a batch begins closed after ``before``.  Event
-    time is in hours from ``origin``; from ``far`` on all is over.
+    time is in hours from ``origin``; after the ``last`` batch all is over.
     """
 
-    def __init__(self, batch: int, before: int, origin: int, far: int) -> None:
-        self.batch, self.before, self.origin, self.far = batch, before, origin, far
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("windows", "deadline long, blob binary")
-
-    def _open(self) -> tuple[Windows, int]:
-        held = self.state.get() if self.state.exists() else None
-        return (Windows.unpack(bytes(held[1])), held[0]) if held is not None else (Windows.none(), -1)
-
-    def _expire(self, windows: Windows, watermark: int) -> tuple[Windows, pd.DataFrame]:
-        over = (windows.start + SPAN - self.origin) * MS <= watermark
-        return windows.take(~over), windows.take(over).closed(self.batch if watermark >= self.far else self.before)
-
-    def _keep(self, windows: Windows, timer: int) -> None:
-        if timer >= 0:
-            self.handle.deleteTimer(timer)
-        if not len(windows.start):
-            self.state.clear()
-            return
-        deadline = int(windows.start.min() + SPAN - self.origin) * MS
-        self.handle.registerTimer(deadline)
-        self.state.update((deadline, windows.pack()))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        windows, timer = self._open()
-        windows, gone = self._expire(windows, watermark)
-        yield gone
-        parts = []
+    def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        watermark = state.getCurrentWatermarkMs()
+        windows = Windows.unpack(bytes(state.get[0])) if state.exists else Windows.none()
+        over = (windows.start + SPAN - origin) * MS <= watermark
+        yield windows.take(over).closed(before)
+        windows, parts = windows.take(~over), []
         for part in rows:
-            part = part[(part["n"] > 0) & ((part["hour"] - self.origin) * MS > watermark)]
+            part = part[(part["n"] > 0) & ((part["hour"] - origin) * MS > watermark)]
             if len(part):
                 parts.append((*(part[c].to_numpy(np.int64) for c in ("click_id", "hour")), np.frombuffer(b"".join(part["hash"]), ">u8").reshape(-1, 4).astype(np.uint64), *(part[c].to_numpy(np.int64) for c in ("crc", "n"))))
         if parts:
             windows, closed = fold(windows, *(np.concatenate(x) for x in zip(*parts, strict=True)))
-            yield closed.closed(self.batch)
-        self._keep(windows, timer)
+            yield closed.closed(batch)
+        if last:
+            yield windows.closed(batch)
+            windows = Windows.none()
+        if len(windows.start):
+            state.update((windows.pack(),))
+            state.setTimeoutTimestamp(int(windows.start.min() + SPAN - origin) * MS)
+        elif state.exists:
+            state.remove()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        windows, timer = self._open()
-        windows, gone = self._expire(windows, timerValues.getCurrentWatermarkInMs())
-        self._keep(windows, -1 if timer == expiredTimerInfo.getExpiryTimeInMs() else timer)
-        yield gone
-
-    def close(self) -> None:
-        pass
+    return step
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -230,8 +205,8 @@ def _move(spark: SparkSession, source: str, target: str) -> bool:
     return store.exists(a) and store.rename(a, _hadoop(spark, target)[0])
 
 
-def write_batches(rows: DataFrame, folder: str, n_batches: int) -> tuple[int, int] | None:
-    """Folders ``batch=k`` of rows of ROW, the last with the closing row; the origin of event time and the watermark from which all is over."""
+def write_batches(rows: DataFrame, folder: str, n_batches: int) -> int | None:
+    """Folders ``batch=k`` of rows of ROW, the last with a closing row for each shard; the origin of event time."""
     spark = rows.sparkSession
     ends = rows.agg(F.min("place"), F.max("place"), F.min("hour"), F.max("hour"), F.count("*")).first()
     if not ends[4]:
@@ -241,9 +216,12 @@ def write_batches(rows: DataFrame, folder: str, n_batches: int) -> tuple[int, in
     batch = F.floor((F.col("place") - low) * n_batches / (high - low + 1)).cast("int")
     shard = F.pmod(F.xxhash64("click_id"), F.lit(shards)).cast("int")
     own = rows.groupBy(batch.alias("batch"), shard.alias("shard"), "click_id", "hour", "hash", "crc").agg(F.count("*").alias("n"))
-    end = spark.createDataFrame([(n_batches - 1, 0, 0, last + FAR, bytes(32), 0, 0)], f"batch int, {ROW}")
-    own.unionByName(end).write.partitionBy("batch").parquet(folder)
-    return origin, (last + FAR - origin - LATE) * MS - 1
+    none = F.lit(0).cast("long")
+    end = spark.range(shards).select(F.lit(n_batches - 1).alias("batch"), F.col("id").cast("int").alias("shard"), none.alias("click_id"), F.lit(last).cast("long").alias("hour"), F.unhex(F.lit("00" * 32)).alias("hash"), none.alias("crc"), none.alias("n"))
+    # a task writes a file for each batch: small partitions are put together first
+    tasks = max(spark.sparkContext.defaultParallelism, -(-count // SHARD_ROWS))
+    own.unionByName(end).coalesce(tasks).write.partitionBy("batch").parquet(folder)
+    return origin
 
 
 def dedupe_clicks(clicks: DataFrame, n_batches: int = BATCHES) -> DataFrame:
@@ -256,19 +234,20 @@ def dedupe_clicks(clicks: DataFrame, n_batches: int = BATCHES) -> DataFrame:
     checkpoint_dir(spark)
     base = f"{spark.sparkContext.getCheckpointDir()}/clicks-{uuid.uuid4().hex}"
     shown = ("click_id", "start_hour", "closed_batch", "n_repeats", "n_conflicts", "conflict_crc", F.lower(F.hex("hash")).alias("hash"))
-    ends = write_batches(copies(clicks), f"{base}/staged", n_batches)
-    if ends is None:
+    origin = write_batches(copies(clicks), f"{base}/staged", n_batches)
+    if origin is None:
         return spark.createDataFrame([], CLOSED).select(*shown)
-    origin, far = ends
     landing, shared = _hadoop(spark, f"{base}/landing")
     shared.mkdirs(landing)
     store = "spark.sql.streaming.stateStore"
     settings = {
-        f"{store}.providerClass": ROCKS,
-        # each start loads the state anew: a store that stays open after its commit would only hold disk
+        # each RocksDB that is opened leaves memory outside the heap that isn't given back, and each start opens one for every partition
+        f"{store}.providerClass": STORE,
+        # each start loads the state anew: a store that stays open after its commit would only hold memory
         f"{store}.unloadOnCommit": "true",
-        # a commit writes what has changed, counts no rows, and leaves checksums to the shared folder's file system
-        f"{store}.rocksdb.changelogCheckpointing.enabled": "true", f"{store}.rocksdb.trackTotalNumberOfRows": "false", "spark.sql.streaming.checkpoint.fileChecksum.enabled": "false",
+        # a commit leaves checksums to the shared folder's file system
+        "spark.sql.streaming.checkpoint.fileChecksum.enabled": "false",
+        # timeouts that are due when a batch ends fire as the next begins
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }
     were = {k: spark.conf.get(k, None) for k in settings}
@@ -276,13 +255,12 @@ def dedupe_clicks(clicks: DataFrame, n_batches: int = BATCHES) -> DataFrame:
     try:
         for k in range(n_batches):
             for name, value in settings.items():
-                # timers that are due when a batch ends fire as the next begins; only behind the last one a round without rows follows
-                spark.conf.set(name, "true" if "noData" in name and k == n_batches - 1 else value)
+                spark.conf.set(name, value)
             if not _move(spark, f"{base}/staged/batch={k}", f"{base}/landing/batch={k}"):
                 continue
             stamp = F.timestamp_seconds((F.col("hour") - origin) * 3600)
             fed = spark.readStream.schema(ROW).parquet(f"{base}/landing/*").withColumn("event", stamp).withWatermark("event", f"{LATE} hours 1 millisecond")
-            found = fed.groupBy("shard").transformWithStateInPandas(Expiring(k, before, origin, far), CLOSED, "Append", "EventTime")
+            found = fed.groupBy("shard").applyInPandasWithState(expiring(k, before, origin, k == n_batches - 1), CLOSED, "blob binary", "append", GroupStateTimeout.EventTimeTimeout)
             query = found.writeStream.format("parquet").option("path", f"{base}/windows").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
             query.awaitTermination()
             before = k

@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import random
 import zlib
+from pathlib import Path
 
 import pytest
 
@@ -118,6 +119,36 @@ def test_fold_keeps_what_is_packed(seed):
     assert (both == closed.closed(0).sort_values(["click_id", "start_hour"]).to_numpy()).all()
 
 
+def test_state_is_held_in_no_native_store(spark, monkeypatch):
+    """A RocksDB for each partition and start leaves memory outside the heap; its files are changelogs and archives."""
+    seen, remove = [], own.remove_folder
+
+    def look(session, path):
+        seen.extend(x.name for x in Path(path.removeprefix("file:")).rglob("state/*/*/*") if not x.name.startswith("."))
+        remove(session, path)
+
+    monkeypatch.setattr(own, "remove_folder", look)
+    rows = rows_of(60, 20, 2)
+    assert found(spark, rows, 2) == brute(rows, 2)
+    assert any(x.endswith(".delta") for x in seen) and not any(x.endswith((".changelog", ".zip")) for x in seen)
+
+
+def test_small_partitions_share_files_of_a_batch(spark, tmp_path):
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    were = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        own.write_batches(own.copies(spark.createDataFrame(rows_of(900, 300, 3), SCHEMA)), str(tmp_path / "staged"), 3)
+    finally:
+        for k, v in were.items():
+            spark.conf.set(k, v)
+    assert {x.name for x in (tmp_path / "staged").glob("batch=*")} == {"batch=0", "batch=1", "batch=2"}
+    assert len(list((tmp_path / "staged").glob("batch=*/*.parquet"))) <= 3 * spark.sparkContext.defaultParallelism
+    last = spark.read.parquet(str(tmp_path / "staged")).filter("n = 0")
+    assert sorted((x.batch, x.shard) for x in last.collect()) == [(2, k) for k in range(own.LEAST_SHARDS)]
+
+
 def test_query_over_the_whole_table(spark):
     import __spark_entry__
 
