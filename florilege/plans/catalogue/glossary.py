@@ -12,7 +12,7 @@ from florilege.operators import acceptance, glossary, imports, lookups, mutate,
 from florilege.plans import flows
 from florilege.sources.model import model_sql, view
 from florilege.sources.readers import preferred_source, table
-from florilege.store import TableSet, shared_folder
+from florilege.store import TableSet, shared_folder, table_once
 
 
 def _v(*names):
@@ -66,16 +66,16 @@ def _terms(s):
     return s.createDataFrame([(7, "Term1"), (9, "TERM4")], "term_id int, lemma string")
 
 
-def _approvals(s, d):
-    p, n = _proposals(s, d), F.col("proposal_id")
+def _approvals(s, d, p=None):
+    p, n = p if p is not None else table_once(_proposals(s, d)), F.col("proposal_id")
     chosen = p.select(F.when(n % 10 == 7, n + 100000000000).otherwise(n).alias("proposal_id"), F.when(n % 4 == 0, " edited ").when(n % 4 == 1, "  ").alias("edited"))
     return glossary.approvals(p, chosen, _terms(s), view(s, d, "sense"), view(s, d, "usage"))
 
 
 def _applied(s, d):
     """All tables after the approvals, as sums by status; committed as one and read again."""
-    p, sense = _proposals(s, d), view(s, d, "sense").drop("term", "label", "category")
-    out = glossary.applied(p, _terms(s), sense, view(s, d, "usage"), view(s, d, "segment").select("segment_id", "status"), view(s, d, "review").select("segment_id"), _approvals(s, d))
+    p, sense = table_once(_proposals(s, d)), view(s, d, "sense").drop("term", "label", "category")
+    out = glossary.applied(p, _terms(s), sense, view(s, d, "usage"), view(s, d, "segment").select("segment_id", "status"), view(s, d, "review").select("segment_id"), _approvals(s, d, p))
     tables = TableSet(s, f"{shared_folder(s)}/glossary-{uuid.uuid4().hex}")
     tables.commit(0, out)
     out = tables.read()[1]

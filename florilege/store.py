@@ -31,6 +31,24 @@ def computed_once(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def table_once(df: DataFrame) -> DataFrame:
+    """The same as a Parquet table: for many rows, of which few columns or rows are read at a time.
+
+    The shuffles behind it are forgotten.  The folder's owner clears it, as with
+    checkpoints of jobs that ended.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    forget_shuffles(spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: only then Spark deletes the shuffle files of plans that nothing refers to any more."""
+    spark._jvm.System.gc()
+
+
 class StaleError(Exception):
     """Another writer has committed since the snapshot was read."""
 
@@ -74,7 +92,8 @@ class TableSet:
             if self.version() != read:
                 raise StaleError(f"snapshot {read} is not the last one")
             for name, df in tables.items():
-                df.write.parquet(f"{base}/{name}")
+                df.write.option("compression", "zstd").parquet(f"{base}/{name}")
+                forget_shuffles(self.spark)  # those of one table don't lie beside the next one's
             now = (self._manifest(read) if read else {}) | {name: f"{base}/{name}" for name in tables}
             path, store = self._path(f"{self.folder}/manifests/{read + 1:012d}.json")
             try:

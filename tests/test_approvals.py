@@ -143,6 +143,16 @@ def test_all_effects_are_one_commit_and_the_loser_changes_nothing(spark, tmp_pat
     assert rows(tables.read(1)[1]["sense"]) == rows(before["sense"])
 
 
+def test_usages_that_no_effect_meets_are_left_out(spark):
+    """The filter lets all through that the join may find, and little else."""
+    usage = spark.range(40_000).select(F.col("id").alias("segment_id"), (F.col("id") % 900).cast("int").alias("sense_id"))
+    here = usage.filter("segment_id % 40 = 3").select("segment_id", F.col("sense_id").cast("long").alias("sense_id"))
+    told = glossary._might_meet(usage, here, ["segment_id", "sense_id"], "maybe")
+    assert told.columns == ["segment_id", "sense_id", "maybe"] and told.count() == 40_000
+    assert told.filter("segment_id % 40 = 3 AND NOT maybe").count() == 0 and told.filter("maybe").count() < 8_000
+    assert glossary._might_meet(usage, here.limit(0), ["segment_id", "sense_id"], "maybe").filter("maybe").count() == 0
+
+
 def test_reopening_keeps_lemmas_and_origins_apart(spark):
     given = [(1, "add_term", "u", None, None, None, "virtus", "a", "rejected", "n1"), (2, "add_term", "u", None, None, None, "habitus", "b", "rejected", "n2"), (3, "remove_here", "u", 10, None, 100, "x", None, "rejected", None), (4, "remove_here", "u", 10, None, 102, "x", None, "rejected", None),
              (5, "rendering", "u", 10, None, None, "x", "c", "approved", None), (6, "rendering", "u", 99, None, None, "x", "c", "rejected", None), (7, "add_term", "u", None, None, None, "VIRTUS", "live", "pending", None), (8, "remove_here", "u", 10, None, 999, "x", None, "rejected", None)]
